@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from cairn.llm import media, quality, sharding, toxicity
+from cairn.llm import bpe, media, quality, sharding, tokenfiles, toxicity
 
 QUERIES = {
+    "op2_bpe": bpe.op2_bpe,
     "op3_quality": quality.op3_quality,
+    "op5_tokenfiles": tokenfiles.op5_tokenfiles,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_sharding": sharding.op8_sharding,
     "op9_media": media.op9_media,
