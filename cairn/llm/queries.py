@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from cairn.llm import bpe, media, quality, sharding, tokenfiles, toxicity
+from cairn.llm import bpe, lm, media, quality, sharding, tokenfiles, toxicity
 
 QUERIES = {
+    "op1_ppm": lm.op1_ppm,
     "op2_bpe": bpe.op2_bpe,
     "op3_quality": quality.op3_quality,
     "op5_tokenfiles": tokenfiles.op5_tokenfiles,
