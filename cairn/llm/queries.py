@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from cairn.llm import bpe, lm, media, quality, sharding, tokenfiles, toxicity
+from cairn.llm import bpe, lm, media, quality, sharding, substrings, tokenfiles, toxicity
 
 QUERIES = {
     "op1_ppm": lm.op1_ppm,
     "op2_bpe": bpe.op2_bpe,
     "op3_quality": quality.op3_quality,
+    "op4_substrings": substrings.op4_substrings,
     "op5_tokenfiles": tokenfiles.op5_tokenfiles,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_sharding": sharding.op8_sharding,
