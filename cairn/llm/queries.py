@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cairn.llm import bpe, lm, media, quality, sharding, substrings, tokenfiles, toxicity
+from cairn.llm import bpe, lm, media, neardup, quality, sharding, substrings, tokenfiles, toxicity
 
 QUERIES = {
     "op1_ppm": lm.op1_ppm,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_sharding": sharding.op8_sharding,
     "op9_media": media.op9_media,
+    "op10_neardup": neardup.op10_neardup,
 }
 
 SQL = {
