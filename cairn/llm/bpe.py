@@ -86,20 +86,24 @@ def token_bytes(ranks: dict[bytes, int]) -> list[bytes]:
     return table
 
 
-def encode(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
+def encode(docs: DataFrame, path: str = VOCABULARY, each: Callable = lambda ids: (ids,), schema: pa.Schema = pa.schema([("ids", pa.binary())]), ddl: str = "ids binary") -> DataFrame:
     """doc_id, ids: one row a document with its ids, packed; null and empty texts have none, repeated rows
-    stay. The ranks, at most 65,536, are broadcast."""
+    stay. The ranks, at most 65,536, are broadcast. `each` may turn a document's ids into other columns."""
     ranks = read_ranks(path)
     if max(ranks.values()) >= 1 << 16:
         raise ValueError("ids must fit 16 bits")
     shared, n = docs.sparkSession.sparkContext.broadcast(ranks), words.blocks_for(docs)
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+    full = pa.schema([("doc_id", pa.int64()), *schema])
 
     def finish(_, rows) -> pa.Table:
-        rows = [(d, ids) for d, _, ids in rows]
-        return pa.table([pa.array([d for d, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.binary())], schema=schema)
+        out = [(d, *each(ids)) for d, _, ids in rows]
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * len(full), full)], schema=full)
 
-    return words.encoded(docs, words.hashed_block(n), n, split, lambda: encoder(shared.value), finish, "doc_id bigint, ids binary")
+    return words.encoded(docs, words.hashed_block(n), n, split, lambda: encoder(shared.value), finish, f"doc_id bigint, {ddl}")
+
+
+def decoded(ids: bytes, table: list[bytes]) -> bytes:
+    return b"".join([table[i] for i in np.frombuffer(ids, words.ID).tolist()])
 
 
 def decode(encoded: DataFrame, path: str = VOCABULARY) -> DataFrame:
@@ -109,23 +113,19 @@ def decode(encoded: DataFrame, path: str = VOCABULARY) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = table.value
         for b in batches:
-            out = [b"".join([t[i] for i in np.frombuffer(x, words.ID).tolist()]) for x in b.column("ids").to_pylist()]
+            out = [decoded(x, t) for x in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names=[*b.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, T.StructType([*encoded.schema, T.StructField("decoded", T.BinaryType())]))
 
 
-def digested(both: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (over 32-bit ids), decoded_sha256."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = [np.frombuffer(x, words.ID) for x in b.column("ids").to_pylist()]
-            yield common.batch_of(schema, b.column("doc_id"), list(map(len, ids)), [hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids], [hashlib.sha256(x).hexdigest() for x in b.column("decoded").to_pylist()])
-
-    return both.select("doc_id", "ids", "decoded").mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+def op2_bpe(spark, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 over 32-bit ids, decoded_sha256 over the bytes that the ids decode to."""
+    table = spark.sparkContext.broadcast(token_bytes(read_ranks(VOCABULARY)))
 
+    def digests(ids: bytes) -> tuple[int, str, str]:
+        wide = np.frombuffer(ids, words.ID).astype("<u4")
+        return len(wide), hashlib.sha256(wide.tobytes()).hexdigest(), hashlib.sha256(decoded(ids, table.value)).hexdigest()
 
-def op2_bpe(spark, sf_dir: str) -> DataFrame:
-    return digested(decode(encode(common.read_documents(spark, sf_dir))))
+    schema = pa.schema([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+    return encode(common.read_documents(spark, sf_dir), each=digests, schema=schema, ddl="n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -177,10 +177,10 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, shard_i
     return docs.sparkSession.read.schema(shards.schema).parquet(path)
 
 
-def read_documents(shards: DataFrame) -> DataFrame:
+def read_documents(shards: DataFrame, each=lambda ids: ids.astype(words.ID).tobytes(), column: pa.Field = pa.field("ids", pa.binary()), ddl: str = "ids binary") -> DataFrame:
     """block, shard, pos, doc_id, before, n_tokens, ids: every document with its ids, decoded by itself from
-    the shard; before counts the shard's ids that precede it."""
-    schema = pa.schema([("block", pa.int32()), ("shard", pa.int32()), ("pos", pa.int32()), ("doc_id", pa.int64()), ("before", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
+    the shard; before counts the shard's ids that precede it. `each` may turn the ids into another column."""
+    schema = pa.schema([("block", pa.int32()), ("shard", pa.int32()), ("pos", pa.int32()), ("doc_id", pa.int64()), ("before", pa.int64()), ("n_tokens", pa.int64()), column])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -189,9 +189,9 @@ def read_documents(shards: DataFrame) -> DataFrame:
                 ids = [document(g, i) for i in range(len(row["doc_ids"]))]
                 n = np.array([len(x) for x in ids], np.int64)
                 k = len(ids)
-                yield common.batch_of(schema, [row["block"]] * k, [row["shard"]] * k, list(range(k)), row["doc_ids"], pa.array(np.cumsum(n) - n), pa.array(n), [x.astype(words.ID).tobytes() for x in ids])
+                yield common.batch_of(schema, [row["block"]] * k, [row["shard"]] * k, list(range(k)), row["doc_ids"], pa.array(np.cumsum(n) - n), pa.array(n), list(map(each, ids)))
 
-    return shards.mapInArrow(run, "block int, shard int, pos int, doc_id bigint, before bigint, n_tokens bigint, ids binary")
+    return shards.mapInArrow(run, "block int, shard int, pos int, doc_id bigint, before bigint, n_tokens bigint, " + ddl)
 
 
 def with_starts(read: DataFrame) -> DataFrame:
@@ -213,12 +213,5 @@ def op5_tokenfiles(spark, sf_dir: str) -> DataFrame:
     """One row a document, as read back from the files; an empty or null text is the end id alone."""
     docs = common.read_documents(spark, sf_dir)
     shards = write_shards(docs, common.scratch_dir(spark, "shards"))
-    schema = pa.schema([("block", pa.int32()), ("shard", pa.int32()), ("doc_id", pa.int64()), ("before", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
-
-    def crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sums = [zlib.crc32(np.frombuffer(x, words.ID).astype("<u4").tobytes()) for x in b.column("ids").to_pylist()]
-            yield common.batch_of(schema, *(b.column(c) for c in ("block", "shard", "doc_id", "before", "n_tokens")), sums)
-
-    read = read_documents(shards).mapInArrow(crc, "block int, shard int, doc_id bigint, before bigint, n_tokens bigint, ids_crc32 bigint")
+    read = read_documents(shards, lambda ids: zlib.crc32(ids.astype("<u4").tobytes()), pa.field("ids_crc32", pa.int64()), "ids_crc32 bigint")
     return with_starts(common.stored(read, "token-facts")).select("doc_id", "start", "n_tokens", "ids_crc32")

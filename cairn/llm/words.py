@@ -70,6 +70,14 @@ def parted(blob: bytes) -> list[bytes]:
     return [raw[a:b] for a, b in zip([4 + 4 * n, *ends], ends)]
 
 
+def bucketed(distinct: set[bytes], n: int) -> dict[int, list[bytes]]:
+    """The words of each bucket, in order: a block and its buckets agree on it without saying so."""
+    out: dict[int, list[bytes]] = {}
+    for w in sorted(distinct):
+        out.setdefault(zlib.crc32(w) % n, []).append(w)
+    return out
+
+
 def encoded(
     docs: DataFrame, block: Column, n: int, split: Callable[[bytes], list[bytes]], encoder: Callable[[], Callable[[list[bytes]], list[bytes]]],
     finish: Callable[[int, Iterator[tuple[int | None, bytes, bytes]]], pa.Table], result: str,
@@ -89,29 +97,30 @@ def encoded(
                 mine = seen.setdefault(block, set())
                 for text in unpacked(blob)[1]:
                     mine.update(split(text))
-        for block, mine in seen.items():
-            buckets: dict[int, list[bytes]] = {}
-            for w in sorted(mine):
-                buckets.setdefault(zlib.crc32(w) % n, []).append(w)
+        while seen:
+            block, mine = seen.popitem()
+            buckets = bucketed(mine, n)
             yield pa.RecordBatch.from_arrays([pa.array(list(buckets), pa.int32()), pa.array([block] * len(buckets), pa.int32()), pa.array(map(joined, buckets.values()), pa.binary())], schema=sent)
 
-    answers = pa.schema([("block", pa.int32()), ("words", pa.binary()), ("codes", pa.binary())])
+    answers = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("codes", pa.binary())])
 
     def encode(table: pa.Table) -> pa.Table:
-        lists = [parted(w) for w in table.column("words").to_pylist()]
-        distinct = list(dict.fromkeys(w for ws in lists for w in ws))
+        distinct = list(dict.fromkeys(w for blob in table.column("words").to_pylist() for w in parted(blob)))
         code = dict(zip(distinct, encoder()(distinct)))
-        return pa.table([table.column("block"), table.column("words"), pa.array([joined([code[w] for w in ws]) for ws in lists], pa.binary())], schema=answers)
+        codes = [joined([code[w] for w in parted(blob)]) for blob in table.column("words").to_pylist()]
+        return pa.table([table.column("block"), table.column("bucket"), pa.array(codes, pa.binary())], schema=answers)
 
-    codes = whole.mapInArrow(collect, "bucket int, block int, words binary").groupBy("bucket").applyInArrow(encode, "block int, words binary, codes binary")
+    codes = whole.mapInArrow(collect, "bucket int, block int, words binary").groupBy("bucket").applyInArrow(encode, "block int, bucket int, codes binary")
 
     def reassemble(left: pa.Table, right: pa.Table) -> pa.Table:
+        blobs = left.column("docs").to_pylist()
+        buckets = bucketed({w for blob in blobs for text in unpacked(blob)[1] for w in split(text)}, n)
         code: dict[bytes, bytes] = {}
-        for ws, cs in zip(right.column("words").to_pylist(), right.column("codes").to_pylist()):
-            code.update(zip(parted(ws), parted(cs)))
+        for bucket, cs in zip(right.column("bucket").to_pylist(), right.column("codes").to_pylist()):
+            code.update(zip(buckets.pop(bucket), parted(cs)))
 
         def rows():
-            for blob in left.column("docs").to_pylist():
+            for blob in blobs:
                 for doc_id, text in zip(*unpacked(blob)):
                     yield doc_id, text, b"".join([code[w] for w in split(text)])
 
