@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cairn.llm import bpe, lm, media, neardup, quality, sharding, substrings, tokenfiles, toxicity
+from cairn.llm import bpe, decontaminate, lm, media, neardup, quality, sharding, substrings, tokenfiles, toxicity
 
 QUERIES = {
     "op1_ppm": lm.op1_ppm,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_quality": quality.op3_quality,
     "op4_substrings": substrings.op4_substrings,
     "op5_tokenfiles": tokenfiles.op5_tokenfiles,
+    "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_sharding": sharding.op8_sharding,
     "op9_media": media.op9_media,
