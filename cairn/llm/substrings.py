@@ -11,8 +11,9 @@ anchor are consecutive; the text that they cover is the anchor's run.
    scan builds the tree of common-prefix intervals, and in every interval the left contexts, kept sorted,
    tell how far occurrences agree to the left before they differ. An interval's depth and a left extension
    that reach LENGTH together are a maximal repeat; all its occurrences are covered, not just neighbours.
-3. An anchor with more than GROUP distinct runs is not gathered in a task: each window of its runs becomes a
-   row, and equal windows are counted by an aggregation. Both ways give the same bytes.
+3. An anchor with more than GROUP distinct runs is not gathered in a task: its runs are cut into parts of
+   STEP windows, whose common bytes are longer anchors, and parts of those that are still crowded into
+   single windows, which are counted. All ways give the same bytes.
 
 Each row is a document of its own: two equal rows are copies, and lose what equal texts under two ids lose.
 """
@@ -32,8 +33,9 @@ from pyspark.sql import types as T
 
 from cairn.llm import common, words
 
-#: Length of a repeat in bytes, bytes that an anchor hashes, and distinct runs that one task compares.
-LENGTH, SEED, GROUP = 400, 64, 256
+#: Length of a repeat in bytes, bytes that an anchor hashes, distinct runs that one task compares, and
+#: windows in a part of the runs of a crowded anchor.
+LENGTH, SEED, GROUP, STEP = 400, 64, 256, 16
 #: Bytes that are hashed together, to stay in a processor's cache; longer texts are cut with overlap.
 _CHUNK = 500_000
 _U = np.uint64
@@ -226,21 +228,44 @@ def compared(cold: DataFrame) -> DataFrame:
     return cold.groupBy("anchor").applyInArrow(compare, _SPAN)
 
 
-def counted(hot: DataFrame) -> DataFrame:
-    """Spans of the unique runs of crowded anchors: all their windows as rows, counted by content."""
-    ddl = "content bigint, n bigint, " + _SPAN
+def refined(hot: DataFrame, step: int) -> DataFrame:
+    """Spans of the unique runs of crowded anchors. Each run is cut into parts of at most `step` windows at
+    equal distances from the anchor; the bytes that all windows of a part have in common become its anchor,
+    and parts are treated like runs. With a step of one a part is a window, and counting decides."""
+    ddl = _CONTEXT.replace("k bigint", "run bigint")
     schema = _schema(ddl)
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            out = []
             for r in b.to_pylist():
-                h = hashes(np.frombuffer(r["bytes"], np.uint8))[1]
-                start, k = r["start"] + np.arange(len(h)), len(h)
-                yield common.batch_of(schema, pa.array(h.view(np.int64)), [r["n"]] * k, [r["doc_id"]] * k, [r["crc"]] * k, [r["block"]] * k, pa.array(start), pa.array(start + LENGTH))
-
-    rows = common.stored(hot.mapInArrow(windows, ddl), "windows")
-    twice = rows.groupBy("content").agg(F.sum("n").alias("times")).where("times >= 2")
-    return rows.where("n = 1").join(twice, "content").select("doc_id", "crc", "block", "start", "stop")
+                x, w, far = np.frombuffer(r["bytes"], np.uint8), r["windows"], r["offset"]
+                core, whole = hashes(x, LENGTH - step + 1)[1], hashes(x)[1]
+                for j in range((far - w + 1) // step, far // step + 1):
+                    lo, hi = max(0, far - step * j - step + 1), min(w - 1, far - step * j)
+                    at = far - step * j - lo
+                    key = _pair(_pair(r["anchor"], j), int(core[lo + at]))
+                    out.append((key, _pair(_pair(int(whole[lo]), int(whole[hi])), hi - lo), r["n"], r["doc_id"], r["crc"], r["block"], r["start"] + lo, hi - lo + 1, at, r["bytes"][lo : hi + LENGTH]))
+            yield common.batch_of(schema, *(map(list, zip(*out)) if out else [[]] * len(schema)))
+
+    rows = common.stored(hot.select("anchor", F.col("k").alias("run"), *[c.split()[0] for c in _CONTEXT.split(", ")[2:]]).mapInArrow(cut, ddl), "parts")
+    times = rows.groupBy("anchor", "run").agg(F.sum("n").alias("times"))
+    shared = times.groupBy("anchor").agg(F.count("*").alias("k"), F.min("times").alias("least")).where("k >= 2 and least = 1").select("anchor", "k")
+    whole = rows.where("n = 1").join(times.where("times >= 2").select("anchor", "run"), ["anchor", "run"])
+    found = whole.select("doc_id", "crc", "block", "start", (F.col("start") + F.col("windows") + LENGTH - 1).alias("stop"))
+    if step == 1:
+        return found
+    fields = [c.split()[0] for c in _CONTEXT.split(", ")[3:]]
+    distinct = rows.groupBy("anchor", "run").agg(F.sum("n").alias("n"), *(F.first(c).alias(c) for c in fields))
+    near = common.stored(distinct.join(shared, "anchor").select("anchor", "k", "n", *fields), "part-contexts")
+    return found.unionByName(compared(near.where(F.col("k") <= GROUP))).unionByName(refined(near.where(F.col("k") > GROUP), 1))
+
+
+def _pair(a: int, b: int) -> int:
+    """A signed 64-bit hash of two numbers."""
+    h = ((a ^ (a >> 31)) * 0x9E3779B97F4A7C15 + b * 0xD6E8FEB86659FD93 + 0x2545F4914F6CDD1D) % (1 << 64)
+    h = (h ^ (h >> 29)) * 0xBF58476D1CE4E5B9 % (1 << 64)
+    return (h ^ (h >> 32)) - (1 << 63)
 
 
 def spans(docs: DataFrame, n: int) -> DataFrame:
@@ -252,7 +277,7 @@ def spans(docs: DataFrame, n: int) -> DataFrame:
     wanted = distinct.join(shared, "anchor").select("anchor", "k", "n", "doc_id", "crc", "block", "start", "windows", "offset")
     near = common.stored(contexts(words.packed(docs, words.hashed_block(n)), wanted), "contexts")
     whole = found.join(distinct.where("n >= 2").select("anchor", "run"), ["anchor", "run"]).select("doc_id", "crc", "block", "start", (F.col("start") + F.col("windows") + LENGTH - 1).alias("stop"))
-    return whole.unionByName(compared(near.where(F.col("k") <= GROUP))).unionByName(counted(near.where(F.col("k") > GROUP)))
+    return whole.unionByName(compared(near.where(F.col("k") <= GROUP))).unionByName(refined(near.where(F.col("k") > GROUP), STEP))
 
 
 def merged(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
