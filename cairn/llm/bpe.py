@@ -119,13 +119,17 @@ def decode(encoded: DataFrame, path: str = VOCABULARY) -> DataFrame:
     return encoded.mapInArrow(run, T.StructType([*encoded.schema, T.StructField("decoded", T.BinaryType())]))
 
 
-def op2_bpe(spark, sf_dir: str) -> DataFrame:
+def round_trip(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 over 32-bit ids, decoded_sha256 over the bytes that the ids decode to."""
-    table = spark.sparkContext.broadcast(token_bytes(read_ranks(VOCABULARY)))
+    table = docs.sparkSession.sparkContext.broadcast(token_bytes(read_ranks(VOCABULARY)))
 
     def digests(ids: bytes) -> tuple[int, str, str]:
         wide = np.frombuffer(ids, words.ID).astype("<u4")
         return len(wide), hashlib.sha256(wide.tobytes()).hexdigest(), hashlib.sha256(decoded(ids, table.value)).hexdigest()
 
     schema = pa.schema([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
-    return encode(common.read_documents(spark, sf_dir), each=digests, schema=schema, ddl="n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return encode(docs, each=digests, schema=schema, ddl="n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+
+
+def op2_bpe(spark, sf_dir: str) -> DataFrame:
+    return round_trip(common.read_documents(spark, sf_dir))

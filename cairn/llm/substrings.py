@@ -43,7 +43,7 @@ _BYTES = np.random.default_rng(400).integers(1, 1 << 63, 256, _U) * _U(2) + _U(1
 _PLACE = _U((1 << 24) - 1)
 
 
-def hashes(x: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+def hashes(x: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the SEED and of the `length` bytes from every place in x, built by doubling."""
     n = len(x) - length + 1
     h, width, base, at = _BYTES[x], 1, _U(0x9E3779B97F4A7C15), 0
@@ -64,7 +64,7 @@ def hashes(x: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]
     return seeds, whole ^ whole >> _U(32)
 
 
-def anchors(seeds: np.ndarray, length: int = LENGTH) -> np.ndarray:
+def anchors(seeds: np.ndarray, length: int) -> np.ndarray:
     """For every window its anchor's place: minima of blocks from both sides, the leftmost of equal ones."""
     width = length - SEED + 1
     h = seeds * _U(0xD6E8FEB86659FD93)
@@ -78,7 +78,7 @@ def anchors(seeds: np.ndarray, length: int = LENGTH) -> np.ndarray:
     return (np.minimum(back[:n], forth[width - 1 : width - 1 + n]) & _PLACE).astype(np.int64)
 
 
-def runs(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, ...]:
+def runs(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     """(document, start, windows, offset of the anchor, anchor's hash, run's hash) of all runs of some texts."""
     pieces: list[tuple[int, int, bytes]] = []
     for k, t in enumerate(texts):
@@ -125,7 +125,7 @@ def prefix(a: bytes, b: bytes) -> int:
     return lo
 
 
-def covers(lefts: list[bytes], rights: list[bytes], length: int = LENGTH) -> list[tuple[int, int] | None]:
+def covers(lefts: list[bytes], rights: list[bytes], length: int) -> list[tuple[int, int] | None]:
     """For each occurrence (bytes before the anchor, bytes from it on) how far to the left and to the right
     of the anchor it is covered by strings of `length` bytes around the anchor that another one has too.
 
@@ -180,13 +180,13 @@ def _schema(ddl: str) -> pa.Schema:
     return pa.schema([(f.split()[0], kinds[f.split()[1]]) for f in ddl.split(", ")])
 
 
-def run_table(docs: DataFrame, n: int) -> DataFrame:
+def run_table(docs: DataFrame, n: int, length: int) -> DataFrame:
     schema = _schema(_RUN)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = common.texts(b)
-            of, start, windows, offset, anchor, run = runs(texts)
+            of, start, windows, offset, anchor, run = runs(texts, length)
             crc = np.array([zlib.crc32(t) for t in texts], np.int64)
             of_ = pa.array(of)
             yield pa.RecordBatch.from_arrays(
@@ -197,7 +197,7 @@ def run_table(docs: DataFrame, n: int) -> DataFrame:
     return docs.select("doc_id", "text", words.hashed_block(n).alias("block")).mapInArrow(find, _RUN)
 
 
-def contexts(packed_docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def contexts(packed_docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """wanted with the bytes of each run, cut from the block's documents."""
     schema = _schema(_CONTEXT)
 
@@ -209,26 +209,26 @@ def contexts(packed_docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for blob in left.column("docs").to_pylist():
             for doc_id, text in zip(*words.unpacked(blob)):
                 for k in by_doc.get((doc_id, zlib.crc32(text)), ()) if by_doc else ():
-                    found[k] = text[rows[k]["start"] : rows[k]["start"] + rows[k]["windows"] + LENGTH - 1]
+                    found[k] = text[rows[k]["start"] : rows[k]["start"] + rows[k]["windows"] + length - 1]
         return pa.table([right.column(f.name) for f in [*schema][:-1]] + [pa.array(found, pa.binary())], schema=schema)
 
     return packed_docs.groupby("block").cogroup(wanted.groupby("block")).applyInArrow(cut, _CONTEXT)
 
 
-def compared(cold: DataFrame) -> DataFrame:
+def compared(cold: DataFrame, length: int) -> DataFrame:
     """Spans of the unique runs that share a repeat with another run of their anchor."""
     schema = _schema(_SPAN)
 
     def compare(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        found = covers([r["bytes"][: r["offset"]] for r in rows], [r["bytes"][r["offset"] :] for r in rows])
+        found = covers([r["bytes"][: r["offset"]] for r in rows], [r["bytes"][r["offset"] :] for r in rows], length)
         out = [(r["doc_id"], r["crc"], r["block"], r["start"] + r["offset"] - c[0], r["start"] + r["offset"] + c[1]) for r, c in zip(rows, found) if c and r["n"] == 1]
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 5, schema)], schema=schema)
 
     return cold.groupBy("anchor").applyInArrow(compare, _SPAN)
 
 
-def refined(hot: DataFrame, step: int) -> DataFrame:
+def refined(hot: DataFrame, step: int, length: int) -> DataFrame:
     """Spans of the unique runs of crowded anchors. Each run is cut into parts of at most `step` windows at
     equal distances from the anchor; the bytes that all windows of a part have in common become its anchor,
     and parts are treated like runs. With a step of one a part is a window, and counting decides."""
@@ -240,25 +240,25 @@ def refined(hot: DataFrame, step: int) -> DataFrame:
             out = []
             for r in b.to_pylist():
                 x, w, far = np.frombuffer(r["bytes"], np.uint8), r["windows"], r["offset"]
-                core, whole = hashes(x, LENGTH - step + 1)[1], hashes(x)[1]
+                core, whole = hashes(x, length - step + 1)[1], hashes(x, length)[1]
                 for j in range((far - w + 1) // step, far // step + 1):
                     lo, hi = max(0, far - step * j - step + 1), min(w - 1, far - step * j)
                     at = far - step * j - lo
                     key = _pair(_pair(r["anchor"], j), int(core[lo + at]))
-                    out.append((key, _pair(_pair(int(whole[lo]), int(whole[hi])), hi - lo), r["n"], r["doc_id"], r["crc"], r["block"], r["start"] + lo, hi - lo + 1, at, r["bytes"][lo : hi + LENGTH]))
+                    out.append((key, _pair(_pair(int(whole[lo]), int(whole[hi])), hi - lo), r["n"], r["doc_id"], r["crc"], r["block"], r["start"] + lo, hi - lo + 1, at, r["bytes"][lo : hi + length]))
             yield common.batch_of(schema, *(map(list, zip(*out)) if out else [[]] * len(schema)))
 
     rows = common.stored(hot.select("anchor", F.col("k").alias("run"), *[c.split()[0] for c in _CONTEXT.split(", ")[2:]]).mapInArrow(cut, ddl), "parts")
     times = rows.groupBy("anchor", "run").agg(F.sum("n").alias("times"))
     shared = times.groupBy("anchor").agg(F.count("*").alias("k"), F.min("times").alias("least")).where("k >= 2 and least = 1").select("anchor", "k")
     whole = rows.where("n = 1").join(times.where("times >= 2").select("anchor", "run"), ["anchor", "run"])
-    found = whole.select("doc_id", "crc", "block", "start", (F.col("start") + F.col("windows") + LENGTH - 1).alias("stop"))
+    found = whole.select("doc_id", "crc", "block", "start", (F.col("start") + F.col("windows") + length - 1).alias("stop"))
     if step == 1:
         return found
     fields = [c.split()[0] for c in _CONTEXT.split(", ")[3:]]
     distinct = rows.groupBy("anchor", "run").agg(F.sum("n").alias("n"), *(F.first(c).alias(c) for c in fields))
     near = common.stored(distinct.join(shared, "anchor").select("anchor", "k", "n", *fields), "part-contexts")
-    return found.unionByName(compared(near.where(F.col("k") <= GROUP))).unionByName(refined(near.where(F.col("k") > GROUP), 1))
+    return found.unionByName(compared(near.where(F.col("k") <= GROUP), length)).unionByName(refined(near.where(F.col("k") > GROUP), 1, length))
 
 
 def _pair(a: int, b: int) -> int:
@@ -268,16 +268,16 @@ def _pair(a: int, b: int) -> int:
     return (h ^ (h >> 32)) - (1 << 63)
 
 
-def spans(docs: DataFrame, n: int) -> DataFrame:
+def spans(docs: DataFrame, n: int, length: int = LENGTH) -> DataFrame:
     """doc_id, crc (of the text), block, start, stop: byte ranges covered by repeats; they may overlap."""
-    found = common.stored(run_table(docs, n), "runs")
+    found = common.stored(run_table(docs, n, length), "runs")
     first = [F.first(c).alias(c) for c in ("doc_id", "crc", "block", "start", "windows", "offset")]
     distinct = common.stored(found.groupBy("anchor", "run").agg(F.count("*").alias("n"), *first), "distinct-runs")
     shared = distinct.groupBy("anchor").agg(F.count("*").alias("k"), F.min("n").alias("least")).where("k >= 2 and least = 1").select("anchor", "k")
     wanted = distinct.join(shared, "anchor").select("anchor", "k", "n", "doc_id", "crc", "block", "start", "windows", "offset")
-    near = common.stored(contexts(words.packed(docs, words.hashed_block(n)), wanted), "contexts")
-    whole = found.join(distinct.where("n >= 2").select("anchor", "run"), ["anchor", "run"]).select("doc_id", "crc", "block", "start", (F.col("start") + F.col("windows") + LENGTH - 1).alias("stop"))
-    return whole.unionByName(compared(near.where(F.col("k") <= GROUP))).unionByName(refined(near.where(F.col("k") > GROUP), STEP))
+    near = common.stored(contexts(words.packed(docs, words.hashed_block(n)), wanted, length), "contexts")
+    whole = found.join(distinct.where("n >= 2").select("anchor", "run"), ["anchor", "run"]).select("doc_id", "crc", "block", "start", (F.col("start") + F.col("windows") + length - 1).alias("stop"))
+    return whole.unionByName(compared(near.where(F.col("k") <= GROUP), length)).unionByName(refined(near.where(F.col("k") > GROUP), STEP, length))
 
 
 def merged(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -291,10 +291,24 @@ def merged(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def cleaned(docs: DataFrame, found: DataFrame, n: int) -> DataFrame:
-    """doc_id, text (the input), removed (ranges), kept (remaining bytes) of every document."""
+def whole_characters(raw: bytes, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The ranges of a UTF-8 text, each narrowed to whole characters."""
+    out = []
+    for a, b in ranges:
+        while a < b and raw[a] & 0xC0 == 0x80:
+            a += 1
+        while b > a and b < len(raw) and raw[b] & 0xC0 == 0x80:
+            b -= 1
+        if a < b:
+            out.append((a, b))
+    return out
+
+
+def cleaned(docs: DataFrame, found: DataFrame, n: int, characters: bool = False) -> DataFrame:
+    """doc_id, crc, n_bytes, removed (ranges), kept (remaining bytes) of every document; with `characters`,
+    a character that is removed in part stays."""
     removed = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("removed", removed), ("kept", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("crc", pa.int64()), ("n_bytes", pa.int64()), ("removed", removed), ("kept", pa.binary())])
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         of = defaultdict(list)
@@ -303,19 +317,21 @@ def cleaned(docs: DataFrame, found: DataFrame, n: int) -> DataFrame:
         out = []
         for blob in left.column("docs").to_pylist():
             for doc_id, text in zip(*words.unpacked(blob)):
-                gone = merged(of[doc_id, zlib.crc32(text)]) if (doc_id, zlib.crc32(text)) in of else []
+                crc = zlib.crc32(text)
+                gone = merged(of[doc_id, crc]) if (doc_id, crc) in of else []
+                gone = whole_characters(text, gone) if characters else gone
                 edges = [0, *(x for r in gone for x in r), len(text)]
-                out.append((doc_id, len(text), [dict(start=a, stop=b) for a, b in gone], b"".join(text[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2))))
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 4, schema)], schema=schema)
+                out.append((doc_id, crc, len(text), [dict(start=a, stop=b) for a, b in gone], b"".join(text[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2))))
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 5, schema)], schema=schema)
 
     packed = words.packed(docs, words.hashed_block(n))
-    return packed.groupby("block").cogroup(found.groupby("block")).applyInArrow(cut, "doc_id bigint, n_bytes bigint, removed array<struct<start:bigint,stop:bigint>>, kept binary")
+    return packed.groupby("block").cogroup(found.groupby("block")).applyInArrow(cut, "doc_id bigint, crc bigint, n_bytes bigint, removed array<struct<start:bigint,stop:bigint>>, kept binary")
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, removed, kept for each row of docs (doc_id, text); texts below LENGTH stay whole."""
+def deduplicated(docs: DataFrame, length: int = LENGTH, characters: bool = False) -> DataFrame:
+    """doc_id, crc, n_bytes, removed, kept for each row of docs (doc_id, text); texts below the length stay whole."""
     n = words.blocks_for(docs)
-    return cleaned(docs, common.stored(spans(docs, n), "spans"), n)
+    return cleaned(docs, common.stored(spans(docs, n, length), "spans"), n, characters)
 
 
 def op4_substrings(spark, sf_dir: str) -> DataFrame:
