@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
 import pyarrow as pa
@@ -60,10 +61,14 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 
 
-def ascii_lower(raw: bytes) -> bytes:
-    """A-Z in lower case and nothing else, which is what bytes.lower() does."""
-    return raw.lower()
-
-
 def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def trim() -> None:
+    """Gives memory that a Python worker has freed back to the system; workers live longer than tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        return

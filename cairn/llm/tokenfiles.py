@@ -23,7 +23,7 @@ from cairn.llm import common, words
 
 TOKENIZER, END, BASE = public_tokenizers.path("word_bpe_49k.json"), 2, 49_408
 #: Ids in a shard before it is closed, least count of a pair, and rules, so that symbols fit 16 bits.
-SHARD_IDS, LEAST, MAX_RULES = 1 << 20, 16, (1 << 16) - BASE
+SHARD_IDS, LEAST, MAX_RULES = 1 << 19, 16, (1 << 16) - BASE
 SHARD = "block int, shard int, doc_ids array<bigint>, starts binary, symbols binary, rules binary, lengths binary"
 
 
@@ -125,13 +125,52 @@ def from_row(starts: bytes, symbols: bytes, rules: bytes, lengths: bytes) -> Gra
     return Grammar(whole(symbols, "<u2"), whole(rules, "<u2").reshape(-1, 2), whole(lengths, "<u4"), whole(starts, "<u4"))
 
 
+def split(raw: bytes) -> list[bytes]:
+    """A text's words. The tokenizer lowers them anyway, but for its special tokens, which hold "<|"."""
+    return raw.split() if b"<|" in raw else raw.lower().split()
+
+
+_LOADED: dict[int, object] = {}
+
+
 def encoder(model: str):
-    """Distinct words to packed ids by the tokenizers library, which keeps no state between words."""
+    """Distinct words to packed ids by the tokenizers library, which keeps no state between words.
+
+    A word of lower-case letters, with or without a final stop or comma, is one piece that normalisation
+    leaves alone, so the library's model gets it directly; other words go through the whole library.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_str(model)
-    return lambda distinct: [np.array(e.ids, words.ID).tobytes() for e in t.encode_batch_fast([w.decode() for w in distinct], add_special_tokens=False)]
+    t = _LOADED.get(hash(model)) or _LOADED.setdefault(hash(model), Tokenizer.from_str(model))
+    tokenize, visible = t.model.tokenize, t.pre_tokenizer.pre_tokenize_str
+    pack = lambda ids: np.array(ids, words.ID).tobytes()
+    known: dict[str, bytes] = {}
+
+    def letters(w: str) -> bool:
+        return w.isalpha() and (w.isascii() and w.islower() or max(w) < "\u0250" and w == w.lower())
+
+    def one(w: str) -> bytes:
+        if w not in known:
+            known[w] = pack([x.id for x in tokenize(w if w.isascii() else visible(w)[0][0])])
+        return known[w]
+
+    def run(distinct: list[bytes]) -> list[bytes]:
+        tail = {c: pack(t.encode(c, add_special_tokens=False).ids) for c in ".,"}
+        out, rest = [], []
+        for k, w in enumerate(map(bytes.decode, distinct)):
+            if letters(w):
+                out.append(one(w))
+            elif w[-1] in tail and letters(w[:-1]):
+                out.append(one(w[:-1]) + tail[w[-1]])
+            else:
+                out.append(b"")
+                rest.append(k)
+        for k, e in zip(rest, t.encode_batch_fast([distinct[k].decode() for k in rest], add_special_tokens=False)):
+            out[k] = pack(e.ids)
+        return out
+
+    return run
 
 
 def ordered_blocks(docs: DataFrame, n: int) -> list[int]:
@@ -172,7 +211,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, shard_i
             close()
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * len(fields), fields)], schema=fields)
 
-    shards = words.encoded(docs, block.cast("int"), n, bytes.split, lambda: encoder(model.value), finish, SHARD)
+    shards = words.encoded(docs, block.cast("int"), n, split, lambda: encoder(model.value), finish, SHARD)
     shards.write.parquet(path)
     return docs.sparkSession.read.schema(shards.schema).parquet(path)
 

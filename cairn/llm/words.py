@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cairn.llm import common
+
 #: Ids are packed as little-endian unsigned 16-bit numbers where they travel; a vocabulary must fit.
 ID = np.dtype("<u2")
 _DOCS = pa.schema([("doc_id", pa.int64()), ("text", pa.binary())])
@@ -101,6 +103,7 @@ def encoded(
             block, mine = seen.popitem()
             buckets = bucketed(mine, n)
             yield pa.RecordBatch.from_arrays([pa.array(list(buckets), pa.int32()), pa.array([block] * len(buckets), pa.int32()), pa.array(map(joined, buckets.values()), pa.binary())], schema=sent)
+        common.trim()
 
     answers = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("codes", pa.binary())])
 
@@ -108,6 +111,8 @@ def encoded(
         distinct = list(dict.fromkeys(w for blob in table.column("words").to_pylist() for w in parted(blob)))
         code = dict(zip(distinct, encoder()(distinct)))
         codes = [joined([code[w] for w in parted(blob)]) for blob in table.column("words").to_pylist()]
+        del distinct, code
+        common.trim()
         return pa.table([table.column("block"), table.column("bucket"), pa.array(codes, pa.binary())], schema=answers)
 
     codes = whole.mapInArrow(collect, "bucket int, block int, words binary").groupBy("bucket").applyInArrow(encode, "block int, bucket int, codes binary")
@@ -124,6 +129,10 @@ def encoded(
                 for doc_id, text in zip(*unpacked(blob)):
                     yield doc_id, text, b"".join([code[w] for w in split(text)])
 
-        return finish(left.column("block")[0].as_py() if left.num_rows else -1, rows())
+        out = finish(left.column("block")[0].as_py() if left.num_rows else -1, rows())
+        code.clear()
+        del blobs
+        common.trim()
+        return out
 
     return whole.groupby("block").cogroup(codes.groupby("block")).applyInArrow(reassemble, result)
