@@ -6,11 +6,13 @@ asked must both retain some value (with n values, n - ceil(t n) + 1). Inverted l
 generate candidates, the Jaccard estimate from the bottom-k sketch of the union rejects most of them, and
 full sets decide.
 
-Equal sets are one vertex. A list is not expanded into pairs:
-1. every member meets the list's leader; verified links are contracted to components;
-2. lists that still span several components are rare; their members send signatures of parts of their sets,
-   so many that sets with few differences must agree in a part, and vertices of different components that
-   share one are verified. Together this finds every component that all pairs would give.
+Equal sets are one vertex.
+1. Lists of up to LIST vertices give pairs with the number of lists that they share; unless that overlap can
+   reach what the similarity asks of two sets of their sizes, a pair is dropped.
+2. A longer list is not expanded: every member meets the list's leader, and verified links are contracted to
+   components. Where such a list still spans several components, its members send signatures of parts of
+   their sets, so many that sets with few differences must agree in a part, and vertices of different
+   components that share one are verified. Together this finds every component that all pairs would give.
 """
 
 from __future__ import annotations
@@ -35,7 +37,9 @@ WORDS, SIMILARITY = 5, 80
 SKETCH, MARGIN = 64, 0.4
 #: Values known to be common, and how often a task must meet one to name it. The order of the values, and
 #: with it the cost, depends on them; the result doesn't.
-COMMON, OFTEN = 200_000, 8
+COMMON, OFTEN = 1_000_000, 3
+#: Vertices of an inverted list that is expanded into pairs.
+LIST = 64
 _U = np.uint64
 
 
@@ -128,15 +132,32 @@ def sets(docs: DataFrame, n_blocks: int, size: int, similarity: int) -> DataFram
 
 
 def values(vertices: DataFrame) -> DataFrame:
-    """(value, vertex): the inverted lists' rows."""
-    schema = pa.schema([("value", pa.int64()), ("vertex", pa.int64())])
+    """(value, vertex, n): the inverted lists' rows."""
+    schema = pa.schema([("value", pa.int64()), ("vertex", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = [np.frombuffer(f, np.int64) for f in b.column("first").to_pylist()]
-            yield common.batch_of(schema, pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)), pa.array(np.repeat(b.column("vertex").to_numpy(), [len(v) for v in x])))
+            k = [len(v) for v in x]
+            yield common.batch_of(schema, pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)), *(pa.array(np.repeat(b.column(c).to_numpy(), k)) for c in ("vertex", "n")))
 
-    return vertices.select("vertex", "first").mapInArrow(run, "value bigint, vertex bigint")
+    return vertices.select("vertex", "n", "first").mapInArrow(run, "value bigint, vertex bigint, n bigint")
+
+
+def overlaps(lists: DataFrame, similarity: int) -> DataFrame:
+    """Pairs (a, b) from the short lists whose overlap there, and in long lists, can be enough.
+
+    Of the set whose retained values end first all are known, so two sets have at most as many values in
+    common as retained ones, plus what the other part of a set holds: ceil(t n) - 1.
+    """
+    long = lists.where(F.col("k") > LIST).groupBy("vertex").agg(F.count("*").alias("long"))
+    short = lists.where(F.col("k") <= LIST).join(long, "vertex", "left").select("value", "vertex", "n", F.coalesce("long", F.lit(0)).alias("long"))
+    a, b = (short.select("value", *(F.col(c).alias(f"{c}_{s}") for c in ("vertex", "n", "long"))) for s in "ab")
+    fits = (F.col("vertex_a") < F.col("vertex_b")) & (100 * F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b"))
+    met = a.join(b, "value").where(fits).groupBy(F.col("vertex_a").alias("a"), F.col("vertex_b").alias("b")).agg(F.count("*").alias("m"), *(F.first(c).alias(c) for c in ("n_a", "n_b", "long_a", "long_b")))
+    part = lambda of, by: F.floor((of + by - 1) / by)
+    needed = part(similarity * (F.col("n_a") + F.col("n_b")), 100 + similarity) - part(similarity * F.greatest("n_a", "n_b"), 100) + 1
+    return met.where(F.col("m") + F.least("long_a", "long_b") >= needed).select("a", "b")
 
 
 def full_sets(packed_docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -262,14 +283,17 @@ def grouped(docs: DataFrame, size: int = WORDS, similarity: int = SIMILARITY) ->
     one = [F.first(c).alias(c) for c in ("doc_id", "crc", "block", "n", "first")]
     vertices = common.stored(known.where("n > 0").groupBy("vertex").agg(F.min("doc_id").alias("least"), *one), "vertices")
     rows = values(vertices)
-    leaders = common.stored(rows.groupBy("value").agg(F.min("vertex").alias("leader"), F.max("vertex").alias("other")).where("leader <> other").select("value", "leader"), "leaders")
-    lists = common.stored(rows.join(leaders, "value").select("value", "vertex", "leader"), "lists")
-    wanted = vertices.join(lists.select("vertex").distinct(), "vertex", "left_semi").select("vertex", "doc_id", "crc", "block")
+    leaders = rows.groupBy("value").agg(F.min("vertex").alias("leader"), F.count("*").alias("k")).where("k > 1")
+    lists = common.stored(rows.join(leaders, "value").select("value", "vertex", "n", "leader", "k"), "lists")
+    long = lists.where(F.col("k") > LIST)
+    star = long.where("vertex <> leader").select(F.col("vertex").alias("a"), F.col("leader").alias("b")).distinct()
+    pairs = common.stored(overlaps(lists, similarity).union(star).distinct(), "pairs")
+    asked = pairs.select(F.col("a").alias("vertex")).union(pairs.select("b")).distinct()
+    wanted = vertices.join(asked, "vertex", "left_semi").select("vertex", "doc_id", "crc", "block")
     full = common.stored(full_sets(words.packed(docs, words.hashed_block(n)), wanted, size), "full-sets")
-    star = lists.where("vertex <> leader").select(F.col("vertex").alias("a"), F.col("leader").alias("b")).distinct()
-    edges = common.stored(links(star, full, similarity), "links")
+    edges = common.stored(links(pairs, full, similarity), "links")
     root = components(edges)
-    at = lists.join(root, "vertex", "left").select("value", "vertex", F.coalesce("root", "vertex").alias("root"))
+    at = long.join(root, "vertex", "left").select("value", "vertex", F.coalesce("root", "vertex").alias("root"))
     open_ = at.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("value")
     among = common.stored(at.join(open_, "value").select("vertex", "root").distinct(), "open")
     more = common.stored(links(rest_pairs(full, among, similarity), full, similarity), "links")
