@@ -47,7 +47,7 @@ class Item(NamedTuple):
 
 
 class Index(NamedTuple):
-    """vocabulary: word -> place; weight: inverse document frequencies; latent: words by dimensions, weighted;
+    """vocabulary: word -> place; weight: inverse document frequencies; latent: dimensions by words, weighted;
     items: the benchmark's passages; queries: their unit vectors."""
 
     vocabulary: dict[bytes, int]
@@ -90,13 +90,15 @@ def located(texts: list[bytes], vocabulary: dict[bytes, int]) -> Texts:
     return Texts(place[known], block[known], first, int(blocks.sum()), split)
 
 
+def live(t: Texts, weight: np.ndarray) -> Texts:
+    """Only the words that have a weight."""
+    ok = weight[t.place] > 0
+    return t._replace(place=t.place[ok], block=t.block[ok])
+
+
 def block_sums(t: Texts, matrix: np.ndarray) -> np.ndarray:
-    """The sum of the matrix's rows over the known words of each block."""
-    out = np.zeros((t.n, matrix.shape[1]), np.float32)
-    if len(t.place):
-        cut = np.flatnonzero(np.r_[True, np.diff(t.block) != 0])
-        out[t.block[cut]] = np.add.reduceat(matrix[t.place], cut, axis=0)
-    return out
+    """dimensions by blocks: sums of the matrix (dimensions by words) over the known words of each block."""
+    return np.stack([np.bincount(t.block, row[t.place], t.n) for row in matrix]).astype(np.float32)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], size: int = 2_000_000):
@@ -121,7 +123,11 @@ def document_frequencies(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple
         total = np.zeros(size + 1, np.int64)
         for _, _, texts in _chunks(batches):
             t = located(texts, vocabulary)
-            total[:size] += np.bincount(np.unique(t.block * size + t.place) % size, minlength=size)
+            for low in range(0, t.n, 1024):
+                lo, hi = np.searchsorted(t.block, (low, low + 1024))
+                there = np.zeros((min(1024, t.n - low), size), bool)
+                there[t.block[lo:hi] - low, t.place[lo:hi]] = True
+                total[:size] += there.sum(0)
             total[size] += t.n
         at = np.flatnonzero(total)
         yield common.batch_of(schema, pa.array(at.astype(np.int32)), pa.array(total[at]))
@@ -143,20 +149,13 @@ def latent_space(docs: DataFrame, vocabulary: dict[bytes, int], weight: np.ndarr
     size, rank = len(vocabulary), min(len(items) + EXTRA, len(vocabulary))
     random = np.random.default_rng(6).standard_normal((size, rank)).astype(np.float32)
     weighted = random * weight[:, None].astype(np.float32)
+    across = np.ascontiguousarray(weighted.T)
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        y, w = np.zeros((size, rank)), weight
+        y = np.zeros((size, rank))
         for _, _, texts in _chunks(batches):
-            t = located(texts, vocabulary)
-            live = w[t.place] > 0
-            t = t._replace(place=t.place[live], block=t.block[live])
-            if not len(t.place):
-                continue
-            sums, order = block_sums(t, weighted), np.argsort(t.place, kind="stable")
-            for part in np.array_split(order, max(1, len(order) // 200_000)):
-                p = t.place[part]
-                cut = np.flatnonzero(np.r_[True, np.diff(p) != 0])
-                y[p[cut]] += np.add.reduceat(sums[t.block[part]], cut, axis=0)
+            t = live(located(texts, vocabulary), weight)
+            y += np.stack([np.bincount(t.place, row[t.block], size) for row in block_sums(t, across)], 1)
         at = np.flatnonzero(np.abs(y).max(1) > 0)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *(pa.array(c.astype(np.float32)) for c in y[at].T)], names=["place", *(f"c{k}" for k in range(rank))])
 
@@ -193,7 +192,7 @@ def index(docs: DataFrame, rows) -> Index | None:
     space = latent_space(docs, vocabulary, weight, items)
     latent = (space * weight[:, None]).astype(np.float32)
     queries = np.stack([latent[[vocabulary[w] for w in i.words]].sum(0) for i in items])
-    return Index(vocabulary, weight, latent, items, unit(queries))
+    return Index(vocabulary, weight, np.ascontiguousarray(latent.T), items, unit(queries))
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -233,13 +232,13 @@ def checked(item: Item, around: list[bytes]) -> tuple[float, bool]:
 def leaks_in(texts: list[bytes], ix: Index) -> Iterator[tuple[int, int, float, bool]]:
     """(text's number, item_id, share covered, answer found) of every leak in some texts."""
     t = located(texts, ix.vocabulary)
-    sums = block_sums(t, ix.latent)
+    sums = block_sums(live(t, ix.weight), ix.latent).T
     passage = sums.copy()
     passage[:-1] += sums[1:]
     ends = np.r_[t.first[1:], t.n] - 1
     passage[ends] = sums[ends]
-    live = np.flatnonzero((passage != 0).any(1))
-    for part in np.array_split(live, max(1, len(live) * len(ix.items) // 4_000_000)):
+    filled = np.flatnonzero((passage != 0).any(1))
+    for part in np.array_split(filled, max(1, len(filled) * len(ix.items) // 4_000_000)):
         row, q = np.nonzero(unit(passage[part]) @ ix.queries.T >= COSINE)
         for block, k in zip(part[row].tolist(), q.tolist()):
             doc = int(np.searchsorted(t.first, block, "right")) - 1
