@@ -11,8 +11,9 @@ Equal sets are one vertex.
    reach what the similarity asks of two sets of their sizes, a pair is dropped.
 2. A longer list is not expanded: every member meets the list's leader, and verified links are contracted to
    components. Where such a list still spans several components, its members send signatures of parts of
-   their sets, so many that sets with few differences must agree in a part, and vertices of different
-   components that share one are verified. Together this finds every component that all pairs would give.
+   their sets, so many that sets with few differences must agree in a part. Lists of signatures are led in
+   turns like the long ones, and vertices that are then still of different components and share a signature
+   are verified in pairs. Together this finds every component that all pairs would give.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.llm import common, words
@@ -39,7 +40,9 @@ SKETCH, MARGIN = 64, 0.4
 #: with it the cost, depends on them; the result doesn't.
 COMMON, OFTEN = 1_000_000, 3
 #: Vertices of an inverted list that is expanded into pairs.
-LIST = 64
+LIST = 2
+#: Turns in which the lists of signatures are led by one of their vertices before pairs are made of the rest.
+TURNS = 1
 _U = np.uint64
 
 
@@ -237,9 +240,13 @@ def classes(n: int, similarity: int) -> tuple[int, int]:
     return c, c + 1
 
 
-def signatures(x: np.ndarray, similarity: int) -> np.ndarray:
-    """Hashes of parts of a set. Two sets of a size class that are similar enough differ in at most d values;
-    of 2d + 1 parts, d + 1 are equal, and unless both sets leave more than d parts empty, one that is not."""
+def signatures(x: np.ndarray, similarity: int) -> list[tuple[np.ndarray, int, int]]:
+    """(hashes of the parts of a set, size class, how many of them to look up) for each of its size classes.
+
+    Two sets of a size class that are similar enough differ in at most d values, so of 2d + 1 parts at least
+    d + 1 are equal. In any order of the parts that both sets follow, one of those is among the first d + 1
+    of either, empty parts left out. Sets that leave more than d parts empty look all up, the empty ones too.
+    """
     out = []
     for c in classes(len(x), similarity):
         top = math.floor((100 / similarity) ** (c + 1) + 1e-6)
@@ -250,26 +257,46 @@ def signatures(x: np.ndarray, similarity: int) -> np.ndarray:
         content, filled = np.zeros(2 * d + 1, _U), np.bincount(part, minlength=2 * d + 1)
         np.add.at(content, part, _mix(x))
         sig = _mix(content + _mix(_U(c * 1_000_003) + np.arange(2 * d + 1, dtype=_U)))
-        out.append(sig if (filled == 0).sum() > d else sig[filled > 0])
-    return np.concatenate(out) if out else np.zeros(0, _U)
+        out.append((sig, c, 2 * d + 1) if (filled == 0).sum() > d else (sig[filled > 0], c, d + 1))
+    return out
 
 
-def rest_pairs(full: DataFrame, among: DataFrame, similarity: int) -> DataFrame:
-    """Pairs (a, b) of different components that share a part, for the vertices of `among` (vertex, root)."""
-    schema = pa.schema([("sig", pa.int64()), ("vertex", pa.int64()), ("root", pa.int64()), ("n", pa.int64())])
+def signed(full: DataFrame, among: DataFrame, similarity: int) -> DataFrame:
+    """(sig, vertex, n): the signatures that the vertices of `among` look up, their rarest ones."""
+    schema = pa.schema([("sig", pa.int64()), ("vertex", pa.int64()), ("n", pa.int64()), ("class", pa.int32()), ("first", pa.int32())])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
-            s = [signatures(np.frombuffer(x, _U), similarity) for x in t.column("whole").to_pylist()]
-            k = [len(x) for x in s]
-            yield common.batch_of(schema, pa.array((np.concatenate(s) if s else np.zeros(0, _U)).view(np.int64)), *(pa.array(np.repeat(t.column(c).to_numpy(), k)) for c in ("vertex", "root", "n")))
+            rows = [(sig, v, n, c, k) for v, n, x in zip(*(t.column(c).to_pylist() for c in ("vertex", "n", "whole"))) for sig, c, k in signatures(np.frombuffer(x, _U), similarity)]
+            size = [len(r[0]) for r in rows]
+            yield common.batch_of(schema, pa.array(np.concatenate([r[0] for r in rows] or [np.zeros(0, _U)]).view(np.int64)), *(pa.array(np.repeat(np.array([r[i] for r in rows], np.int64), size).astype(kind)) for i, kind in ((1, np.int64), (2, np.int64), (3, np.int32), (4, np.int32))))
+
+    rows = common.stored(full.join(among, "vertex", "left_semi").select("vertex", "n", "whole").mapInArrow(sign, "sig bigint, vertex bigint, n bigint, class int, first int"), "signatures")
+    rows = rows.join(rows.groupBy("sig").agg(F.count("*").alias("k")), "sig")
+    rank = F.row_number().over(Window.partitionBy("vertex", "class").orderBy("k", "sig"))
+    return rows.withColumn("rank", rank).where("rank <= first and k > 1").select("sig", "vertex", "n")
+
+
+def still_open(rows: DataFrame, root: DataFrame, key: str) -> DataFrame:
+    """The rows (key, vertex, n) of lists that span several components, with the vertices' roots."""
+    at = rows.join(root, "vertex", "left").select(key, "vertex", "n", F.coalesce("root", "vertex").alias("root"))
+    open_ = at.groupBy(key).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select(key)
+    return at.join(open_, key)
+
+
+def led(rows: DataFrame, key: str, turn: int) -> DataFrame:
+    """Pairs (a, b) of each list's vertices with the list's leader of this turn, across components."""
+    order = F.xxhash64(F.lit(turn), "vertex")
+    lead = rows.groupBy(key).agg(F.min_by(F.struct("vertex", "root"), order).alias("l"))
+    pairs = rows.join(lead, key).where(F.col("root") != F.col("l.root"))
+    return pairs.select(F.least("vertex", "l.vertex").alias("a"), F.greatest("vertex", "l.vertex").alias("b")).distinct()
+
 
-    rows = common.stored(full.join(among, "vertex").select("vertex", "root", "n", "whole").mapInArrow(sign, "sig bigint, vertex bigint, root bigint, n bigint"), "signatures")
-    split = rows.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("sig")
-    rows = rows.join(split, "sig")
+def rest_pairs(rows: DataFrame, similarity: int) -> DataFrame:
+    """Pairs (a, b) of different components that share a signature."""
     a, b = (rows.select("sig", *(F.col(c).alias(f"{c}_{s}") for c in ("vertex", "root", "n"))) for s in "ab")
     fits = (F.col("root_a") < F.col("root_b")) & (100 * F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b"))
-    return a.join(b, "sig").where(fits).select(F.col("vertex_a").alias("a"), F.col("vertex_b").alias("b")).distinct()
+    return a.join(b, "sig").where(fits).select(F.least("vertex_a", "vertex_b").alias("a"), F.greatest("vertex_a", "vertex_b").alias("b")).distinct()
 
 
 def grouped(docs: DataFrame, size: int = WORDS, similarity: int = SIMILARITY) -> DataFrame:
@@ -293,12 +320,15 @@ def grouped(docs: DataFrame, size: int = WORDS, similarity: int = SIMILARITY) ->
     full = common.stored(full_sets(words.packed(docs, words.hashed_block(n)), wanted, size), "full-sets")
     edges = common.stored(links(pairs, full, similarity), "links")
     root = components(edges)
-    at = long.join(root, "vertex", "left").select("value", "vertex", F.coalesce("root", "vertex").alias("root"))
-    open_ = at.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("value")
-    among = common.stored(at.join(open_, "value").select("vertex", "root").distinct(), "open")
-    more = common.stored(links(rest_pairs(full, among, similarity), full, similarity), "links")
-    if more.limit(1).count():
-        root = components(edges.union(more))
+    among = common.stored(still_open(long, root, "value").select("vertex").distinct(), "open")
+    signs = common.stored(signed(full, among, similarity), "rare-signatures")
+    for turn in range(TURNS + 1):
+        rows = common.stored(still_open(signs, root, "sig"), "open-lists")
+        if rows.isEmpty():
+            break
+        more = common.stored(links(led(rows, "sig", turn) if turn < TURNS else rest_pairs(rows, similarity), full, similarity), "links")
+        edges = edges.union(more)
+        root = components(edges)
     lowest = root.join(vertices.select("vertex", "least"), "vertex").groupBy("root").agg(F.min("least").alias("component_id"))
     place = common.stored(vertices.select("vertex", "least").join(root.join(lowest, "root").select("vertex", "component_id"), "vertex", "left").select("vertex", F.coalesce("component_id", "least").alias("component_id")), "components")
     out = known.select("doc_id", "crc", "vertex", "n").join(place, "vertex", "left")
