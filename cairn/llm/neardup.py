@@ -40,7 +40,7 @@ SKETCH, MARGIN = 64, 0.4
 #: with it the cost, depends on them; the result doesn't.
 COMMON, OFTEN = 1_000_000, 3
 #: Vertices of an inverted list that is expanded into pairs.
-LIST = 16
+LIST = 32
 #: Turns in which the lists of signatures are led by one of their vertices before pairs are made of the rest.
 TURNS = 3
 _U = np.uint64
