@@ -21,11 +21,18 @@ VOCABULARY, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_to
 
 #: No match of PATTERN goes on over a space that other text follows, so a text may be cut before each.
 _CUT = re.compile(r"(?= \S)")
+#: A space before white space, before a character that begins like white space, or at the end.
+_ODD = re.compile(rb" (?:[\s\x1c-\x1f\xe2\xe3]|\xc2[\x85\xa0]|\xe1\x9a|$)")
 
 
 def split(raw: bytes) -> list[bytes]:
     """The text cut before every space that something other than white space follows."""
-    return [w.encode() for w in _CUT.split(raw.decode())] if raw else []
+    if not raw:
+        return []
+    if _ODD.search(raw):
+        return [w.encode() for w in _CUT.split(raw.decode()) if w]
+    first, *rest = raw.split(b" ")
+    return [*([first] if first else []), *[b" " + w for w in rest]]
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
