@@ -24,10 +24,9 @@ from cairn.llm import common, words
 
 #: Longest context in bytes; with its symbol and a tag for its length it fits 64 bits.
 ORDER = 6
-#: Entries (context, symbol) of the trie that tasks hold, at most: the size of the model, whatever the
-#: corpus. The most frequent contexts are held; from another, the model falls back to its suffix, as it
-#: does from one that never occurred, so every text is scored in full.
-MAX_ENTRIES = 1_500_000
+#: Contexts of up to LOW bytes, at most 256 ** LOW of them whatever the corpus, are known to every task;
+#: longer ones lie in the bucket of their last LOW + 1 bytes, which holds all their suffixes of that length on.
+LOW = 2
 END, FOLDS, HELD = b"\0", 7, 2
 _U = np.uint64
 _TAG = 56
@@ -93,97 +92,119 @@ def _sorted_keys(blob: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(np.frombuffer(zlib.decompress(blob), np.uint8).reshape(8, -1).T).view(_U).ravel(), dtype=_U)
 
 
-_COUNTS = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("n", pa.binary())])
+class Folded:
+    """Distinct keys with sums of counts, folded as they pile up."""
 
+    def __init__(self):
+        self.keys, self.n, self.size = [np.zeros(0, _U)], [np.zeros(0, np.int64)], 0
 
-def trie_counts(docs: DataFrame, n: int) -> DataFrame:
-    """(bucket, keys, n): counts of all contexts of up to ORDER bytes with their symbols in training texts.
+    def add(self, keys: np.ndarray, n: np.ndarray) -> None:
+        self.keys.append(keys)
+        self.n.append(n)
+        self.size += len(keys)
+        if self.size > 4_000_000 and self.size > 2 * len(self.keys[0]):
+            keys, n = self.result()
+            self.keys, self.n, self.size = [keys], [n], len(keys)
 
-    Every task sums what it reads before it sends; a context's entries meet in one of n buckets.
-    """
+    def result(self) -> tuple[np.ndarray, np.ndarray]:
+        return summed(np.concatenate(self.keys), np.concatenate(self.n))
+
+
+def pieces(texts: list[bytes], most: int = 1_000_000) -> Iterator[list[bytes]]:
+    """The texts in runs of about `most` bytes."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t)
+        size += len(t)
+        if size > most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
 
-        def folded():
-            return summed(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held])) if held else (np.zeros(0, _U), np.zeros(0, np.int64))
+def levels(keys: np.ndarray, n: np.ndarray, longest: int, shortest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tagged entries, sorted, of contexts from `longest` down to `shortest` bytes, given the longest ones."""
+    out = []
+    for order in range(longest, shortest - 1, -1):
+        keys, n = summed(last(keys, order), n)
+        out.append((keys | _U(order + 1) << _U(_TAG), n))
+    return np.concatenate([k for k, _ in out[::-1]]), np.concatenate([c for _, c in out[::-1]])
 
+
+def low_entries(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Tagged entries, with counts, of the contexts of up to LOW bytes in training texts."""
+    schema = pa.schema([("key", pa.int64()), ("n", pa.int64())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = Folded()
         for b in batches:
-            texts = [spelled(t.lower().split()) for d, t in zip(b.column("doc_id").to_pylist(), common.texts(b)) if not is_held(d)]
-            held.append(summed(grams(texts)))
-            size += len(held[-1][0])
-            if size > 4_000_000:
-                held = [folded()]
-                size = len(held[0][0])
-        keys, c = folded()
-        out = []
-        for order in range(ORDER, -1, -1):
-            keys, c = summed(last(keys, order), c)
-            tagged = keys | _U(order + 1) << _U(_TAG)
-            bucket = (mixed(context(tagged)) >> _U(33)).astype(np.int64) % n
-            for k in np.unique(bucket):
-                out.append((int(k), _sorted_blob(tagged[bucket == k]), _blob(c[bucket == k].astype("<i8"))))
-        yield common.batch_of(_COUNTS, *(map(list, zip(*out)) if out else [[]] * 3))
-        del held, keys, c, out
+            for part in pieces([spelled(t.lower().split()) for d, t in zip(b.column("doc_id").to_pylist(), common.texts(b)) if not is_held(d)]):
+                k, n = summed(last(grams(part), LOW).astype(np.uint32))
+                mine.add(k.astype(_U), n)
+        keys, n = mine.result()
+        yield common.batch_of(schema, pa.array(keys.view(np.int64)), pa.array(n))
         common.trim()
 
-    def merge(table: pa.Table) -> pa.Table:
-        keys = np.concatenate([_sorted_keys(x) for x in table.column("keys").to_pylist()])
-        c = np.concatenate([np.frombuffer(zlib.decompress(x), "<i8") for x in table.column("n").to_pylist()])
-        keys, c = summed(keys, c)
-        return pa.table([pa.array([table.column("bucket")[0].as_py()], pa.int32()), pa.array([_sorted_blob(keys)], pa.binary()), pa.array([_blob(c.astype("<i8"))], pa.binary())], schema=_COUNTS)
+    table = docs.mapInArrow(count, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    return levels(*summed(table.column("key").to_numpy().view(_U), table.column("n").to_numpy()), LOW, 0)
 
-    ddl = "bucket int, keys binary, n binary"
-    return docs.mapInArrow(count, ddl).groupBy("bucket").applyInArrow(merge, ddl)
 
+def gram_buckets(keys: np.ndarray, n: int) -> np.ndarray:
+    """The bucket of each gram, by the LOW + 1 bytes before its own."""
+    return (mixed(keys >> _U(8) & _U((1 << 8 * (LOW + 1)) - 1)) >> _U(33)).astype(np.int64) % n
 
-def _totals(keys: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Contexts, their totals and distinct symbols, and each entry's place among the contexts."""
-    nodes, where = np.unique(context(keys), return_inverse=True)
-    return nodes, np.bincount(where, weights=c, minlength=len(nodes)), np.bincount(where, minlength=len(nodes)), where
 
+def gram_scores(whole: DataFrame, n: int, low) -> DataFrame:
+    """(block, keys, scores): for each block its distinct grams with the logarithms of their probabilities.
 
-def _steps(total: np.ndarray) -> np.ndarray:
-    return np.floor(8 * np.log2(np.maximum(total, 1))).astype(np.int64)
+    A block sends its distinct grams with their counts in training texts. A bucket adds them up, which gives
+    all entries of its contexts in the corpus, however many there are, and scores each gram once.
+    """
+    sent = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("n", pa.binary())])
 
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[int, Folded] = {}
+        for b in batches:
+            for block, blob in zip(b.column("block").to_pylist(), b.column("docs").to_pylist()):
+                mine, texts = seen.setdefault(block, Folded()), ([], [])
+                for doc_id, text in zip(*words.unpacked(blob)):
+                    texts[is_held(doc_id)].append(spelled(text.lower().split()))
+                for held in (False, True):
+                    for part in pieces(texts[held]):
+                        k, c = summed(grams(part))
+                        mine.add(k, c * 0 if held else c)
+        while seen:
+            block, mine = seen.popitem()
+            keys, c = mine.result()
+            del mine
+            bucket = gram_buckets(keys, n)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+            parts = np.split(order, cuts) if len(order) else []
+            yield common.batch_of(sent, [int(bucket[x[0]]) for x in parts], [block] * len(parts), [_sorted_blob(keys[x]) for x in parts], [_blob(c[x].astype("<i8")) for x in parts])
+        common.trim()
 
-def held_entries(counts: DataFrame, most: int = MAX_ENTRIES) -> tuple[np.ndarray, np.ndarray]:
-    """The entries of the most frequent contexts, at most `most`, as sorted keys and counts on the driver.
+    answers = pa.schema([("block", pa.int32()), ("keys", pa.binary()), ("scores", pa.binary())])
 
-    A context's suffix is at least as frequent as itself, so the trie stays closed under suffixes.
-    """
-    steps = pa.schema([("step", pa.int64()), ("n", pa.int64())])
+    def answer(table: pa.Table) -> pa.Table:
+        lists = [_sorted_keys(x) for x in table.column("keys").to_pylist()]
+        keys, c = summed(np.concatenate(lists), np.concatenate([np.frombuffer(zlib.decompress(x), "<i8") for x in table.column("n").to_pylist()]))
+        k, e = levels(keys[c > 0], c[c > 0], ORDER, LOW + 1)
+        model = Model(np.concatenate([low.value[0], k]), np.concatenate([low.value[1], e]))
+        score = np.concatenate([model.positions(keys[i : i + 1_000_000]) for i in range(0, len(keys), 1_000_000)]).astype("<f4")
+        out = pa.table([table.column("block"), table.column("keys"), pa.array([_blob(score[np.searchsorted(keys, x)]) for x in lists], pa.binary())], schema=answers)
+        del lists, keys, c, k, e, model, score
+        common.trim()
+        return out
 
-    def entries(b: pa.RecordBatch):
-        for keys, c in zip(b.column("keys").to_pylist(), b.column("n").to_pylist()):
-            yield _sorted_keys(keys), np.frombuffer(zlib.decompress(c), "<i8")
+    return whole.mapInArrow(collect, "bucket int, block int, keys binary, n binary").groupBy("bucket").applyInArrow(answer, "block int, keys binary, scores binary")
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for keys, c in entries(b):
-                _, total, _, where = _totals(keys, c)
-                s, k = np.unique(_steps(total)[where], return_counts=True)
-                yield common.batch_of(steps, pa.array(s), pa.array(k.astype(np.int64)))
-
-    least, left = 1 << 30, most
-    for r in sorted(counts.mapInArrow(spread, "step bigint, n bigint").groupBy("step").agg(F.sum("n").alias("n")).collect(), key=lambda r: -r["step"]):
-        left -= r["n"]
-        if left < 0:
-            break
-        least = r["step"]
-    kept = pa.schema([("key", pa.uint64()), ("n", pa.int64())])
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for keys, c in entries(b):
-                _, total, _, where = _totals(keys, c)
-                ok = (_steps(total) >= least)[where]
-                yield common.batch_of(pa.schema([("key", pa.int64()), ("n", pa.int64())]), pa.array(keys[ok].view(np.int64)), pa.array(c[ok]))
 
-    table = counts.mapInArrow(keep, "key bigint, n bigint").toArrow()
-    keys = table.column("key").to_numpy().view(_U)
-    order = np.argsort(keys)
-    return keys[order], table.column("n").to_numpy()[order]
+def _totals(keys: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts, their totals and distinct symbols, and each entry's place among the contexts."""
+    nodes, where = np.unique(context(keys), return_inverse=True)
+    return nodes, np.bincount(where, weights=c, minlength=len(nodes)), np.bincount(where, minlength=len(nodes)), where
 
 
 class Table:
@@ -220,7 +241,7 @@ class Table:
 
 
 class Model:
-    """The held trie with the logarithms that scoring adds up; it travels as its entries alone."""
+    """The entries of some contexts and of all their suffixes, with the logarithms that scoring adds up."""
 
     def __init__(self, keys: np.ndarray, n: np.ndarray):
         nodes, total, distinct, where = _totals(keys, n)
@@ -268,12 +289,6 @@ class Model:
         score[todo] += self.last_resort
         return score
 
-    def texts(self, spelled_texts: list[bytes]) -> list[float]:
-        if not spelled_texts:
-            return []
-        each = self.positions(grams(spelled_texts))
-        return np.add.reduceat(each, np.cumsum([0, *map(len, spelled_texts[:-1])])).tolist()
-
 
 def word_counts(whole: DataFrame, n: int) -> DataFrame:
     """(block, words, counts, distinct, total): for each block its distinct words with their counts in all
@@ -312,23 +327,32 @@ def scored(docs: DataFrame) -> DataFrame:
     """One row a document, repeated rows and empty texts (an end token alone) included. A null id is never
     held out. Without training texts every known count is 0 and the model is uniform over bytes."""
     spark, n = docs.sparkSession, words.blocks_for(docs)
-    keys, counts = held_entries(common.stored(trie_counts(docs, n), "trie"))
-    shared = spark.sparkContext.broadcast((keys, counts))
+    low = spark.sparkContext.broadcast(low_entries(docs))
     whole = words.packed(docs, words.hashed_block(n)).repartition(n, "block")
     known = common.stored(word_counts(whole, n), "word-counts")
     ends = docs.where(common.fold(FOLDS) != HELD).count()
     v, total = known.agg(F.coalesce(F.sum("distinct"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).first()
     v, total = v + (ends > 0), total + ends
     out = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
-    model: list[Model] = []
+    none = lambda *names: [F.lit(None).cast("binary").alias(c) for c in names]
+    told = known.select("block", "words", "counts", *none("keys", "scores")).unionAll(gram_scores(whole, n, low).select("block", *none("words", "counts"), "keys", "scores"))
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not model:
-            model.append(Model(*shared.value))
-            common.trim()
         count: dict[bytes, int] = {}
-        for ws, c in zip(right.column("words").to_pylist(), right.column("counts").to_pylist()):
-            count.update(zip(words.parted(ws), np.frombuffer(zlib.decompress(c), "<i8").tolist()))
+        keys, logs = [np.zeros(0, _U)], [np.zeros(0, "<f4")]
+        for ws, c, k, s in zip(*(right.column(x).to_pylist() for x in ("words", "counts", "keys", "scores"))):
+            if ws is not None:
+                count.update(zip(words.parted(ws), np.frombuffer(zlib.decompress(c), "<i8").tolist()))
+            else:
+                keys.append(_sorted_keys(k))
+                logs.append(np.frombuffer(zlib.decompress(s), "<f4"))
+        table, logs = Table(np.concatenate(keys) | _U(1) << _U(_TAG)), np.concatenate(logs)
+        del keys
+
+        def summed_up(texts: list[bytes]) -> list[float]:
+            each = logs[table.find(grams(texts) | _U(1) << _U(_TAG))].astype(np.float64)
+            return np.add.reduceat(each, np.cumsum([0, *map(len, texts[:-1])])).tolist() if texts else []
+
         rows, texts, size = [], [], 0
         scores: list[float] = []
         for blob in left.column("docs").to_pylist():
@@ -339,14 +363,15 @@ def scored(docs: DataFrame) -> DataFrame:
                 texts.append(spelled(tokens))
                 size += len(texts[-1])
                 if size > 1_000_000:
-                    scores += model[0].texts(texts)
+                    scores += summed_up(texts)
                     texts, size = [], 0
-        scores += model[0].texts(texts)
+        scores += summed_up(texts)
         count.clear()
+        del table, logs
         common.trim()
         return pa.table([pa.array(c, f.type) for c, f in zip([*(zip(*rows) if rows else [[]] * 6), scores], out)], schema=out)
 
-    return whole.groupby("block").cogroup(known.select("block", "words", "counts").groupby("block")).applyInArrow(score, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    return whole.groupby("block").cogroup(told.groupby("block")).applyInArrow(score, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
 
 
 def op1_ppm(spark, sf_dir: str) -> DataFrame:
