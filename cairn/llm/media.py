@@ -179,8 +179,8 @@ def resolve(seqs: DataFrame, media: DataFrame) -> DataFrame:
 
 
 def pages_of(docs: DataFrame) -> DataFrame:
-    """Each document as a page: its first words, then a figure that refers to the whole text's picture."""
-    escaped = F.replace(F.replace(F.replace(F.substring("text", 1, 200), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    """Each document as a page: its text, then a figure that refers to the whole text's picture."""
+    escaped = F.replace(F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     digest = F.sha2(F.col("text").cast("binary"), 256)
     return docs.select("doc_id", F.concat(F.lit("<article><p>"), escaped, F.lit('</p><figure><img src="sha256:'), digest, F.lit('" alt="text"><figcaption>text of '), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("</figcaption></figure></article>")).alias("html"))
 

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from cairn.llm import common, lm
+from cairn.llm import common, lm, media
 
 
 def test_ppm_drops_no_context_of_a_large_trie(spark):
@@ -47,3 +47,14 @@ def test_ppm_drops_no_context_of_a_large_trie(spark):
     docs = common.documents(spark.createDataFrame([*texts, (ask, passage)], "doc_id bigint, text string"))
     got = {x["doc_id"]: x["score"] for x in lm.scored(docs).collect()}
     assert got[ask] == pytest.approx(sum(log_p(p) for p in range(lm.ORDER, len(s))), rel=1e-4)
+
+
+def test_sequences_hold_the_whole_text(spark):
+    texts = {1: "word " * 100 + "<b>tail</b> &amp; & end", 2: " " * 300 + "late", 3: "plain\n\ntext", 4: ""}
+    docs = common.documents(spark.createDataFrame([*texts.items(), (5, None)], "doc_id bigint, text string"))
+    got = {r["doc_id"]: r["sequence"] for r in media.sequences(media.pages_of(docs), key="doc_id").collect()}
+    assert set(got) == {1, 2, 3, 4, 5}
+    for i, t in texts.items():
+        assert " ".join(x["text"] for x in got[i] if x["kind"] == "text").split() == t.split()
+        assert [x["pos"] for x in got[i]] == list(range(len(got[i]))) and sum(x["kind"] == "media" for x in got[i]) == 1
+    assert [x["pos"] for x in got[2] if x["kind"] == "media"] == [1]
