@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import tempfile
 import uuid
 
 import pyarrow as pa
@@ -28,10 +29,13 @@ def fold(n: int, key: str = "doc_id") -> Column:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder that the cluster names in spark.checkpoint.dir."""
+    """A new path below the shared folder that the cluster names in spark.checkpoint.dir. Where it is unset, a
+    local session gets a folder of its own; on a cluster it is an error, for executors share no local folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = "/tmp/cairn-checkpoints"
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="cairn-checkpoints-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/cairn-{name}-{uuid.uuid4().hex}"
 
@@ -47,13 +51,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def forget(df: DataFrame) -> None:
-    """Deletes the files behind a stored table that nothing reads any more."""
-    spark = df.sparkSession
-    for f in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        if "/cairn-" in f:
-            path = spark._jvm.org.apache.hadoop.fs.Path(f)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def forget(*tables: DataFrame) -> None:
+    """Deletes the files behind stored tables, or selections from them, that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            if "/cairn-" in path:
+                folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+                folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:

@@ -1,19 +1,19 @@
-"""Near-duplicate documents by bottom-k sketches.
-
-A document's set holds the hashes of its word shingles. One hash function orders all values, the commonest
-ones last; a document retains its first values in that order, just so many that two sets as similar as
-asked must both retain some value (with n values, n - ceil(t n) + 1). Inverted lists of the retained values
-generate candidates, the Jaccard estimate from the bottom-k sketch of the union rejects most of them, and
-full sets decide.
-
-Equal sets are one vertex.
-1. Lists of up to LIST vertices give pairs with the number of lists that they share; unless that overlap can
-   reach what the similarity asks of two sets of their sizes, a pair is dropped.
-2. A longer list is not expanded: every member meets the list's leader, and verified links are contracted to
-   components. Where such a list still spans several components, its members send signatures of parts of
-   their sets, so many that sets with few differences must agree in a part. Lists of signatures are led in
-   turns like the long ones, and vertices that are then still of different components and share a signature
-   are verified in pairs. Together this finds every component that all pairs would give.
+"""Near-duplicate documents by bottom-k sketches from one hash function.
+
+A document's set holds the hashes of its word shingles; its sketch is the SKETCH least of them. Equal sets are
+one vertex. With J the similarity asked, each value of the bottom-k sketch of two linked sets' union is in both
+with a probability of J at least, so all but `unshared` of them are (the chance of more is below CHANCE).
+
+1. Inverted lists of retained values give overlaps: lists of up to LIST vertices are expanded into pairs, and
+   equal pairs are counted. A pair is dropped when its count and what longer lists could add are too few.
+2. The estimate from the bottom-k sketch of the union rejects most pairs, a parity sketch of the whole sets
+   (whose distance never exceeds the number of unshared values) most of the rest; full sets decide.
+3. A longer list is not expanded. Its vertices are safe, whatever they are linked with, if more than `unshared`
+   values of their sketch are in short lists: one of those is then shared. The others, whose sketch is nearly
+   all crowded, are the core: members of large groups of copies. Long lists link them to families; a family is
+   cut into blocks of BLOCK bytes, and each pair of blocks is compared by parity sketches and full sets in a
+   task of its own, which returns a spanning forest of the links it found, never all pairs.
+4. Components of all links, by labels that spread along links in rounds.
 """
 
 from __future__ import annotations
@@ -26,23 +26,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairn.llm import common, words
 
 #: Words in a shingle and least similarity in hundredths, as the pipeline uses them.
 WORDS, SIMILARITY = 5, 80
-#: Values of a sketch, and the estimate below which a pair is rejected: a pair of similarity 0.8 is
-#: estimated so low with a probability below 1e-10.
-SKETCH, MARGIN = 64, 0.4
-#: Values known to be common, and how often a task must meet one to name it. The order of the values, and
-#: with it the cost, depends on them; the result doesn't.
-COMMON, OFTEN = 1_000_000, 3
-#: Vertices of an inverted list that is expanded into pairs.
-LIST = 32
-#: Turns in which the lists of signatures are led by one of their vertices before pairs are made of the rest.
-TURNS = 3
+#: Values of a sketch, and the probability with which a link may have fewer of them in common than is asked.
+SKETCH, CHANCE = 48, 1e-10
+#: Vertices of an inverted list that is expanded into pairs, and bytes of sets in a block of a family.
+LIST, BLOCK = 32, 16 << 20
 _U = np.uint64
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
@@ -53,7 +47,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-#: Bytes hashed at once; longer texts are cut at white space.
+#: Bytes hashed at once, longer texts being cut at white space, and bytes of a word before the table repeats.
 _CHUNK, _DEPTH = 1 << 20, 64
 
 
@@ -70,7 +64,8 @@ _WORD = _BYTES[:256] != 0
 
 
 def word_hashes(raw: bytes) -> np.ndarray:
-    """A 64-bit hash of each word, in order: the sum over its bytes of their numbers in the table."""
+    """A 64-bit hash of each word, in order: the sum over its bytes of their numbers in the table, each times
+    a number that depends on how often the table has been gone through before."""
     out, i = [np.zeros(0, _U)], 0
     while i < len(raw):
         j = len(raw)
@@ -88,7 +83,8 @@ def word_hashes(raw: bytes) -> np.ndarray:
         place = np.arange(len(x)) - np.repeat(np.r_[0, starts], np.diff(np.r_[0, starts, len(x)]))
         value = _BYTES[(place % _DEPTH) * 256 + x]
         if place.max() >= _DEPTH:
-            value *= (place // _DEPTH * 2 + 1).astype(_U)
+            turn = place // _DEPTH
+            value *= np.where(turn > 0, _mix(turn.astype(_U) * _U(0x9E3779B97F4A7C15)) | _U(1), _U(1))
         out.append(np.add.reduceat(value, starts))
     return np.concatenate(out)
 
@@ -110,52 +106,48 @@ class Shingler:
         return np.unique(x)
 
 
-def retained(n: int, similarity: int) -> int:
-    return n - (similarity * n + 99) // 100 + 1 if n else 0
+def unshared(similarity: int, k: int = SKETCH) -> int:
+    """How many of the union's k least values two linked sets may leave unshared: with fewer than CHANCE, more."""
+    j, tail = similarity / 100, 0.0
+    for u in range(k, 0, -1):
+        tail += math.comb(k, u) * (1 - j) ** u * j ** (k - u)
+        if tail > CHANCE:
+            return u
+    return 0
 
 
-def common_values(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The commonest values, at most COMMON, sorted, each with its class, the logarithm of its count."""
-    schema = pa.schema([("value", pa.int64()), ("n", pa.int64())])
+def parity(x: np.ndarray) -> np.ndarray:
+    """The parity sketch of a set, as 64-bit words: each value flips one bit, of two to four bits a value. Two
+    sets' sketches, the longer folded onto the shorter, differ in no more bits than the sets in values."""
+    bits = max(128, 1 << (2 * max(1, len(x)) - 1).bit_length())
+    at = (_mix(x) >> _U(1)) & _U(bits - 1)
+    return np.packbits(np.bincount(at.astype(np.int64), minlength=bits).astype(np.uint8) & 1, bitorder="little").view(_U)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, held, size_ = Shingler(size), [], 0
 
-        def often():
-            v, n = np.unique(np.concatenate(held), return_counts=True)
-            return common.batch_of(schema, pa.array(v[n >= OFTEN].view(np.int64)), pa.array(n[n >= OFTEN]))
+def folded(p: np.ndarray, words_: int) -> np.ndarray:
+    """Parity sketches (last axis) folded to fewer words."""
+    while p.shape[-1] > words_:
+        half = p.shape[-1] // 2
+        p = p[..., :half] ^ p[..., half:]
+    return p
 
-        for b in batches:
-            for t in common.texts(b):
-                held.append(shingles(t))
-                size_ += len(held[-1])
-                if size_ > 4_000_000:
-                    yield often()
-                    held, size_ = [], 0
-        if held:
-            yield often()
 
-    found = docs.select("text").mapInArrow(count, "value bigint, n bigint").groupBy("value").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "value").limit(COMMON).toArrow()
-    value = found.column("value").to_numpy().view(_U)
-    order = np.argsort(value)
-    return value[order], np.log2(found.column("n").to_numpy()[order]).astype(np.uint8)
+def differing(n_a, n_b, similarity: int):
+    """How many values two linked sets of these sizes may have that the other lacks."""
+    return n_a + n_b - 2 * -(-similarity * (n_a + n_b) // (100 + similarity))
 
 
-def in_order(values: np.ndarray, often: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """values in the order that decides what is retained: by class, then by value."""
-    if not len(often[0]) or not len(values):
-        return values
-    at = np.minimum(np.searchsorted(often[0], values), len(often[0]) - 1)
-    return values[np.lexsort((values, np.where(often[0][at] == values, often[1][at], 0)))]
+def linked(x: np.ndarray, y: np.ndarray, similarity: int) -> bool:
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * shared >= similarity * (len(x) + len(y) - shared)
 
 
-_SET = "doc_id bigint, crc bigint, block int, vertex bigint, n bigint, first binary"
+_SET = "doc_id bigint, crc bigint, block int, vertex bigint, n bigint, sketch binary, parity binary"
 
 
-def sets(docs: DataFrame, n_blocks: int, size: int, similarity: int) -> DataFrame:
-    """For each document the vertex of its set (null if empty), the set's size and its retained values."""
-    often = docs.sparkSession.sparkContext.broadcast(common_values(docs, size))
-    schema = pa.schema([("doc_id", pa.int64()), ("crc", pa.int64()), ("block", pa.int32()), ("vertex", pa.int64()), ("n", pa.int64()), ("first", pa.binary())])
+def sets(docs: DataFrame, n_blocks: int, size: int) -> DataFrame:
+    """For each document the vertex of its set (null if empty), the set's size, its sketch and parity sketch."""
+    schema = pa.schema([("doc_id", pa.int64()), ("crc", pa.int64()), ("block", pa.int32()), ("vertex", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary()), ("parity", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(size)
@@ -164,9 +156,10 @@ def sets(docs: DataFrame, n_blocks: int, size: int, similarity: int) -> DataFram
             for t in common.texts(b):
                 x = shingles(t)
                 vertex = int.from_bytes(hashlib.blake2b(x.tobytes(), digest_size=8).digest(), "little", signed=True) if len(x) else None
-                out.append((zlib.crc32(t), vertex, len(x), in_order(x, often.value)[: retained(len(x), similarity)].tobytes()))
-            crc, vertex, n, first = map(list, zip(*out)) if out else [[]] * 4
-            yield common.batch_of(schema, b.column("doc_id"), crc, b.column("block"), vertex, n, first)
+                out.append((zlib.crc32(t), vertex, len(x), x[:SKETCH].tobytes(), parity(x).tobytes()))
+            crc, vertex, n, sketch, bits = map(list, zip(*out)) if out else [[]] * 5
+            yield common.batch_of(schema, b.column("doc_id"), crc, b.column("block"), vertex, n, sketch, bits)
+        common.trim()
 
     return docs.select("doc_id", "text", words.hashed_block(n_blocks).alias("block")).mapInArrow(run, _SET)
 
@@ -177,82 +170,155 @@ def values(vertices: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = [np.frombuffer(f, np.int64) for f in b.column("first").to_pylist()]
+            x = [np.frombuffer(f, np.int64) for f in b.column("sketch").to_pylist()]
             k = [len(v) for v in x]
             yield common.batch_of(schema, pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)), *(pa.array(np.repeat(b.column(c).to_numpy(), k)) for c in ("vertex", "n")))
 
-    return vertices.select("vertex", "n", "first").mapInArrow(run, "value bigint, vertex bigint, n bigint")
+    return vertices.select("vertex", "n", "sketch").mapInArrow(run, "value bigint, vertex bigint, n bigint")
 
 
-def overlaps(lists: DataFrame, similarity: int) -> DataFrame:
-    """Pairs (a, b) from the short lists whose overlap there, and in long lists, can be enough.
+def _with_both(pairs: DataFrame, table: DataFrame, *columns: str, how: str = "inner") -> DataFrame:
+    """pairs (a, b, ...) with the columns of table (vertex, ...) for either side."""
+    for side in "ab":
+        pairs = pairs.join(table.select(F.col("vertex").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns)), side, how)
+    return pairs
+
+
+def _sizes_fit(similarity: int) -> Column:
+    return 100 * F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b")
+
+
+def overlaps(lists: DataFrame, crowded: DataFrame, similarity: int) -> DataFrame:
+    """Pairs (a, b) from the short lists that share enough of their sketches there, with what they can share
+    in long lists (crowded: vertex, long)."""
+    short = lists.where(F.col("k") <= LIST)
+    a, b = (short.select("value", *(F.col(c).alias(f"{c}_{s}") for c in ("vertex", "n"))) for s in "ab")
+    met = a.join(b, "value").where((F.col("vertex_a") < F.col("vertex_b")) & _sizes_fit(similarity))
+    met = met.groupBy(F.col("vertex_a").alias("a"), F.col("vertex_b").alias("b")).agg(F.count("*").alias("m"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
+    whole = F.ceil(similarity * (F.col("n_a") + F.col("n_b")) / F.lit(100 + similarity) - F.lit(1e-9))
+    needed = F.when(F.greatest("n_a", "n_b") >= SKETCH, F.lit(SKETCH - unshared(similarity))).otherwise(whole)
+    most = F.col("m") + F.least(F.coalesce("long_a", F.lit(0)), F.coalesce("long_b", F.lit(0)))
+    return _with_both(met, crowded, "long", how="left").where(most >= needed).select("a", "b", "n_a", "n_b")
+
+
+def estimate(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity estimated from two bottom-k sketches: the share of the values of their union's
+    bottom-k sketch that both have."""
+    both = np.union1d(a, b)[:SKETCH]
+    return len(np.intersect1d(np.intersect1d(a, b, assume_unique=True), both, assume_unique=True)) / len(both) if len(both) else 0.0
 
-    Of the set whose retained values end first all are known, so two sets have at most as many values in
-    common as retained ones, plus what the other part of a set holds: ceil(t n) - 1.
-    """
-    long = lists.where(F.col("k") > LIST).groupBy("vertex").agg(F.count("*").alias("long"))
-    short = lists.where(F.col("k") <= LIST).join(long, "vertex", "left").select("value", "vertex", "n", F.coalesce("long", F.lit(0)).alias("long"))
-    a, b = (short.select("value", *(F.col(c).alias(f"{c}_{s}") for c in ("vertex", "n", "long"))) for s in "ab")
-    fits = (F.col("vertex_a") < F.col("vertex_b")) & (100 * F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b"))
-    met = a.join(b, "value").where(fits).groupBy(F.col("vertex_a").alias("a"), F.col("vertex_b").alias("b")).agg(F.count("*").alias("m"), *(F.first(c).alias(c) for c in ("n_a", "n_b", "long_a", "long_b")))
-    part = lambda of, by: F.floor((of + by - 1) / by)
-    needed = part(similarity * (F.col("n_a") + F.col("n_b")), 100 + similarity) - part(similarity * F.greatest("n_a", "n_b"), 100) + 1
-    return met.where(F.col("m") + F.least("long_a", "long_b") >= needed).select("a", "b")
+
+def likely(pairs: DataFrame, sketches: DataFrame, similarity: int) -> DataFrame:
+    """The pairs (a, b) whose union sketch and parity sketches allow a link."""
+    schema, least = pa.schema([("a", pa.int64()), ("b", pa.int64())]), min(similarity / 100, (SKETCH - unshared(similarity)) / SKETCH) - 1e-9
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            ok = []
+            for n, m, x, y, p, q in zip(*(t.column(c).to_pylist() for c in ("n_a", "n_b", "sketch_a", "sketch_b", "parity_a", "parity_b"))):
+                if good := estimate(np.frombuffer(x, _U), np.frombuffer(y, _U)) >= least:
+                    width = min(len(p), len(q)) // 8
+                    good = int(np.bitwise_count(folded(np.frombuffer(p, _U), width) ^ folded(np.frombuffer(q, _U), width)).sum()) <= differing(n, m, similarity)
+                ok.append(good)
+            mask = pa.array(ok, pa.bool_())
+            yield pa.RecordBatch.from_arrays([t.column("a").filter(mask), t.column("b").filter(mask)], schema=schema)
+        common.trim()
+
+    return _with_both(pairs, sketches, "sketch", "parity").mapInArrow(run, "a bigint, b bigint")
 
 
 def full_sets(packed_docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """vertex, n, sketch, whole: the sorted values of each wanted vertex, from one of its documents."""
-    schema = pa.schema([("vertex", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary()), ("whole", pa.binary())])
+    """vertex, n, whole: the sorted values of each wanted vertex, from one of its documents."""
+    schema = pa.schema([("vertex", pa.int64()), ("n", pa.int64()), ("whole", pa.binary())])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        want = {(r["doc_id"], r["crc"]): r["vertex"] for r in right.to_pylist()}
+        want = {(d, c): v for d, c, v in zip(*(right.column(x).to_pylist() for x in ("doc_id", "crc", "vertex")))}
         shingles, out = Shingler(size), []
         for blob in left.column("docs").to_pylist() if want else ():
             for doc_id, text in zip(*words.unpacked(blob)):
                 vertex = want.pop((doc_id, zlib.crc32(text)), None) if want else None
                 if vertex is not None:
                     x = shingles(text)
-                    out.append((vertex, len(x), x[:SKETCH].tobytes(), x.tobytes()))
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 4, schema)], schema=schema)
+                    out.append((vertex, len(x), x.tobytes()))
+        table = pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 3, schema)], schema=schema)
+        del out, left
+        common.trim()
+        return table
 
-    return packed_docs.groupby("block").cogroup(wanted.groupby("block")).applyInArrow(run, "vertex bigint, n bigint, sketch binary, whole binary")
-
-
-def estimate(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity estimated from two bottom-k sketches: the share of the values of their union's
-    bottom-k sketch that both have."""
-    both = np.union1d(a, b)[:SKETCH]
-    return float(np.isin(both, np.intersect1d(a, b)).mean()) if len(both) else 0.0
+    return packed_docs.groupby("block").cogroup(wanted.groupby("block")).applyInArrow(run, "vertex bigint, n bigint, whole binary")
 
 
 def links(pairs: DataFrame, full: DataFrame, similarity: int) -> DataFrame:
-    """The pairs (a, b) of vertices that are as similar as asked: sizes, then sketches, then full sets."""
-
-    def with_column(df: DataFrame, *columns: str) -> DataFrame:
-        for side in "ab":
-            df = df.join(full.select(F.col("vertex").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns)), side)
-        return df
-
-    near = with_column(pairs, "n", "sketch")
-    near = near.where((100 * F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b")))
+    """The pairs (a, b) whose full sets are as similar as asked."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
-            ok = [estimate(np.frombuffer(x, _U), np.frombuffer(y, _U)) >= similarity / 100 - MARGIN for x, y in zip(t.column("sketch_a").to_pylist(), t.column("sketch_b").to_pylist())]
-            yield pa.RecordBatch.from_arrays([t.column("a").filter(pa.array(ok, pa.bool_())), t.column("b").filter(pa.array(ok, pa.bool_()))], schema=schema)
+            ok = pa.array([linked(np.frombuffer(x, _U), np.frombuffer(y, _U), similarity) for x, y in zip(t.column("whole_a").to_pylist(), t.column("whole_b").to_pylist())], pa.bool_())
+            yield pa.RecordBatch.from_arrays([t.column("a").filter(ok), t.column("b").filter(ok)], schema=schema)
+        common.trim()
+
+    return _with_both(pairs.select("a", "b"), full, "whole").select("a", "b", "whole_a", "whole_b").mapInArrow(run, "a bigint, b bigint")
+
+
+class Forest:
+    """Groups that grow: each place's label, and the links that joined two groups."""
+
+    def __init__(self, n: int):
+        self.label, self.made = np.arange(n), []
+
+    def join(self, i: int, j: int) -> None:
+        self.label[self.label == self.label[j]] = self.label[i]
+        self.made.append((i, j))
+
+
+def compare(sets_: list[np.ndarray], left: np.ndarray, right: np.ndarray, similarity: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links between sets of which one is `left` and the other `right`."""
+    n, found = np.array([len(x) for x in sets_]), Forest(len(sets_))
+    bits = [parity(x) for x in sets_]
+    width = np.array([len(p) for p in bits])
+    for w in np.unique(width):
+        rows = np.flatnonzero(width == w)
+        others = np.flatnonzero((width >= w) & (similarity * n <= 100 * n[rows].max()))
+        table = np.stack([folded(bits[k], w) for k in others])
+        for i in rows.tolist():
+            may = (left[i] & right[others]) | (right[i] & left[others])
+            at = np.flatnonzero(may & ((width[others] > w) | (others > i)) & (100 * np.minimum(n[others], n[i]) >= similarity * np.maximum(n[others], n[i])) & (found.label[others] != found.label[i]))
+            if not len(at):
+                continue
+            apart = np.bitwise_count(table[at] ^ folded(bits[i], w)).sum(1, dtype=np.int64)
+            ok = apart <= differing(n[others[at]], n[i], similarity)
+            near = others[at[ok]][np.argsort(apart[ok], kind="stable")]
+            while len(near):
+                if linked(sets_[i], sets_[near[0]], similarity):
+                    found.join(i, int(near[0]))
+                    near = near[found.label[near] != found.label[i]]
+                else:
+                    near = near[1:]
+    return found.made
+
+
+def core_links(core_lists: DataFrame, full: DataFrame, similarity: int) -> DataFrame:
+    """Links (a, b) between vertices of the core (value, vertex rows of long lists), which join all those that
+    links join. A family is what long lists connect; each pair of its blocks is compared in one task."""
+    lead = core_lists.groupBy("value").agg(F.min("vertex").alias("leader"))
+    star = core_lists.join(lead, "value").where("vertex <> leader").select(F.col("vertex").alias("a"), F.col("leader").alias("b")).distinct()
+    family = components(star)
+    sized = family.join(full.select("vertex", "n"), "vertex")
+    parts = sized.groupBy("root").agg(F.ceil(F.sum("n") * 8 / F.lit(BLOCK)).cast("int").alias("parts"))
+    placed = sized.join(parts, "root").select("root", "vertex", "parts", F.pmod(F.xxhash64("vertex"), F.col("parts")).cast("int").alias("part"))
+    met = placed.select("root", "vertex", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    met = met.select("root", "vertex", "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in batches:
-            ok = []
-            for x, y in zip(t.column("whole_a").to_pylist(), t.column("whole_b").to_pylist()):
-                x, y = np.frombuffer(x, _U), np.frombuffer(y, _U)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * shared >= similarity * (len(x) + len(y) - shared))
-            yield pa.RecordBatch.from_arrays([t.column("a").filter(pa.array(ok, pa.bool_())), t.column("b").filter(pa.array(ok, pa.bool_()))], schema=schema)
+    def run(table: pa.Table) -> pa.Table:
+        part, lo, hi, vertex = (table.column(c).to_numpy() for c in ("part", "lo", "hi", "vertex"))
+        made = compare([np.frombuffer(x, _U) for x in table.column("whole").to_pylist()], part == lo[0], part == hi[0], similarity)
+        pairs = vertex[np.array(made, np.int64).reshape(-1, 2)]
+        common.trim()
+        return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)
 
-    likely = common.stored(near.select("a", "b", "sketch_a", "sketch_b").mapInArrow(sketched, "a bigint, b bigint"), "likely-pairs")
-    return with_column(likely, "whole").select("a", "b", "whole_a", "whole_b").mapInArrow(verified, "a bigint, b bigint")
+    return met.join(full.select("vertex", "whole"), "vertex").groupBy("root", "lo", "hi").applyInArrow(run, "a bigint, b bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -266,112 +332,48 @@ def components(edges: DataFrame) -> DataFrame:
         jump = label.select(F.col("vertex").alias("root"), F.col("root").alias("far"))
         new = label.join(heard, "vertex").join(jump, "root", "left").select("vertex", F.least("root", "heard", "far").alias("root"), F.col("root").alias("old"))
         new = common.stored(new, "labels")
+        common.forget(label)
         label = new.select("vertex", "root")
         if not new.where(F.col("root") != F.col("old")).limit(1).count():
+            common.forget(both)
             return label
 
 
-def classes(n: int, similarity: int) -> tuple[int, int]:
-    """The two size classes of a set: any two sets similar enough have one in common."""
-    c = int(math.log(n) / math.log(100 / similarity) + 1e-9)
-    return c, c + 1
-
-
-def signatures(x: np.ndarray, similarity: int) -> list[tuple[np.ndarray, int, int]]:
-    """(hashes of the parts of a set, size class, how many of them to look up) for each of its size classes.
-
-    Two sets of a size class that are similar enough differ in at most d values, so of 2d + 1 parts at least
-    d + 1 are equal. In any order of the parts that both sets follow, one of those is among the first d + 1
-    of either, empty parts left out. Sets that leave more than d parts empty look all up, the empty ones too.
-    """
-    out = []
-    for c in classes(len(x), similarity):
-        top = math.floor((100 / similarity) ** (c + 1) + 1e-6)
-        d = 2 * top * (100 - similarity) // (100 + similarity)
-        if not d:
-            continue
-        part = (_mix(x + _U(c)) % _U(2 * d + 1)).astype(np.int64)
-        content, filled = np.zeros(2 * d + 1, _U), np.bincount(part, minlength=2 * d + 1)
-        np.add.at(content, part, _mix(x))
-        sig = _mix(content + _mix(_U(c * 1_000_003) + np.arange(2 * d + 1, dtype=_U)))
-        out.append((sig, c, 2 * d + 1) if (filled == 0).sum() > d else (sig[filled > 0], c, d + 1))
-    return out
-
-
-def signed(full: DataFrame, among: DataFrame, similarity: int) -> DataFrame:
-    """(sig, vertex, n): the signatures that the vertices of `among` look up, their rarest ones."""
-    schema = pa.schema([("sig", pa.int64()), ("vertex", pa.int64()), ("n", pa.int64()), ("class", pa.int32()), ("first", pa.int32())])
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in batches:
-            rows = [(sig, v, n, c, k) for v, n, x in zip(*(t.column(c).to_pylist() for c in ("vertex", "n", "whole"))) for sig, c, k in signatures(np.frombuffer(x, _U), similarity)]
-            size = [len(r[0]) for r in rows]
-            yield common.batch_of(schema, pa.array(np.concatenate([r[0] for r in rows] or [np.zeros(0, _U)]).view(np.int64)), *(pa.array(np.repeat(np.array([r[i] for r in rows], np.int64), size).astype(kind)) for i, kind in ((1, np.int64), (2, np.int64), (3, np.int32), (4, np.int32))))
-
-    rows = common.stored(full.join(among, "vertex", "left_semi").select("vertex", "n", "whole").mapInArrow(sign, "sig bigint, vertex bigint, n bigint, class int, first int"), "signatures")
-    rows = rows.join(rows.groupBy("sig").agg(F.count("*").alias("k")), "sig")
-    rank = F.row_number().over(Window.partitionBy("vertex", "class").orderBy("k", "sig"))
-    return rows.withColumn("rank", rank).where("rank <= first and k > 1").select("sig", "vertex", "n")
-
-
-def still_open(rows: DataFrame, root: DataFrame, key: str) -> DataFrame:
-    """The rows (key, vertex, n) of lists that span several components, with the vertices' roots."""
-    at = rows.join(root, "vertex", "left").select(key, "vertex", "n", F.coalesce("root", "vertex").alias("root"))
-    open_ = at.groupBy(key).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select(key)
-    return at.join(open_, key)
-
-
-def led(rows: DataFrame, key: str, turn: int) -> DataFrame:
-    """Pairs (a, b) of each list's vertices with the list's leader of this turn, across components."""
-    order = F.xxhash64(F.lit(turn), "vertex")
-    lead = rows.groupBy(key).agg(F.min_by(F.struct("vertex", "root"), order).alias("l"))
-    pairs = rows.join(lead, key).where(F.col("root") != F.col("l.root"))
-    return pairs.select(F.least("vertex", "l.vertex").alias("a"), F.greatest("vertex", "l.vertex").alias("b")).distinct()
-
-
-def rest_pairs(rows: DataFrame, similarity: int) -> DataFrame:
-    """Pairs (a, b) of different components that share a signature."""
-    a, b = (rows.select("sig", *(F.col(c).alias(f"{c}_{s}") for c in ("vertex", "root", "n"))) for s in "ab")
-    fits = (F.col("root_a") < F.col("root_b")) & (100 * F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b"))
-    return a.join(b, "sig").where(fits).select(F.least("vertex_a", "vertex_b").alias("a"), F.greatest("vertex_a", "vertex_b").alias("b")).distinct()
-
-
 def grouped(docs: DataFrame, size: int = WORDS, similarity: int = SIMILARITY) -> DataFrame:
     """doc_id, crc, n_shingles, component_id, kept for every row of docs (doc_id, text).
 
-    component_id is the least doc_id of the documents that links lead to; a document without words is alone.
-    Rows with equal id and text are the same document. A null id is never the least if there is another.
+    component_id is the least doc_id of the documents that links lead to; a document without words (null, empty
+    or blank) is alone. Repeated rows are the same document and all come back. A null id is never the least if
+    there is another. Other columns of docs are left behind; an empty table gives an empty one.
     """
     n = words.blocks_for(docs)
-    known = common.stored(sets(docs, n, size, similarity), "sets")
-    one = [F.first(c).alias(c) for c in ("doc_id", "crc", "block", "n", "first")]
+    known = common.stored(sets(docs, n, size), "sets")
+    one = [F.first(c).alias(c) for c in ("doc_id", "crc", "block", "n", "sketch", "parity")]
     vertices = common.stored(known.where("n > 0").groupBy("vertex").agg(F.min("doc_id").alias("least"), *one), "vertices")
     rows = values(vertices)
-    leaders = rows.groupBy("value").agg(F.min("vertex").alias("leader"), F.count("*").alias("k")).where("k > 1")
-    lists = common.stored(rows.join(leaders, "value").select("value", "vertex", "n", "leader", "k"), "lists")
+    shared = rows.groupBy("value").agg(F.count("*").alias("k")).where("k > 1")
+    lists = common.stored(rows.join(shared, "value").select("value", "vertex", "n", "k"), "lists")
     long = lists.where(F.col("k") > LIST)
-    star = long.where("vertex <> leader").select(F.col("vertex").alias("a"), F.col("leader").alias("b")).distinct()
-    pairs = common.stored(overlaps(lists, similarity).union(star).distinct(), "pairs")
-    asked = pairs.select(F.col("a").alias("vertex")).union(pairs.select("b")).distinct()
+    crowded = common.stored(long.groupBy("vertex", "n").agg(F.count("*").alias("long")), "crowded")
+    pairs = common.stored(overlaps(lists, crowded, similarity), "overlaps")
+    near = common.stored(likely(pairs, vertices, similarity), "likely-pairs")
+    safe = F.when(F.col("n") >= SKETCH, F.lit(unshared(similarity))).otherwise(F.floor(F.col("n") * (100 - similarity) / F.lit(similarity)))
+    core = crowded.where(F.least("n", F.lit(SKETCH)) - F.col("long") <= safe).select("vertex")
+    core_lists = common.stored(long.join(core, "vertex", "left_semi").select("value", "vertex"), "core-lists")
+    asked = near.select(F.col("a").alias("vertex")).union(near.select("b")).union(core_lists.select("vertex")).distinct()
     wanted = vertices.join(asked, "vertex", "left_semi").select("vertex", "doc_id", "crc", "block")
     full = common.stored(full_sets(words.packed(docs, words.hashed_block(n)), wanted, size), "full-sets")
-    edges = common.stored(links(pairs, full, similarity), "links")
+    edges = common.stored(links(near, full, similarity).unionByName(core_links(core_lists, full, similarity)), "links")
     root = components(edges)
-    among = common.stored(still_open(long, root, "value").select("vertex").distinct(), "open")
-    signs = common.stored(signed(full, among, similarity), "rare-signatures")
-    for turn in range(TURNS + 1):
-        rows = common.stored(still_open(signs, root, "sig"), "open-lists")
-        if rows.isEmpty():
-            break
-        more = common.stored(links(led(rows, "sig", turn) if turn < TURNS else rest_pairs(rows, similarity), full, similarity), "links")
-        edges = edges.union(more)
-        root = components(edges)
     lowest = root.join(vertices.select("vertex", "least"), "vertex").groupBy("root").agg(F.min("least").alias("component_id"))
     place = common.stored(vertices.select("vertex", "least").join(root.join(lowest, "root").select("vertex", "component_id"), "vertex", "left").select("vertex", F.coalesce("component_id", "least").alias("component_id")), "components")
+    common.forget(vertices, lists, crowded, pairs, near, core_lists, full, edges, root)
     out = known.select("doc_id", "crc", "vertex", "n").join(place, "vertex", "left")
     out = out.select("doc_id", "crc", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def op10_neardup(spark, sf_dir: str) -> DataFrame:
+    """One row a document of the whole table: doc_id, n_shingles, component_id, kept, by shingles of three words
+    and a similarity of 0.85. Documents without words have no shingles and are linked with nothing."""
     return grouped(common.read_documents(spark, sf_dir), 3, 85).select("doc_id", "n_shingles", "component_id", "kept")

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -216,17 +217,47 @@ def groups(texts, size, similarity):
     return Counter((d, len(sets[i]), low[find(i)] if sets[i] else d) for i, (d, _) in enumerate(texts))
 
 
-@pytest.mark.parametrize("bound,turns", [(32, 3), (2, 1), (2, 0)])
-def test_near_duplicates_against_all_pairs(spark, sf_dir, rows, monkeypatch, bound, turns):
+@pytest.mark.parametrize("bound,block", [(32, 16 << 20), (2, 16 << 20), (2, 2_000), (0, 2_000)])
+def test_near_duplicates_against_all_pairs(spark, sf_dir, rows, monkeypatch, bound, block):
     monkeypatch.setattr(neardup, "LIST", bound)
-    monkeypatch.setattr(neardup, "TURNS", turns)
+    monkeypatch.setattr(neardup, "BLOCK", block)
     got = run(spark, "op10_neardup", sf_dir)
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == groups(raw_rows(rows), 3, 85)
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_large_groups_of_copies(spark, tmp_path):
+    r = random.Random(8)
+    word = lambda: "".join(r.choices("abcdefghij", k=5))
+    base, boiler, texts = [word() for _ in range(150)], [word() for _ in range(60)], []
+    for i in range(160):
+        w = list(base)
+        for k in r.sample(range(150), r.choice([0, 1, 2, 4, 8, 20])):
+            w[k] = word()
+        texts.append((i, " ".join(w).encode()))
+    texts += [(200 + i, " ".join([*boiler, *(word() for _ in range(r.choice([3, 8, 40])))]).encode()) for i in range(90)]
+    texts += [(400 + i, " ".join(base).encode()) for i in range(120)]
+    spark.createDataFrame([(i, t.decode()) for i, t in texts], "doc_id bigint, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = run(spark, "op10_neardup", str(tmp_path))
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == groups(texts, 3, 85)
+
+
+def test_parity_sketches_never_exceed_the_difference():
+    g = np.random.default_rng(1)
+    for n, m in ((5, 9), (100, 120), (130, 900)):
+        x, y = (np.unique(g.integers(0, 1 << 62, k).astype(np.uint64)) for k in (n, m))
+        y = np.unique(np.r_[y, x[: n // 2]])
+        p, q = neardup.parity(x), neardup.parity(y)
+        w = min(len(p), len(q))
+        apart = int(np.bitwise_count(neardup.folded(p, w) ^ neardup.folded(q, w)).sum())
+        assert apart <= len(np.setxor1d(x, y)) and apart > 0
+    assert neardup.differing(100, 100, 80) == 22 and neardup.unshared(85) < neardup.unshared(80) < neardup.SKETCH
+
+
 def test_word_hashes_tell_words_apart():
     words = [b"Ab", b"aB", b"ba", b"x" * 64, b"x" * 65, b"x" * 200, b"\xc3\xa9t\xc3\xa9"]
     h = neardup.word_hashes(b" \t" + b"\n ".join(words) + b" ").tolist()
     assert h[0] == h[1] and len(set(h)) == len(words) - 1
+    a, b = b"a" * 64, b"b" * 64
+    assert len({neardup.word_hashes(x).tolist()[0] for x in (a + b + b + a, b + a + a + b, a + a + b + b, b + b + a + a)}) == 4
     assert not len(neardup.word_hashes(b" \n ")) and len(neardup.word_hashes(b"ab " * 500_000)) == 500_000
