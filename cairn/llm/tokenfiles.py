@@ -1,7 +1,8 @@
 """Token-id files: shards of documents in ascending id order, compressed by Re-Pair grammars.
 
 In a shard, frequent pairs of neighbouring ids are replaced by new symbols, again and again, the most
-frequent first; pairs never cross documents. A shard stores its rules, the length to which each rule
+frequent first (pairs whose counts lie within a factor of two in one round) until no pair occurs often
+enough to pay for its rule; pairs never cross documents. A shard stores its rules, the length to which each rule
 expands, the remaining symbols and where each document starts among them, so that any document, or any
 range of a document's ids, is decoded without the rest.
 """
@@ -10,20 +11,23 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.llm import common, words
 
 TOKENIZER, END, BASE = public_tokenizers.path("word_bpe_49k.json"), 2, 49_408
-#: Ids in a shard before it is closed, least count of a pair, and rules, so that symbols fit 16 bits.
-SHARD_IDS, LEAST, MAX_RULES = 1 << 19, 16, (1 << 16) - BASE
+#: Ids in a shard before it is closed, and least count of a pair: a rule is two symbols and a length, so with
+#: fewer uses it would cost more than it saves.
+SHARD_IDS, LEAST = 1 << 19, 4
 SHARD = "block int, shard int, doc_ids array<bigint>, starts binary, symbols binary, rules binary, lengths binary"
 
 
@@ -37,31 +41,29 @@ class Grammar(NamedTuple):
     starts: np.ndarray
 
 
-def repair(ids: np.ndarray, starts: np.ndarray, base: int = BASE, least: int = LEAST, most_rules: int = MAX_RULES) -> Grammar:
+def repair(ids: np.ndarray, starts: np.ndarray, base: int = BASE, least: int = LEAST) -> Grammar:
     """The grammar of ids, whose documents start at `starts` (the total length last).
 
     Every round halves the count that a pair must have; pairs at least that frequent are replaced together,
-    left to right without overlap, and a rule that then has fewer than two uses is not made.
+    left to right without overlap, and a rule that then has fewer than two uses is not made. Counts by hash
+    bound those of the pairs from above, so no frequent pair is missed; exact counts decide.
     """
-    seq, first = ids.astype(np.int64), np.zeros(len(ids) + 1, bool)
+    seq, first = ids.astype(np.uint64), np.zeros(len(ids) + 1, bool)
     first[starts] = True
     rules: list[np.ndarray] = []
-    bits, need, n_rules = 20, None, 0
-    while len(seq) > 1 and n_rules < most_rules and (need is None or need >= least):
+    bits, need, n_rules, low = 17, 0, 0, np.uint64(32)
+    while len(seq) > 1:
         free = ~first[1 : len(seq)]
-        key = (seq[:-1] << 20) | seq[1:]
-        slot = ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+        key = (seq[:-1] << low) | seq[1:]
+        slot = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).view(np.int64)
         counts = np.bincount(slot[free], minlength=1 << bits)
-        if need is None:
-            need = max(least, 1 << max(0, int(counts.max()).bit_length() - 1)) if counts.max() >= least else 0
-            if not need:
-                break
-        at = np.flatnonzero(free & (counts[slot] >= need))
+        highest = int(counts.max())
+        if highest < least:
+            break
+        need = max(least, min(need or highest, 1 << (highest.bit_length() - 1)))
+        at = np.flatnonzero((counts >= need)[slot] & free)
         pairs, which, n = np.unique(key[at], return_inverse=True, return_counts=True)
         keep = n >= need
-        if keep.sum() > most_rules - n_rules:
-            rank = np.argsort(-n, kind="stable")[: most_rules - n_rules]
-            keep &= np.isin(np.arange(len(n)), rank)
         at, which = at[keep[which]], which[keep[which]]
         if len(at):
             new_run = np.r_[True, np.diff(at) != 1]
@@ -73,15 +75,18 @@ def repair(ids: np.ndarray, starts: np.ndarray, base: int = BASE, least: int = L
             at, which = at[ok], which[ok]
         if len(at):
             made = np.flatnonzero(uses >= 2)
-            symbol = np.zeros(len(pairs), np.int64)
-            symbol[made] = base + n_rules + np.arange(len(made))
-            rules.append(np.stack([pairs[made] >> 20, pairs[made] & 0xFFFFF], 1))
+            symbol = np.zeros(len(pairs), np.uint64)
+            symbol[made] = np.arange(base + n_rules, base + n_rules + len(made), dtype=np.uint64)
+            rules.append(np.stack([pairs[made] >> low, pairs[made] & np.uint64(0xFFFFFFFF)], 1).astype(np.int64))
             n_rules += len(made)
             seq[at] = symbol[which]
             stay = np.ones(len(seq) + 1, bool)
             stay[at + 1] = False
             seq, first = seq[stay[:-1]], first[stay]
-        need //= 2
+        if need == least:
+            break
+        need = max(least, need // 2)
+    seq = seq.astype(np.int64)
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
     lengths = np.zeros(len(table), np.int64)
     for k, pair in enumerate(table.tolist()):
@@ -117,17 +122,22 @@ def document(g: Grammar, i: int, begin: int = 0, end: int | None = None, base: i
 
 
 def to_row(block: int, shard: int, doc_ids: list, g: Grammar) -> tuple:
-    return block, shard, doc_ids, g.starts.astype("<u4").tobytes(), g.symbols.astype("<u2").tobytes(), g.rules.astype("<u2").tobytes(), g.lengths.astype("<u4").tobytes()
+    return block, shard, doc_ids, g.starts.astype("<u4").tobytes(), g.symbols.astype("<u4").tobytes(), g.rules.astype("<u4").tobytes(), g.lengths.astype("<u4").tobytes()
 
 
 def from_row(starts: bytes, symbols: bytes, rules: bytes, lengths: bytes) -> Grammar:
     whole = lambda raw, kind: np.frombuffer(raw, kind).astype(np.int64)
-    return Grammar(whole(symbols, "<u2"), whole(rules, "<u2").reshape(-1, 2), whole(lengths, "<u4"), whole(starts, "<u4"))
+    return Grammar(whole(symbols, "<u4"), whole(rules, "<u4").reshape(-1, 2), whole(lengths, "<u4"), whole(starts, "<u4"))
 
 
-def split(raw: bytes) -> list[bytes]:
-    """A text's words. The tokenizer lowers them anyway, but for its special tokens, which hold "<|"."""
-    return raw.split() if b"<|" in raw else raw.lower().split()
+def split(texts: pa.Array) -> words.Split:
+    """Texts' words. The tokenizer lowers them anyway, but for its special tokens, which hold "<|"."""
+    raw = texts.cast(pa.string())
+    if pc.any(pc.match_substring(raw, "<|")).as_py():
+        raw = pc.if_else(pc.match_substring(raw, "<|"), raw, pc.ascii_lower(raw))
+    else:
+        raw = pc.ascii_lower(raw)
+    return words.coded(pc.ascii_split_whitespace(raw))
 
 
 _LOADED: dict[int, object] = {}
@@ -144,7 +154,7 @@ def encoder(model: str):
 
     t = _LOADED.get(hash(model)) or _LOADED.setdefault(hash(model), Tokenizer.from_str(model))
     tokenize, visible = t.model.tokenize, t.pre_tokenizer.pre_tokenize_str
-    pack = lambda ids: np.array(ids, words.ID).tobytes()
+    pack = lambda ids: array("H", ids).tobytes()
     known: dict[str, bytes] = {}
 
     def letters(w: str) -> bool:
@@ -212,7 +222,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, shard_i
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * len(fields), fields)], schema=fields)
 
     shards = words.encoded(docs, block.cast("int"), n, split, lambda: encoder(model.value), finish, SHARD)
-    shards.write.parquet(path)
+    shards.write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(shards.schema).parquet(path)
 
 

@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,11 +22,15 @@ from cairn.llm import common
 
 #: Ids are packed as little-endian unsigned 16-bit numbers where they travel; a vocabulary must fit.
 ID = np.dtype("<u2")
+#: Bytes of text in a block: what one task holds at once.
+BLOCK = 32 << 20
 _DOCS = pa.schema([("doc_id", pa.int64()), ("text", pa.binary())])
 
 
-def blocks_for(df: DataFrame) -> int:
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def blocks_for(df: DataFrame, column: str = "text") -> int:
+    """Blocks of at most about BLOCK bytes of text, and no fewer than shuffle partitions."""
+    size = df.agg(F.sum(F.octet_length(column))).first()[0] or 0
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK))
 
 
 def hashed_block(n: int) -> Column:
@@ -60,6 +66,51 @@ def unpacked(blob: bytes) -> tuple[list[int | None], list[bytes]]:
     return t.column("doc_id").to_pylist(), t.column("text").to_pylist()
 
 
+class Split(NamedTuple):
+    """Some texts as words: the distinct ones, which may repeat, each word's place among them in order, and
+    words a text."""
+
+    distinct: list[bytes]
+    places: np.ndarray
+    sizes: np.ndarray
+
+
+Splitter = Callable[[pa.Array], Split]
+
+
+def by_text(split: Callable[[bytes], list[bytes]]) -> Splitter:
+    """A splitter from a function that gives one text's words."""
+
+    def run(texts: pa.Array) -> Split:
+        known: dict[bytes, int] = {}
+        parts = [[known.setdefault(w, len(known)) for w in split(t)] for t in texts.to_pylist()]
+        places = np.fromiter((k for p in parts for k in p), np.int32, sum(map(len, parts)))
+        return Split(list(known), places, np.array([len(p) for p in parts], np.int64))
+
+    return run
+
+
+def coded(texts: pa.ListArray) -> Split:
+    """A splitter's result from lists of words, empty ones left out."""
+    flat, of = texts.flatten(), np.repeat(np.arange(len(texts)), pc.list_value_length(texts).to_numpy())
+    there = pc.greater(pc.binary_length(flat), 0)
+    if not pc.all(there).as_py():
+        flat, of = flat.filter(there), of[there.to_numpy(zero_copy_only=False)]
+    words = flat.dictionary_encode()
+    return Split(words.dictionary.cast(pa.binary()).to_pylist(), words.indices.to_numpy(), np.bincount(of, minlength=len(texts)))
+
+
+def looked_up(s: Split, codes: list[bytes]) -> list[bytes]:
+    """The packed ids of each text, given those of the distinct words."""
+    size = np.array([len(c) for c in codes], np.int64) // ID.itemsize
+    flat, first = np.frombuffer(b"".join(codes), ID), np.cumsum(size) - size
+    wide = size[s.places]
+    ends = np.r_[0, np.cumsum(wide)]
+    ids = flat[np.repeat(first[s.places] - ends[:-1], wide) + np.arange(ends[-1])]
+    cuts = ends[np.r_[0, np.cumsum(s.sizes)]].tolist()
+    return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+
+
 def joined(items: list[bytes]) -> bytes:
     """Lengths, then the items' bytes, compressed: how lists of words and of codes travel."""
     return zlib.compress(len(items).to_bytes(4, "little") + np.array([len(x) for x in items], "<u4").tobytes() + b"".join(items), 1)
@@ -73,32 +124,32 @@ def parted(blob: bytes) -> list[bytes]:
 
 
 def bucketed(distinct: set[bytes], n: int) -> dict[int, list[bytes]]:
-    """The words of each bucket, in order: a block and its buckets agree on it without saying so."""
+    """The words of each bucket, in order: a block and its buckets agree on it without saying so. A word meets
+    its forms with a stop or comma, which an encoder may build from it."""
     out: dict[int, list[bytes]] = {}
     for w in sorted(distinct):
-        out.setdefault(zlib.crc32(w) % n, []).append(w)
+        out.setdefault(zlib.crc32(w.rstrip(b".,")) % n, []).append(w)
     return out
 
 
 def encoded(
-    docs: DataFrame, block: Column, n: int, split: Callable[[bytes], list[bytes]], encoder: Callable[[], Callable[[list[bytes]], list[bytes]]],
+    docs: DataFrame, block: Column, n: int, split: Splitter, encoder: Callable[[], Callable[[list[bytes]], list[bytes]]],
     finish: Callable[[int, Iterator[tuple[int | None, bytes, bytes]]], pa.Table], result: str,
 ) -> DataFrame:
     """finish(block, documents) for each block, where a document is (doc_id, text, packed ids).
 
-    split gives a text's words in order; encoder() makes, once a task, the function that turns distinct
-    words into packed ids. Blocks hold 1/n of the documents, buckets 1/n of the distinct words.
+    split gives texts' words in order; encoder() makes, once a task, the function that turns distinct words
+    into packed ids. Blocks hold 1/n of the documents, buckets 1/n of the distinct words.
     """
     whole = packed(docs, block).repartition(n, "block")
     sent = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("words", pa.binary())])
+    texts = lambda blob: pa.ipc.open_stream(blob).read_all().column("text").combine_chunks()
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, set[bytes]] = {}
         for b in batches:
             for block, blob in zip(b.column("block").to_pylist(), b.column("docs").to_pylist()):
-                mine = seen.setdefault(block, set())
-                for text in unpacked(blob)[1]:
-                    mine.update(split(text))
+                seen.setdefault(block, set()).update(split(texts(blob)).distinct)
         while seen:
             block, mine = seen.popitem()
             buckets = bucketed(mine, n)
@@ -119,19 +170,20 @@ def encoded(
 
     def reassemble(left: pa.Table, right: pa.Table) -> pa.Table:
         blobs = left.column("docs").to_pylist()
-        buckets = bucketed({w for blob in blobs for text in unpacked(blob)[1] for w in split(text)}, n)
+        parts = [split(texts(blob)) for blob in blobs]
+        buckets = bucketed({w for s in parts for w in s.distinct}, n)
         code: dict[bytes, bytes] = {}
         for bucket, cs in zip(right.column("bucket").to_pylist(), right.column("codes").to_pylist()):
             code.update(zip(buckets.pop(bucket), parted(cs)))
 
         def rows():
-            for blob in blobs:
-                for doc_id, text in zip(*unpacked(blob)):
-                    yield doc_id, text, b"".join([code[w] for w in split(text)])
+            for k, blob in enumerate(blobs):
+                s, parts[k] = parts[k], None
+                yield from zip(*unpacked(blob), looked_up(s, [code[w] for w in s.distinct]))
 
         out = finish(left.column("block")[0].as_py() if left.num_rows else -1, rows())
         code.clear()
-        del blobs
+        del blobs, parts
         common.trim()
         return out
 

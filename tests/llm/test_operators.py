@@ -10,6 +10,7 @@ from itertools import combinations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from cairn.llm import bpe, lm, media, neardup, quality, queries, sharding, substrings, tokenfiles, toxicity
@@ -84,13 +85,15 @@ def test_bpe_against_the_library(spark, sf_dir, rows):
     assert Counter((r["doc_id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in run(spark, "op2_bpe", sf_dir)) == want
 
 
-@pytest.mark.parametrize("text", ["a b", " a", "a ", "a  b", "a  b", "é   x", " \n x", "a — b", "　 a", "don't  I'LL\t 12"])
+@pytest.mark.parametrize("text", ["a b", " a", "a ", "a  b", "a  b", "é   x", " \n x", "a — b", "　 a", "don't  I'LL\t 12", "", "a \x0b b", "a\x01 b", " \x1c", "x \u1680y", "tail\u2003 "])
 def test_cutting_keeps_every_match_whole(text):
     import tiktoken
 
     ranks = bpe.read_ranks(bpe.VOCABULARY)
-    parts = bpe.split(text.encode())
-    assert b"".join(parts) == text.encode()
+    cut = bpe.split(pa.array([text.encode(), b"plain words", text.encode()]))
+    parts = [cut.distinct[k] for k in cut.places]
+    assert b"".join(parts) == text.encode() + b"plain words" + text.encode()
+    parts = parts[: cut.sizes[0]]
     want = tiktoken.Encoding("b", pat_str=bpe.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary(text)
     assert np.frombuffer(b"".join(bpe.encoder(ranks)(parts)), "<u2").tolist() == want
 
