@@ -63,23 +63,34 @@ _BYTES = _byte_table()
 _WORD = _BYTES[:256] != 0
 
 
-def word_hashes(raw: bytes) -> np.ndarray:
-    """A 64-bit hash of each word, in order: the sum over its bytes of their numbers in the table, each times
-    a number that depends on how often the table has been gone through before."""
-    out, i = [np.zeros(0, _U)], 0
+def _located_words(raw: bytes) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(offset, bytes, starts of words) of a text's pieces; no word is cut."""
+    i = 0
     while i < len(raw):
         j = len(raw)
         if j - i > _CHUNK:
             white = _SPACE.search(raw, i + _CHUNK)
             j = white.start() if white else j
         x = np.frombuffer(raw, np.uint8, j - i, i)
-        i = j
         word = _WORD[x]
         first = word.copy()
         first[1:] &= ~word[:-1]
         starts = np.flatnonzero(first)
-        if not len(starts):
-            continue
+        if len(starts):
+            yield i, x, starts
+        i = j
+
+
+def word_starts(raw: bytes) -> np.ndarray:
+    """Where each word of a text begins."""
+    return np.concatenate([np.zeros(0, np.int64), *(starts + i for i, _, starts in _located_words(raw))])
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    """A 64-bit hash of each word, in order: the sum over its bytes of their numbers in the table, each times
+    a number that depends on how often the table has been gone through before."""
+    out = [np.zeros(0, _U)]
+    for _, x, starts in _located_words(raw):
         place = np.arange(len(x)) - np.repeat(np.r_[0, starts], np.diff(np.r_[0, starts, len(x)]))
         value = _BYTES[(place % _DEPTH) * 256 + x]
         if place.max() >= _DEPTH:

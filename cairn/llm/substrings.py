@@ -1,7 +1,7 @@
 """Removal of long repeated substrings, found through common-prefix interval trees.
 
-Texts are byte strings; matches never cross documents. Every window of LENGTH bytes has an anchor: the
-place in it whose SEED bytes hash least. Equal windows have their anchors at the same offset, so a window
+Texts are sequences of bytes, or of words (case of A-Z aside) given by 64-bit hashes; matches never cross
+documents. Every window of `length` units has an anchor: the place in it whose first few units hash least. Equal windows have their anchors at the same offset, so a window
 that occurs twice is found among the places that share an anchor's bytes. The starts of the windows with one
 anchor are consecutive; the text that they cover is the anchor's run.
 
@@ -10,7 +10,7 @@ anchor are consecutive; the text that they cover is the anchor's run.
    contexts to the right of the anchor are sorted into a suffix array with common-prefix lengths, a stack
    scan builds the tree of common-prefix intervals, and in every interval the left contexts, kept sorted,
    tell how far occurrences agree to the left before they differ. An interval's depth and a left extension
-   that reach LENGTH together are a maximal repeat; all its occurrences are covered, not just neighbours.
+   that reach the length together are a maximal repeat; all its occurrences are covered, not just neighbours.
 3. An anchor with more than GROUP distinct runs is not gathered in a task: its runs are cut into parts of
    STEP windows, whose common bytes are longer anchors, and parts of those that are still crowded into
    single windows, which are counted. All ways give the same bytes.
@@ -32,28 +32,38 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cairn.llm import common, words
-
-#: Length of a repeat in bytes, bytes that an anchor hashes, distinct runs that one task compares, and
-#: windows in a part of the runs of a crowded anchor.
-LENGTH, SEED, GROUP, STEP = 400, 64, 256, 16
-#: Bytes that are hashed together, to stay in a processor's cache; longer texts are cut with overlap.
+from cairn.llm.neardup import word_hashes, word_starts
+
+#: Bytes of a unit: texts as bytes, or as words.
+BYTES, WORDS = 1, 8
+#: Least length of a repeat in units, and units that an anchor hashes.
+LENGTH, SEED = {BYTES: 400, WORDS: 50}, {BYTES: 64, WORDS: 8}
+#: Distinct runs that one task compares, and windows in a part of the runs of a crowded anchor.
+GROUP, STEP = 256, 16
+#: Units that are hashed together, to stay in a processor's cache; longer texts are cut with overlap.
 _CHUNK = 500_000
 _U = np.uint64
 _BYTES = np.random.default_rng(400).integers(1, 1 << 63, 256, _U) * _U(2) + _U(1)
 _PLACE = _U((1 << 24) - 1)
 
 
-def hashes(x: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the SEED and of the `length` bytes from every place in x, built by doubling."""
-    n = len(x) - length + 1
-    h, width, base, at = _BYTES[x], 1, _U(0x9E3779B97F4A7C15), 0
+def sequence(raw: bytes, unit: int) -> bytes:
+    """A text's units, one after the other."""
+    return raw if unit == BYTES else word_hashes(raw).tobytes()
+
+
+def hashes(seq: bytes, unit: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the first SEED and of the `length` units from every place on, built by doubling."""
+    h = _BYTES[np.frombuffer(seq, np.uint8)] if unit == BYTES else np.frombuffer(seq, _U)
+    n = len(h) - length + 1
+    width, base, at = 1, _U(0x9E3779B97F4A7C15), 0
     seeds = whole = None
     while width <= length:
         if width == 16:
-            h ^= h >> _U(31)
+            h = h ^ h >> _U(31)
             h *= _U(0x7FB5D329728EA185)
             h ^= h >> _U(33)
-        if width == SEED:
+        if width == SEED[unit]:
             seeds = h
         if length & width:
             part = h[at : at + n]
@@ -64,9 +74,9 @@ def hashes(x: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return seeds, whole ^ whole >> _U(32)
 
 
-def anchors(seeds: np.ndarray, length: int) -> np.ndarray:
-    """For every window its anchor's place: minima of blocks from both sides, the leftmost of equal ones."""
-    width = length - SEED + 1
+def anchors(seeds: np.ndarray, width: int) -> np.ndarray:
+    """For every window its anchor's place, one of `width`: minima of blocks from both sides, the leftmost of
+    equal ones."""
     h = seeds * _U(0xD6E8FEB86659FD93)
     h ^= h >> _U(32)
     h *= _U(0x81DADEF4BC2DD44D)
@@ -78,25 +88,24 @@ def anchors(seeds: np.ndarray, length: int) -> np.ndarray:
     return (np.minimum(back[:n], forth[width - 1 : width - 1 + n]) & _PLACE).astype(np.int64)
 
 
-def runs(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
+def runs(texts: list[bytes], unit: int, length: int) -> tuple[np.ndarray, ...]:
     """(document, start, windows, offset of the anchor, anchor's hash, run's hash) of all runs of some texts."""
     pieces: list[tuple[int, int, bytes]] = []
     for k, t in enumerate(texts):
-        if len(t) >= length:
-            pieces += [(k, i, t[i : i + _CHUNK + length - 1]) for i in range(0, len(t) - length + 1, _CHUNK)]
+        if len(t) >= length * unit:
+            pieces += [(k, i, t[i * unit : (i + _CHUNK + length - 1) * unit]) for i in range(0, len(t) // unit - length + 1, _CHUNK)]
     out: list[tuple[np.ndarray, ...]] = []
     i = 0
     while i < len(pieces):
         j, size = i, 0
         while j < len(pieces) and size < _CHUNK:
-            size += len(pieces[j][2])
+            size += len(pieces[j][2]) // unit
             j += 1
         part, i = pieces[i:j], j
-        x = np.frombuffer(b"".join(p[2] for p in part), np.uint8)
-        seeds, whole = hashes(x, length)
-        seeds = seeds[: len(x) - SEED + 1]
-        at = anchors(seeds, length)
-        sizes = np.array([len(p[2]) for p in part])
+        seeds, whole = hashes(b"".join(p[2] for p in part), unit, length)
+        seeds = seeds[: size - SEED[unit] + 1]
+        at = anchors(seeds, length - SEED[unit] + 1)
+        sizes = np.array([len(p[2]) // unit for p in part])
         ends = np.cumsum(sizes)
         owner = np.repeat(np.arange(len(part)), sizes)[: len(at)]
         p = np.flatnonzero(np.arange(len(at)) + length <= ends[owner])
@@ -125,9 +134,9 @@ def prefix(a: bytes, b: bytes) -> int:
     return lo
 
 
-def covers(lefts: list[bytes], rights: list[bytes], length: int) -> list[tuple[int, int] | None]:
-    """For each occurrence (bytes before the anchor, bytes from it on) how far to the left and to the right
-    of the anchor it is covered by strings of `length` bytes around the anchor that another one has too.
+def covers(lefts: list[bytes], rights: list[bytes], length: int, unit: int = BYTES) -> list[tuple[int, int] | None]:
+    """For each occurrence (units before the anchor, units from it on) how far to the left and to the right
+    of the anchor it is covered by strings of `length` units around the anchor that another one has too.
 
     Suffixes are sorted and a stack scan makes the intervals of common prefixes, deepest first. Of every
     interval the left contexts' ranks are kept in order; merging two intervals, the smaller into the larger,
@@ -149,7 +158,7 @@ def covers(lefts: list[bytes], rights: list[bytes], length: int) -> list[tuple[i
             i = by_left[r]
             for q in a[max(0, at - 1) : at + 1]:
                 j = by_left[q]
-                common_left = prefix(back[i], back[j])
+                common_left = prefix(back[i], back[j]) // unit
                 for z in (i, j):
                     near[z] = max(near[z], common_left)
                     if common_left + depth >= length:
@@ -162,7 +171,7 @@ def covers(lefts: list[bytes], rights: list[bytes], length: int) -> list[tuple[i
     stack: list[tuple[int, list[int]]] = []
     for k, i in enumerate(order):
         here = [rank[i]]
-        depth = prefix(rights[i], rights[order[k + 1]]) if k + 1 < n else -1
+        depth = prefix(rights[i], rights[order[k + 1]]) // unit if k + 1 < n else -1
         while stack and stack[-1][0] >= depth:
             d, members = stack.pop()
             here = merge(members, here, d)
@@ -180,25 +189,26 @@ def _schema(ddl: str) -> pa.Schema:
     return pa.schema([(f.split()[0], kinds[f.split()[1]]) for f in ddl.split(", ")])
 
 
-def run_table(docs: DataFrame, n: int, length: int) -> DataFrame:
+def run_table(docs: DataFrame, n: int, unit: int, length: int) -> DataFrame:
     schema = _schema(_RUN)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = common.texts(b)
-            of, start, windows, offset, anchor, run = runs(texts, length)
+            of, start, windows, offset, anchor, run = runs([sequence(t, unit) for t in texts], unit, length)
             crc = np.array([zlib.crc32(t) for t in texts], np.int64)
             of_ = pa.array(of)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(anchor.view(np.int64)), pa.array(run.view(np.int64)), b.column("doc_id").take(of_), pa.array(crc[of] if len(of) else of), b.column("block").take(of_), pa.array(start), pa.array(windows.astype(np.int32)), pa.array(offset.astype(np.int32))],
                 schema=schema,
             )
+        common.trim()
 
     return docs.select("doc_id", "text", words.hashed_block(n).alias("block")).mapInArrow(find, _RUN)
 
 
-def contexts(packed_docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """wanted with the bytes of each run, cut from the block's documents."""
+def contexts(packed_docs: DataFrame, wanted: DataFrame, unit: int, length: int) -> DataFrame:
+    """wanted with the units of each run, cut from the block's documents."""
     schema = _schema(_CONTEXT)
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -208,29 +218,31 @@ def contexts(packed_docs: DataFrame, wanted: DataFrame, length: int) -> DataFram
         found: list[bytes | None] = [None] * len(rows)
         for blob in left.column("docs").to_pylist():
             for doc_id, text in zip(*words.unpacked(blob)):
-                for k in by_doc.get((doc_id, zlib.crc32(text)), ()) if by_doc else ():
-                    found[k] = text[rows[k]["start"] : rows[k]["start"] + rows[k]["windows"] + length - 1]
+                if wants := by_doc.get((doc_id, zlib.crc32(text))) if by_doc else None:
+                    seq = sequence(text, unit)
+                    for k in wants:
+                        found[k] = seq[rows[k]["start"] * unit : (rows[k]["start"] + rows[k]["windows"] + length - 1) * unit]
         return pa.table([right.column(f.name) for f in [*schema][:-1]] + [pa.array(found, pa.binary())], schema=schema)
 
     return packed_docs.groupby("block").cogroup(wanted.groupby("block")).applyInArrow(cut, _CONTEXT)
 
 
-def compared(cold: DataFrame, length: int) -> DataFrame:
+def compared(cold: DataFrame, unit: int, length: int) -> DataFrame:
     """Spans of the unique runs that share a repeat with another run of their anchor."""
     schema = _schema(_SPAN)
 
     def compare(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        found = covers([r["bytes"][: r["offset"]] for r in rows], [r["bytes"][r["offset"] :] for r in rows], length)
+        found = covers([r["bytes"][: r["offset"] * unit] for r in rows], [r["bytes"][r["offset"] * unit :] for r in rows], length, unit)
         out = [(r["doc_id"], r["crc"], r["block"], r["start"] + r["offset"] - c[0], r["start"] + r["offset"] + c[1]) for r, c in zip(rows, found) if c and r["n"] == 1]
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 5, schema)], schema=schema)
 
     return cold.groupBy("anchor").applyInArrow(compare, _SPAN)
 
 
-def refined(hot: DataFrame, step: int, length: int) -> DataFrame:
+def refined(hot: DataFrame, step: int, unit: int, length: int) -> DataFrame:
     """Spans of the unique runs of crowded anchors. Each run is cut into parts of at most `step` windows at
-    equal distances from the anchor; the bytes that all windows of a part have in common become its anchor,
+    equal distances from the anchor; the units that all windows of a part have in common become its anchor,
     and parts are treated like runs. With a step of one a part is a window, and counting decides."""
     ddl = _CONTEXT.replace("k bigint", "run bigint")
     schema = _schema(ddl)
@@ -239,13 +251,13 @@ def refined(hot: DataFrame, step: int, length: int) -> DataFrame:
         for b in batches:
             out = []
             for r in b.to_pylist():
-                x, w, far = np.frombuffer(r["bytes"], np.uint8), r["windows"], r["offset"]
-                core, whole = hashes(x, length - step + 1)[1], hashes(x, length)[1]
+                w, far = r["windows"], r["offset"]
+                core, whole = hashes(r["bytes"], unit, length - step + 1)[1], hashes(r["bytes"], unit, length)[1]
                 for j in range((far - w + 1) // step, far // step + 1):
                     lo, hi = max(0, far - step * j - step + 1), min(w - 1, far - step * j)
                     at = far - step * j - lo
                     key = _pair(_pair(r["anchor"], j), int(core[lo + at]))
-                    out.append((key, _pair(_pair(int(whole[lo]), int(whole[hi])), hi - lo), r["n"], r["doc_id"], r["crc"], r["block"], r["start"] + lo, hi - lo + 1, at, r["bytes"][lo : hi + length]))
+                    out.append((key, _pair(_pair(int(whole[lo]), int(whole[hi])), hi - lo), r["n"], r["doc_id"], r["crc"], r["block"], r["start"] + lo, hi - lo + 1, at, r["bytes"][lo * unit : (hi + length) * unit]))
             yield common.batch_of(schema, *(map(list, zip(*out)) if out else [[]] * len(schema)))
 
     rows = common.stored(hot.select("anchor", F.col("k").alias("run"), *[c.split()[0] for c in _CONTEXT.split(", ")[2:]]).mapInArrow(cut, ddl), "parts")
@@ -258,7 +270,7 @@ def refined(hot: DataFrame, step: int, length: int) -> DataFrame:
     fields = [c.split()[0] for c in _CONTEXT.split(", ")[3:]]
     distinct = rows.groupBy("anchor", "run").agg(F.sum("n").alias("n"), *(F.first(c).alias(c) for c in fields))
     near = common.stored(distinct.join(shared, "anchor").select("anchor", "k", "n", *fields), "part-contexts")
-    return found.unionByName(compared(near.where(F.col("k") <= GROUP), length)).unionByName(refined(near.where(F.col("k") > GROUP), 1, length))
+    return found.unionByName(compared(near.where(F.col("k") <= GROUP), unit, length)).unionByName(refined(near.where(F.col("k") > GROUP), 1, unit, length))
 
 
 def _pair(a: int, b: int) -> int:
@@ -268,16 +280,18 @@ def _pair(a: int, b: int) -> int:
     return (h ^ (h >> 32)) - (1 << 63)
 
 
-def spans(docs: DataFrame, n: int, length: int = LENGTH) -> DataFrame:
-    """doc_id, crc (of the text), block, start, stop: byte ranges covered by repeats; they may overlap."""
-    found = common.stored(run_table(docs, n, length), "runs")
+def spans(docs: DataFrame, n: int, unit: int, length: int) -> DataFrame:
+    """doc_id, crc (of the text), block, start, stop: ranges of units covered by repeats; they may overlap."""
+    found = common.stored(run_table(docs, n, unit, length), "runs")
     first = [F.first(c).alias(c) for c in ("doc_id", "crc", "block", "start", "windows", "offset")]
     distinct = common.stored(found.groupBy("anchor", "run").agg(F.count("*").alias("n"), *first), "distinct-runs")
     shared = distinct.groupBy("anchor").agg(F.count("*").alias("k"), F.min("n").alias("least")).where("k >= 2 and least = 1").select("anchor", "k")
     wanted = distinct.join(shared, "anchor").select("anchor", "k", "n", "doc_id", "crc", "block", "start", "windows", "offset")
-    near = common.stored(contexts(words.packed(docs, words.hashed_block(n)), wanted, length), "contexts")
+    near = common.stored(contexts(words.packed(docs, words.hashed_block(n)), wanted, unit, length), "contexts")
     whole = found.join(distinct.where("n >= 2").select("anchor", "run"), ["anchor", "run"]).select("doc_id", "crc", "block", "start", (F.col("start") + F.col("windows") + length - 1).alias("stop"))
-    return whole.unionByName(compared(near.where(F.col("k") <= GROUP), length)).unionByName(refined(near.where(F.col("k") > GROUP), STEP, length))
+    out = common.stored(whole.unionByName(compared(near.where(F.col("k") <= GROUP), unit, length)).unionByName(refined(near.where(F.col("k") > GROUP), STEP, unit, length)), "spans")
+    common.forget(found, distinct, near)
+    return out
 
 
 def merged(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -304,37 +318,59 @@ def whole_characters(raw: bytes, ranges: list[tuple[int, int]]) -> list[tuple[in
     return out
 
 
-def cleaned(docs: DataFrame, found: DataFrame, n: int, characters: bool = False) -> DataFrame:
-    """doc_id, crc, n_bytes, removed (ranges), kept (remaining bytes) of every document; with `characters`,
-    a character that is removed in part stays."""
+def removal(text: bytes, ranges: list[tuple[int, int]], unit: int, characters: bool) -> tuple[list[dict], bytes]:
+    """The maximal removed ranges of bytes, and the remaining bytes. Words go with the white space after them."""
+    gone = merged(ranges)
+    if gone and unit == WORDS:
+        at = [*word_starts(text).tolist(), len(text)]
+        gone = [(at[a], at[b]) for a, b in gone]
+    gone = whole_characters(text, gone) if characters else gone
+    edges = [0, *(x for r in gone for x in r), len(text)]
+    return [dict(start=a, stop=b) for a, b in gone], b"".join(text[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2))
+
+
+def cleaned(docs: DataFrame, found: dict[str, tuple[int, DataFrame]], n: int, characters: bool = False) -> DataFrame:
+    """doc_id, crc, n_bytes of every document and, for each name in `found` (unit, spans), name_removed (ranges
+    of bytes) and name_kept (remaining bytes); with `characters`, a character that is removed in part stays."""
     removed = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-    schema = pa.schema([("doc_id", pa.int64()), ("crc", pa.int64()), ("n_bytes", pa.int64()), ("removed", removed), ("kept", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("crc", pa.int64()), ("n_bytes", pa.int64()), *((c, t) for name in found for c, t in ((f"{name}_removed", removed), (f"{name}_kept", pa.binary())))])
+    units = {name: unit for name, (unit, _) in found.items()}
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         of = defaultdict(list)
-        for d, c, a, b in zip(*(right.column(x).to_pylist() for x in ("doc_id", "crc", "start", "stop"))):
-            of[d, c].append((a, b))
+        for name, d, c, a, b in zip(*(right.column(x).to_pylist() for x in ("name", "doc_id", "crc", "start", "stop"))):
+            of[name, d, c].append((a, b))
         out = []
         for blob in left.column("docs").to_pylist():
             for doc_id, text in zip(*words.unpacked(blob)):
                 crc = zlib.crc32(text)
-                gone = merged(of[doc_id, crc]) if (doc_id, crc) in of else []
-                gone = whole_characters(text, gone) if characters else gone
-                edges = [0, *(x for r in gone for x in r), len(text)]
-                out.append((doc_id, crc, len(text), [dict(start=a, stop=b) for a, b in gone], b"".join(text[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2))))
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 5, schema)], schema=schema)
-
-    packed = words.packed(docs, words.hashed_block(n))
-    return packed.groupby("block").cogroup(found.groupby("block")).applyInArrow(cut, "doc_id bigint, crc bigint, n_bytes bigint, removed array<struct<start:bigint,stop:bigint>>, kept binary")
-
-
-def deduplicated(docs: DataFrame, length: int = LENGTH, characters: bool = False) -> DataFrame:
-    """doc_id, crc, n_bytes, removed, kept for each row of docs (doc_id, text); texts below the length stay whole."""
+                out.append((doc_id, crc, len(text), *(x for name, unit in units.items() for x in removal(text, of.get((name, doc_id, crc), []), unit, characters))))
+        table = pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * len(schema), schema)], schema=schema)
+        del out, left
+        common.trim()
+        return table
+
+    spans_ = None
+    for name, (_, df) in found.items():
+        df = df.withColumn("name", F.lit(name))
+        spans_ = df if spans_ is None else spans_.unionByName(df)
+    ddl = "doc_id bigint, crc bigint, n_bytes bigint, " + ", ".join(f"{name}_removed array<struct<start:bigint,stop:bigint>>, {name}_kept binary" for name in found)
+    return words.packed(docs, words.hashed_block(n)).groupby("block").cogroup(spans_.groupby("block")).applyInArrow(cut, ddl)
+
+
+def deduplicated(docs: DataFrame, units: dict[str, int] = {"byte": BYTES}, length: dict[int, int] = LENGTH, characters: bool = False) -> DataFrame:
+    """doc_id, crc, n_bytes and, for each name and unit, name_removed and name_kept: each row of docs (doc_id,
+    text) without what is covered by a string of so many units that also starts elsewhere. Texts below the
+    length, empty ones among them, stay whole; repeated rows are copies of each other and lose all that
+    repeats; other columns are left behind; an empty table gives an empty one."""
     n = words.blocks_for(docs)
-    return cleaned(docs, common.stored(spans(docs, n, length), "spans"), n, characters)
+    return cleaned(docs, {name: (unit, spans(docs, n, unit, length[unit])) for name, unit in units.items()}, n, characters)
 
 
 def op4_substrings(spark, sf_dir: str) -> DataFrame:
-    out = deduplicated(common.read_documents(spark, sf_dir))
-    lost = F.aggregate("removed", F.lit(0).cast(T.LongType()), lambda s, r: s + r["stop"] - r["start"])
-    return out.select("doc_id", "n_bytes", lost.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    """One row a document of the whole table, by repeats of 400 bytes: doc_id, n_bytes, n_removed, n_spans,
+    kept_sha256. A further column, text, is the document without repeated passages of 50 words or more, most of
+    which are shorter than 400 bytes: the form that the corpus pipeline hands on."""
+    out = deduplicated(common.read_documents(spark, sf_dir), {"byte": BYTES, "word": WORDS})
+    lost = F.aggregate("byte_removed", F.lit(0).cast(T.LongType()), lambda s, r: s + r["stop"] - r["start"])
+    return out.select("doc_id", "n_bytes", lost.alias("n_removed"), F.size("byte_removed").cast("long").alias("n_spans"), F.sha2("byte_kept", 256).alias("kept_sha256"), F.col("word_kept").cast("string").alias("text"))

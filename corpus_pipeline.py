@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from cairn.llm import bpe, common, decontaminate, neardup, substrings, toxicity
 
-#: Least length in bytes of a repeat that is removed: less than fifty words of ordinary prose have.
-REPEAT = 256
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -31,8 +29,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document without the passages that stand elsewhere too; characters stay whole."""
-    cut = substrings.deduplicated(common.documents(docs), REPEAT, characters=True).select("doc_id", "crc", F.col("kept").cast("string").alias("text"))
+    """Every document without the passages of 50 words or more that stand elsewhere too."""
+    cut = substrings.deduplicated(common.documents(docs), {"word": substrings.WORDS}).select("doc_id", "crc", F.col("word_kept").cast("string").alias("text"))
     rest = docs.select(F.col("doc_id").alias("__id"), _crc().alias("__crc"), "lang", "source").dropDuplicates(["__id", "__crc"])
     out = cut.join(rest, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("crc") == F.col("__crc")))
     return out.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))

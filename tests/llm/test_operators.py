@@ -13,7 +13,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from cairn.llm import bpe, lm, media, neardup, quality, queries, sharding, substrings, tokenfiles, toxicity
+from cairn.llm import bpe, common, lm, media, neardup, quality, queries, sharding, substrings, tokenfiles, toxicity
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -120,7 +120,7 @@ def test_toxicity_folds_disguises(spark, sf_dir, rows):
 
 
 def test_repeated_substrings_against_all_windows(spark, sf_dir, rows):
-    texts, seen, n = raw_rows(rows), Counter(), substrings.LENGTH
+    texts, seen, n = raw_rows(rows), Counter(), substrings.LENGTH[substrings.BYTES]
     for _, t in texts:
         seen.update(t[i : i + n] for i in range(len(t) - n + 1))
     want = Counter()
@@ -136,6 +136,31 @@ def test_repeated_substrings_against_all_windows(spark, sf_dir, rows):
     assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in run(spark, "op4_substrings", sf_dir)) == want
 
 
+@pytest.mark.parametrize("crowd", [256, 2])
+def test_repeated_passages_against_all_windows(spark, rows, monkeypatch, crowd):
+    monkeypatch.setattr(substrings, "GROUP", crowd)
+    r, n = random.Random(4), substrings.LENGTH[substrings.WORDS]
+    word = lambda: "".join(r.choices("abcde", k=r.choice([1, 1, 2, 3])))
+    shared = [[word() for _ in range(k)] for k in (49, 50, 51, 90)]
+    more = [(600 + i, " ".join([*(word() for _ in range(r.randint(0, 60))), *shared[i % 4][: 90 if i < 12 else 60], *(word() for _ in range(r.randint(0, 60)))])) for i in range(24)]
+    rows, seen, want = rows + more, Counter(), Counter()
+    spans = {}
+    for k, (i, t) in enumerate(rows):
+        at = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())]
+        w = [(t or "").encode()[a:b].lower() for a, b in at]
+        spans[k] = at, [tuple(w[j : j + n]) for j in range(len(w) - n + 1)]
+        seen.update(spans[k][1])
+    for k, (i, t) in enumerate(rows):
+        at, windows = spans[k]
+        gone = {j + d for j, x in enumerate(windows) if seen[x] > 1 for d in range(n)}
+        raw = (t or "").encode()
+        ends = [*(a for a, _ in at[1:]), len(raw)]
+        want[i, b"".join([raw[: at[0][0] if at else len(raw)], *(raw[a:e] for j, ((a, _), e) in enumerate(zip(at, ends)) if j not in gone)])] += 1
+    docs = common.documents(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    got = Counter((x["doc_id"], bytes(x["word_kept"])) for x in substrings.deduplicated(docs, {"word": substrings.WORDS}).collect())
+    assert got == want
+
+
 def test_token_files_against_the_library(spark, sf_dir, rows):
     from tokenizers import Tokenizer
 
