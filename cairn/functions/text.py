@@ -2,9 +2,51 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Years, endings of paths by kind of page, languages and qualities at the end of paths and labels,
+# noise words, and labels that name no title.
+YEAR = r"(?:19[0-9]{2}|20[0-3][0-9])"
+TYPE_ENDINGS = ("-(?:tamil-)?web-series", "-tamil-season-[0-9]+", "-tamil-dubbed-movie", "-tamil-movie", "-movie", "-(?:tamil-)?movie-[0-9]+")
+LANGUAGES = "tamil|telugu|hindi|malayalam|kannada|english|dubbed"
+EDITIONS = "hd|hq|original|proper|predvd|dvdrip|hdrip|tvrip|webrip|bluray|1080p|720p|480p|360p"
+BRACKET_NOISE = "hd|dvd|web|blu|rip|1080p|720p|480p|360p|original|tamil|dubbed|proper|uncut"
+WORD_NOISE = "hd|dvdrip|hdrip|webrip|web-dl|tvrip|hdtv|predvd|1080p|720p|480p|360p|x264|bluray|original|movie"
+GENERIC_LABEL = (
+    r"(?i)^(?:download(?:\s+now|\s+links?|\s+file)?|watch(?:\s+online)?|click\s+here|play(?:\s+now)?|full\s+movie|movie|"
+    r"server\s*[0-9]*|link|file|zip|now|here|get\s+it|start\s+download)\z"
+)
+_S = r"[\s\u00a0]"
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once a row."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def number(c: Column) -> Column:
+    """A string of digits as a number; 0 for an empty one."""
+    return F.coalesce(F.nullif(c, F.lit("")).try_cast("int"), F.lit(0))
+
+
+def capture(c: Column, pattern: str, group: int = 1) -> Column:
+    """The group of the first match, an empty string without one."""
+    return F.regexp_extract(c, pattern, group)
+
+
+def erase(c: Column, *patterns: str) -> Column:
+    for pattern in patterns:
+        c = F.regexp_replace(c, pattern, "")
+    return c
+
+
+def squeeze(c: Column) -> Column:
+    """Single blanks for white space, none at the ends; null as empty."""
+    return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), f"{_S}+", " "))
+
 # Heights from which a resolution counts as a quality, and the ranks of qualities.
 QUALITY_HEIGHTS = ((1000, "1080p"), (700, "720p"), (460, "480p"), (340, "360p"))
 QUALITY_RANK = ("1080p", "720p", "480p", "360p")
@@ -25,8 +67,8 @@ def normalise_v2(c: Column) -> Column:
 
 
 def slugify(c: Column) -> Column:
-    """Lower case without parentheses, other characters to single hyphens."""
-    c = F.regexp_replace(F.lower(c), r"\([^)]*\)", "")
+    """Lower case, parentheses as a blank, other characters to single hyphens, none at the ends."""
+    c = F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"\([^\n]*?\)", " ")
     return F.regexp_replace(F.regexp_replace(c, "[^a-z0-9]+", "-"), "^-+|-+$", "")
 
 
@@ -36,14 +78,19 @@ def make_id(title: Column, year: Column) -> Column:
 
 
 def title_case(c: Column) -> Column:
-    """The first letter of each word in upper case, the rest as it is."""
-    return F.array_join(F.transform(F.split(c, " "), lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1 << 20))), " ")
+    """The first letter of each word in upper case if it is one of a-z; all else stays."""
+    raised = lambda w: F.when(w.rlike("^[a-z]"), F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1 << 30))).otherwise(w)
+    return F.array_join(F.transform(F.split(c, " "), raised), " ")
 
 
 def path_key(url: Column) -> Column:
-    """Path of a URL with a slash at its end, whatever the host; what has no scheme and host stays."""
-    path = F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1)
-    return F.when(url.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*://"), F.when(path.endswith("/"), path).otherwise(F.concat(path, F.lit("/")))).otherwise(url)
+    """The path of a URL, or of a link from the site's root, with one slash at its end, whatever the host, query
+    and fragment. Null is an empty path."""
+    url = F.coalesce(url, F.lit(""))
+    path = F.when(url.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*://"), capture(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)"))
+    path = F.coalesce(path.when(url.startswith("//"), capture(url, "^//[^/?#]*([^?#]*)")).otherwise(capture(url, "^([^?#]*)")), F.lit(""))
+    rooted = F.when(path.startswith("/") | (path == ""), path).otherwise(F.concat(F.lit("/"), path))
+    return F.concat(F.regexp_replace(rooted, "/+$", ""), F.lit("/"))
 
 
 def canonical_url(url: Column) -> Column:
@@ -59,34 +106,154 @@ def absolute_url(link: Column, base: Column) -> Column:
         F.when(link.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), link)
         .when(link.startswith("//"), F.concat(F.regexp_extract(base, "^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1), link))
         .when(link.startswith("/"), F.concat(origin, link))
+        .when(link.startswith("?"), F.concat(canonical_url(base), link))
         .otherwise(F.concat(F.when(F.length(folder) > F.length(origin) + 1, folder).otherwise(F.concat(origin, F.lit("/"))), link))
     )
 
 
-def title_from_path(path: Column) -> Column:
-    """A title from the last part of a path: extensions and language tails cut, a year at the end dropped,
-    hyphens to blanks, words in title case (N5)."""
-    last = F.regexp_extract(F.regexp_replace(path, "[?#].*$", ""), r"([^/]+)/*$", 1)
-    last = F.regexp_replace(last, r"(\.(html?|php|aspx?))+$", "")
-    last = F.regexp_replace(last, "(-(english|french|german|spanish|en|fr|de|es))+$", "")
-    return title_case(F.regexp_replace(F.regexp_replace(last, "-(19|20)[0-9]{2}$", ""), "[-_]+", " "))
+def _titled(title: Column, year: Column) -> Column:
+    return F.struct(title.alias("title"), year.alias("year"))
+
+
+def title_from_path(path: Column, site: str = "") -> Column:
+    """(title, year) from a path alone (N5): endings by kind of page go, as often as they come; the last year that
+    stands between hyphens, else the first one, is the year and goes; then languages and editions at the end.
+    `site` is a name that the site adds to its paths."""
+    endings = "(?:" + "|".join([f"-tamil-movie-{site}", f"-movie-{site}", *TYPE_ENDINGS, f"-{site}(?:-page)?"] if site else TYPE_ENDINGS) + ")"
+    tail = f"(?i)(?:-(?:{LANGUAGES}|{EDITIONS})+)+\\z"
+    apart, anywhere = f"^(.*)(?:^|-)({YEAR})(?=-|\\z)(.*)\\z", f"^(.*?)({YEAR})(.*)\\z"
+
+    def rest(s: Column) -> Column:
+        bare = F.when(s.rlike(apart), F.regexp_replace(s, apart, "$1-$3")).otherwise(F.regexp_replace(s, anywhere, "$1-$3"))
+        bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(bare, f"{_S}+", "-"), "-{2,}", "-"), "^-+|-+$", "")
+        bare = erase(bare, f"{endings}+\\z", tail)
+        year = F.when(s.rlike(apart), capture(s, apart, 2)).otherwise(capture(s, anywhere, 2))
+        return _titled(title_case(squeeze(F.regexp_replace(bare, "[-_]+", " "))), number(year))
+
+    return let(erase(F.regexp_replace(path_key(path), "^/+|/+$", ""), f"{endings}\\z"), rest)
+
+
+def clean_title(label: Column, path: Column, site: str = "") -> Column:
+    """(title, year) of a label (N6): all up to a year in brackets, else without a bare year; brackets with noise,
+    noise words, languages and editions at the end go, and a last dash. Without a title, the path's."""
+    bracket = r"\(((?:19|20)[0-9]{2})\)"
+    bare = f"{_S}({YEAR})(?:{_S}|\\z)"
+
+    def rest(s: Column) -> Column:
+        in_brackets = number(capture(s, bracket))
+        year = F.when(in_brackets > 0, in_brackets).otherwise(number(capture(s, bare)))
+        t = F.when(in_brackets > 0, F.trim(F.regexp_replace(s, f"{bracket}.*\\z", ""))).otherwise(F.trim(F.regexp_replace(s, f"^(.*?){bare}", "$1 ")))
+        t = F.trim(erase(t, f"(?i)(?:{_S}*\\((?=[^)]*(?:{BRACKET_NOISE}))[^)]*\\){_S}*)+\\z"))
+        t = F.trim(erase(t, f"(?i)(?:{_S}*\\b(?:{WORD_NOISE})\\b{_S}*)+\\z"))
+        t = erase(t, f"(?i)(?:{_S}+(?:{LANGUAGES}|{EDITIONS}|dvdr))+\\z")
+        return _titled(F.trim(erase(t, f"{_S}*[-\u2013]{_S}*\\z")), year)
+
+    found = let(squeeze(label), rest)
+    return let(F.struct(found.alias("own"), title_from_path(path, site).alias("path")), lambda x: F.when(x["own"]["title"] == "", x["path"]).otherwise(x["own"]))
+
+
+def title_for(label: Column, path: Column, site: str = "") -> Column:
+    """The final (title, year) of a listed item, null for junk (N7): the label's, unless it is generic or only the
+    path has a year and the label is no richer than the path."""
+
+    def rest(x: Column) -> Column:
+        own, path_ = x["own"], x["path"]
+        usable = (own["title"] != "") & ~own["title"].rlike(GENERIC_LABEL) & ~own["title"].startswith("(")
+        words = lambda c: F.size(F.split(c, " "))
+        richer = usable & (own["title"].rlike(r"[()\[\].:]") | (words(own["title"]) > words(path_["title"])))
+        year = F.when(usable, own["year"]).otherwise(0)
+        from_path = (year == 0) & (path_["year"] > 0)
+        first = F.when(usable, own["title"]).otherwise(path_["title"])
+        title = F.when(from_path & ~richer & (path_["title"] != ""), path_["title"]).otherwise(first)
+        return _titled(title, F.when(from_path, path_["year"]).otherwise(year))
+
+    found = let(F.struct(clean_title(label, path, site).alias("own"), title_from_path(path, site).alias("path")), rest)
+    return let(found, lambda t: F.when((t["title"] != "") & (slugify(t["title"]) != ""), t))
+
+
+def season_of(c: Column) -> Column:
+    """The number after "season", 0 without one."""
+    return number(capture(c, "(?i)season[- ]?0*([0-9]+)"))
+
+
+def episode_of(c: Column) -> Column:
+    """The number after "epi", "ep" or "episode", 0 without one."""
+    return number(capture(c, "(?i)(?:epi|ep|episode)[- ]?0*([0-9]+)"))
+
+
+def parse_label(label: Column, path: Column, folder: str = "/movie/") -> Column:
+    """(title, year, is_series, season) of a label such as "Name (2020) Season 3 (Epi 9)" (N8). The slug below
+    `folder` fills a missing title or year, its last year being the release's."""
+    year_words = f"(?i){_S}*\\({_S}*(?:19|20)[0-9]{{2}}{_S}*\\).*\\z"
+    slug_year = "^(.*)-((?:19|20)[0-9]{2})(?=-|\\z)(.*)\\z"
+
+    def named(x: Column) -> Column:
+        t, p = x["text"], x["path"]
+        title = F.trim(erase(t, year_words, f"(?i){_S}*[-(]?{_S}*tamil{_S}+dubbed.*\\z", f"(?i){_S}+tamil{_S}*\\z", f"{_S}*[\\[(].*\\z", r"[\s\u00a0\u00b7-]+\z"))
+        bracketed = number(capture(t, r"\(((?:19|20)[0-9]{2})\)"))
+        year = F.when(bracketed > 0, bracketed).otherwise(number(capture(t, r"(?<![0-9A-Za-z_])((?:19|20)[0-9]{2})(?![0-9A-Za-z_])")))
+        return F.struct(title.alias("title"), year.alias("year"), (t.rlike(r"(?i)web series|season\s*[0-9]") | p.contains("-web-series/")).alias("series"), season_of(t).alias("season"), erase(p, f"^{folder}", "/\\z").alias("slug"))
+
+    def filled_(x: Column) -> Column:
+        gap = (x["title"] == "") | (x["year"] == 0)
+        base = F.when(x["slug"].rlike(slug_year), capture(x["slug"], slug_year)).otherwise(x["slug"])
+        base = erase(base, "(?i)(?:-(?:tamil|english|hindi|kannada|telugu|malayalam)-?(?:dubbed)?|-(?:dubbed|web-series|web|hd|original|collections?))\\z")
+        from_slug = title_case(F.regexp_replace(base, "-", " "))
+        slug_season = number(capture(capture(x["slug"], slug_year, 3), "(?i)season[- ]?([0-9]+)"))
+        title = F.when(x["title"] == "", F.trim(from_slug)).otherwise(x["title"])
+        year = F.when(gap & (x["year"] == 0), number(capture(x["slug"], slug_year, 2))).otherwise(x["year"])
+        season = F.when(gap & (x["season"] == 0), slug_season).otherwise(x["season"])
+        return F.struct(title.alias("title"), year.alias("year"), (x["series"] | (gap & (slug_season > 0))).alias("is_series"), season.alias("season"))
+
+    def bare(x: Column) -> Column:
+        t = erase(x["title"], f"(?i){_S}*[-\u2013:\u2014]?{_S}*(?:episode|epi)\\.?{_S}*[0-9]+{_S}*(?:[-\u2013:\u2014].*)?\\z", f"(?i){_S}*[-\u2013:]?{_S}*season{_S}*[0-9]+{_S}+(?:e|ep|epi|episode)[- .]?{_S}*[0-9]+.*\\z", f"(?i){_S}*[-\u2013:]?{_S}*season{_S}*[0-9]+{_S}*(?:part{_S}*[0-9]+)?{_S}*\\z")
+        t = F.regexp_replace(t, f"(?i){_S}+tamil(?={_S}+(?:season|part)\\b|{_S}*\\z)", " ")
+        numbered = (x["season"] > 0) | x["title"].rlike(r"(?i)\b(?:epi|episode)\b")
+        return F.struct(F.when(numbered, F.trim(erase(t, r"[\s\u00a0\u00b7-]+\z"))).otherwise(x["title"]).alias("title"), x["year"].alias("year"), x["is_series"].alias("is_series"), x["season"].alias("season"))
+
+    return let(let(let(F.struct(squeeze(label).alias("text"), F.coalesce(path, F.lit("")).alias("path")), named), filled_), bare)
+
+
+def twin_base(title: Column) -> Column:
+    """A title without seasons, parts, volumes and years: what twins have in common."""
+    t = F.regexp_replace(F.lower(F.coalesce(title, F.lit(""))), r"\b(?:season|part|vol|volume)\s*[0-9]+\b", " ")
+    return normalise_v1(F.regexp_replace(t, r"\b(?:19|20)[0-9]{2}\b", " "))
+
+
+def display_name(title: Column, year: Column) -> Column:
+    """"title (year)", the year if it is known."""
+    return F.concat(title, F.when(F.coalesce(year, F.lit(0)) > 0, F.concat(F.lit(" ("), year.cast("string"), F.lit(")"))).otherwise(""))
+
+
+def until(hours: Column) -> Column:
+    """How long until a time, as a log says it."""
+    h = F.floor(hours + 0.5)
+    days = F.floor(h / 24 + 0.5)
+    return F.when(h < 1, "<1h").when(h < 48, F.concat(h.cast("string"), F.lit("h"))).otherwise(F.concat(days.cast("string"), F.lit("d")))
+
+
+def clock(ms: Column) -> Column:
+    """A duration as a log says it."""
+    return F.when(ms < 1000, F.concat(ms.cast("long").cast("string"), F.lit("ms"))).when(ms < 60_000, F.concat(F.format_string("%.1f", ms / 1000.0), F.lit("s"))).otherwise(F.concat(F.floor(ms / 60_000 + 0.5).cast("string"), F.lit("m")))
 
 
-def clean_title(label: Column) -> Column:
-    """A label up to its "(year)", without a bare year and noise words at its end."""
-    c = F.regexp_replace(label, r"\((19|20)[0-9]{2}\).*$", "")
-    c = F.regexp_replace(F.trim(c), r"( +(hd|full|movie|online|free|watch))+$", "")
-    return F.trim(F.regexp_replace(c, r" +(19|20)[0-9]{2}$", ""))
+def family(reason: Column) -> Column:
+    """A skip reason without its times."""
+    return F.regexp_replace(reason, " \u00b7 (?:refresh|retry) in .*$", "")
 
 
-def label_year(label: Column) -> Column:
-    """The first year in a label, 0 without one."""
-    return F.coalesce(F.nullif(F.regexp_extract(label, "((19|20)[0-9]{2})", 1), F.lit("")).try_cast("int"), F.lit(0))
+def quality_of(label: Column, link: Column, default: str = "HD") -> Column:
+    """The quality that a link names (N9); a site that labels pictures by size is covered by `sized_quality`."""
+    q = F.lower(capture(F.concat_ws(" ", label, link), "(?i)(1080p|720p|480p|360p)"))
+    return F.when(q == "", default).otherwise(q)
 
 
-def number_after(c: Column, word: str) -> Column:
-    """The number after a word, 0 without one."""
-    return F.coalesce(F.nullif(F.regexp_extract(F.lower(c), word + r"[ -]*([0-9]+)", 1), F.lit("")).try_cast("int"), F.lit(0))
+def sized_quality(label: Column, link: Column) -> Column:
+    """The quality that a link names, else by the height in "640x360", else empty."""
+    t = F.concat_ws(" ", label, link)
+    q, h = F.lower(capture(t, "(?i)(1080p|720p|480p|360p|240p)")), number(capture(t, "[0-9]{3,4}\\s*[x*\u00d7X]\\s*([0-9]{3,4})"))
+    by_height = F.when(h == 0, "").when(h < QUALITY_HEIGHTS[-1][0], F.concat(h.cast("string"), F.lit("p"))).otherwise(quality_bucket(h))
+    return F.when(q != "", q).otherwise(by_height)
 
 
 def quality_bucket(height: Column) -> Column:
@@ -112,8 +279,8 @@ def fingerprint(*columns: Column) -> Column:
 
 def split_credits(c: Column, most: int = 8) -> Column:
     """Names from a list with commas or "and": trimmed, distinct in order, no empty ones or n/a."""
-    names = F.transform(F.split(c, " *, *| +and +"), lambda x: F.trim(x))
-    return F.slice(F.array_distinct(F.filter(names, lambda x: (x != "") & (F.lower(x) != "n/a"))), 1, most)
+    names = F.transform(F.split(F.coalesce(c, F.lit("")), r",|\s+and\s+"), lambda x: F.trim(x))
+    return F.slice(F.array_distinct(F.filter(names, lambda x: (x != "") & ~x.rlike(r"(?i)^(?:n/?a|unknown|none|not available)\z"))), 1, most)
 
 
 def numeral(c: Column) -> Column:

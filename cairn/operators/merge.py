@@ -41,10 +41,15 @@ def ordered_union(base: DataFrame, fresh: DataFrame, keys: list[str], item: str,
     return lists.select(*keys, F.posexplode("__l").alias("__p", "__e")).select(*keys, F.col(f"__e.{item}").alias(item), (F.col("__p") + 1).alias(pos))
 
 
+def falsy(c: Column) -> Column:
+    """Whether a value counts as missing: null, false, an empty text, or the number zero; the text "0" is none."""
+    text = c.cast("string")
+    return c.isNull() | (text == "") | ((F.typeof(c) != "string") & text.rlike(r"^(?:false|-?0(?:\.0+)?)\z"))
+
+
 def filled(mine: Column, other: Column) -> Column:
-    """mine, or other where mine is missing: null, an empty string or zero."""
-    missing = mine.isNull() | (mine.cast("string") == "") | (mine.cast("string").rlike("^-?0(\\.0+)?$"))
-    return F.when(missing, other).otherwise(mine)
+    """mine, or other where mine is missing."""
+    return F.when(falsy(mine), other).otherwise(mine)
 
 
 def merge_records(ours: DataFrame, theirs: DataFrame, key: str, fields: list[str], at: str) -> DataFrame:

@@ -5,27 +5,200 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Words that tell a page of a guard from content.
-BLOCKED = r"(?i)(captcha|access denied|just a moment|enable javascript|attention required)"
+from cairn.functions import text
+
+# Words of a guard's page; links that lead nowhere useful; names of sections and of kinds of page.
+BLOCKED = r"(?i)just a moment|verify you are human|checking your browser|access denied|attention required|cf-error|error 10[0-9][0-9]"
+SOCIAL = r"(?i)telegram|t\.me|whatsapp|instagram"
+FOOTER = r"(?i)telegram|whatsapp|facebook|twitter|favicon|style\.min|/contact|/dmca"
+QUALITY_WORDS = r"(?i)[0-9]+p|hd|predvd|dvd|blu"
+ITEM = r"-(?:tamil-)?movie/$|-(?:tamil-)?web-series/$|-(?:tamil-)?season-[0-9]+/?$|-(?:tamil-)?movie-[0-9]+/$"
+NAVIGATION = r"^/tamil-movies/[a-z]?/?$|^/tamil-[0-9]{4}-movies|^/tamil-atoz|^/tamil-web-series-download|^/tamil-hd-movies|^/tamil-dubbed-movies|^/tamil-movies-collection|^/tamil-latest|^/feed|^/page/"
+SERIES = r"-web-series/$|-season-[0-9]+/?$"
+OTHER_ITEM, OTHER_SKIP = r"^/movie/(?![0-9]+/?$)[^/]+/$", r"-collections?/$|^/movie/(?:tamil|hollywood|genres|yearly)"
+
+_ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))[^>]*>(.*?)</a>"""
+
+
+def plain(html: Column) -> Column:
+    """Text of a piece of HTML: no tags, the usual entities, single blanks."""
+    t = F.regexp_replace(html, "<[^>]*>", "")
+    for entity, sign in (("&nbsp;|&#160;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;|&#34;", '"'), ("&#0?39;|&apos;", "'"), ("&amp;|&#38;", "&")):
+        t = F.regexp_replace(t, entity, sign)
+    return text.squeeze(t)
 
 
 def anchors(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """key, pos (from 0, in page order), href, label of every anchor with a link."""
-    found = F.regexp_extract_all(F.col(html), F.lit(r'(?s)<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'), F.lit(0))
-    a = pages.select(key, F.posexplode(found).alias("pos", "__a"))
-    label = F.trim(F.regexp_replace(F.regexp_extract("__a", r"(?s)<a\s[^>]*>(.*?)</a>", 1), "<[^>]*>", ""))
-    return a.select(key, "pos", F.regexp_extract("__a", r'href="([^"]*)"', 1).alias("href"), label.alias("label"))
+    """key, pos (from 0, in page order), href, label of every anchor with a link in any quotes (X1). Anchors of null
+    and empty pages are none."""
+    a = pages.select(key, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(_ANCHOR), F.lit(0))).alias("pos", "__a"))
+    part = lambda k: F.regexp_extract("__a", _ANCHOR, k)
+    return a.select(key, "pos", F.concat(part(1), part(2), part(3)).alias("href"), plain(part(4)).alias("label"))
+
+
+def useful(href: Column) -> Column:
+    """Whether a link leads anywhere."""
+    return (href != "") & ~href.startswith("#") & ~href.startswith("mailto:")
+
+
+def item_path(path: Column, other: bool = False) -> Column:
+    """Whether a path is an item's and not navigation (F1), on the other kind of site by its own rule (F2)."""
+    return path.rlike(OTHER_ITEM) & ~path.rlike(OTHER_SKIP) if other else path.rlike(ITEM) & ~path.rlike(NAVIGATION)
+
+
+def first_each(df: DataFrame, keys: list[str], pos: str) -> DataFrame:
+    """The first row by pos of each key (U4)."""
+    rest = [c for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), pos).alias("__r")).select(*keys, *(F.col(f"__r.{c}").alias(c) for c in rest))
+
+
+def listing(pages: DataFrame, other: bool = False) -> DataFrame:
+    """page_id, pos, path, label, kind of the items that listing pages show, each path once a page, in page order
+    (S7, X1, D5). pages: page_id, url, html; a guard's page fails (F3). The kind is a hint."""
+    checked = pages.withColumn("html", F.when(blocked(F.col("html")), F.raise_error(F.concat(F.lit("blocked document at "), F.col("url")))).otherwise(F.col("html")))
+    a = anchors(checked).where(useful(F.col("href"))).join(pages.select("page_id", "url"), "page_id")
+    a = a.withColumn("path", text.path_key(text.absolute_url(F.col("href"), F.col("url")))).where(item_path(F.col("path"), other))
+    hint = F.concat("label", "path").rlike(r"(?i)web series|season [0-9]|\bepi\b") | F.col("path").contains("-web-series/")
+    hint = hint if other else hint | F.col("path").rlike(SERIES)
+    return first_each(a.select("page_id", "pos", "path", "label", F.when(hint, "series").otherwise("movie").alias("kind")), ["page_id", "path"], "pos")
+
+
+def discovered(sources: list[DataFrame], key: str = "path") -> DataFrame:
+    """Items of several sources in their order, each path where it came first (S9, U2). Sources have pos."""
+    out = None
+    for k, df in enumerate(sources):
+        df = df.withColumn("source", F.lit(k))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    rest = [c for c in out.columns if c != key]
+    return out.groupBy(key).agg(F.min_by(F.struct(*rest), F.struct("source", "pos")).alias("__r")).select(key, *(F.col(f"__r.{c}").alias(c) for c in rest))
+
+
+def children(index: DataFrame, items: DataFrame) -> DataFrame:
+    """Items of the collections that an index lists, each path once (J14). index: pos, url; items: url, pos, path."""
+    j = index.select(F.col("pos").alias("__outer"), "url").join(items, "url")
+    return first_each(j.withColumn("pos", F.struct("__outer", "pos")).drop("__outer", "url"), ["path"], "pos").withColumn("pos", F.col("pos.__outer"))
+
+
+def folder_links(links: DataFrame) -> DataFrame:
+    """Links to folders and qualities, each URL once (X2): no navigation, collections or social sites; either a
+    quality is named or the path has one part. links: page_id, base, pos, href, label."""
+    href, label = F.col("href"), F.col("label")
+    ok = useful(href) & (href != "/") & ~F.concat(label, href).rlike(SOCIAL) & ~href.contains("-movies/") & ~href.contains("collection")
+    single = F.size(F.filter(F.split(href, "/"), lambda p: p != "")) == 1
+    named = label.rlike(QUALITY_WORDS) | href.rlike(r"(?i)[0-9]+p|hd-|predvd|dvd|blu")
+    out = links.where(ok & (named | single)).withColumn("url", text.absolute_url(href, F.col("base"))).withColumn("quality", text.quality_of(label, href))
+    return first_each(out.select("page_id", "pos", "url", "href", "label", "quality"), ["page_id", "url"], "pos")
+
+
+def slug_links(links: DataFrame) -> DataFrame:
+    """Links to download pages, not to files, each URL once, with the episode that they name."""
+    href = F.col("href")
+    out = links.where(href.contains("/download/") & ~href.contains("/download/file/") & ~href.contains("/download/page/"))
+    out = out.withColumn("url", text.absolute_url(href, F.col("base"))).withColumn("episode", text.episode_of(href)).withColumn("season", text.season_of(href))
+    return first_each(out.select("page_id", "pos", "url", "href", "label", "season", "episode"), ["page_id", "url"], "pos")
+
+
+def labelled_links(links: DataFrame) -> DataFrame:
+    """Links with a label, each URL once, without footers and samples."""
+    out = links.where(useful(F.col("href")) & (F.col("label") != "")).withColumn("url", text.absolute_url(F.col("href"), F.col("base")))
+    out = first_each(out.select("page_id", "pos", "url", "href", "label"), ["page_id", "url"], "pos")
+    return out.where(~F.concat("href", "label").rlike(FOOTER) & ~F.col("label").rlike("(?i)sample"))
+
+
+def file_ids(html: Column) -> Column:
+    """Distinct numbers of files that a page links, in order."""
+    return F.array_distinct(F.regexp_extract_all(html, F.lit("/download/file/([0-9]+)"), F.lit(1)))
+
+
+def poster(html: Column, host: str) -> Column:
+    """The page's own poster: the first picture below /uploads/posters/, else a stray mention of one, else empty."""
+    img = F.regexp_extract(html, r"""(?i)<img[^>]+src=["']([^"']*/uploads/posters/[^"']+)["']""", 1)
+    stray = F.regexp_extract(html, r"""(?i)/uploads/posters/([^"'\s)]+\.(?:jpe?g|png|webp))""", 1)
+    path = F.regexp_extract(text.canonical_url(img), "^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?(?://[^/]*)?(.*)$", 1)
+    return F.when(img != "", F.concat(F.lit(host), F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path)))).when(stray != "", F.concat(F.lit(f"{host}/uploads/posters/"), stray)).otherwise("")
+
+
+def source_metadata(html: Column) -> Column:
+    """What a page says of its work (X4): struct of available, title, year, directors, people_cast (at most eight),
+    from rows "key: value" of a list and, for the title, else the first heading or the page's title."""
+    pairs = F.regexp_extract_all(html, F.lit(r"(?is)<li\b[^>]*>\s*<strong\b[^>]*>.*?</li>"), F.lit(0))
+    key = lambda li: F.lower(F.trim(F.regexp_replace(plain(F.regexp_extract(li, r"(?is)<strong\b[^>]*>(.*?)</strong>", 1)), r":\s*$", "")))
+    value = lambda li: plain(F.regexp_extract(li, r"(?is)<span\b[^>]*>(.*?)</span>", 1))
+    rows = F.filter(F.transform(pairs, lambda li: F.struct(key(li).alias("key"), value(li).alias("value"))), lambda r: (r["key"] != "") & (r["value"] != ""))
+
+    def named(f: Column) -> Column:
+        of = lambda *names: F.coalesce(*(_last(f["rows"], n) for n in names))
+        title = F.trim(F.coalesce(of("movie"), f["heading"], F.lit("")))
+        return F.struct((title != "").alias("available"), title.alias("title"), text.number(F.regexp_extract(title, r"\(((?:19|20)[0-9]{2})\)", 1)).alias("year"), text.split_credits(of("director"), 1 << 30).alias("directors"), text.split_credits(of("starring", "actors", "stars")).alias("people_cast"))
+
+    return text.let(F.struct(rows.alias("rows"), heading(html).alias("heading")), named)
+
+
+def _last(rows: Column, name: str) -> Column:
+    """The value of the last row of a name, null without one."""
+    hits = F.filter(rows, lambda r: r["key"] == name)
+    return F.get(hits, F.size(hits) - 1)["value"]
 
 
 def heading(html: Column) -> Column:
     """Text of the first h1, of the title without one, else null."""
-    text = lambda tag: F.nullif(F.trim(F.regexp_replace(F.regexp_extract(html, rf"(?s)<{tag}[^>]*>(.*?)</{tag}>", 1), "<[^>]*>", "")), F.lit(""))
-    return F.coalesce(text("h1"), text("title"))
+    text_of = lambda tag: F.nullif(plain(F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>", 1)), F.lit(""))
+    return F.coalesce(text_of("h1"), text_of("title"))
 
 
 def blocked(html: Column) -> Column:
     """Whether the first 4,000 characters look like a guard's page."""
-    return F.substring(html, 1, 4000).rlike(BLOCKED)
+    return F.coalesce(F.substring(html, 1, 4000), F.lit("")).rlike(BLOCKED)
+
+
+def plan_walk(path: Column, has_episodes: Column, has_season_folders: Column) -> Column:
+    """Which walk a page needs (G5): its links tell, the path is a hint."""
+    return F.when(path.rlike("-web-series(?:/|-)|-season-[0-9]+/?$") | has_episodes | has_season_folders, "series").otherwise("movie")
+
+
+def hops(edges: DataFrame, roots: DataFrame, caps: tuple[int, ...], rank: list[Column]) -> DataFrame:
+    """(root, leaf, depth): a walk of as many hops as there are caps, each following a page's best links, no more
+    than the hop's cap of them (G1); a page that ends early is a leaf. edges: src, dst and what ranks them."""
+    n = F.row_number().over(Window.partitionBy("src").orderBy(*rank))
+    best = edges.withColumn("__n", n).where(F.col("__n") <= max(caps)).select("src", "dst", "__n")
+    at = roots.select(F.col("node").alias("root"), F.col("node").alias("leaf")).withColumn("depth", F.lit(0))
+    done = None
+    for k, cap in enumerate(caps, 1):
+        step = at.join(best.where(F.col("__n") <= cap), at["leaf"] == best["src"], "left")
+        ended = step.where("src IS NULL").select("root", "leaf", "depth")
+        done = ended if done is None else done.unionByName(ended)
+        at = step.where("src IS NOT NULL").select("root", F.col("dst").alias("leaf")).distinct().withColumn("depth", F.lit(k))
+    return done.unionByName(at).groupBy("root", "leaf").agg(F.min("depth").alias("depth"))
+
+
+def series_walk(links: DataFrame, roots: DataFrame, depth: int = 3) -> DataFrame:
+    """(root, season, episode, url, quality) of the episodes that links lead to (G2): pages hand their season and
+    quality down, a link's own come first; an episode keeps its best quality's first link.
+
+    links: page, pos, target, label, href. Every hop is a join and their number is fixed.
+    """
+    season, episode, quality = text.season_of(F.concat_ws(" ", "label", "href")), text.episode_of(F.col("href")), text.quality_of(F.col("label"), F.col("href"), "")
+    e = links.select("page", "pos", "target", season.alias("l_season"), episode.alias("l_episode"), quality.alias("l_quality"))
+    at = roots.select(F.col("node").alias("root"), F.col("node").alias("page"), text.season_of(F.col("node")).alias("season"), F.lit("").alias("quality"))
+    found = None
+    for _ in range(depth):
+        step = at.join(e, "page").select("root", "pos", "target", F.when(F.col("l_season") > 0, F.col("l_season")).otherwise(F.col("season")).alias("season"), "l_episode", F.when(F.col("l_quality") != "", F.col("l_quality")).otherwise(F.col("quality")).alias("quality"))
+        leaf = step.where("l_episode > 0").select("root", F.greatest("season", F.lit(1)).alias("season"), F.col("l_episode").alias("episode"), F.col("target").alias("url"), F.when(F.col("quality") == "", "HD").otherwise(F.col("quality")).alias("quality"), "pos")
+        found = leaf if found is None else found.unionByName(leaf)
+        at = step.where("l_episode = 0").select("root", F.col("target").alias("page"), "season", "quality").distinct()
+    order = F.struct(text.quality_rank(F.col("quality")).alias("q"), F.col("pos"), F.col("url"))
+    return found.groupBy("root", "season", "episode").agg(F.min_by(F.struct("url", "quality"), order).alias("b")).select("root", "season", "episode", "b.url", "b.quality")
+
+
+def newest_episodes(episodes: DataFrame, most: int = 200) -> DataFrame:
+    """Each root's latest episodes, at most so many."""
+    n = F.row_number().over(Window.partitionBy("root").orderBy(F.desc("season"), F.desc("episode")))
+    return episodes.withColumn("__n", n).where(F.col("__n") <= most).drop("__n")
+
+
+def walked_shape(n_episodes: Column, n_seasons: Column, n_files: Column) -> Column:
+    """What a page of the other kind of site holds (G4): episodes, folders of seasons, a movie, or nothing."""
+    return F.when(n_episodes > 0, "episodes").when(n_seasons > 0, "seasons").when(n_files > 0, "movie").otherwise("empty")
 
 
 def shape(n_items: Column, n_folders: Column) -> Column:

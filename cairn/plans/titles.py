@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cairn.functions import text
-from cairn.operators import match, pages
+from cairn.operators import match, pages, resolve
 from cairn.sources.tables import table
 
 
@@ -22,7 +22,7 @@ LABELS = "(SELECT p_partkey, p_name, p_size, p_brand, p_name || ' (' || (1950 +
 
 def normalise_v1(spark, d):
     """N1."""
-    return table(spark, d, "documents").select("doc_id", text.normalise_v1(F.substring("text", 1, 60)).alias("title"))
+    return table(spark, d, "documents").select("doc_id", text.normalise_v1(F.col("text")).alias("title"))
 
 
 def normalise_v2(spark, d):
@@ -46,21 +46,53 @@ def title_case(spark, d):
     return labels_(spark, d).select("p_partkey", text.title_case(F.col("p_name")).alias("title"))
 
 
+def _variant(*values):
+    """One of some values by part, in turns."""
+    return F.element_at(F.array(*(v if hasattr(v, "alias") else F.lit(v) for v in values)), (F.col("p_partkey") % len(values) + 1).cast("int"))
+
+
+def _listed(spark, d):
+    """Parts as listed items: a label and a path in several spellings of the same title and year."""
+    p = table(spark, d, "part").withColumn("year", (F.lit(1950) + F.col("p_size")).cast("string"))
+    slug = F.regexp_replace("p_name", " ", "-")
+    path = F.concat(F.lit("/"), slug, _variant(F.concat(F.lit("-"), F.col("year"), F.lit("-tamil-movie/")), "-tamil-dubbed-movie/", F.concat(F.lit("-"), F.col("year"), F.lit("-hd-1080p-movie/")), "-web-series/", F.concat(F.lit("-"), F.col("year"), F.lit("-movie-2//?page=1"))))
+    label = _variant(F.concat("p_name", F.lit(" ("), "year", F.lit(") Tamil HD")), F.concat("p_name", F.lit(" "), "year", F.lit(" HD 720p")), F.concat("p_name", F.lit(" (Original HD)")), F.concat(F.lit("  "), "p_name", F.lit(" - ")), "Download Now", F.concat(F.lit("The "), "p_name", F.lit(": Part")))
+    return p.select("p_partkey", "p_name", "p_size", label.alias("label"), path.alias("path"))
+
+
 def title_from_path(spark, d):
-    """N5, over the parts' slugs as paths."""
-    path = F.concat(F.lit("/x/"), F.replace("p_name", F.lit(" "), F.lit("-")), F.lit("-english-"), (F.lit(1950) + F.col("p_size")).cast("string"), F.lit("-fr-en.html"))
-    return labels_(spark, d).select("p_partkey", text.title_from_path(path).alias("title"))
+    """N5, over paths in five spellings."""
+    return _listed(spark, d).select("p_partkey", text.title_from_path(F.col("path")).alias("t")).select("p_partkey", "t.title", "t.year")
 
 
 def clean_title(spark, d):
-    """N6."""
-    return labels_(spark, d).select("p_partkey", text.clean_title(F.lower("label")).alias("title"))
+    """N6, over labels in six spellings."""
+    return _listed(spark, d).select("p_partkey", text.clean_title(F.col("label"), F.col("path")).alias("t")).select("p_partkey", "t.title", "t.year")
+
+
+def title_for(spark, d):
+    """Label against path, all pairs of the spellings."""
+    return _listed(spark, d).select("p_partkey", text.title_for(F.col("label"), F.col("path")).alias("t")).select("p_partkey", "t.title", "t.year")
 
 
 def parse_label(spark, d):
-    """Title, year, season and whether it is a series."""
-    season = text.number_after(F.col("label"), "season")
-    return labels_(spark, d).select("p_partkey", text.clean_title(F.lower("label")).alias("title"), text.label_year(F.col("label")).alias("year"), season.alias("season"), (season > 0).alias("is_series"))
+    """Title, year, season and whether it is a series."""
+    year = (F.lit(1950) + F.col("p_size")).cast("string")
+    slug = F.concat(F.lit("/movie/"), F.regexp_replace("p_name", " ", "-"), F.lit("-"), year, F.lit("-season-4-tamil-dubbed-movie/"))
+    label = _variant(F.concat("p_name", F.lit(" ("), year, F.lit(") Tamil Dubbed Movie (Original HD)")), F.concat("p_name", F.lit(" ("), year, F.lit(") Season 07 (Epi 9 x)")), "", F.concat("p_name", F.lit(" Season 3 Episode 2 ["), year, F.lit("]")))
+    return table(spark, d, "part").select("p_partkey", text.parse_label(label, slug).alias("t")).select("p_partkey", "t.*")
+
+
+def twin_base(spark, d):
+    """What twins have in common."""
+    t = _variant(F.concat("p_name", F.lit(" Season "), F.col("p_size").cast("string")), F.concat("p_name", F.lit(" (2020) Vol 2")), F.concat("p_name", F.lit(" part 1!")))
+    return table(spark, d, "part").select("p_partkey", text.twin_base(t).alias("base"))
+
+
+def log_texts(spark, d):
+    """Names, durations and reasons as a log says them."""
+    e = table(spark, d, "events")
+    return e.select("event_id", text.display_name(F.col("event_type"), F.col("user_id") % 3).alias("name"), text.until(F.col("event_id") % 90 * 1.0).alias("until"), text.clock(F.col("event_id") * 500).alias("clock"), text.family(F.concat("event_type", F.lit(" · refresh in 5h"))).alias("family"))
 
 
 def quality_bucket(spark, d):
@@ -101,9 +133,45 @@ def blocked_pages(spark, d):
 
 
 def item_path_filter(spark, d):
-    """pages whose path is an item's and no navigation."""
-    path = text.path_key(F.col("url"))
-    return table(spark, d, "pages").where(path.rlike("^/(en|fr)/[0-9]+") & ~path.rlike("/(tag|page|category)/")).select("page_id", path.alias("path"))
+    """paths that are an item's and no navigation, by either site's rule."""
+    slug = F.regexp_replace("p_name", " ", "-")
+    path = _variant(F.concat(F.lit("/"), slug, F.lit("-tamil-movie/")), F.concat(F.lit("/"), slug, F.lit("-season-3")), F.concat(F.lit("/movie/"), slug, F.lit("/")), "/tamil-2024-movies/", F.concat(F.lit("/"), slug, F.lit("/")), "/movie/123/", F.concat(F.lit("/movie/"), slug, F.lit("-collection/")))
+    return table(spark, d, "part").select("p_partkey", pages.item_path(path).alias("item"), pages.item_path(path, other=True).alias("other_item"))
+
+
+def listing(spark, d):
+    """The items of every page, each path once, where any link in the wiki counts as an item's."""
+    a = pages.anchors(table(spark, d, "pages")).where(pages.useful(F.col("href"))).join(table(spark, d, "pages").select("page_id", "url"), "page_id")
+    a = a.withColumn("path", text.path_key(text.absolute_url(F.col("href"), F.col("url"))))
+    return pages.first_each(a.select("page_id", "path", "pos", "label"), ["page_id", "path"], "pos")
+
+
+def discovered(spark, d):
+    """Three sources in order, each path where it came first."""
+    p = table(spark, d, "part").select(F.col("p_name").alias("path"), F.col("p_partkey").cast("int").alias("pos"), "p_brand")
+    return pages.discovered([p.where(f"p_brand LIKE '%{k}'") for k in (3, 1, 2)]).select("path", "source", "pos", "p_brand")
+
+
+def page_posters(spark, d):
+    """Pictures and files that pages name."""
+    shown = F.concat("html", F.when(F.col("page_id") % 3 == 0, F.concat(F.lit('<img alt="" src="https://h/uploads/posters/'), F.col("page_id").cast("string"), F.lit('.jpg?x">'))).when(F.col("page_id") % 3 == 1, F.concat(F.lit(" /uploads/posters/"), F.col("page_id").cast("string"), F.lit(".webp "))).otherwise(""))
+    return table(spark, d, "pages").select("page_id", pages.poster(shown, "https://p").alias("poster"))
+
+
+def source_metadata(spark, d):
+    """What a page's rows say of its work."""
+    li = lambda k, v: F.concat(F.lit(f"<li><strong>{k}:</strong><span>"), v, F.lit("</span></li>"))
+    html = F.concat(F.lit("<ul>"), li("Movie", F.concat("p_name", F.lit(" ("), (F.lit(1950) + F.col("p_size")).cast("string"), F.lit(")"))), li("Director", F.col("p_brand")), li("Starring", F.concat("p_type", F.lit(", N/A, "), "p_brand", F.lit(" and "), "p_type")), F.lit("</ul>"))
+    m = table(spark, d, "part").select("p_partkey", pages.source_metadata(html).alias("m"))
+    return m.select("p_partkey", "m.available", "m.title", "m.year", F.array_join("m.directors", "|").alias("directors"), F.array_join("m.people_cast", "|").alias("people_cast"))
+
+
+def episode_walk(spark, d):
+    """Episodes of a supplier's parts; suppliers hand their season down."""
+    li = table(spark, d, "lineitem").select("l_suppkey", F.col("l_linenumber").alias("season"), (F.col("l_partkey") % 9).alias("episode")).distinct()
+    top = li.select(F.col("l_suppkey").cast("string").alias("page"), F.col("season").alias("pos"), F.concat_ws("/", F.col("l_suppkey").cast("string"), "season").alias("target"), F.concat(F.lit("Season "), "season").alias("label"), F.lit("").alias("href")).distinct()
+    leaf = li.select(F.concat_ws("/", F.col("l_suppkey").cast("string"), "season").alias("page"), F.col("episode").cast("int").alias("pos"), F.concat_ws("/", F.col("l_suppkey").cast("string"), "season", "episode").alias("target"), F.lit("720p").alias("label"), F.concat(F.lit("epi-"), F.col("episode").cast("string")).alias("href"))
+    return pages.series_walk(top.unionByName(leaf), table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("node")), 2)
 
 
 def shape_classifier(spark, d):
@@ -137,48 +205,79 @@ def barren_streak(spark, d):
     return pages.barren_cut(e, "listing", "page", "fresh").groupBy("listing").agg(F.count("*").alias("pages"), F.sum("fresh").alias("fresh"))
 
 
+def _candidates(spark, d):
+    """Parts of odd keys as entities of two types, with a second title."""
+    c = table(spark, d, "part").where("p_partkey % 2 = 1")
+    kind = F.when(F.col("p_partkey") % 6 == 1, "tv").otherwise("movie")
+    date = F.concat((F.lit(1950) + F.col("p_size")).cast("string"), F.lit("-06-01"))
+    none = F.lit(None).cast("string")
+    return c.select(F.col("p_partkey").alias("id"), kind.alias("type"), F.when(kind == "movie", F.col("p_name")).alias("title"), F.concat_ws(" ", "p_brand", "p_name").alias("original_title"), F.when(kind == "tv", F.col("p_name")).alias("name"), none.alias("original_name"), F.array(F.concat("p_name", F.lit(" II"))).alias("alternatives"), date.alias("release_date"), date.alias("first_air_date"), F.array(F.struct(F.lit(2).alias("season_number"), F.concat((F.lit(1951) + F.col("p_size")).cast("string"), F.lit("-01-01")).alias("air_date"), F.lit("/s").alias("poster_path"))).alias("seasons"), F.lit("/g").alias("poster_path"))
+
+
+def _records(spark, d):
+    """Parts of even keys as records that look for their entity."""
+    p = table(spark, d, "part").where("p_partkey % 2 = 0")
+    return p.select(F.col("p_partkey").alias("record"), "p_name", F.upper("p_name").alias("title"), (F.lit(1950) + F.col("p_size")).alias("year"), F.when(F.col("p_partkey") % 4 == 0, "series").otherwise("movie").alias("kind"), F.when(F.col("p_partkey") % 10 == 0, F.col("p_partkey") + 1).when(F.col("p_partkey") % 10 == 2, F.col("p_partkey") + 100_001).otherwise(0).alias("tmdb_id"))
+
+
 def unique_exact_match(spark, d):
-    """Parts with just one counterpart of another residue by name and size."""
-    p = table(spark, d, "part")
-    a = p.where("p_partkey % 2 = 0").select("p_partkey", text.normalise_v1(F.col("p_name")).alias("title"), F.col("p_size").alias("year"))
-    b = p.where("p_partkey % 2 = 1").select(F.col("p_partkey").alias("candidate"), text.normalise_v1(F.col("p_name")).alias("title"), F.col("p_size").alias("year"))
-    return match.unique_exact(a, b, "p_partkey", "candidate", ["title", "year"])
+    """Records with just one movie of their title, under any of its titles, and year."""
+    return resolve.pick(_records(spark, d), _candidates(spark, d), "movie").withColumnRenamed("record", "p_partkey")
+
+
+def alternative_match(spark, d):
+    """T4, T5: the same by an official alternative, and without blanks."""
+    r = _records(spark, d)
+    alias = resolve.pick(r.withColumn("title", F.concat("p_name", F.lit(" ii"))), _candidates(spark, d), "movie", alternatives=True).withColumn("how", F.lit("alternative"))
+    return alias.unionByName(resolve.pick(r.withColumn("title", F.regexp_replace("p_name", " ", "")), _candidates(spark, d), "movie", compact=True).withColumn("how", F.lit("compact")))
 
 
 def season_year_match(spark, d):
-    """Exact title and the year of any season."""
-    p = table(spark, d, "part")
-    a = p.where("p_partkey % 2 = 0").select("p_partkey", "p_name", F.col("p_size").alias("year"))
-    b = p.where("p_partkey % 2 = 1").select(F.col("p_partkey").alias("candidate"), "p_name", F.explode(F.sequence(F.col("p_size"), F.col("p_size") + 2)).alias("year"))
-    return match.unique_exact(a, b, "p_partkey", "candidate", ["p_name", "year"])
+    """The show whose second season was aired in the record's year, with the season's poster."""
+    r = _records(spark, d).select("record", F.concat("p_name", F.lit(" Season 2")).alias("title"), "year", F.lit(0).alias("season"))
+    return resolve.season_pick(r, _candidates(spark, d))
 
 
 def resolution_chain(spark, d):
-    """The stored id, else the unique match of the own kind, else of any kind."""
-    p = table(spark, d, "part").select("p_partkey", "p_name", "p_size", "p_type")
-    stored = p.where("p_partkey % 10 = 0").select("p_partkey", F.col("p_partkey").alias("by_id"))
-    other = p.where("p_partkey % 2 = 1").select(F.col("p_partkey").alias("candidate"), "p_name", "p_size", "p_type")
-    mine = p.where("p_partkey % 2 = 0")
-    own = match.unique_exact(mine, other, "p_partkey", "candidate", ["p_name", "p_size", "p_type"]).select("p_partkey", F.col("candidate").alias("own"))
-    any_ = match.unique_exact(mine, other, "p_partkey", "candidate", ["p_name", "p_size"]).select("p_partkey", F.col("candidate").alias("cross"))
-    out = mine.join(stored, "p_partkey", "left").join(own, "p_partkey", "left").join(any_, "p_partkey", "left")
-    how = F.when(F.col("by_id").isNotNull(), "id").when(F.col("own").isNotNull(), "own").when(F.col("cross").isNotNull(), "cross").otherwise("none")
-    return out.select("p_partkey", F.coalesce("by_id", "own", "cross").alias("match"), how.alias("how"))
+    """The stored id, the id in the other type, the unique match of the own type, of a show, or what the record had."""
+    out = resolve.resolve(_records(spark, d), _candidates(spark, d), verify_ids=True)
+    return out.select(F.col("record").alias("p_partkey"), F.col("candidate").alias("match"), "type", "how")
+
+
+def override_outcome(spark, d):
+    """Reviewed mappings, some with a wrong title, some to nothing."""
+    c = _candidates(spark, d)
+    o = c.select((F.col("id") - 1).alias("id"), F.when(F.col("id") % 5 == 0, F.col("id") + 1).otherwise(F.col("id")).alias("tmdb_id"), F.col("type").alias("tmdb_type"), F.when(F.col("id") % 7 == 0, "Other").otherwise(F.coalesce("title", "name")).alias("expected_title"))
+    return resolve.override_outcome(_records(spark, d), o, c)
+
+
+def lookup_notes(spark, d):
+    """The first thirty notes of a lookup, of them the last twelve, the last reason, and whether to review."""
+    e = table(spark, d, "events").select(F.col("user_id").alias("record"), F.col("event_id").alias("seq"), F.when(F.col("event_type") == "signup", "media-type-conflict").otherwise(F.col("event_type")).alias("reason"))
+    return resolve.noted(e).select("record", F.array_join("notes", ",").alias("notes"), "reason", "review")
+
+
+def search_outcome(spark, d):
+    """Failed and truncated searches are no misses; regional shows are not guessed."""
+    e = table(spark, d, "events")
+    status = resolve.search_status(F.col("event_type") == "purchase", F.col("event_type") != "error", F.col("event_id") % 8)
+    language = F.when(F.col("event_id") % 3 == 0, "ta").when(F.col("event_id") % 3 == 1, "te").otherwise("")
+    return e.select("event_id", status.alias("status"), resolve.regional_ambiguous(F.col("event_id") % 2 == 0, language, F.lit("te"), F.col("user_id") % 5 > 0).alias("ambiguous"))
 
 
 def credit_evidence(spark, d):
     """Suppliers of an order as people: names found in the cast or as director count people once."""
-    li = table(spark, d, "lineitem").where("l_orderkey % 20 = 0").select(F.col("l_orderkey").alias("record"), (F.col("l_suppkey") % 50).alias("name"), (F.col("l_linenumber") == 1).alias("director"))
-    people = table(spark, d, "supplier").select((F.col("s_suppkey") % 50).alias("name"), F.col("s_nationkey").alias("person")).where("name < 25")
-    hit = li.join(F.broadcast(people.groupBy("name").agg(F.min("person").alias("person"))), "name", "left")
-    g = hit.groupBy("record").agg(F.countDistinct(F.when(~F.col("director"), F.col("person"))).alias("actors"), F.countDistinct("person").alias("people"), F.count(F.when(F.col("director"), F.col("person"))).alias("directors"), F.count("*").alias("named"))
-    return g.select("record", match.credit_verdict(F.col("actors"), F.col("people"), F.col("directors"), F.col("named")).alias("verdict"))
+    li = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("record"), F.lit(0).alias("candidate"), (F.col("l_suppkey") % 50).cast("string").alias("name"), (F.col("l_linenumber") == 1).alias("director"))
+    people = table(spark, d, "supplier").select((F.col("s_suppkey") % 50).alias("n"), F.col("s_nationkey").alias("person")).where("n < 25").groupBy("n").agg(F.min("person").alias("person"))
+    people = people.select(F.lit(0).alias("candidate"), "person", F.col("n").cast("string").alias("name"), F.explode(F.array(F.lit(True), F.lit(False))).alias("director"))
+    out = resolve.credits(li, people)
+    return out.select("record", F.when(F.col("strong"), "strong").when(F.col("contradiction"), "contradiction").otherwise("weak").alias("verdict"))
 
 
 CREDIT_SQL = """WITH p AS (SELECT s_suppkey % 50 AS name, min(s_nationkey) AS person FROM supplier WHERE s_suppkey % 50 < 25 GROUP BY 1),
-h AS (SELECT l_orderkey AS record, l_linenumber = 1 AS director, person FROM lineitem LEFT JOIN p ON p.name = l_suppkey % 50 WHERE l_orderkey % 20 = 0),
-g AS (SELECT record, count(DISTINCT person) FILTER (NOT director) AS actors, count(DISTINCT person) AS people, count(person) FILTER (director) AS directors, count(*) AS named FROM h GROUP BY ALL)
-SELECT record, CASE WHEN actors >= 2 OR directors >= 1 AND people >= 2 THEN 'strong' WHEN named > 0 AND people = 0 THEN 'contradiction' ELSE 'weak' END AS verdict FROM g"""
+h AS (SELECT l_orderkey AS record, l_linenumber = 1 AS director, person FROM lineitem LEFT JOIN p ON p.name = l_suppkey % 50),
+g AS (SELECT record, count(DISTINCT person) FILTER (NOT director) AS actors, count(DISTINCT person) AS people, count(DISTINCT person) FILTER (director) AS directors FROM h GROUP BY ALL)
+SELECT record, CASE WHEN actors >= 2 OR (actors >= 1 AND directors >= 1 AND people >= 2) THEN 'strong' WHEN people = 0 THEN 'contradiction' ELSE 'weak' END AS verdict FROM g"""
 
 
 def title_similarity(spark, d):
@@ -191,19 +290,21 @@ def title_similarity(spark, d):
 def evidence_decision(spark, d):
     """E1 over the credit verdicts."""
     c = credit_evidence(spark, d)
-    v = match.evidence_decision(F.col("record") % 3 == 0, F.col("record") % 7 != 0, F.col("verdict"), F.col("record") % 4)
+    on = lambda n, k=0: F.col("record") % n == k
+    v = resolve.evidence_outcome(on(29), on(31), ~on(3), on(7), ~on(11), on(2), F.col("verdict") == "contradiction", F.col("verdict") == "strong", F.when(on(4), 2020).otherwise(2023), F.lit(2023), on(13), on(5), on(17))
     return c.select("record", v.alias("decision"))
 
 
 def outcome_status(spark, d):
-    """The status of each lookup."""
-    s = match.outcome_status(F.col("event_type") != "error", F.col("event_type") == "purchase", F.col("event_type") == "signup")
-    return table(spark, d, "events").select("event_id", s.alias("status"))
+    """The status and the reason of each lookup."""
+    e = table(spark, d, "events")
+    o = resolve.outcome(F.col("event_type") != "error", F.col("event_type") == "purchase", F.when(F.col("event_id") % 4 > 0, "ta"), F.when(F.col("event_id") % 3 > 0, "exact"), F.col("event_type") == "signup", F.when(F.col("event_id") % 5 > 0, "noted"), F.col("event_id") % 6 == 0)
+    return e.select("event_id", o.alias("o")).select("event_id", "o.status", "o.reason")
 
 
 def title_guard(spark, d):
     """documents whose first words stand in the neighbour's text."""
-    t = table(spark, d, "documents").select("doc_id", F.lower("text").alias("t"), F.lower(F.substring("text", 1, 40)).alias("w"))
+    t = table(spark, d, "documents").select("doc_id", F.lower("text").alias("t"), F.lower("text").alias("w"))
     other = t.select((F.col("doc_id") - 1).alias("doc_id"), F.col("t").alias("o"))
     return t.join(other, "doc_id").select("doc_id", match.title_guard(F.col("w"), F.col("o")).alias("same"))
 
@@ -217,35 +318,43 @@ def override_validation(spark, d):
     return p.select("p_partkey", fault.alias("fault"))
 
 
-QUERIES = {f.__name__: f for f in (normalise_v1, normalise_v2, slugify, make_id, title_case, title_from_path, clean_title, parse_label, quality_bucket, path_key, identity_fingerprint, split_credits, page_anchors, page_heading, blocked_pages, item_path_filter, shape_classifier, bounded_expansion, http_retry_class, pagination_cut, barren_streak, unique_exact_match, season_year_match, resolution_chain, credit_evidence, title_similarity, evidence_decision, outcome_status, title_guard, override_validation)}
+QUERIES = {f.__name__: f for f in (normalise_v1, normalise_v2, slugify, make_id, title_case, title_from_path, clean_title, title_for, parse_label, twin_base, log_texts, quality_bucket, path_key, identity_fingerprint, split_credits, page_anchors, page_heading, blocked_pages, item_path_filter, listing, discovered, page_posters, source_metadata, episode_walk, shape_classifier, bounded_expansion, http_retry_class, pagination_cut, barren_streak, unique_exact_match, alternative_match, season_year_match, resolution_chain, override_outcome, lookup_notes, search_outcome, credit_evidence, title_similarity, evidence_decision, outcome_status, title_guard, override_validation)}
 
-_CLEAN = "trim(regexp_replace(regexp_replace(trim(regexp_replace(lower(label), '\\((19|20)[0-9]{2}\\).*$', '')), '( +(hd|full|movie|online|free|watch))+$', ''), ' +(19|20)[0-9]{2}$', ''))"
 _CASE = "array_to_string(list_transform(string_split({}, ' '), lambda w: upper(w[1]) || w[2:]), ' ')"
 _PATH = "regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
-_KEY = f"CASE WHEN {_PATH} LIKE '%/' THEN {_PATH} ELSE {_PATH} || '/' END"
-_SLUG = "regexp_replace(regexp_replace(regexp_replace(lower({}), '\\([^)]*\\)', '', 'g'), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
+_KEY = f"regexp_replace({_PATH}, '/+$', '') || '/'"
+_SLUG = "regexp_replace(regexp_replace(regexp_replace(lower({}), '\\([^)]*\\)', ' ', 'g'), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
 _V1 = "trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))"
 _PAIR = "WITH a AS (SELECT * FROM part WHERE p_partkey % 2 = 0), b AS (SELECT * FROM part WHERE p_partkey % 2 = 1)"
-_ANCHORS = """(SELECT page_id, unnest(regexp_extract_all(html, '(?s)<a\\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 0)) AS a, generate_subscripts(regexp_extract_all(html, '(?s)<a\\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 0), 1) - 1 AS pos FROM pages)"""
-_TEXT = "nullif(trim(regexp_replace(regexp_extract(html, '(?s)<{0}[^>]*>(.*?)</{0}>', 1), '<[^>]*>', '', 'g')), '')"
+_A = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s>"'']+))[^>]*>(.*?)</a>"""
+_ANCHORS = f"(SELECT page_id, url, unnest(regexp_extract_all(html, '{_A}', 0)) AS a, generate_subscripts(regexp_extract_all(html, '{_A}', 0), 1) - 1 AS pos FROM pages)"
+_HREF = f"regexp_extract(a, '{_A}', 1) || regexp_extract(a, '{_A}', 2) || regexp_extract(a, '{_A}', 3)"
+_PLAIN = "trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace({}, '<[^>]*>', '', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', chr(39)), '&amp;', '&'), '\\s+', ' ', 'g'))"
+_LISTED = """(SELECT p_partkey, p_name, p_partkey % 5 AS v, p_partkey % 6 AS w, 1950 + p_size AS y, array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS cased FROM part)"""
+_OWN = "CASE w WHEN 4 THEN NULL WHEN 5 THEN 'The ' || p_name || ': Part' ELSE p_name END"
+_OWN_YEAR = "CASE WHEN w <= 1 THEN y ELSE 0 END"
+_PATH_YEAR = "CASE WHEN v IN (1, 3) THEN 0 ELSE y END"
+_TEXT = "nullif(" + _PLAIN.format("regexp_extract(html, '(?is)<{0}\\b[^>]*>(.*?)</{0}>', 1)") + ", '')"
+
+_RC = """WITH c AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 6 = 1 THEN 'tv' ELSE 'movie' END AS type, lower(p_name) AS t, lower(p_brand || ' ' || p_name) AS o, 1950 + p_size AS year FROM part WHERE p_partkey % 2 = 1), r AS (SELECT p_partkey AS record, lower(p_name) AS t, 1950 + p_size AS year, CASE WHEN p_partkey % 4 = 0 THEN 'tv' ELSE 'movie' END AS own, CASE p_partkey % 10 WHEN 0 THEN p_partkey + 1 WHEN 2 THEN p_partkey + 100001 ELSE 0 END AS tmdb FROM part WHERE p_partkey % 2 = 0)"""
 
 SQL = {
-    "normalise_v1": f"SELECT doc_id, {_V1.format('text[1:60]')} AS title FROM documents",
+    "normalise_v1": f"SELECT doc_id, {_V1.format('text')} AS title FROM documents",
     "normalise_v2": f"SELECT p_partkey, trim(regexp_replace(lower(p_name || ' ' || (1950 + p_size) || ' Season ' || (p_partkey % 9) || ' HD and Co s v2.0'), '[^a-z0-9.]+', ' ', 'g')) AS title FROM {LABELS}",
     "slugify": f"SELECT p_partkey, {_SLUG.format('label')} AS slug FROM {LABELS}",
     "make_id": f"SELECT p_partkey, {_SLUG.format('p_name')} || CASE WHEN p_size % 4 > 0 THEN '-' || (p_size % 4 * 500) ELSE '' END AS id FROM part",
     "title_case": f"SELECT p_partkey, {_CASE.format('p_name')} AS title FROM part",
-    "title_from_path": "SELECT p_partkey, " + _CASE.format("p_name || ' english'") + " AS title FROM part",
-    "clean_title": f"SELECT p_partkey, {_CLEAN} AS title FROM {LABELS}",
-    "parse_label": f"SELECT p_partkey, {_CLEAN} AS title, CAST(1950 + p_size AS INT) AS year, CAST(p_partkey % 9 AS INT) AS season, p_partkey % 9 > 0 AS is_series FROM {LABELS}",
+    "title_from_path": f"SELECT p_partkey, cased AS title, CAST({_PATH_YEAR} AS INT) AS year FROM {_LISTED}",
+    "clean_title": f"SELECT p_partkey, coalesce(CASE w WHEN 4 THEN 'Download Now' END, {_OWN}) AS title, CAST({_OWN_YEAR} AS INT) AS year FROM {_LISTED}",
+    "parse_label": "SELECT p_partkey, CASE p_partkey % 4 WHEN 2 THEN array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || w[2:]), ' ') ELSE p_name END AS title, CAST(1950 + p_size AS INT) AS year, p_partkey % 4 > 0 AS is_series, CAST([0, 7, 4, 3][p_partkey % 4 + 1] AS INT) AS season FROM part",
     "quality_bucket": "SELECT p_partkey, CASE WHEN h >= 1000 THEN '1080p' WHEN h >= 700 THEN '720p' WHEN h >= 460 THEN '480p' WHEN h >= 340 THEN '360p' ELSE 'other' END AS quality, CAST(CASE WHEN h >= 1000 THEN 0 WHEN h >= 700 THEN 1 WHEN h >= 460 THEN 2 WHEN h >= 340 THEN 3 ELSE 4 END AS INT) AS rank FROM (SELECT p_partkey, p_size * 25 AS h FROM part)",
     "path_key": f"SELECT page_id, {_KEY} AS path, regexp_replace(url, '[?#].*$', '') AS canonical FROM pages",
     "identity_fingerprint": "SELECT p_partkey, substr(sha256(p_name || '|' || p_brand || '|' || p_type || '|' || p_size), 1, 20) AS fingerprint FROM part",
     "split_credits": "SELECT p_partkey, a || CASE WHEN b = a THEN '' ELSE '|' || b END || CASE WHEN p_type IN (a, b) THEN '' ELSE '|' || p_type END AS names FROM (SELECT p_partkey, p_type, string_split(p_name, ' ')[1] AS a, string_split(p_name, ' ')[2] AS b FROM part)",
-    "page_anchors": f"""SELECT page_id, CAST(pos AS INT) AS pos, regexp_extract(a, 'href="([^"]*)"', 1) AS href, trim(regexp_replace(regexp_extract(a, '(?s)<a\\s[^>]*>(.*?)</a>', 1), '<[^>]*>', '', 'g')) AS label FROM {_ANCHORS}""",
+    "page_anchors": f"SELECT page_id, CAST(pos AS INT) AS pos, {_HREF} AS href, " + _PLAIN.format(f"regexp_extract(a, '{_A}', 4)") + f" AS label FROM {_ANCHORS}",
     "page_heading": f"SELECT page_id, coalesce({_TEXT.format('h1')}, {_TEXT.format('title')}) AS heading FROM pages",
-    "blocked_pages": "SELECT page_id, regexp_matches(html[1:4000], '(?i)(captcha|access denied|just a moment|enable javascript|attention required)') AS blocked FROM pages",
-    "item_path_filter": f"SELECT * FROM (SELECT page_id, {_KEY} AS path FROM pages) WHERE regexp_matches(path, '^/(en|fr)/[0-9]+') AND NOT regexp_matches(path, '/(tag|page|category)/')",
+    "blocked_pages": "SELECT page_id, regexp_matches(html[1:4000], '(?i)just a moment|verify you are human|checking your browser|access denied|attention required|cf-error|error 10[0-9][0-9]') AS blocked FROM pages",
+    "item_path_filter": "SELECT p_partkey, p_partkey % 7 <= 1 AS item, p_partkey % 7 = 2 AS other_item FROM part",
     "shape_classifier": f"""SELECT page_id, CASE WHEN count(*) FILTER (regexp_matches(regexp_extract(a, 'href="([^"]*)"', 1), '^/[A-Z]')) > 0 THEN 'folders' WHEN count(*) > 1 THEN 'list' ELSE 'leaf' END AS shape FROM {_ANCHORS} GROUP BY page_id""",
     "bounded_expansion": """WITH RECURSIVE e AS (SELECT DISTINCT l_suppkey AS src, l_partkey % 100 AS dst FROM lineitem), b AS (SELECT src, dst FROM e QUALIFY row_number() OVER (PARTITION BY src ORDER BY dst) <= 3),
 r AS (SELECT s_suppkey AS node, CAST(0 AS INT) AS depth FROM supplier WHERE s_suppkey = 0 UNION SELECT dst, depth + 1 FROM r JOIN b ON src = node WHERE depth < 3)
@@ -259,15 +368,34 @@ SELECT listing, count(*) AS pages, CAST(sum(fresh) AS BIGINT) AS items FROM p JO
 t AS (SELECT *, fresh = 0 AND lag(fresh) OVER w = 0 AND lag(fresh, 2) OVER w = 0 AS third FROM p WINDOW w AS (PARTITION BY listing ORDER BY page)),
 c AS (SELECT listing, min(page) FILTER (third) AS cut FROM t GROUP BY listing)
 SELECT listing, count(*) AS pages, CAST(sum(fresh) AS BIGINT) AS fresh FROM p JOIN c USING (listing) WHERE cut IS NULL OR page <= cut GROUP BY listing""",
-    "unique_exact_match": f"{_PAIR} SELECT a.p_partkey, min(b.p_partkey) AS candidate FROM a JOIN b ON {_V1.format('a.p_name')} = {_V1.format('b.p_name')} AND a.p_size = b.p_size GROUP BY 1 HAVING count(DISTINCT b.p_partkey) = 1",
-    "season_year_match": f"{_PAIR} SELECT a.p_partkey, min(b.p_partkey) AS candidate FROM a JOIN b ON a.p_name = b.p_name AND a.p_size BETWEEN b.p_size AND b.p_size + 2 GROUP BY 1 HAVING count(DISTINCT b.p_partkey) = 1",
-    "resolution_chain": f"""{_PAIR}, o AS (SELECT a.p_partkey, min(b.p_partkey) AS own FROM a JOIN b USING (p_name, p_size, p_type) GROUP BY 1 HAVING count(*) = 1), c AS (SELECT a.p_partkey, min(b.p_partkey) AS cross_ FROM a JOIN b USING (p_name, p_size) GROUP BY 1 HAVING count(*) = 1)
-SELECT a.p_partkey, CASE WHEN a.p_partkey % 10 = 0 THEN a.p_partkey ELSE coalesce(own, cross_) END AS match, CASE WHEN a.p_partkey % 10 = 0 THEN 'id' WHEN own IS NOT NULL THEN 'own' WHEN cross_ IS NOT NULL THEN 'cross' ELSE 'none' END AS how FROM a LEFT JOIN o ON o.p_partkey = a.p_partkey LEFT JOIN c ON c.p_partkey = a.p_partkey""",
+    "unique_exact_match": f"{_RC} SELECT r.record AS p_partkey, min(c.id) AS candidate FROM r JOIN c ON c.type = 'movie' AND r.year = c.year AND (r.t = c.t OR r.t = regexp_replace(c.o, '[^a-z0-9]+', ' ', 'g')) GROUP BY 1 HAVING count(DISTINCT c.id) = 1",
+    "season_year_match": f"{_RC} SELECT r.record, min(c.id) AS candidate, '/s' AS poster FROM r JOIN c ON c.type = 'tv' AND r.year = c.year + 1 AND r.t = c.t GROUP BY 1 HAVING count(DISTINCT c.id) = 1",
+    "resolution_chain": f"""{_RC}, s AS (SELECT r.record, c.type, min(c.id) AS id FROM r JOIN c ON r.year = c.year AND r.t IN (c.t, regexp_replace(c.o, '[^a-z0-9]+', ' ', 'g')) GROUP BY 1, 2 HAVING count(DISTINCT c.id) = 1),
+j AS (SELECT r.*, k.id AS k_id, k.type AS k_type, k.t AS k_t, a.id AS a_id, b.id AS b_id FROM r LEFT JOIN c k ON k.id = r.tmdb LEFT JOIN s a ON a.record = r.record AND a.type = r.own LEFT JOIN s b ON b.record = r.record AND b.type = 'tv' AND r.own = 'movie'),
+h AS (SELECT *, CASE WHEN k_id IS NOT NULL AND k_type = own AND k_t = t THEN 'id' WHEN k_id IS NOT NULL AND k_type <> own AND k_t = t THEN 'cross' WHEN a_id IS NOT NULL THEN 'search' WHEN b_id IS NOT NULL THEN 'search-tv' WHEN k_id IS NOT NULL AND k_type = own THEN 'kept' ELSE 'none' END AS how FROM j)
+SELECT record AS p_partkey, CASE WHEN how IN ('id', 'cross', 'kept') THEN k_id WHEN how = 'search' THEN a_id WHEN how = 'search-tv' THEN b_id END AS match, CASE WHEN how IN ('id', 'search', 'kept') THEN own WHEN how = 'cross' THEN k_type WHEN how = 'search-tv' THEN 'tv' END AS type, how FROM h""",
     "credit_evidence": CREDIT_SQL,
     "title_similarity": """WITH t AS (SELECT p_partkey, p_name AS n, p_size % 3 + 1 AS k, p_name || ' ' || (p_size % 3 + 1) AS title FROM part)
 SELECT a.p_partkey, round(CASE WHEN a.title = b.title THEN 1.0 WHEN a.k <> b.k OR least(length(a.title), length(b.title)) < 8 THEN 0.0 ELSE 1 - levenshtein(a.title, b.title) / CAST(greatest(length(a.title), length(b.title)) AS DOUBLE) END, 6) AS similarity FROM t a JOIN t b ON b.p_partkey = a.p_partkey + 1""",
-    "evidence_decision": f"SELECT record, CASE WHEN record % 3 = 0 THEN 'accept' WHEN record % 7 = 0 THEN 'unavailable' WHEN verdict = 'contradiction' THEN 'review' WHEN record % 4 > 1 AND verdict <> 'strong' THEN 'review' ELSE 'accept' END AS decision FROM ({CREDIT_SQL})",
-    "outcome_status": "SELECT event_id, CASE event_type WHEN 'error' THEN 'unavailable' WHEN 'purchase' THEN 'matched' WHEN 'signup' THEN 'review' ELSE 'unresolved' END AS status FROM events",
-    "title_guard": "SELECT a.doc_id, len(list_filter(list_filter(string_split(lower(a.text[1:40]), ' '), lambda w: length(w) > 3)[1:3], lambda w: NOT contains(lower(b.text), w))) = 0 AS same FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1",
+    "evidence_decision": f"""WITH v AS ({CREDIT_SQL}), x AS (SELECT *, record % 3 <> 0 AS found, record % 2 = 0 AND verdict = 'contradiction' AS against, record % 13 = 0 AS scoped, record % 2 = 0 AND record % 4 = 0 AND verdict <> 'strong' AS other_year FROM v)
+SELECT record, CASE WHEN record % 29 = 0 OR record % 31 = 0 THEN CASE WHEN found THEN 'accept' ELSE 'unresolved' END WHEN record % 7 = 0 OR record % 11 = 0 THEN 'unavailable' WHEN found AND NOT against AND NOT other_year AND NOT scoped THEN 'accept'
+WHEN record % 17 = 0 THEN 'review' WHEN record % 5 = 0 THEN 'accept' WHEN found AND against THEN 'review' WHEN scoped THEN 'unavailable' ELSE 'unresolved' END AS decision FROM x""",
+    "outcome_status": """WITH s AS (SELECT *, CASE event_type WHEN 'error' THEN 'unavailable' WHEN 'purchase' THEN 'matched' WHEN 'signup' THEN 'review' ELSE 'unresolved' END AS status FROM events)
+SELECT event_id, status, CASE WHEN event_id % 6 = 0 AND status = 'unavailable' THEN 'lookup-timeout' WHEN status = 'matched' THEN CASE WHEN event_id % 4 = 0 THEN 'original-language-missing' WHEN event_id % 3 > 0 THEN 'exact' ELSE 'matched' END WHEN event_id % 5 > 0 THEN 'noted' WHEN status = 'unavailable' THEN 'lookup-incomplete' ELSE 'no-safe-match' END AS reason FROM s""",
+    "title_guard": "SELECT a.doc_id, len(list_filter(list_filter(string_split(lower(a.text), ' '), lambda w: length(w) > 3)[1:3], lambda w: NOT contains(lower(b.text), w))) = 0 AS same FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1",
     "override_validation": "SELECT p_partkey, CASE WHEN p_partkey < 1 THEN 'id' WHEN p_size % 3 = 2 THEN 'type' WHEN p_name = '' THEN 'title' WHEN p_size % 7 = 0 THEN 'reason' WHEN p_size % 5 <= 1 THEN 'urls' END AS fault FROM part",
+    "title_for": f"SELECT p_partkey, CASE WHEN w = 4 THEN cased WHEN w <= 1 OR w = 5 OR v IN (1, 3) THEN {_OWN} ELSE cased END AS title, CAST(CASE WHEN w <= 1 THEN y ELSE {_PATH_YEAR} END AS INT) AS year FROM {_LISTED}",
+    "twin_base": "SELECT p_partkey, lower(p_name) AS base FROM part",
+    "log_texts": "SELECT event_id, event_type || CASE WHEN user_id % 3 > 0 THEN ' (' || (user_id % 3) || ')' ELSE '' END AS name, CASE WHEN h < 1 THEN '<1h' WHEN h < 48 THEN h || 'h' ELSE CAST(floor(h / 24.0 + 0.5) AS INT) || 'd' END AS until, CASE WHEN ms < 1000 THEN ms || 'ms' WHEN ms < 60000 THEN (ms // 1000) || '.' || (ms % 1000 // 100) || 's' ELSE CAST(floor(ms / 60000.0 + 0.5) AS BIGINT) || 'm' END AS clock, event_type AS family FROM (SELECT *, event_id % 90 AS h, event_id * 500 AS ms FROM events)",
+    "listing": "WITH a AS (SELECT page_id, pos, " + _HREF + " AS href, " + _PLAIN.format(f"regexp_extract(a, '{_A}', 4)") + " AS label FROM " + _ANCHORS + "), u AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(href, '^[a-zA-Z][a-zA-Z0-9+.-]*:', ''), '^//[^/?#]*', ''), '[?#].*$', '') AS p FROM a WHERE href <> '' AND href NOT LIKE '#%' AND href NOT LIKE 'mailto:%') SELECT page_id, regexp_replace(p, '/+$', '') || '/' AS path, CAST(min(pos) AS INT) AS pos, arg_min(label, pos) AS label FROM u GROUP BY 1, 2",
+    "discovered": "SELECT p_name AS path, CAST(s AS INT) AS source, CAST(p_partkey AS INT) AS pos, p_brand FROM (SELECT *, CASE p_brand[-1] WHEN '3' THEN 0 WHEN '1' THEN 1 WHEN '2' THEN 2 END AS s FROM part) WHERE s IS NOT NULL QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY s, p_partkey) = 1",
+    "page_posters": "SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'https://p/uploads/posters/' || page_id || '.jpg' WHEN 1 THEN 'https://p/uploads/posters/' || page_id || '.webp' ELSE '' END AS poster FROM pages",
+    "source_metadata": "SELECT p_partkey, true AS available, p_name || ' (' || (1950 + p_size) || ')' AS title, CAST(1950 + p_size AS INT) AS year, p_brand AS directors, p_type || '|' || p_brand AS people_cast FROM part",
+    "episode_walk": "SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS root, CAST(l_linenumber AS INT) AS season, CAST(l_partkey % 9 AS INT) AS episode, l_suppkey || '/' || l_linenumber || '/' || (l_partkey % 9) AS url, '720p' AS quality FROM lineitem WHERE l_partkey % 9 > 0",
+    "alternative_match": f"{_RC} SELECT r.record, min(c.id) AS candidate, 'alternative' AS how FROM r JOIN c ON c.type = 'movie' AND r.year = c.year AND r.t = c.t GROUP BY 1 HAVING count(DISTINCT c.id) = 1 UNION ALL SELECT r.record, min(c.id), 'compact' FROM r JOIN c ON c.type = 'movie' AND r.year = c.year AND replace(r.t, ' ', '') IN (replace(c.t, ' ', ''), regexp_replace(c.o, '[^a-z0-9]+', '', 'g')) GROUP BY 1 HAVING count(DISTINCT c.id) = 1",
+    "override_outcome": f"{_RC} SELECT record, CASE WHEN status = 'matched' THEN record + 1 END AS candidate, status, CASE status WHEN 'matched' THEN 'reviewed-override' WHEN 'review' THEN 'override-conflict' ELSE 'no-safe-match' END AS reason FROM (SELECT r.record, CASE WHEN c.id % 5 = 0 THEN 'unresolved' WHEN c.id % 7 = 0 THEN 'review' ELSE 'matched' END AS status FROM r JOIN c ON c.id = r.record + 1)",
+    "lookup_notes": """WITH e AS (SELECT user_id AS record, event_id AS seq, CASE WHEN event_type = 'signup' THEN 'media-type-conflict' ELSE event_type END AS reason, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),
+g AS (SELECT record, list(reason ORDER BY seq) FILTER (n <= 30) AS l, arg_max(reason, seq) AS reason FROM e GROUP BY record)
+SELECT record, array_to_string(l[greatest(len(l) - 11, 1):], ',') AS notes, reason, list_contains(l, 'media-type-conflict') AS review FROM g""",
+    "search_outcome": "SELECT event_id, CASE WHEN event_type = 'error' OR event_id % 8 > 5 THEN 'unavailable' WHEN event_type = 'purchase' THEN 'matched' ELSE 'unresolved' END AS status, event_id % 2 = 0 AND (event_id % 3 <> 1 OR user_id % 5 = 0) AS ambiguous FROM events",
 }
