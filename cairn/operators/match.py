@@ -31,35 +31,6 @@ def twins(episodes: DataFrame, record: str, base: str, season: str, episode: str
     return best.select(F.col(f"{record}_a").alias(record), F.col(f"t.{record}_b").alias("twin"), F.col("t.shared").alias("shared"))
 
 
-def unique_exact(records: DataFrame, candidates: DataFrame, record: str, candidate: str, on: list[str]) -> DataFrame:
-    """Records whose keys match exactly one distinct candidate, with it."""
-    hits = records.select(record, *on).join(candidates.select(candidate, *on).distinct(), on)
-    return hits.groupBy(record).agg(F.min(candidate).alias(candidate), F.countDistinct(candidate).alias("n")).where("n = 1").drop("n")
-
-
-def credit_verdict(people_cast: Column, people_both: Column, directors: Column, named: Column) -> Column:
-    """strong: two people of the cast, or a director and another person; contradiction: names, none found;
-    else weak (T3)."""
-    return F.when((people_cast >= 2) | ((directors >= 1) & (people_both >= 2)), "strong").when((named > 0) & (people_both == 0), "contradiction").otherwise("weak")
-
-
-def evidence_decision(trusted: Column, available: Column, verdict: Column, year_gap: Column) -> Column:
-    """What becomes of a record (E1): trusted ids pass, trouble is never a miss, contradictions are
-    reviewed, and another year needs strong credits."""
-    return (
-        F.when(trusted, "accept")
-        .when(~available, "unavailable")
-        .when(verdict == "contradiction", "review")
-        .when((F.abs(year_gap) > 1) & (verdict != "strong"), "review")
-        .otherwise("accept")
-    )
-
-
-def outcome_status(asked: Column, matched: Column, conflict: Column) -> Column:
-    """unavailable, matched, review or unresolved (E2); "could not ask" is not "no match"."""
-    return F.when(~asked, "unavailable").when(matched, "matched").when(conflict, "review").otherwise("unresolved")
-
-
 def title_guard(wanted: Column, found: Column) -> Column:
     """Whether the first three words of over three letters all stand in the other title."""
     words = F.slice(F.filter(F.split(wanted, " "), lambda w: F.length(w) > 3), 1, 3)

@@ -52,16 +52,14 @@ def filled(mine: Column, other: Column) -> Column:
     return F.when(falsy(mine), other).otherwise(mine)
 
 
-def merge_records(ours: DataFrame, theirs: DataFrame, key: str, fields: list[str], at: str) -> DataFrame:
-    """Full outer merge of two generations (J5, M5): a field that only one side has stays; of two values the
-    newer side's wins, ours at a tie; the newer time stays."""
-    o = ours.select(key, *(F.col(c).alias(f"o_{c}") for c in (*fields, at)))
-    t = theirs.select(key, *(F.col(c).alias(f"t_{c}") for c in (*fields, at)))
-    both = o.join(t, key, "full_outer")
-    newer = F.coalesce(F.col(f"o_{at}") >= F.col(f"t_{at}"), F.col(f"o_{at}").isNotNull())
-    pick = lambda c: F.when(newer, filled(F.col(f"o_{c}"), F.col(f"t_{c}"))).otherwise(filled(F.col(f"t_{c}"), F.col(f"o_{c}"))).alias(c)
-    origin = F.when(F.col(f"o_{at}").isNull(), "theirs").when(F.col(f"t_{at}").isNull(), "ours").otherwise("both")
-    return both.select(key, *map(pick, fields), F.greatest(f"o_{at}", f"t_{at}").alias(at), origin.alias("origin"))
+def merge_cursors(ours: DataFrame, theirs: DataFrame, key: str) -> DataFrame:
+    """Two writers' cursors a key (U7): the farther by pass, letter and page wins, ours at a tie; the later end of a
+    pass stays, and so does a finish that only the other has. Missing parts of a cursor count as its start."""
+    at = F.struct(F.coalesce("pass", F.lit(1)).alias("pass"), F.coalesce("letter", F.lit(0)).alias("letter"), F.coalesce("page", F.lit(1)).alias("page"))
+    side = lambda df, k: df.select(key, F.struct(at.alias("at"), F.lit(k).alias("ours")).alias("__c"), "last_pass_at", "finished_at")
+    both = side(ours, 1).unionByName(side(theirs, 0))
+    best = both.groupBy(key).agg(F.max("__c").alias("__c"), F.max("last_pass_at").alias("last_pass_at"), F.max_by("finished_at", "__c").alias("__mine"), F.min_by("finished_at", "__c").alias("__other"))
+    return best.select(key, "__c.at.*", "last_pass_at", F.coalesce("__mine", "__other").alias("finished_at"))
 
 
 def remove_items(flat: DataFrame, gone: DataFrame, item: str) -> DataFrame:

@@ -6,36 +6,85 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cairn.functions import text
-from cairn.operators import match, merge, schedule
-from cairn.sources.tables import table
+from cairn.operators import match, merge, records, schedule
+from cairn.sources.tables import AS_OF, table
+
+
+QUALITIES = ("1080p", "720p", "480p", "360p", "HD")
+
+
+def _lines(spark, d, k):
+    """Links of orders in a total order, without a third of the suppliers: record, season, episode, quality, url, pos."""
+    li = table(spark, d, "lineitem").where(F.col("l_suppkey") % 3 != k)
+    url = F.concat_ws("/", F.lit("s"), "l_suppkey", "l_partkey", "l_linenumber")
+    li = li.select(F.col("l_orderkey").alias("record"), (F.col("l_linenumber") % 3).alias("season"), (F.col("l_partkey") % 4).cast("int").alias("episode"), "l_linenumber", "l_partkey", "l_suppkey", F.element_at(F.array(*map(F.lit, QUALITIES)), (F.col("l_partkey") % 5 + 1).cast("int")).alias("quality"), url.alias("url")).distinct()
+    return li.withColumn("pos", F.row_number().over(Window.partitionBy("record").orderBy("l_linenumber", "l_partkey", "l_suppkey")))
+
+
+def _nested(lines):
+    """seasons and embeds of each record; embeds in the lines' order."""
+    e = lines.groupBy("record", "season", "episode").agg(F.array_sort(F.collect_list(F.struct("pos", "quality", "url"))).alias("l"))
+    link = lambda x: F.struct(x["quality"].alias("quality"), x["url"].alias("url"))
+    s = e.groupBy("record", "season").agg(F.array_sort(F.collect_list(F.struct("episode", F.transform("l", link).alias("embeds")))).alias("episodes"))
+    s = s.groupBy("record").agg(F.array_sort(F.collect_list(F.struct("season", "episodes"))).cast(records.SEASONS).alias("seasons"))
+    flat_ = lines.groupBy("record").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "quality", "url"))), link).alias("embeds"))
+    return s.join(flat_, "record")
+
+
+def _urls(embeds):
+    return F.array_join(F.transform(embeds, lambda x: x["url"]), ",")
 
 
 def generation(spark, d, k):
-    """One writer's copy of the orders: those of a residue are missing, and some fields are empty or stale."""
+    """One writer's copy of the catalogue: some records are missing, some fields are empty or stale."""
     o = table(spark, d, "orders").where(F.col("o_orderkey") % 7 != k)
-    stale = F.col("o_orderkey") % 5 == k
-    return o.select(
-        F.col("o_orderkey").alias("id"),
-        F.when(stale, "").otherwise(F.col("o_orderpriority")).alias("title"),
-        F.when(F.col("o_orderkey") % 3 == k, 0.0).otherwise(F.col("o_totalprice") + k).alias("rating"),
-        F.when(F.col("o_orderkey") % 11 == k, None).otherwise(F.col("o_orderstatus")).alias("status"),
-        (F.unix_micros(F.col("o_orderdate").cast("timestamp")) + F.when((F.col("o_orderkey") + k) % 2 == 0, 1).otherwise(0)).alias("at"),
-    )
+    n = F.col("o_orderkey")
+    nested_ = _nested(_lines(spark, d, k)).withColumnRenamed("record", "o_orderkey")
+    o = o.join(nested_, "o_orderkey", "left")
+    series = (F.col("o_orderstatus") == "O") & F.col("seasons").isNotNull()
+    empty = lambda m, c, none: F.when(n % m == k, F.lit(none)).otherwise(c)
+    when_ = (F.unix_micros(F.col("o_orderdate").cast("timestamp")) + F.when((n + k) % 2 == 0, 1).otherwise(0)).cast("string")
+    fields = {
+        "id": n, "title": empty(5, F.col("o_orderpriority"), ""), "year": empty(13, F.year("o_orderdate"), 0), "kind": F.when(series, "series"), "category": F.when(n % 11 != k, F.concat(F.lit(f"c{k}"), "o_orderstatus")),
+        "language": empty(9, F.lit(f"l{k}"), ""), "category_source": F.lit("tmdb"), "page_url": F.lit(""), "embeds": F.when(series, records.links(F.col("seasons"))).otherwise(F.coalesce("embeds", F.array().cast(records.EMBEDS))),
+        "poster": empty(4, F.lit(f"p{k}"), ""), "rating": empty(3, F.col("o_totalprice") + k, 0.0), "tmdb_id": empty(6, n + k, 0), "imdb_id": F.lit(""), "added_at": F.lit("0"), "seasons": F.when(series, F.col("seasons")), "updated_at": F.when(n % 10 != k, when_), "pos": n,
+    }
+    return o.select(*(c.alias(name) for name, c in fields.items()))
 
 
 def merge_generations(spark, d):
-    """The flagship: two generations as one, field by field."""
-    return merge.merge_records(generation(spark, d, 0), generation(spark, d, 1), "id", ["title", "rating", "status"], "at")
+    """The flagship: two generations as one, field by field and link by link."""
+    m = records.merge_generations(generation(spark, d, 0), generation(spark, d, 1))
+    return m.select("id", "title", "year", "kind", "category", "language", "poster", "rating", "tmdb_id", "updated_at", _urls(F.col("embeds")).alias("links"), F.col("place.new").alias("only_ours"))
+
+
+_LINES = """(SELECT *, row_number() OVER (PARTITION BY record ORDER BY ln, pk, sk) AS pos FROM (SELECT DISTINCT l_orderkey AS record, l_linenumber % 3 AS season, l_partkey % 4 AS episode, l_linenumber AS ln, l_partkey AS pk, l_suppkey AS sk, l_partkey % 5 AS q, 's/' || l_suppkey || '/' || l_partkey || '/' || l_linenumber AS url FROM lineitem WHERE l_suppkey % 3 <> {0}))"""
 
 
 def _generation_sql(k):
-    return f"""SELECT o_orderkey AS id, CASE WHEN o_orderkey % 5 = {k} THEN '' ELSE o_orderpriority END AS title, CASE WHEN o_orderkey % 3 = {k} THEN 0.0 ELSE o_totalprice + {k} END AS rating,
-  CASE WHEN o_orderkey % 11 = {k} THEN NULL ELSE o_orderstatus END AS status, CAST(epoch_us(o_orderdate) + CASE WHEN (o_orderkey + {k}) % 2 = 0 THEN 1 ELSE 0 END AS BIGINT) AS at FROM orders WHERE o_orderkey % 7 <> {k}"""
+    return f"""SELECT o_orderkey AS id, CASE WHEN o_orderkey % 5 = {k} THEN '' ELSE o_orderpriority END AS title, CASE WHEN o_orderkey % 13 = {k} THEN 0 ELSE year(o_orderdate) END AS year, CASE WHEN o_orderkey % 11 <> {k} THEN 'c{k}' || o_orderstatus ELSE '' END AS category,
+  CASE WHEN o_orderkey % 9 = {k} THEN '' ELSE 'l{k}' END AS language, CASE WHEN o_orderkey % 4 = {k} THEN '' ELSE 'p{k}' END AS poster, CASE WHEN o_orderkey % 3 = {k} THEN 0.0 ELSE o_totalprice + {k} END AS rating, CASE WHEN o_orderkey % 6 = {k} THEN 0 ELSE o_orderkey + {k} END AS tmdb_id,
+  CASE WHEN o_orderkey % 10 <> {k} THEN CAST(epoch_us(o_orderdate) + CASE WHEN (o_orderkey + {k}) % 2 = 0 THEN 1 ELSE 0 END AS VARCHAR) END AS updated_at, o_orderstatus = 'O' AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_suppkey % 3 <> {k}) AS series FROM orders WHERE o_orderkey % 7 <> {k}"""
+
+
+def _field(c, none):
+    gone = lambda side: f"coalesce({side}.{c}, {none}) = {none}"
+    return f"CASE WHEN o.id IS NULL THEN t.{c} WHEN t.id IS NULL THEN o.{c} WHEN {gone('t')} OR (NOT {gone('o')} AND newer) THEN CASE WHEN {gone('o')} THEN t.{c} ELSE o.{c} END ELSE t.{c} END AS {c}"
+
 
+def _filled(c, none):
+    return f"CASE WHEN o.id IS NOT NULL AND t.id IS NOT NULL AND t.{c} = {none} THEN o.{c} ELSE coalesce(t.{c}, o.{c}) END AS {c}"
 
-def _field(c, empty):
-    gone = lambda s: f"({s}.{c} IS NULL OR {s}.{c} = {empty})"
-    return f"CASE WHEN newer THEN CASE WHEN {gone('o')} THEN t.{c} ELSE o.{c} END ELSE CASE WHEN {gone('t')} THEN o.{c} ELSE t.{c} END END AS {c}"
+
+#: Links after a merge of `a` (first) and `b` by record, one text a record: rows (record, nested, season, episode, q, pos, url, src).
+_UNITED = """b AS (SELECT *, nested AND count(DISTINCT src) OVER (PARTITION BY record, season, episode) = 2 AS met FROM {0}),
+k AS (SELECT * FROM b WHERE src = 0 OR NOT EXISTS (SELECT 1 FROM b AS x WHERE x.src = 0 AND x.record = b.record AND x.url = b.url)),
+u AS (SELECT record, string_agg(url, ',' ORDER BY CASE WHEN nested THEN season END, CASE WHEN nested THEN episode END, CASE WHEN met THEN q ELSE 0 END, src, pos) AS links FROM k GROUP BY record)"""
+
+GENERATIONS_SQL = f"""WITH o AS ({_generation_sql(0)}), t AS ({_generation_sql(1)}), j AS (SELECT o, t, coalesce(o.id, t.id) AS id, coalesce(o.series, false) OR coalesce(t.series, false) AS series, coalesce(o.updated_at, '0') >= coalesce(t.updated_at, '0') AS newer FROM o FULL JOIN t ON o.id = t.id),
+r AS (SELECT l.*, 0 AS src, j.series AS nested FROM {_LINES.format(1)} l JOIN t ON t.id = l.record JOIN j ON j.id = l.record UNION ALL SELECT l.*, 1, j.series FROM {_LINES.format(0)} l JOIN o ON o.id = l.record JOIN j ON j.id = l.record), {_UNITED.format('r')}
+SELECT j.id, {_filled('title', "''")}, CAST({_filled('year', '0').removesuffix(' AS year')} AS INT) AS year, CASE WHEN series THEN 'series' END AS kind, nullif({_field('category', "''").removesuffix(' AS category')}, '') AS category, {_field('language', "''")}, {_field('poster', "''")}, {_field('rating', '0')}, {_field('tmdb_id', '0')},
+CASE WHEN t.id IS NULL THEN o.updated_at WHEN o.id IS NOT NULL AND newer AND o.updated_at IS NOT NULL THEN o.updated_at ELSE t.updated_at END AS updated_at, coalesce(links, '') AS links, CAST(t.id IS NULL AS INT) AS only_ours FROM j LEFT JOIN u ON u.record = j.id"""
 
 
 def flat(spark, d, where="true"):
@@ -61,15 +110,13 @@ SELECT record, url, row_number() OVER (PARTITION BY record ORDER BY place) AS po
 
 
 def merge_seasons(spark, d):
-    """M1: links of (record, season, episode) from two sources as one ordered list."""
-    keys = ["record", "season", "episode"]
-    u = merge.ordered_union(flat(spark, d, "l_suppkey % 2 = 0"), flat(spark, d, "l_suppkey % 3 = 0"), keys, "url", "pos")
-    return u.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "url"))), lambda x: x["url"]), ",").alias("urls"))
+    """M1: seasons of two sources as one; links of an episode that both have are sorted by quality."""
+    a, b = (_nested(_lines(spark, d, k)).select("record", F.col("seasons").alias(f"s{k}")) for k in (0, 1))
+    m = records.merge_seasons(F.col("s0"), F.col("s1"))
+    return a.join(b, "record", "full_outer").select("record", _urls(records.links(m)).alias("urls"))
 
 
-SEASONS_SQL = f"""WITH b AS (SELECT record, season, episode, url, 0 AS src, pos FROM {FLAT.format('l_suppkey % 2 = 0')} UNION ALL SELECT record, season, episode, url, 1, pos FROM {FLAT.format('l_suppkey % 3 = 0')}),
-f AS (SELECT record, season, episode, url, min(src * 1000000 + pos) AS place FROM b GROUP BY ALL)
-SELECT record, season, episode, string_agg(url, ',' ORDER BY place) AS urls FROM f GROUP BY ALL"""
+SEASONS_SQL = f"WITH r AS (SELECT *, 0 AS src, true AS nested FROM {_LINES.format(0)} UNION ALL SELECT *, 1, true FROM {_LINES.format(1)}), {_UNITED.format('r')} SELECT record, links AS urls FROM u"
 
 
 def nested(spark, d):
@@ -106,11 +153,11 @@ def nested_counts(spark, d):
 
 
 def remove_dead(spark, d):
-    """Links proven dead go, unknown ones stay; what is left and how many went."""
-    f = flat(spark, d)
-    dead = table(spark, d, "supplier").where("s_acctbal < 0").select("s_suppkey").join(table(spark, d, "lineitem"), F.col("s_suppkey") == F.col("l_suppkey")).select(F.concat_ws("/", F.lit("s"), "l_suppkey", "l_partkey").alias("url"))
-    left = merge.remove_items(f, dead, "url").groupBy("record").agg(F.count("*").alias("left"))
-    return f.groupBy("record").agg(F.count("*").alias("had")).join(left, "record", "left").select("record", F.coalesce("left", F.lit(0)).alias("left"), (F.col("had") - F.coalesce("left", F.lit(0))).alias("removed"))
+    """Links proven dead go with the episodes and seasons that they leave empty, unknown ones stay."""
+    r = generation(spark, d, 0)
+    dead = table(spark, d, "supplier").where("s_acctbal < 0").select("s_suppkey").join(table(spark, d, "lineitem"), F.col("s_suppkey") == F.col("l_suppkey")).select(F.col("l_orderkey").alias("id"), F.concat_ws("/", F.lit("s"), "l_suppkey", "l_partkey", "l_linenumber").alias("url"))
+    out = records.remove_dead(r, dead)
+    return out.select("id", F.size(F.coalesce("seasons", F.array().cast(records.SEASONS))).alias("seasons"), _urls(F.col("embeds")).alias("links"), "removed")
 
 
 def upsert_match(spark, d):
@@ -127,18 +174,25 @@ SELECT i.id, coalesce(s.id, p.by_path) AS record, CASE WHEN s.id IS NOT NULL THE
 
 
 def upsert_actions(spark, d):
-    """M3: added, merged or unchanged for each matched item, by comparing signatures."""
-    m = upsert_match(spark, d)
-    n = flat(spark, d).groupBy("record").agg(F.countDistinct("url").alias("links"))
-    both = m.join(n.select(F.col("record").alias("id"), F.col("links").alias("fresh")), "id", "left").join(n.select("record", F.col("links").alias("kept")), "record", "left")
-    fresh = F.coalesce("fresh", F.lit(0))
-    action = F.when(fresh == 0, "unchanged").when(F.col("matched_by") == "new", "added").when((F.col("record") == F.col("id")) | (fresh <= F.coalesce("kept", F.lit(0))), "unchanged").otherwise("merged")
-    return both.select("id", "record", action.alias("action"))
-
-
-ACTIONS_SQL = f"""WITH m AS ({UPSERT_SQL}), n AS (SELECT l_orderkey AS record, count(DISTINCT (l_suppkey, l_partkey)) AS links FROM lineitem GROUP BY ALL)
-SELECT m.id, m.record, CASE WHEN coalesce(a.links, 0) = 0 THEN 'unchanged' WHEN matched_by = 'new' THEN 'added' WHEN m.record = m.id OR a.links <= coalesce(b.links, 0) THEN 'unchanged' ELSE 'merged' END AS action
-FROM m LEFT JOIN n a ON a.record = m.id LEFT JOIN n b ON b.record = m.record"""
+    """Walked orders filed into the catalogue; a fifth is of the other kind than what is stored."""
+    o = table(spark, d, "orders").select("o_orderkey", (F.col("o_orderstatus") == "O").alias("series"), F.year("o_orderdate").alias("year"), F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("title"), F.concat(F.lit("https://h/"), F.col("o_orderkey").cast("string"), F.lit("/")).alias("url"))
+    with_links = lambda k: o.join(_nested(_lines(spark, d, k)).withColumnRenamed("record", "o_orderkey"), "o_orderkey", "left")
+    kind = lambda series: F.when(series, "series").otherwise("movie")
+    have = with_links(0).where("o_orderkey % 4 <> 0")
+    has = F.col("series") & F.col("seasons").isNotNull()
+    stored = have.select(F.concat(F.lit("order-"), F.col("o_orderkey").cast("string"), F.lit("-"), F.col("year").cast("string")).alias("id"), "title", "year", kind(F.col("series")).alias("kind"), F.col("url").alias("page_url"), F.lit("").alias("poster"), F.when(has, F.col("seasons")).alias("seasons"), F.when(has, records.links(F.col("seasons"))).when(F.col("series"), F.array().cast(records.EMBEDS)).otherwise(F.coalesce("embeds", F.array().cast(records.EMBEDS))).alias("embeds"), F.col("o_orderkey").alias("pos"))
+    walked = with_links(1).where("o_orderkey % 3 = 0").withColumn("series", F.col("series") != (F.col("o_orderkey") % 5 == 0))
+    items = walked.select(F.col("o_orderkey").alias("pos"), "url", "title", "year", kind(F.col("series")).alias("kind"), F.coalesce("embeds", F.array().cast(records.EMBEDS)).alias("embeds"), F.when(F.col("series"), F.col("seasons")).alias("seasons"), F.lit("").alias("poster"))
+    return records.upsert(stored, items).select("url", "id", "action", "note", _urls(F.col("embeds")).alias("links"))
+
+
+ACTIONS_SQL = f"""WITH o AS (SELECT o_orderkey AS record, o_orderstatus = 'O' AS s_series, (o_orderstatus = 'O') <> (o_orderkey % 5 = 0) AS series, year(o_orderdate) AS year, o_orderkey % 4 <> 0 AS stored, o_orderkey % 3 = 0 AS walked, o_orderkey % 4 <> 0 AND o_orderkey % 5 = 0 AS forked FROM orders),
+r AS (SELECT l.*, 0 AS src, series AS nested FROM {_LINES.format(0)} l JOIN o USING (record) WHERE stored AND walked AND NOT forked UNION ALL SELECT l.*, 1, series FROM {_LINES.format(1)} l JOIN o USING (record) WHERE walked), {_UNITED.format('r')},
+w AS (SELECT record, string_agg(url, ',' ORDER BY CASE WHEN nested THEN season END, CASE WHEN nested THEN episode END, pos) AS before FROM r WHERE src = 0 GROUP BY record), f AS (SELECT record, min(season) AS first FROM r WHERE src = 1 GROUP BY record)
+SELECT 'https://h/' || record || '/' AS url, CASE WHEN first IS NULL THEN NULL WHEN forked AND series THEN 'order-' || record || '-season-' || greatest(first, 1) || '-' || year WHEN forked THEN 'order-' || record || '-movie-' || year ELSE 'order-' || record || '-' || year END AS id,
+CASE WHEN first IS NULL THEN 'unchanged' WHEN forked OR NOT stored THEN 'added' WHEN coalesce(before, '') = links THEN 'unchanged' ELSE 'merged' END AS action,
+CASE WHEN first IS NOT NULL AND forked THEN 'kept the stored ' || CASE WHEN series THEN 'movie' ELSE 'series' END || ' · filed as "order ' || record || CASE WHEN series THEN ' Season ' || greatest(first, 1) ELSE ' Movie' END || '"' ELSE '' END AS note, CASE WHEN first IS NOT NULL THEN links END AS links
+FROM o LEFT JOIN u USING (record) LEFT JOIN w USING (record) LEFT JOIN f USING (record) WHERE walked"""
 
 
 def series_twin(spark, d):
@@ -152,14 +206,69 @@ s AS (SELECT a.record AS record, b.record AS twin, count(*) AS shared FROM e a J
 SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY record ORDER BY shared DESC, twin) = 1"""
 
 
-def apply_metadata(spark, d):
-    """M4: metadata fills what is missing and replaces it only where the id was wrong."""
+LANGUAGES = ("ta", "en", "", "hi")
+
+
+def _described(spark, d):
+    """Orders as records that lack some metadata, and metadata by their customer in the column meta."""
     o = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    wrong = F.col("o_orderkey") % 6 == 0
-    have = F.when(F.col("o_orderkey") % 4 == 0, 0.0).otherwise(F.col("o_totalprice"))
-    language = F.element_at(F.array(*map(F.lit, ("ta", "en", "", "hi"))), (F.col("c_nationkey") % 4 + 1).cast("int"))
-    rating = F.when(wrong | (have == 0), F.col("c_acctbal")).otherwise(have)
-    return o.select(F.col("o_orderkey").alias("id"), rating.alias("rating"), merge.category(language, F.col("o_orderstatus") == "O").alias("category"))
+    n, pick_ = F.col("o_orderkey"), lambda by: F.element_at(F.array(*map(F.lit, LANGUAGES)), (by % 4 + 1).cast("int"))
+    meta = F.struct((n + F.when(n % 8 == 0, 1).otherwise(0)).alias("tmdb_id"), F.when(n % 9 == 0, "tv").when(n % 9 == 1, "other").otherwise("movie").alias("tmdb_type"), F.when(n % 5 > 0, "tt").otherwise("").alias("imdb_id"), F.when(n % 7 > 0, "new").otherwise("").alias("poster"), F.round(F.col("c_acctbal")).alias("rating"), pick_(F.col("c_nationkey")).alias("language"), (n % 12 == 0).alias("cross_type"))
+    return o.select(n.alias("id"), F.when(F.col("o_orderstatus") == "O", "series").alias("kind"), F.when(n % 2 == 0, "old").otherwise("").alias("poster"), F.when(n % 3 == 0, 0).otherwise(n).alias("tmdb_id"), F.when(n % 4 == 0, "tt0").otherwise("").alias("imdb_id"), F.when(n % 4 == 1, 0.0).otherwise(F.col("o_totalprice")).alias("rating"), pick_(n).alias("language"), F.when(n % 6 == 0, "tamil-movie").alias("category"), F.when(n % 6 == 0, "site").alias("category_source"), F.when(n % 10 > 0, meta).alias("meta"))
+
+
+def apply_metadata(spark, d):
+    """Metadata fills what is missing, and replaces it only where the id was wrong."""
+    return records.apply_metadata(_described(spark, d), "meta", replace_id=True).drop("meta", "kind")
+
+
+METADATA_SQL = """WITH b AS (SELECT o_orderkey AS id, o_orderstatus = 'O' AS series, CASE WHEN o_orderkey % 2 = 0 THEN 'old' ELSE '' END AS poster, CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_orderkey END AS tmdb_id, CASE WHEN o_orderkey % 4 = 0 THEN 'tt0' ELSE '' END AS imdb_id,
+CASE WHEN o_orderkey % 4 = 1 THEN 0.0 ELSE o_totalprice END AS rating, ['ta', 'en', '', 'hi'][o_orderkey % 4 + 1] AS language, CASE WHEN o_orderkey % 6 = 0 THEN 'tamil-movie' END AS category, CASE WHEN o_orderkey % 6 = 0 THEN 'site' END AS category_source, o_orderkey % 10 > 0 AS given,
+o_orderkey + CASE WHEN o_orderkey % 8 = 0 THEN 1 ELSE 0 END AS m_id, CASE o_orderkey % 9 WHEN 0 THEN true WHEN 1 THEN o_orderstatus = 'O' ELSE false END AS m_series, CASE WHEN o_orderkey % 5 > 0 THEN 'tt' ELSE '' END AS m_imdb, CASE WHEN o_orderkey % 7 > 0 THEN 'new' ELSE '' END AS m_poster, round(c_acctbal) AS m_rating, ['ta', 'en', '', 'hi'][c_nationkey % 4 + 1] AS m_language
+FROM orders JOIN customer ON c_custkey = o_custkey), w AS (SELECT *, id % 12 = 0 OR (tmdb_id <> 0 AND m_id <> 0 AND m_id <> tmdb_id) AS wrong, CASE WHEN m_language <> '' THEN CASE WHEN m_language = 'ta' THEN 'tamil-' ELSE 'tamil-dubbed-' END || CASE WHEN m_series THEN 'series' ELSE 'movie' END END AS wanted FROM b),
+t AS (SELECT *, given AND m_poster <> '' AND (poster = '' OR wrong) AND m_poster <> poster AS p, given AND m_id <> 0 AND (tmdb_id = 0 OR wrong) AND m_id <> tmdb_id AS i, given AND m_imdb <> '' AND (imdb_id = '' OR wrong) AND m_imdb <> imdb_id AS x, given AND m_rating <> 0 AND (rating = 0 OR wrong) AND m_rating <> rating AS r, given AND m_language <> '' AND (language = '' OR wrong) AND m_language <> language AS l, given AND wanted IS NOT NULL AND (wanted IS DISTINCT FROM category OR category_source IS DISTINCT FROM 'tmdb') AS c FROM w)
+SELECT id, CASE WHEN p THEN m_poster ELSE poster END AS poster, CASE WHEN i THEN m_id ELSE tmdb_id END AS tmdb_id, CASE WHEN x THEN m_imdb ELSE imdb_id END AS imdb_id, CASE WHEN r THEN m_rating ELSE rating END AS rating, CASE WHEN l THEN m_language ELSE language END AS language, CASE WHEN c THEN wanted ELSE category END AS category, CASE WHEN c THEN 'tmdb' ELSE category_source END AS category_source, p OR i OR x OR r OR l OR c AS changed FROM t"""
+
+
+def record_needs(spark, d):
+    """What each record lacks, by either version of the rules."""
+    r = _described(spark, d)
+    return r.select("id", records.needs_metadata().alias("needs"), records.needs_metadata(v2=True).alias("needs_v2"), records.needs_category().alias("no_category"), records.missing_optional().alias("optional"), records.requires_identity().alias("identity"), records.has_work().alias("work"))
+
+
+def meta_projection(spark, d):
+    """What a catalogue's answer holds, missing values in its way."""
+    p = table(spark, d, "part").withColumn("k", F.col("p_partkey"))
+    answer = {"id": F.col("k"), "title": F.when(F.col("k") % 3 > 0, F.col("p_name")).otherwise(""), "name": F.col("p_brand"), "imdb_id": F.when(F.col("k") % 4 > 0, "tt"), "poster_path": F.when(F.col("k") % 5 > 0, "/x.jpg"), "vote_average": F.when(F.col("k") % 2 > 0, F.col("p_size").cast("string")).otherwise("n/a"), "original_language": F.when(F.col("k") % 7 > 0, "ta")}
+    return p.select(records.meta_of(answer.__getitem__, F.lit("tv")).alias("m")).select("m.*")
+
+
+def record_json(spark, d):
+    """Records as JSON in canonical order without what is unknown, and whether a change would count."""
+    r = _described(spark, d).drop("meta").withColumn("title", F.lit("t")).withColumn("extra", F.col("id") % 2)
+    return records.as_json(r)
+
+
+JSON_SQL = """SELECT id, '{"id":' || id || ',"title":"t"' || CASE WHEN series THEN ',"kind":"series"' ELSE '' END || CASE WHEN category IS NOT NULL THEN ',"category":"' || category || '"' ELSE '' END || ',"language":"' || language || '"' || CASE WHEN category IS NOT NULL THEN ',"category_source":"site"' ELSE '' END || ',"poster":"' || poster || '","rating":' || rating || ',"tmdb_id":' || tmdb_id || ',"imdb_id":"' || imdb_id || '","extra":' || (id % 2) || '}' AS json FROM b"""
+
+
+def last_by_path(spark, d):
+    """Of the records of one path the last one counts."""
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.concat(F.lit("https://h/"), F.col("o_custkey").cast("string"), F.lit("//?x")).alias("page_url"), F.col("o_orderkey").alias("pos"))
+    return records.last_by_path(o).select("path", "stored.id")
+
+
+def kind_totals(spark, d):
+    """A4: items by kind, the stored kind before the hint."""
+    items = table(spark, d, "lineitem").select(F.col("l_partkey").alias("id"), F.when(F.col("l_returnflag") == "R", "series").otherwise("movie").alias("hint"))
+    stored = table(spark, d, "part").where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("id"), F.when(F.col("p_size") > 25, "series").otherwise("movie").alias("stored"))
+    return items.join(stored, "id", "left").groupBy(F.coalesce("stored", "hint").alias("kind")).agg(F.count("*").alias("n"))
+
+
+def touched_without_metadata(spark, d):
+    """Records of a run that lack metadata, limited."""
+    touched = table(spark, d, "lineitem").where("l_quantity > 40").select(F.col("l_orderkey").alias("id")).distinct()
+    return records.touched_without_metadata(_described(spark, d), touched, 100).select("id")
 
 
 def site_category(spark, d):
@@ -177,12 +286,36 @@ def derive_category(spark, d):
 
 
 def lane_queue(spark, d):
-    """The first 500 orders that need work, three lanes interleaved 3:3:1."""
+    """The first 500 orders that need work, three lanes interleaved 3:3:1."""
     lane = F.when(F.col("o_orderstatus") == "O", 0).when(F.col("o_orderstatus") == "F", 1).otherwise(2)
     out = schedule.lanes(table(spark, d, "orders").select("o_orderkey", lane.alias("lane"), "o_totalprice"), "lane", [F.desc("o_totalprice"), F.col("o_orderkey")], 500)
     return out.select("o_orderkey", F.col("lane").cast("int").alias("lane"), F.col("place").cast("bigint").alias("place"))
 
 
+def lane_order(spark, d):
+    """The whole queue without a limit."""
+    lane = F.when(F.col("o_orderstatus") == "O", 0).when(F.col("o_orderstatus") == "F", 1).otherwise(2)
+    out = schedule.lanes(table(spark, d, "orders").select("o_orderkey", lane.alias("lane"), "o_totalprice"), "lane", [F.desc("o_totalprice"), F.col("o_orderkey")])
+    return out.select("o_orderkey", F.col("place").cast("bigint").alias("place"))
+
+
+def metadata_queue(spark, d):
+    """The queue of records to look up, from records, attempts and reviewed mappings."""
+    n = F.col("o_orderkey")
+    day = lambda k: F.lit(AS_OF).cast("timestamp") - F.make_dt_interval(days=k.cast("int"))
+    r = table(spark, d, "orders").select(n.cast("string").alias("id"), F.col("o_orderpriority").alias("title"), F.lit("").alias("page_url"), F.when(n % 13 > 0, F.array(F.struct(F.lit("HD").alias("quality"), F.lit("u").alias("url")))).otherwise(F.array().cast(records.EMBEDS)).alias("embeds"), F.when(n % 3 > 0, n).otherwise(0).alias("tmdb_id"), F.when(n % 4 > 0, "ta").otherwise("").alias("language"), F.when(n % 5 == 0, "site").otherwise("tmdb").alias("category_source"), F.when(n % 7 > 0, "p").otherwise("").alias("poster"), F.lit("tt").alias("imdb_id"), F.lit(1.0).alias("rating"), day(n % 20).alias("added_at"), F.col("o_orderstatus").alias("identity"))
+    attempts = table(spark, d, "orders").where("o_orderkey % 6 < 4").select(n.cast("string").alias("id"), F.when(n % 8 > 0, 2).otherwise(1).alias("version"), F.when(n % 9 > 0, F.col("o_orderstatus")).otherwise("other").alias("identity"), F.when(n % 2 == 0, "matched").otherwise("unresolved").alias("status"), day(n % 30).alias("checked_at"), (day(n % 30) + F.expr("INTERVAL 10 DAYS")).alias("next_at"))
+    mapped = table(spark, d, "orders").where("o_orderkey % 17 = 0").select(n.cast("string").alias("id"))
+    q = records.metadata_queue(r, attempts, mapped, F.lit(AS_OF).cast("timestamp"), 400, only="-")
+    return q.select("id", F.col("lane").cast("int").alias("lane"), F.col("place").cast("bigint").alias("place"))
+
+
+QUEUE_SQL = """WITH r AS (SELECT o_orderkey AS n, CAST(o_orderkey AS VARCHAR) AS id, o_orderkey % 3 = 0 OR o_orderkey % 4 = 0 OR o_orderkey % 5 = 0 AS identity, o_orderkey % 7 = 0 AS optional, o_orderkey % 20 AS added, o_orderkey % 6 < 4 AS tried, o_orderkey % 6 < 4 AND o_orderkey % 8 > 0 AND o_orderkey % 9 > 0 AS current, o_orderkey % 30 AS checked, o_orderkey % 17 = 0 AS mapped FROM orders WHERE o_orderkey % 13 > 0 AND o_orderpriority LIKE '%-%'),
+e AS (SELECT *, CASE WHEN NOT (identity OR mapped OR (tried AND NOT current)) THEN 2 WHEN NOT current AND added < 7 THEN 0 ELSE 1 END AS lane FROM r WHERE (identity OR optional OR (tried AND NOT current) OR (mapped AND NOT current)) AND (NOT current OR checked >= 10)),
+k AS (SELECT *, row_number() OVER (PARTITION BY lane ORDER BY CASE WHEN lane = 0 THEN added END, CASE WHEN lane > 0 THEN CASE WHEN current THEN -checked ELSE -1000 END END, id) AS p FROM e)
+SELECT id, CAST(lane AS INT) AS lane, row_number() OVER (ORDER BY (p - 1) // [3, 3, 1][lane + 1], lane, p) AS place FROM k QUALIFY place <= 400"""
+
+
 def queue_stats(spark, d):
     """How many records need, can have and put off work."""
     o = table(spark, d, "orders")
@@ -191,11 +324,28 @@ def queue_stats(spark, d):
 
 
 def attempt_report(spark, d):
-    """K5: attempts, and the records that need one and have none as pending."""
-    customers = table(spark, d, "customer").select(F.col("c_custkey").alias("id"))
-    tried = table(spark, d, "events").groupBy(F.col("user_id").alias("id")).agg(F.count("*").alias("attempts"))
-    pending = customers.join(tried, "id", "left_anti").select("id", F.lit(0).cast("bigint").alias("attempts"), F.lit("pending").alias("status"))
-    return tried.select("id", "attempts", F.lit("tried").alias("status")).unionByName(pending)
+    """K5: what was tried, and the records that need an identity and were not, by their current attempt or pending."""
+    e = table(spark, d, "events")
+    r = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") % 3 > 0, 1).otherwise(0).alias("tmdb_id"), F.lit("ta").alias("language"), F.lit("tmdb").alias("category_source"), F.col("c_mktsegment").alias("identity"))
+    attempts = table(spark, d, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") % 5 > 0, 2).otherwise(1).alias("version"), F.when(F.col("c_custkey") % 7 > 0, F.col("c_mktsegment")).otherwise("old").alias("identity"), F.lit("review").alias("status"), F.lit("conflict").alias("reason"))
+    tried = e.where("event_type = 'purchase'").groupBy(F.col("user_id").alias("id")).agg(F.lit("matched").alias("status"), F.lit("exact").alias("reason"))
+    return records.attempt_report(r, attempts, tried)
+
+
+def enrich_batch(spark, d):
+    """One batch of outcomes applied to records, with the statuses that their attempts get."""
+    r = _described(spark, d).drop("meta").withColumn("identity", F.lit("i"))
+    out = _described(spark, d).where("meta IS NOT NULL AND id % 4 <> 3").select("id", F.lit("matched").alias("status"), F.lit("exact").alias("reason"), (F.col("id") % 2 == 0).alias("replace"), "meta")
+    attempts = r.where("id % 5 = 0").select("id", F.lit(2).alias("version"), F.lit("i").alias("identity"), (F.col("id") % 3).cast("int").alias("attempts"))
+    done, entries = records.enrich_batch(r, out, attempts, F.lit(AS_OF).cast("timestamp"))
+    e = entries.select("id", "status", "attempts", F.timestamp_diff("HOUR", "checked_at", "next_at").alias("hours"))
+    return done.select("id", "poster", "tmdb_id", "language", "changed").join(e, "id", "left")
+
+
+def outcome_counts(spark, d):
+    """Lookups by status and reason."""
+    e = table(spark, d, "events").select(F.when(F.col("event_type") == "error", "unavailable").otherwise("matched").alias("status"), F.col("event_type").alias("reason"))
+    return e.groupBy("status", "reason").agg(F.count("*").alias("n"))
 
 
 def enrich_eligible(spark, d):
@@ -249,7 +399,7 @@ def incomplete_flag(spark, d):
 def index_projection(spark, d):
     """The short index row of every record."""
     o = table(spark, d, "orders")
-    return o.select(F.col("o_orderkey").alias("i"), F.coalesce(F.year("o_orderdate"), F.lit(0)).alias("y"), F.when(F.col("o_orderstatus") == "O", "s").otherwise("m").alias("k"), F.coalesce(F.col("o_orderpriority"), F.lit("")).alias("c"), F.coalesce("o_totalprice", F.lit(0.0)).alias("r"))
+    return o.select(F.col("o_orderkey").alias("i"), F.coalesce(F.year("o_orderdate"), F.lit(0)).alias("y"), F.when(F.col("o_orderstatus") == "O", "s").otherwise("m").alias("k"), F.coalesce(F.col("o_orderpriority"), F.lit("")).alias("c"), F.coalesce("o_totalprice", F.lit(0.0)).alias("r"), F.coalesce(F.when(F.col("o_orderkey") % 2 == 0, "poster"), F.lit("")).alias("p"))
 
 
 def catalog_totals(spark, d):
@@ -275,31 +425,32 @@ def site_evidence_semi(spark, d):
     return table(spark, d, "documents").join(table(spark, d, "labels").where("toxic = 1"), "doc_id", "left_semi").select("doc_id", "lang", "source")
 
 
-QUERIES = {f.__name__: f for f in (merge_generations, ordered_union, merge_seasons, nest_regroup, flatten_nested, nested_counts, remove_dead, upsert_match, upsert_actions, series_twin, apply_metadata, site_category, derive_category, lane_queue, queue_stats, attempt_report, enrich_eligible, topn_per_group, auto_number, first_last, prefer_else_all, dedupe_first, incomplete_flag, index_projection, catalog_totals, category_histogram, fresh_items_anti, site_evidence_semi)}
+QUERIES = {f.__name__: f for f in (merge_generations, ordered_union, merge_seasons, nest_regroup, flatten_nested, nested_counts, remove_dead, upsert_match, upsert_actions, series_twin, apply_metadata, record_needs, meta_projection, record_json, last_by_path, kind_totals, touched_without_metadata, site_category, derive_category, lane_queue, lane_order, metadata_queue, queue_stats, attempt_report, enrich_batch, outcome_counts, enrich_eligible, topn_per_group, auto_number, first_last, prefer_else_all, dedupe_first, incomplete_flag, index_projection, catalog_totals, category_histogram, fresh_items_anti, site_evidence_semi)}
 
 _CATEGORY = "CASE {l} WHEN '' THEN NULL WHEN 'ta' THEN 'tamil-' || {s} ELSE 'tamil-dubbed-' || {s} END"
 _PARTS = "SELECT p_partkey, " + _CATEGORY.format(l="['ta', 'en', '', 'te'][p_size % 4 + 1]", s="CASE WHEN p_type = 'ECONOMY' THEN 'series' ELSE 'movie' END") + " AS category FROM part"
 
 SQL = {
-    "merge_generations": f"""WITH o AS ({_generation_sql(0)}), t AS ({_generation_sql(1)}), j AS (SELECT o, t, coalesce(o.at >= t.at, o.at IS NOT NULL) AS newer FROM o FULL JOIN t ON o.id = t.id)
-SELECT coalesce(o.id, t.id) AS id, {_field('title', "''")}, {_field('rating', '0')}, {_field('status', "''")}, greatest(o.at, t.at) AS at, CASE WHEN o.at IS NULL THEN 'theirs' WHEN t.at IS NULL THEN 'ours' ELSE 'both' END AS origin FROM j""",
+    "merge_generations": GENERATIONS_SQL,
     "ordered_union": UNION_SQL,
     "merge_seasons": SEASONS_SQL,
     "nest_regroup": REGROUP_SQL,
     "flatten_nested": f"SELECT record, season, episode, url FROM {FLAT.format('true')}",
     "nested_counts": "SELECT l_orderkey AS record, count(DISTINCT l_linenumber) AS seasons, count(DISTINCT (l_linenumber, l_partkey % 20)) AS episodes, count(*) AS links FROM lineitem GROUP BY ALL",
-    "remove_dead": "SELECT l_orderkey AS record, count(*) FILTER (s_acctbal >= 0) AS \"left\", count(*) FILTER (s_acctbal < 0) AS removed FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY ALL",
+    "remove_dead": f"""WITH o AS ({_generation_sql(0)}), l AS (SELECT x.*, s_acctbal < 0 AS dead, series FROM {_LINES.format(0)} x JOIN o ON o.id = x.record JOIN supplier ON s_suppkey = x.sk)
+SELECT o.id, CAST(count(DISTINCT l.season) FILTER (l.series AND NOT dead) AS INT) AS seasons, coalesce(string_agg(url, ',' ORDER BY CASE WHEN l.series THEN season END, CASE WHEN l.series THEN episode END, pos) FILTER (NOT dead), '') AS links, CAST(count(*) FILTER (dead) AS INT) AS removed FROM o LEFT JOIN l ON l.record = o.id GROUP BY o.id""",
     "upsert_match": UPSERT_SQL,
     "upsert_actions": ACTIONS_SQL,
     "series_twin": TWIN_SQL,
-    "apply_metadata": "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 6 = 0 OR o_orderkey % 4 = 0 OR o_totalprice = 0 THEN c_acctbal ELSE o_totalprice END AS rating, " + _CATEGORY.format(l="['ta', 'en', '', 'hi'][c_nationkey % 4 + 1]", s="CASE WHEN o_orderstatus = 'O' THEN 'series' ELSE 'movie' END") + " AS category FROM orders JOIN customer ON c_custkey = o_custkey",
+    "apply_metadata": METADATA_SQL,
     "site_category": "SELECT id, CASE WHEN id % 2 = 0 AND c IS NOT NULL THEN c ELSE coalesce(s, c) END AS category FROM (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS c, CASE WHEN o_orderkey % 5 > 0 THEN o_orderstatus END AS s FROM orders)",
     "derive_category": _PARTS,
     "lane_queue": """WITH l AS (SELECT o_orderkey, CAST(CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'F' THEN 1 ELSE 2 END AS INT) AS lane, o_totalprice FROM orders),
 n AS (SELECT *, row_number() OVER (PARTITION BY lane ORDER BY o_totalprice DESC, o_orderkey) AS n FROM l)
 SELECT o_orderkey, lane, row_number() OVER (ORDER BY (n - 1) // [3, 3, 1][lane + 1], lane, n) AS place FROM n QUALIFY place <= 500""",
     "queue_stats": "SELECT count(*) FILTER (o_orderstatus <> 'F') AS needs, count(*) FILTER (o_orderstatus <> 'F' AND o_totalprice > 100000) AS eligible, count(*) FILTER (o_orderstatus <> 'F' AND o_totalprice <= 100000) AS deferred, count(DISTINCT o_custkey) AS identities FROM orders",
-    "attempt_report": "SELECT user_id AS id, count(*) AS attempts, 'tried' AS status FROM events GROUP BY 1 UNION ALL SELECT c_custkey, 0, 'pending' FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)",
+    "attempt_report": """WITH t AS (SELECT DISTINCT user_id AS id FROM events WHERE event_type = 'purchase')
+SELECT id, 'matched' AS status, 'exact' AS reason FROM t UNION ALL SELECT c_custkey, CASE WHEN c THEN 'review' ELSE 'pending' END, CASE WHEN c THEN 'conflict' ELSE 'not-attempted-this-version' END FROM (SELECT c_custkey, c_custkey % 2 = 0 AND c_custkey % 5 > 0 AND c_custkey % 7 > 0 AS c FROM customer WHERE c_custkey % 3 = 0 AND c_custkey NOT IN (SELECT id FROM t))""",
     "enrich_eligible": "SELECT o_orderkey FROM orders LEFT JOIN (SELECT user_id, max(ts) AS miss FROM events WHERE event_type = 'error' GROUP BY 1) ON user_id = o_custkey WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem) AND (o_orderstatus <> 'F' OR o_orderpriority = '5-LOW') AND (miss IS NULL OR miss < TIMESTAMP '2024-01-30 00:00:00')",
     "topn_per_group": "SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_partkey, l_suppkey) AS place FROM (SELECT DISTINCT l_orderkey, l_partkey, l_suppkey, l_extendedprice FROM lineitem) QUALIFY place <= 3",
     "auto_number": f"SELECT record, season, CAST(pos AS INT) AS pos, coalesce(nullif(episode % 5, 0), row_number() OVER (PARTITION BY record, season ORDER BY pos)) AS episode FROM {FLAT.format('true')}",
@@ -308,9 +459,24 @@ SELECT o_orderkey, lane, row_number() OVER (ORDER BY (n - 1) // [3, 3, 1][lane +
 SELECT record, string_agg(url, ',' ORDER BY pos) AS urls FROM q WHERE CASE WHEN any_good THEN good ELSE pos <= 4 END GROUP BY ALL""",
     "dedupe_first": f"SELECT record, episode, arg_min(url, pos) AS url FROM {FLAT.format('true')} GROUP BY ALL",
     "incomplete_flag": "SELECT l_orderkey, bool_or(l_returnflag = 'R') OR count(*) >= 7 AS incomplete FROM lineitem GROUP BY ALL",
-    "index_projection": "SELECT o_orderkey AS i, CAST(year(o_orderdate) AS INT) AS y, CASE WHEN o_orderstatus = 'O' THEN 's' ELSE 'm' END AS k, o_orderpriority AS c, o_totalprice AS r FROM orders",
+    "index_projection": "SELECT o_orderkey AS i, CAST(year(o_orderdate) AS INT) AS y, CASE WHEN o_orderstatus = 'O' THEN 's' ELSE 'm' END AS k, o_orderpriority AS c, o_totalprice AS r, CASE WHEN o_orderkey % 2 = 0 THEN 'poster' ELSE '' END AS p FROM orders",
     "catalog_totals": "SELECT count(*) FILTER (o_orderstatus <> 'O') AS movies, count(*) FILTER (o_orderstatus = 'O') AS series, (SELECT count(*) FROM lineitem) AS links FROM orders",
     "category_histogram": f"SELECT category, count(*) AS n FROM ({_PARTS}) WHERE category IS NOT NULL GROUP BY 1",
     "fresh_items_anti": "SELECT p_partkey, p_name FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_linenumber = 1 AND l_quantity < 5) AND p_size >= 10",
     "site_evidence_semi": "SELECT doc_id, lang, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)",
+    "record_needs": "SELECT o_orderkey AS id, o_orderkey % 3 = 0 OR o_orderkey % 2 > 0 AS needs, o_orderkey % 3 = 0 OR o_orderkey % 4 = 2 AS needs_v2, o_orderkey % 6 > 0 AS no_category, o_orderkey % 2 > 0 OR o_orderkey % 4 > 0 OR o_totalprice = 0 AS optional, o_orderkey % 3 = 0 OR o_orderkey % 4 = 2 AS identity, o_orderkey % 3 = 0 OR o_orderkey % 4 > 0 AS work FROM orders",
+    "meta_projection": "SELECT p_partkey AS tmdb_id, 'tv' AS tmdb_type, CASE WHEN p_partkey % 3 > 0 THEN p_name ELSE p_brand END AS tmdb_title, CASE WHEN p_partkey % 4 > 0 THEN 'tt' ELSE '' END AS imdb_id, CASE WHEN p_partkey % 5 > 0 THEN 'https://images.example/w500/x.jpg' ELSE '' END AS poster, CASE WHEN p_partkey % 2 > 0 THEN CAST(p_size AS DOUBLE) ELSE 0.0 END AS rating, CASE WHEN p_partkey % 7 > 0 THEN 'ta' ELSE '' END AS language FROM part",
+    "record_json": METADATA_SQL.split("), w AS")[0] + ") " + JSON_SQL,
+    "last_by_path": "SELECT '/' || o_custkey || '/' AS path, max(o_orderkey) AS id FROM orders GROUP BY o_custkey",
+    "kind_totals": "SELECT CASE WHEN p_partkey IS NOT NULL THEN CASE WHEN p_size > 25 THEN 'series' ELSE 'movie' END WHEN l_returnflag = 'R' THEN 'series' ELSE 'movie' END AS kind, count(*) AS n FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_partkey % 2 = 0) ON p_partkey = l_partkey GROUP BY 1",
+    "touched_without_metadata": "SELECT o_orderkey AS id FROM orders WHERE (o_orderkey % 3 = 0 OR o_orderkey % 2 > 0) AND o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 40) ORDER BY 1 LIMIT 100",
+    "lane_order": """WITH l AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'F' THEN 1 ELSE 2 END AS lane, o_totalprice FROM orders), n AS (SELECT *, row_number() OVER (PARTITION BY lane ORDER BY o_totalprice DESC, o_orderkey) AS n FROM l)
+SELECT o_orderkey, row_number() OVER (ORDER BY (n - 1) // [3, 3, 1][lane + 1], lane, n) AS place FROM n""",
+    "metadata_queue": QUEUE_SQL,
+    "enrich_batch": METADATA_SQL.split(", w AS")[0].replace("% 10 > 0 AS given", "% 10 > 0 AND o_orderkey % 4 <> 3 AS given") + """, w AS (SELECT *, id % 12 = 0 OR (id % 2 = 0 AND tmdb_id <> 0 AND m_id <> 0 AND m_id <> tmdb_id) AS wrong, CASE WHEN m_language <> '' THEN CASE WHEN m_language = 'ta' THEN 'tamil-' ELSE 'tamil-dubbed-' END || CASE WHEN m_series THEN 'series' ELSE 'movie' END END AS wanted FROM b),
+t AS (SELECT *, given AND m_poster <> '' AND m_poster <> poster AS p, given AND m_id <> 0 AND (tmdb_id = 0 OR wrong) AND m_id <> tmdb_id AS i, given AND m_imdb <> '' AND (imdb_id = '' OR wrong) AND m_imdb <> imdb_id AS x, given AND m_rating <> 0 AND (rating = 0 OR wrong) AND m_rating <> rating AS r, given AND m_language <> '' AND (language = '' OR wrong) AND m_language <> language AS l, given AND wanted IS NOT NULL AND (wanted IS DISTINCT FROM category OR category_source IS DISTINCT FROM 'tmdb') AS c FROM w),
+n AS (SELECT id, given, CASE WHEN p THEN m_poster ELSE poster END AS poster, CASE WHEN i THEN m_id ELSE tmdb_id END AS tmdb_id, CASE WHEN l THEN m_language ELSE language END AS language, p OR i OR x OR r OR l OR c AS changed FROM t),
+s AS (SELECT *, CASE WHEN NOT given THEN NULL WHEN tmdb_id = 0 OR language = '' THEN 'unresolved' ELSE 'matched' END AS status, CASE WHEN NOT given THEN NULL WHEN id % 5 = 0 THEN id % 3 + 1 ELSE 1 END AS attempts FROM n)
+SELECT id, poster, tmdb_id, language, changed, status, CAST(attempts AS INT) AS attempts, CAST(CASE status WHEN 'matched' THEN 720 WHEN 'unresolved' THEN [6, 24, 72, 168][attempts] END AS BIGINT) AS hours FROM s""",
+    "outcome_counts": "SELECT CASE WHEN event_type = 'error' THEN 'unavailable' ELSE 'matched' END AS status, event_type AS reason, count(*) AS n FROM events GROUP BY ALL",
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ def publish(df: DataFrame, root: str) -> str:
     df.write.parquet(f"{root}/{version}")
     fs_path = spark._jvm.org.apache.hadoop.fs.Path
     fs = fs_path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    draft, pointer = fs_path(f"{root}/_draft-{version}"), fs_path(f"{root}/_current")
+    draft, pointer = fs_path(f"{root}/DRAFT-{version}"), fs_path(f"{root}/CURRENT")
     out = fs.create(draft, True)
     out.write(bytearray(version.encode()))
     out.close()
@@ -57,13 +58,61 @@ def publish(df: DataFrame, root: str) -> str:
 
 def current(spark: SparkSession, root: str) -> DataFrame | None:
     """The published version, or None before the first one."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_current")
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return None
-    version = spark.read.text(f"{root}/_current").first()[0]
-    return spark.read.parquet(f"{root}/{version}")
+    version = current_version(spark, root)
+    return None if version is None else spark.read.parquet(f"{root}/{version}")
 
 
 def publish_if_changed(df: DataFrame, root: str, flag: str = "changed") -> str | None:
     """Publishes without the flag column if it is true for some row; otherwise writes nothing (K3)."""
     return publish(df.drop(flag), root) if not df.where(flag).isEmpty() else None
+
+
+CURSOR = "letter string, page int, pass int"
+
+
+def read_cursor(spark: SparkSession, path: str) -> DataFrame:
+    """The one-row cursor of a JSON file, or the start of the first pass."""
+    found = read_json(spark, path, T.StructType.fromDDL(CURSOR))
+    start = spark.range(1).select(F.lit("a").alias("letter"), F.lit(1).alias("page"), F.lit(1).alias("pass"))
+    return start if found.isEmpty() else found.select(F.coalesce("letter", F.lit("a")).alias("letter"), F.coalesce("page", F.lit(1)).alias("page"), F.coalesce("pass", F.lit(1)).alias("pass"))
+
+
+def write_cursor(cursor: DataFrame, root: str) -> str:
+    """Publishes a one-row cursor (K0)."""
+    return publish(cursor.coalesce(1), root)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """pos, path, label of a JSON list whose entries are paths or objects with a path and a label."""
+    raw = spark.read.text(path, wholetext=True).select(F.posexplode(F.from_json("value", "array<string>")).alias("pos", "e"))
+    is_object = F.col("e").startswith("{")
+    return raw.select("pos", F.when(is_object, F.get_json_object("e", "$.path")).otherwise(F.col("e")).alias("path"), F.when(is_object, F.get_json_object("e", "$.label")).alias("label")).where("path IS NOT NULL")
+
+
+def save_all(records: DataFrame, index: DataFrame, state: DataFrame, root: str) -> dict[str, str]:
+    """Publishes the catalogue, its index and the state, each a version of its own (K2)."""
+    return {name: publish(df, f"{root}/{name}") for name, df in (("records", records), ("index", index), ("state", state))}
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return spark.read.text(f"{root}/CURRENT").first()[0]
+
+
+def publish_merged(df: DataFrame, root: str, based_on: str | None, merge: Callable[[DataFrame, DataFrame], DataFrame], tries: int = 3) -> str:
+    """Publishes df, made from version `based_on`; if another writer has published since, merges with what it wrote
+    and tries again (K4). Only one writer can claim the succession of a version: the claim is a file whose creation
+    fails if it is there."""
+    spark = df.sparkSession
+    for _ in range(tries):
+        claim = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/AFTER-{based_on or 'none'}")
+        files = claim.getFileSystem(spark._jsc.hadoopConfiguration())
+        if files.createNewFile(claim):
+            return publish(df, root)
+        newest = current_version(spark, root)
+        if newest == based_on:
+            raise RuntimeError(f"another writer is publishing after {based_on}")
+        df, based_on = merge(df, spark.read.parquet(f"{root}/{newest}")), newest
+    raise RuntimeError(f"{tries} tries met other writers")

@@ -2,18 +2,28 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from cairn.operators import merge
-from cairn.sources.tables import publish
+from cairn.operators.schedule import failure_hours
+from cairn.sources.tables import current, publish
 
 
 def folder(spark, name: str) -> str:
-    """A new path in the shared folder of the cluster."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/cairn-checkpoints"
+    """A new path in the shared folder of the cluster; a local session without one gets its own."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="cairn-checkpoints-")
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/stream-{name}-{uuid.uuid4().hex}"
 
 
@@ -23,19 +33,40 @@ def event_stream(spark, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def replay(spark, sf_dir: str) -> DataFrame:
-    """Latest entry of each key, merged batch by batch into a published state: newer wins."""
-    root = folder(spark, "state")
-    state: dict[str, DataFrame] = {}
+def replay(stream: DataFrame, root: str, checkpoint: str) -> DataFrame:
+    """Latest entry of each key, merged batch by batch into the state published below root: newer wins.
+
+    Each batch starts from the published version, and the checkpoint remembers what was read, so a stopped replay
+    goes on where it was (R1); a batch that is run again merges to the same state.
+    """
 
     def fold(batch: DataFrame, number: int) -> None:
         fresh = merge.latest(batch.select("user_id", "event_id", "event_type", F.unix_micros("ts").alias("at")), "user_id", "at", "event_id")
-        merged = merge.merge_latest(fresh, state["now"], "user_id", "at") if state else fresh
-        state["now"] = spark.read.parquet(f"{root}/{publish(merged, root)}")
+        known = current(batch.sparkSession, root)
+        publish(fresh if known is None else merge.merge_latest(fresh, known, "user_id", "at"), root)
+
+    stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return current(stream.sparkSession, root)
+
+
+def failure_streaks(stream: DataFrame, out: str, checkpoint: str) -> None:
+    """Each key's failures in a row as a state machine over a stream (R2): an error counts, anything else resets.
+    Writes one row a key and batch: user_id, event_id (the last seen), failures, hours until the next try. The state
+    lives in the checkpoint, so a restart goes on from it; it is one row a key, whatever the length of its log."""
 
-    q = event_stream(spark, sf_dir).writeStream.foreachBatch(fold).option("checkpointLocation", folder(spark, "checkpoint")).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return state["now"]
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last, failures = state.get if state.exists else (-1, 0)
+        for b in batches:
+            b = b[b["event_id"] > last].sort_values("event_id")
+            if len(b):
+                good = (b["event_type"] != "error").to_numpy().nonzero()[0]
+                failures = len(b) - 1 - int(good[-1]) if len(good) else failures + len(b)
+                last = int(b["event_id"].iloc[-1])
+        state.update((last, failures))
+        yield pd.DataFrame({"user_id": [key[0]], "event_id": [last], "failures": [failures]})
+
+    rows = stream.select("user_id", "event_id", "event_type").groupBy("user_id").applyInPandasWithState(step, "user_id bigint, event_id bigint, failures bigint", "last bigint, failures bigint", "append", GroupStateTimeout.NoTimeout)
+    rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
 
 
 def deduplicated(spark, sf_dir: str) -> DataFrame:
@@ -48,7 +79,7 @@ def deduplicated(spark, sf_dir: str) -> DataFrame:
 
 def stream_merge_states(spark, d):
     """The replay ends with what one batch gives."""
-    return replay(spark, d)
+    return replay(event_stream(spark, d), folder(spark, "state"), folder(spark, "checkpoint"))
 
 
 def stream_dedupe(spark, d):
@@ -56,9 +87,18 @@ def stream_dedupe(spark, d):
     return deduplicated(spark, d)
 
 
-QUERIES = {"stream_merge_states": stream_merge_states, "stream_dedupe": stream_dedupe}
+def stream_failures(spark, d):
+    """R2: failures in a row of each key, and the hours until its next try."""
+    out = folder(spark, "streaks")
+    failure_streaks(event_stream(spark, d), out, folder(spark, "checkpoint"))
+    last = merge.latest(spark.read.schema("user_id bigint, event_id bigint, failures bigint").parquet(out), "user_id", "event_id")
+    return last.select("user_id", "event_id", "failures", failure_hours(F.col("failures")).alias("hours"))
+
+
+QUERIES = {"stream_merge_states": stream_merge_states, "stream_dedupe": stream_dedupe, "stream_failures": stream_failures}
 
 SQL = {
     "stream_merge_states": "SELECT user_id, arg_max(event_id, (epoch_us(ts), event_id)) AS event_id, arg_max(event_type, (epoch_us(ts), event_id)) AS event_type, CAST(max(epoch_us(ts)) AS BIGINT) AS at FROM events GROUP BY user_id",
     "stream_dedupe": "SELECT DISTINCT user_id, event_type FROM events",
+    "stream_failures": "WITH g AS (SELECT user_id, max(event_id) AS event_id, coalesce(max(event_id) FILTER (event_type <> 'error'), -1) AS good FROM events GROUP BY user_id), f AS (SELECT g.user_id, g.event_id, (SELECT count(*) FROM events e WHERE e.user_id = g.user_id AND e.event_id > g.good) AS failures FROM g) SELECT *, CASE WHEN failures > 0 THEN least(24.0, 1.5 * pow(2, least(failures, 4))) ELSE 0.0 END AS hours FROM f",
 }
