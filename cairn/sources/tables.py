@@ -17,7 +17,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def read_json(spark: SparkSession, path: str, schema: T.StructType, required: bool = False) -> DataFrame:
+def read_json(spark: SparkSession, path: str, schema: T.StructType | str, required: bool = False) -> DataFrame:
     """A whole JSON file by a fixed schema (S1, S2). A missing file is an empty table unless required; a
     file that does not parse fails."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -72,7 +72,7 @@ CURSOR = "letter string, page int, pass int"
 
 def read_cursor(spark: SparkSession, path: str) -> DataFrame:
     """The one-row cursor of a JSON file, or the start of the first pass."""
-    found = read_json(spark, path, T.StructType.fromDDL(CURSOR))
+    found = read_json(spark, path, CURSOR)
     start = spark.range(1).select(F.lit("a").alias("letter"), F.lit(1).alias("page"), F.lit(1).alias("pass"))
     return start if found.isEmpty() else found.select(F.coalesce("letter", F.lit("a")).alias("letter"), F.coalesce("page", F.lit(1)).alias("page"), F.coalesce("pass", F.lit(1)).alias("pass"))
 

@@ -5,13 +5,12 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cairn.operators import merge
 from cairn.sources import tables
 from cairn.streaming import replay
 
-SCHEMA = T.StructType.fromDDL("id string, year int")
+SCHEMA = "id string, year int"
 
 
 def test_json_files(spark, tmp_path):
