@@ -179,14 +179,17 @@ def resolve(seqs: DataFrame, media: DataFrame) -> DataFrame:
 
 
 def pages_of(docs: DataFrame) -> DataFrame:
-    """Each document as a page: its text, then a figure that refers to the whole text's picture."""
+    """Each document as a page: its whole text, then a captioned figure that refers to the text's picture. Equal
+    texts give equal pages."""
     escaped = F.replace(F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     digest = F.sha2(F.col("text").cast("binary"), 256)
-    return docs.select("doc_id", F.concat(F.lit("<article><p>"), escaped, F.lit('</p><figure><img src="sha256:'), digest, F.lit('" alt="text"><figcaption>text of '), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("</figcaption></figure></article>")).alias("html"))
+    return docs.select("doc_id", F.concat(F.lit("<article><p>"), escaped, F.lit('</p><figure><img src="sha256:'), digest, F.lit('" alt="text"><figcaption>picture of '), F.substring(digest, 1, 12), F.lit("</figcaption></figure></article>")).alias("html"))
 
 
 def op9_media(spark, sf_dir: str) -> DataFrame:
-    """One row a document; equal texts have equal values. A null or empty text is one row of 64 zero samples."""
+    """One row a document of the whole table, repeated rows included; equal texts have equal values in all columns
+    but the id. A null or empty text is one row of 64 zero samples. Besides the contract's columns: pos and caption
+    of the picture in the document's sequence."""
     docs = common.read_documents(spark, sf_dir)
     media = common.stored(media_table(docs), "media")
     facts = common.stored(described(media), "media-facts")

@@ -1,6 +1,7 @@
 """Each operator against a plain single-process computation of what its query returns."""
 
 import hashlib
+import html
 import math
 import random
 import re
@@ -204,20 +205,74 @@ def test_sharding_keeps_columns_and_nulls(spark):
     assert len(out) == 3 and all(r["shard"] in "xy" for r in out)
 
 
+def read_png(raw: bytes) -> bytes:
+    """Samples of a grey 8-bit picture, by the public format: all five filters, any number of data chunks."""
+    assert raw[:8] == b"\x89PNG\r\n\x1a\n"
+    at, chunks = 8, []
+    while at < len(raw):
+        n = int.from_bytes(raw[at : at + 4], "big")
+        kind, body, crc = raw[at + 4 : at + 8], raw[at + 8 : at + 8 + n], raw[at + 8 + n : at + 12 + n]
+        assert zlib.crc32(kind + body).to_bytes(4, "big") == crc
+        chunks.append((kind, body))
+        at += 12 + n
+    assert chunks[0][0] == b"IHDR" and chunks[-1] == (b"IEND", b"")
+    width, height, depth, colour, _, _, interlaced = (int.from_bytes(chunks[0][1][a:b], "big") for a, b in ((0, 4), (4, 8), (8, 9), (9, 10), (10, 11), (11, 12), (12, 13)))
+    assert (depth, colour, interlaced) == (8, 0, 0)
+    data, out, above = zlib.decompress(b"".join(b for k, b in chunks if k == b"IDAT")), [], bytes(width)
+    for y in range(height):
+        kind, line, left, row = data[y * (width + 1)], data[y * (width + 1) + 1 : (y + 1) * (width + 1)], 0, bytearray()
+        for x, v in enumerate(line):
+            corner = above[x - 1] if x else 0
+            paeth = min(((abs(left + above[x] - corner - c), k, c) for k, c in enumerate((left, above[x], corner))))[2]
+            left = (v + (0, left, above[x], (left + above[x]) // 2, paeth)[kind]) % 256
+            row.append(left)
+        above = bytes(row)
+        out.append(above)
+    return b"".join(out)
+
+
 def test_media_round_trip(spark, sf_dir, rows):
     texts, got = dict(raw_rows(rows)), run(spark, "op9_media", sf_dir)
+    docs = common.read_documents(spark, sf_dir)
+    stored = {r["digest"]: bytes(r["media"]) for r in media.media_table(docs).collect()}
     assert sorted(r["doc_id"] for r in got) == sorted(i for i, _ in rows)
+    same = defaultdict(set)
     for r in got:
         t = texts[r["doc_id"]]
         payload = t + bytes(-len(t) % 64 or (0 if t else 64))
-        stored = media.png(payload)
+        png = stored[hashlib.sha256(t).hexdigest()]
+        assert len(t) > 20_000 or read_png(png) == payload
         assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"]) == (len(t), len(payload), hashlib.sha256(payload).hexdigest())
-        assert (r["tail_crc32"], r["media_bytes"], r["media_sha256"]) == (zlib.crc32(payload[-64:]), len(stored), hashlib.sha256(stored).hexdigest())
+        assert (r["tail_crc32"], r["media_bytes"], r["media_sha256"]) == (zlib.crc32(payload[-64:]), len(png), hashlib.sha256(png).hexdigest())
+        x = np.frombuffer(payload, np.uint8)
+        share = np.array([c / len(x) for c in Counter(payload).values()])
+        f = dict(p.split("=") for p in r["feature"].split(";")[1:])
+        assert [float(f[k]) for k in ("mean", "std", "entropy")] == pytest.approx([x.mean(), x.std(), -(share * np.log2(share)).sum()], abs=1e-3)
+        same[t].add(tuple(v for k, v in sorted(r.items()) if k != "doc_id"))
+    assert all(len(values) == 1 for values in same.values())
+
+
+def test_sequences_of_real_pages(spark):
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet")
+    got = {r["doc_id"]: r["sequence"] for r in media.sequences(pages).collect()}
+    tag = re.compile(r"(?s)<!--.*?-->|<(script|style|template|noscript)\b.*?</\1>|<[^>]*>")
+    for r in pages.collect():
+        want = html.unescape(tag.sub(" ", r["html"])).split()
+        assert " ".join(x["text"] or "" for x in got[r["page_id"]]).replace(" ", "") == "".join(want) or any(x["kind"] == "media" for x in got[r["page_id"]])
+        assert [x["pos"] for x in got[r["page_id"]]] == list(range(len(got[r["page_id"]])))
+
+
+def test_references_without_payload_stay(spark):
+    digest = hashlib.sha256(b"x").hexdigest()
+    pages = spark.createDataFrame([(1, f'<img src="sha256:{digest}"><img src="sha256:{"0" * 64}"><img src="https://h/x.png">'), (2, None), (3, "")], "page_id bigint, html string")
+    table = media.described(media.media_table(spark.createDataFrame([("x",)], "text string")))
+    got = sorted((r["doc_id"], r["pos"], r["n_bytes"], r["digest"]) for r in media.resolve(media.sequences(pages), table).collect())
+    assert got == [(1, 0, 1, digest), (1, 1, None, "0" * 64), (1, 2, None, "")]
 
 
 def test_sequences_keep_order_and_captions():
-    html = '<p>one</p><figure><img src="a" alt="x"><figcaption>cap &amp; tion</figcaption></figure>two<script>no</script><img src="b">'
-    assert [(s["kind"], s["text"] or s["ref"], s["caption"]) for s in media.sequence_of(html)] == [("text", "one", None), ("media", "a", "cap & tion"), ("text", "two", None), ("media", "b", None)]
+    page = '<p>one</p><figure><img src="a" alt="x"><figcaption>cap &amp; tion</figcaption></figure>two<script>no</script><img src="b">'
+    assert [(s["kind"], s["text"] or s["ref"], s["caption"]) for s in media.sequence_of(page)] == [("text", "one", None), ("media", "a", "cap & tion"), ("text", "two", None), ("media", "b", None)]
     assert media.sequence_of(None) == media.sequence_of("") == []
 
 
