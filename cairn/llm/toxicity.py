@@ -25,9 +25,9 @@ from cairn.llm import common
 
 #: Labelled rows that are learned from, at most; those with the smallest hash of their id are taken.
 MAX_TRAIN = 20_000
-#: Toxic texts that an entry must be in, the share of its texts that must be toxic, and entries at most: a
-#: bound on the model's size, which MAX_TRAIN texts of ordinary language do not reach.
-MIN_TEXTS, MIN_PRECISION, MAX_ENTRIES = 5, 0.9, 2_000
+#: Toxic texts that an entry must be in, and the share of its texts that must be toxic. There is no other bound
+#: on the entries: MAX_TRAIN bounds the texts that they come from.
+MIN_TEXTS, MIN_PRECISION = 5, 0.9
 THRESHOLD = 0.3
 
 # Letters of other scripts that look like Latin ones, and the digits and signs used for letters.
@@ -37,20 +37,45 @@ SUBSTITUTES = dict(zip("0134578@$!|", "oieastbasil"))
 _PLAIN = str.maketrans(HOMOGLYPHS | {ch: None for ch in "­​‌‍⁠﻿"})
 _INSIDE = re.compile(r"(?<=[^\W_])[0-9@$!|](?=[^\W_])|(?<![^\W_])[0-9@$!|](?=[^\W\d_]{2})|(?<=[^\W\d_]{2})[0-9](?![^\W_])")
 _WORD = re.compile(r"[^\W_]+")
+#: Words of letters with digits or signs anywhere, and numbers with a unit, which are none.
+_MIXED = re.compile(r"(?<![\w@$!|])(?:[^\W\d_]++[0-9@$|!]|[0-9@$|!]++[^\W\d_])[\w@$!|]*")
+_UNIT = re.compile(r"[0-9]+[^\W\d_]{1,3}$")
+_ALL = str.maketrans(SUBSTITUTES)
 
 
 def fold(text: str) -> str:
     """Lower case, compatibility forms and look-alikes as plain letters, digits and signs inside words as the
-    letters they stand for, no invisible characters."""
+    letters they stand for, no invisible characters.
+
+    At the ends of a word a digit or sign may be just that; where reading it as a letter makes another word, that
+    word is added after the text. Numbers with a unit, and exclamation marks at the end, are never letters.
+    """
     text = text.lower()
     if not text.isascii():
         text = unicodedata.normalize("NFKC", text).translate(_PLAIN)
-    return _INSIDE.sub(lambda m: SUBSTITUTES.get(m[0], m[0]), text)
+    out = _INSIDE.sub(lambda m: SUBSTITUTES.get(m[0], m[0]), text)
+    more = []
+    for m in _MIXED.finditer(text):
+        token = m[0].rstrip("!|")
+        if not _UNIT.match(token) and (whole := token.translate(_ALL)) != _INSIDE.sub(lambda x: SUBSTITUTES.get(x[0], x[0]), token):
+            more.append(whole)
+    return f"{out}\n{' '.join(more)}" if more else out
 
 
 def terms(folded: str) -> set[str]:
-    """Candidate entries: the distinct words of a folded text."""
-    return {w for w in _WORD.findall(folded) if 3 <= len(w) <= 40}
+    """Candidate entries: the distinct words of a folded text, but for those of one or two characters."""
+    return {w for w in _WORD.findall(folded) if len(w) >= 3}
+
+
+def word_before(folded: str, start: int) -> str:
+    """The last word that ends before a place, empty without one."""
+    end = start
+    while end and not folded[end - 1].isalnum():
+        end -= 1
+    begin = end
+    while begin and folded[begin - 1].isalnum():
+        begin -= 1
+    return folded[begin:end]
 
 
 def signatures(text: str) -> tuple[int, int]:
@@ -84,8 +109,7 @@ class Lexicon:
             for end, (n, w) in automaton.iter(folded):
                 start = end - n + 1
                 if (start == 0 or not folded[start - 1].isalnum()) and (end + 1 == len(folded) or not folded[end + 1].isalnum()):
-                    before = _WORD.findall(folded[max(0, start - 60) : start])
-                    out.append((folded[start : end + 1], before[-1] if before else "", w))
+                    out.append((folded[start : end + 1], word_before(folded, start), w))
         return out
 
     def strength(self, folded: str, automaton) -> float:
@@ -136,7 +160,7 @@ def learn(train: DataFrame) -> Lexicon:
     count = lambda y, only: {r["term"]: r["n"] for r in texts.where(F.col("y") == y).select("text").mapInArrow(words(only), "term string").groupBy("term").agg(F.count("*").alias("n")).where(F.lit(only is not None) | (F.col("n") >= MIN_TEXTS)).collect()}
     a = count(1, None)
     b = count(0, set(a))
-    good = sorted((w for w in a if a[w] >= MIN_PRECISION * (a[w] + b.get(w, 0))), key=lambda w: (b.get(w, 0) - a[w], w))[:MAX_ENTRIES]
+    good = sorted((w for w in a if a[w] >= MIN_PRECISION * (a[w] + b.get(w, 0))), key=lambda w: (b.get(w, 0) - a[w], w))
     weights = {w: math.log((a[w] + 0.5) / (toxic + 1)) - math.log((b.get(w, 0) + 0.5) / (clean + 1)) for w in good}
     return _finish(Lexicon(weights), texts)
 
@@ -152,7 +176,7 @@ def _finish(lex: Lexicon, texts: DataFrame) -> Lexicon:
             yield common.batch_of(schema, *(map(list, zip(*rows)) if rows else [[], []]))
 
     phrases = texts.select("y", "text").mapInArrow(around, "phrase string, y int").groupBy("phrase").agg(F.sum("y").alias("a"), F.count("*").alias("n")).where("n >= 2 and a = 0")
-    lex.exceptions = {r["phrase"] for r in phrases.orderBy(F.desc("n"), "phrase").limit(MAX_ENTRIES).collect()}
+    lex.exceptions = {r["phrase"] for r in phrases.collect()}
     strengths = pa.schema([("x", pa.float64()), ("y", pa.int32())])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,6 +226,9 @@ def fitted(spark, sf_dir: str, docs: DataFrame) -> Lexicon:
 
 
 def op7_toxicity(spark, sf_dir: str) -> DataFrame:
+    """One row a document of the whole table: doc_id, held_out, score, predicted. Null texts count as empty ones,
+    which score like clean texts; a null id is never held out; repeated rows all come back. Without labels, or
+    without toxic ones, the lexicon is empty and every text is clean."""
     docs = common.read_documents(spark, sf_dir)
     return scored(docs, fitted(spark, sf_dir, docs)).select("doc_id", (common.fold(4) == 2).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 

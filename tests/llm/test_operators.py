@@ -118,6 +118,20 @@ def test_toxicity_folds_disguises(spark, sf_dir, rows):
     got = {r["doc_id"]: r["predicted"] for r in run(spark, "op7_toxicity", sf_dir)}
     assert all(got[400 + k] == 1 for k in range(40)) and not any(got[k] for k in [*range(60), 500, 501, 502])
     assert toxicity.fold("v1legrub ѕ​o") == "vilegrub so"
+    words = lambda t: toxicity.terms(toxicity.fold(t))
+    for disguise, plain in (("m0r0n5", "morons"), ("m0r4$", "moras"), ("$n4rk", "snark"), ("gru88", "grubb"), ("id10t!", "idiot"), ("ｇｒｕｂ", "grub")):
+        assert plain in words(f"so {disguise} there"), disguise
+    assert {"12kg", "and", "hello"} < words("12kg and 3rd, hello! 2024") and "helloi" not in words("hello!")
+    assert toxicity.fold("x" * 200_000 + " 1" * 1000).startswith("x")
+    lex = toxicity.Lexicon({"grub": 2.0}, {"common grub"})
+    assert lex.matches("common" + " " * 100 + "grub", lex.automaton()) == [("grub", "common", 2.0)] and lex.strength("common grub", lex.automaton()) == 0
+
+
+def test_lexicon_has_no_bound_on_entries(spark):
+    word = lambda k: "w" + "".join(chr(97 + k // 26**i % 26) for i in range(4))
+    texts = [(1, " ".join(random.Random(i).sample([word(k) for k in range(3_000)], 3_000))) for i in range(6)] + [(0, f"clean words number{i} here a{i} b{i} c{i} d{i}" * 4) for i in range(40)]
+    lex = toxicity.learn(spark.createDataFrame([(t, y) for y, t in texts], "text string, y int"))
+    assert len(lex.weights) == 3_000
 
 
 def test_repeated_substrings_against_all_windows(spark, sf_dir, rows):
@@ -258,7 +272,7 @@ def test_sequences_of_real_pages(spark):
     tag = re.compile(r"(?s)<!--.*?-->|<(script|style|template|noscript)\b.*?</\1>|<[^>]*>")
     for r in pages.collect():
         want = html.unescape(tag.sub(" ", r["html"])).split()
-        assert " ".join(x["text"] or "" for x in got[r["page_id"]]).replace(" ", "") == "".join(want) or any(x["kind"] == "media" for x in got[r["page_id"]])
+        assert "".join("".join(x["text"] or "" for x in got[r["page_id"]]).split()) == "".join(want) or any(x["kind"] == "media" for x in got[r["page_id"]])
         assert [x["pos"] for x in got[r["page_id"]]] == list(range(len(got[r["page_id"]])))
 
 
