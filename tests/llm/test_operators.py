@@ -14,7 +14,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from cairn.llm import bpe, common, lm, media, neardup, quality, queries, sharding, substrings, tokenfiles, toxicity
+from cairn.llm import bpe, common, decontaminate, lm, media, neardup, quality, queries, sharding, substrings, tokenfiles, toxicity
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -202,6 +202,44 @@ def test_planted_benchmark_passages(spark, sf_dir):
     assert {(r["doc_id"], r["item_id"]) for r in run(spark, "op6_decontaminate", sf_dir)} == {(300 + k, k) for k in range(3)}
 
 
+def brute_leaks(texts, items):
+    """Every document against every item: the checked share over all places, without any candidate search."""
+    out = set()
+    for i, t in texts:
+        w = decontaminate.tokens((t or "").encode())
+        for item in decontaminate.item_passages(items):
+            share, answer = decontaminate.checked(item, w)
+            if share >= decontaminate.COVERED or (share >= decontaminate.COVERED_WITH_ANSWER and answer):
+                out.add((i, item.item_id))
+    return out
+
+
+def test_paraphrases_of_benchmark_items(spark):
+    r = random.Random(9)
+    word = lambda: "".join(r.choices("abcdefghijklmnoprstu", k=r.randint(3, 8)))
+    common_ = [word() for _ in range(300)]
+    noise = lambda n: [r.choice(common_) if r.random() < 0.7 else word() for _ in range(n)]
+    items = [(k, " ".join(r.choice(common_) if r.random() < 0.5 else word() for _ in range(r.randint(15, 40)))) for k in range(25)]
+    texts, planted = [(10_000 + k, " ".join(noise(r.randint(20, 200)))) for k in range(150)], {}
+    for share in (0, 0.1, 0.2):
+        for k, t in items:
+            w = t.split()
+            for j in r.sample(range(len(w)), int(share * len(w))):
+                w[j] = word()
+            doc = len(planted)
+            planted[doc] = k, share
+            around = [w[0]] * 150 if doc % 5 == 0 else noise(80)
+            texts.append((doc, " ".join([*around, *w, *around])))
+    docs = common.documents(spark.createDataFrame([*texts, (1, None), (2, "")], "doc_id bigint, text string"))
+    got = {(x["doc_id"], x["item_id"]) for x in decontaminate.leaks(docs, spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    want = brute_leaks(texts, items)
+    assert got <= want and len(got & want) >= 0.9 * len(want)
+    for share in (0, 0.1, 0.2):
+        of = [(d, k) for d, (k, s) in planted.items() if s == share]
+        assert sum(x in got for x in of) >= 0.9 * len(of), share
+    assert not any(d >= 10_000 for d, _ in got)
+
+
 def test_sharding_matches_sql_and_moves_little(spark):
     import duckdb
 
