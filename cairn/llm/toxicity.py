@@ -28,7 +28,9 @@ MAX_TRAIN = 20_000
 #: Toxic texts that an entry must be in, and the share of its texts that must be toxic. There is no other bound
 #: on the entries: MAX_TRAIN bounds the texts that they come from.
 MIN_TEXTS, MIN_PRECISION = 5, 0.9
-THRESHOLD = 0.3
+#: The score from which a text is toxic, and the most that a text may score in which nothing matches, however
+#: frequent toxic texts are among the labelled ones.
+THRESHOLD, NOTHING = 0.3, 0.2
 
 # Letters of other scripts that look like Latin ones, and the digits and signs used for letters.
 HOMOGLYPHS = dict(zip("аеорсухкмтвніјѕԁɡαεορτυνικχ", "aeopcyxkmtbhijsdgaeoptuvikx"))
@@ -185,7 +187,8 @@ def _finish(lex: Lexicon, texts: DataFrame) -> Lexicon:
             yield common.batch_of(strengths, [lex.strength(fold(t), a) for t in b.column("text").to_pylist()], b.column("y"))
 
     xy = [(r["x"], r["y"]) for r in texts.select("y", "text").mapInArrow(measure, "x double, y int").collect()]
-    lex.slope, lex.offset = logistic(xy)
+    lex.slope, offset = logistic(xy)
+    lex.offset = min(offset, math.log(NOTHING / (1 - NOTHING)))
     return lex
 
 
