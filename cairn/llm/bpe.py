@@ -1,4 +1,10 @@
-"""Byte-level BPE: encoding by merge ranks over a global distinct-word shuffle, decoding by the token-byte table."""
+"""Byte-level BPE: encoding by merge ranks over a global distinct-word shuffle, decoding by the token-byte table.
+
+Texts explode into words with positions, which stay an array in the text's block: a row for each of a corpus's
+words would move several times the corpus. Each distinct word is encoded once, its ids are joined back to the
+blocks that sent it, and positions put them together. Decoding joins ids to the token-byte table on the map side:
+that table is as large as the vocabulary, at most 65,536 entries, and so it is broadcast.
+"""
 
 from __future__ import annotations
 
@@ -152,4 +158,6 @@ def round_trip(docs: DataFrame) -> DataFrame:
 
 
 def op2_bpe(spark, sf_dir: str) -> DataFrame:
+    """One row a document of the whole table: doc_id, n_tokens, ids_sha256, decoded_sha256. A null or empty text has
+    no ids; null ids and repeated rows all come back; other columns are left behind."""
     return round_trip(common.read_documents(spark, sf_dir))

@@ -375,4 +375,7 @@ def scored(docs: DataFrame) -> DataFrame:
 
 
 def op1_ppm(spark, sf_dir: str) -> DataFrame:
+    """One row a document of the whole table: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+    A null or empty text is the end token alone; a null id is never held out; repeated rows all come back and each
+    counts in training; other columns are left behind; an empty table gives an empty one."""
     return scored(common.read_documents(spark, sf_dir))

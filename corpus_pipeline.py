@@ -15,13 +15,16 @@ def _crc(text: str = "text"):
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below the threshold."""
+    """Documents whose toxicity score is below the threshold. Null and empty texts count as clean; null ids,
+    repeated rows and null fields stay as they are; an empty table stays empty."""
     lexicon = toxicity.fitted(spark, sf_dir, common.documents(docs))
     return toxicity.reject(docs.select(*COLUMNS), lexicon)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, five-word shingles at a similarity of 0.8."""
+    """One document of each group of near duplicates, five-word shingles at a similarity of 0.8: the one with the
+    least id. Documents without words are in no group and stay; of rows with equal id and text one stays; null ids
+    are kept only in groups of null ids alone."""
     kept = neardup.grouped(common.documents(docs)).where("kept").select(F.col("doc_id").alias("__id"), F.col("crc").alias("__crc"))
     rows = docs.select(*COLUMNS, _crc().alias("__of"))
     near = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__of") == F.col("__crc")), "left_semi")
@@ -29,7 +32,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document without the passages of 50 words or more that stand elsewhere too."""
+    """Every document without the passages of 50 words or more that stand elsewhere too, in the same document
+    included; n_chars counts what is left. A null text becomes an empty one; documents that lose all stay, empty."""
     cut = substrings.deduplicated(common.documents(docs), {"word": substrings.WORDS}).select("doc_id", "crc", F.col("word_kept").cast("string").alias("text"))
     rest = docs.select(F.col("doc_id").alias("__id"), _crc().alias("__crc"), "lang", "source").dropDuplicates(["__id", "__crc"])
     out = cut.join(rest, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("crc") == F.col("__crc")))
@@ -37,12 +41,14 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark."""
+    """Documents that hold no item of the benchmark. Null and empty texts hold none and stay, as do repeated rows;
+    items without text are none."""
     return decontaminate.clean(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and digests of the ids and of what they decode to."""
+    """doc_id, n_tokens and digests of the ids and of what they decode to, one row a document; a null or empty text
+    has no ids."""
     return bpe.round_trip(common.documents(docs))
 
 
