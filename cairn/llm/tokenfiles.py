@@ -48,26 +48,33 @@ def repair(ids: np.ndarray, starts: np.ndarray, base: int = BASE, least: int = L
     left to right without overlap, and a rule that then has fewer than two uses is not made. Counts by hash
     bound those of the pairs from above, so no frequent pair is missed; exact counts decide.
     """
-    seq, first = ids.astype(np.uint64), np.zeros(len(ids) + 1, bool)
-    first[starts] = True
+    seq, starts = ids.astype(np.uint64), starts.astype(np.int64)
     rules: list[np.ndarray] = []
     bits, need, n_rules, low = 17, 0, 0, np.uint64(32)
     while len(seq) > 1:
-        free = ~first[1 : len(seq)]
         key = (seq[:-1] << low) | seq[1:]
         slot = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).view(np.int64)
-        counts = np.bincount(slot[free], minlength=1 << bits)
+        last = starts[(starts > 0) & (starts < len(seq))] - 1
+        slot[last] = 1 << bits
+        counts = np.bincount(slot, minlength=(1 << bits) + 1)
+        counts[-1] = 0
         highest = int(counts.max())
         if highest < least:
             break
         need = max(least, min(need or highest, 1 << (highest.bit_length() - 1)))
-        at = np.flatnonzero((counts >= need)[slot] & free)
-        pairs, which, n = np.unique(key[at], return_inverse=True, return_counts=True)
+        at = np.flatnonzero((counts >= need)[slot])
+        order = np.argsort(key[at])
+        sorted_ = key[at][order]
+        new = np.r_[True, sorted_[1:] != sorted_[:-1]]
+        n = np.diff(np.r_[np.flatnonzero(new), len(at)])
         keep = n >= need
-        at, which = at[keep[which]], which[keep[which]]
+        pairs = sorted_[new][keep]
+        which = np.empty(len(at), np.int64)
+        which[order] = np.repeat(np.where(keep, np.cumsum(keep) - 1, -1), n)
+        at, which = at[which >= 0], which[which >= 0]
         if len(at):
-            new_run = np.r_[True, np.diff(at) != 1]
-            run_start = np.maximum.accumulate(np.where(new_run, np.arange(len(at)), 0))
+            run = np.r_[True, np.diff(at) != 1]
+            run_start = np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))
             chosen = (np.arange(len(at)) - run_start) % 2 == 0
             at, which = at[chosen], which[chosen]
             uses = np.bincount(which, minlength=len(pairs))
@@ -80,18 +87,19 @@ def repair(ids: np.ndarray, starts: np.ndarray, base: int = BASE, least: int = L
             rules.append(np.stack([pairs[made] >> low, pairs[made] & np.uint64(0xFFFFFFFF)], 1).astype(np.int64))
             n_rules += len(made)
             seq[at] = symbol[which]
-            stay = np.ones(len(seq) + 1, bool)
+            stay = np.ones(len(seq), bool)
             stay[at + 1] = False
-            seq, first = seq[stay[:-1]], first[stay]
+            seq, starts = seq[stay], starts - np.searchsorted(at + 1, starts)
         if need == least:
             break
         need = max(least, need // 2)
     seq = seq.astype(np.int64)
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
-    lengths = np.zeros(len(table), np.int64)
-    for k, pair in enumerate(table.tolist()):
-        lengths[k] = sum(1 if s < base else lengths[s - base] for s in pair)
-    return Grammar(seq, table, lengths, np.flatnonzero(first))
+    lengths = np.zeros(0, np.int64)
+    for part in rules:  # a round's rules use symbols of earlier rounds only
+        known = np.r_[lengths, 0][np.maximum(part - base, -1)]
+        lengths = np.r_[lengths, np.where(part < base, 1, known).sum(1)]
+    return Grammar(seq, table, lengths, starts)
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, base: int = BASE) -> np.ndarray:
@@ -121,6 +129,15 @@ def document(g: Grammar, i: int, begin: int = 0, end: int | None = None, base: i
     return ids[begin - skipped : end - skipped]
 
 
+def documents(g: Grammar, base: int = BASE) -> list[np.ndarray]:
+    """The ids of all documents of a shard, expanded at once and parted by the expansion lengths."""
+    rules = g.symbols >= base
+    long = np.ones(len(g.symbols), np.int64)
+    long[rules] = g.lengths[g.symbols[rules] - base]
+    ends = np.r_[0, np.cumsum(long)][g.starts]
+    return np.split(expand(g.symbols, g.rules, base), ends[1:-1])
+
+
 def to_row(block: int, shard: int, doc_ids: list, g: Grammar) -> tuple:
     return block, shard, doc_ids, g.starts.astype("<u4").tobytes(), g.symbols.astype("<u4").tobytes(), g.rules.astype("<u4").tobytes(), g.lengths.astype("<u4").tobytes()
 
@@ -235,7 +252,7 @@ def read_documents(shards: DataFrame, each=lambda ids: ids.astype(words.ID).toby
         for b in batches:
             for row in b.to_pylist():
                 g = from_row(row["starts"], row["symbols"], row["rules"], row["lengths"])
-                ids = [document(g, i) for i in range(len(row["doc_ids"]))]
+                ids = documents(g)
                 n = np.array([len(x) for x in ids], np.int64)
                 k = len(ids)
                 yield common.batch_of(schema, [row["block"]] * k, [row["shard"]] * k, list(range(k)), row["doc_ids"], pa.array(np.cumsum(n) - n), pa.array(n), list(map(each, ids)))

@@ -196,6 +196,9 @@ def test_grammar_reads_any_range():
         whole = ids[starts[i] : starts[i + 1]]
         assert (tokenfiles.document(g, i) == whole).all()
         assert (tokenfiles.document(g, i, 5, 17) == whole[5:17]).all()
+    assert [x.tolist() for x in tokenfiles.documents(g)] == [ids[a:b].tolist() for a, b in zip(starts, starts[1:])]
+    one = tokenfiles.repair(np.array([2]), np.array([0, 1]))
+    assert [x.tolist() for x in tokenfiles.documents(one)] == [[2]] and not len(one.rules)
 
 
 def test_planted_benchmark_passages(spark, sf_dir):
