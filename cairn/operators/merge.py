@@ -62,11 +62,6 @@ def merge_cursors(ours: DataFrame, theirs: DataFrame, key: str) -> DataFrame:
     return best.select(key, "__c.at.*", "last_pass_at", F.coalesce("__mine", "__other").alias("finished_at"))
 
 
-def remove_items(flat: DataFrame, gone: DataFrame, item: str) -> DataFrame:
-    """flat without the items proven gone (U3); nulls in `gone` remove nothing."""
-    return flat.join(gone.select(item).where(F.col(item).isNotNull()).distinct(), item, "left_anti")
-
-
 def category(language: Column, series: Column) -> Column:
     """The category by original language and shape; none without a language (M7)."""
     shape = F.when(series, "series").otherwise("movie")

@@ -194,6 +194,12 @@ def test_fingerprints_ignore_links(spark):
     assert got["a"] == got["b"] == got["c"] != got["d"] and len(got["a"]) == 20
 
 
+def test_signatures_ignore_title_and_year(spark):
+    df = table(spark, {"id": "a", "title": "T"}, {"id": "b", "title": "U", "year": 2020}, {"id": "c", "poster": "p"}, {"id": "d", "embeds": [embed("x")]}, {"id": "e", "language": "ta"})
+    got = {r["id"]: r["s"] for r in df.select("id", records.signature().alias("s")).collect()}
+    assert got["a"] == got["b"] and len({got[k] for k in "acde"}) == 4
+
+
 def test_order_and_json(spark):
     df = table(spark, {"id": "a", "title": "T"}).withColumn("extra", F.lit("kept")).select("extra", "title", "id", "year")
     assert records.ordered(df).columns == ["id", "title", "year", "extra"]

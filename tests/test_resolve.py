@@ -143,3 +143,5 @@ def test_walks(spark):
     assert {tuple(r) for r in pages.newest_episodes(eps, 3).collect()} == {("r", 2, 1), ("r", 1, 4), ("r", 1, 3)}
     plan = lambda *a: spark.range(1).select(pages.plan_walk(*(F.lit(x) for x in a))).first()[0]
     assert (plan("/x-web-series/", False, False), plan("/x-movie/", True, False), plan("/x-movie/", False, True), plan("/x-movie/", False, False)) == ("series", "series", "series", "movie")
+    shape = lambda *a: spark.range(1).select(pages.walked_shape(*(F.lit(x) for x in a))).first()[0]
+    assert (shape(3, 2, 1), shape(0, 2, 1), shape(0, 0, 1), shape(0, 0, 0)) == ("episodes", "seasons", "movie", "empty")
