@@ -63,8 +63,10 @@ def place(df: DataFrame, shards: list[str], key: str = "doc_id", size: int = TAB
 
 
 def write_sharded(placed: DataFrame, path: str, shard_col: str = "shard", writers: int = 8) -> None:
-    """One folder a shard, each written by up to `writers` tasks, so that no shard depends on one task."""
-    placed.withColumn("__w", (F.rand(7) * writers).cast("int")).repartition(F.col(shard_col), F.col("__w")).drop("__w").write.partitionBy(shard_col).parquet(path)
+    """One folder a shard, each written by up to `writers` tasks, so that no shard depends on one task. Rows are
+    dealt by a hash of their columns: a task that is run again writes the same rows."""
+    part = F.pmod(F.xxhash64(*placed.columns), F.lit(writers)).alias("__w")
+    placed.repartition(F.col(shard_col), part).write.partitionBy(shard_col).parquet(path)
 
 
 def names(n: int = SHARDS) -> list[str]:

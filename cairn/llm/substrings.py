@@ -40,6 +40,8 @@ BYTES, WORDS = 1, 8
 LENGTH, SEED = {BYTES: 400, WORDS: 50}, {BYTES: 64, WORDS: 8}
 #: Distinct runs that one task compares, and windows in a part of the runs of a crowded anchor.
 GROUP, STEP = 256, 16
+#: Parts into which the runs of one anchor are dealt where they are joined with what is known of the anchor.
+SALTS = 16
 #: Units that are hashed together, to stay in a processor's cache; longer texts are cut with overlap.
 _CHUNK = 500_000
 _U = np.uint64
@@ -240,6 +242,12 @@ def compared(cold: DataFrame, unit: int, length: int) -> DataFrame:
     return cold.groupBy("anchor").applyInArrow(compare, _SPAN)
 
 
+def of_shared(rows: DataFrame, shared: DataFrame) -> DataFrame:
+    """rows (anchor, run, ...) of the anchors in `shared`, with its columns; an anchor's rows are dealt into parts."""
+    dealt = shared.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("run"), F.lit(SALTS)).cast("int")).join(dealt, ["anchor", "salt"]).drop("salt")
+
+
 def refined(hot: DataFrame, step: int, unit: int, length: int) -> DataFrame:
     """Spans of the unique runs of crowded anchors. Each run is cut into parts of at most `step` windows at
     equal distances from the anchor; the units that all windows of a part have in common become its anchor,
@@ -269,7 +277,7 @@ def refined(hot: DataFrame, step: int, unit: int, length: int) -> DataFrame:
         return found
     fields = [c.split()[0] for c in _CONTEXT.split(", ")[3:]]
     distinct = rows.groupBy("anchor", "run").agg(F.sum("n").alias("n"), *(F.first(c).alias(c) for c in fields))
-    near = common.stored(distinct.join(shared, "anchor").select("anchor", "k", "n", *fields), "part-contexts")
+    near = common.stored(of_shared(distinct, shared).select("anchor", "k", "n", *fields), "part-contexts")
     return found.unionByName(compared(near.where(F.col("k") <= GROUP), unit, length)).unionByName(refined(near.where(F.col("k") > GROUP), 1, unit, length))
 
 
@@ -286,7 +294,7 @@ def spans(docs: DataFrame, n: int, unit: int, length: int) -> DataFrame:
     first = [F.first(c).alias(c) for c in ("doc_id", "crc", "block", "start", "windows", "offset")]
     distinct = common.stored(found.groupBy("anchor", "run").agg(F.count("*").alias("n"), *first), "distinct-runs")
     shared = distinct.groupBy("anchor").agg(F.count("*").alias("k"), F.min("n").alias("least")).where("k >= 2 and least = 1").select("anchor", "k")
-    wanted = distinct.join(shared, "anchor").select("anchor", "k", "n", "doc_id", "crc", "block", "start", "windows", "offset")
+    wanted = of_shared(distinct, shared).select("anchor", "k", "n", "doc_id", "crc", "block", "start", "windows", "offset")
     near = common.stored(contexts(words.packed(docs, words.hashed_block(n)), wanted, unit, length), "contexts")
     whole = found.join(distinct.where("n >= 2").select("anchor", "run"), ["anchor", "run"]).select("doc_id", "crc", "block", "start", (F.col("start") + F.col("windows") + length - 1).alias("stop"))
     out = common.stored(whole.unionByName(compared(near.where(F.col("k") <= GROUP), unit, length)).unionByName(refined(near.where(F.col("k") > GROUP), STEP, unit, length)), "spans")

@@ -13,6 +13,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from cairn.llm import bpe, common, decontaminate, lm, media, neardup, quality, queries, sharding, substrings, tokenfiles, toxicity
 
@@ -108,6 +109,35 @@ def test_held_out_accuracy(spark, name, label, folds, held, least):
     assert len(right) > 30 and sum(right) / len(right) >= least
 
 
+def test_rules_against_plain_evaluation(spark):
+    docs = common.read_documents(spark, SMALL)
+    stats = quality.measured(docs)
+    rules, intercept = quality.fit(stats, spark.read.parquet(f"{SMALL}/labels.parquet"))
+    assert 2 < len(rules) < 200 and all(len(r) <= quality.DEPTH for r, _ in rules)
+    got = {r["doc_id"]: r for r in run(spark, "op3_quality", SMALL)}
+    for i, t in raw_rows(map(tuple, docs.collect())):
+        value = dict(zip(quality.STATISTICS, quality.statistics(t)))
+        z = intercept + sum(w for rule, w in rules if all((value[name] <= at) == most for name, most, at in rule))
+        assert got[i]["score"] == pytest.approx(1 / (1 + math.exp(-z)), rel=1e-6) and got[i]["predicted"] == (got[i]["score"] >= quality.THRESHOLD)
+
+
+def test_toxicity_against_a_plain_search(spark, sf_dir, rows):
+    docs = common.read_documents(spark, sf_dir)
+    lex = toxicity.fitted(spark, sf_dir, docs)
+    assert lex.weights
+    got = {r["doc_id"]: r["score"] for r in run(spark, "op7_toxicity", sf_dir)}
+    for i, t in rows:
+        folded = toxicity.fold(t or "")
+        words = [(m.start(), m[0]) for m in re.finditer(r"[^\W_]+", folded)] if len(folded) < 20_000 else []
+        x, before = 0.0, ""
+        for _, w in words:
+            if w in lex.weights and w not in lex.exceptions and f"{before} {w}" not in lex.exceptions:
+                x += lex.weights[w]
+            before = w
+        x /= 1 + math.log10(1 + folded.count(" "))
+        assert len(folded) >= 20_000 or got[i] == pytest.approx(1 / (1 + math.exp(-(lex.slope * x + lex.offset))), rel=1e-6)
+
+
 def test_rules_without_or_with_one_label(spark, sf_dir):
     stats = quality.measured(spark.createDataFrame([(1, "a b"), (2, "")], "doc_id bigint, text string"))
     none = spark.createDataFrame([], "doc_id bigint, quality int")
@@ -286,6 +316,21 @@ def read_png(raw: bytes) -> bytes:
     return b"".join(out)
 
 
+def test_shards_are_written_whole(spark, docs, tmp_path):
+    placed = sharding.place(docs.select("doc_id", "text"), ["x", "y"])
+    sharding.write_sharded(placed, f"{tmp_path}/out", writers=3)
+    back = spark.read.parquet(f"{tmp_path}/out")
+    key = lambda df: Counter((r["doc_id"], r["text"], r["shard"]) for r in df.collect())
+    assert key(back) == key(placed) and all(0 < len(list((tmp_path / "out" / f"shard={s}").glob("*.parquet"))) <= 3 for s in "xy")
+
+
+def test_decoding_gives_the_bytes_back(spark, docs, rows):
+    encoded = bpe.encode(common.documents(docs)).withColumn("extra", F.lit("kept"))
+    got = Counter((r["doc_id"], bytes(r["decoded"]), r["extra"]) for r in bpe.decode(encoded).collect())
+    assert got == Counter((i, t, "kept") for i, t in raw_rows(rows))
+    assert bpe.decode(encoded.limit(0)).count() == 0
+
+
 def test_media_round_trip(spark, sf_dir, rows):
     texts, got = dict(raw_rows(rows)), run(spark, "op9_media", sf_dir)
     docs = common.read_documents(spark, sf_dir)
