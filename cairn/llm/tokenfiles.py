@@ -157,6 +157,14 @@ def split(texts: pa.Array) -> words.Split:
     return words.coded(pc.ascii_split_whitespace(raw))
 
 
+def distinct_words(texts: pa.Array) -> set[bytes]:
+    """The distinct words of texts, as `split` gives them."""
+    out: set[bytes] = set()
+    for t in texts.to_pylist():
+        out.update(t.split() if b"<|" in t else t.lower().split())
+    return out
+
+
 _LOADED: dict[int, object] = {}
 
 
@@ -238,7 +246,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, shard_i
             close()
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * len(fields), fields)], schema=fields)
 
-    shards = words.encoded(docs, block.cast("int"), n, split, lambda: encoder(model.value), finish, SHARD)
+    shards = words.encoded(docs, block.cast("int"), n, split, lambda: encoder(model.value), finish, SHARD, distinct_words)
     shards.write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(shards.schema).parquet(path)
 

@@ -9,7 +9,7 @@ word once a block, however frequent; no row stands for an occurrence.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -134,12 +134,13 @@ def bucketed(distinct: set[bytes], n: int) -> dict[int, list[bytes]]:
 
 def encoded(
     docs: DataFrame, block: Column, n: int, split: Splitter, encoder: Callable[[], Callable[[list[bytes]], list[bytes]]],
-    finish: Callable[[int, Iterator[tuple[int | None, bytes, bytes]]], pa.Table], result: str,
+    finish: Callable[[int, Iterator[tuple[int | None, bytes, bytes]]], pa.Table], result: str, distinct: Callable[[pa.Array], Iterable[bytes]] | None = None,
 ) -> DataFrame:
     """finish(block, documents) for each block, where a document is (doc_id, text, packed ids).
 
     split gives texts' words in order; encoder() makes, once a task, the function that turns distinct words
-    into packed ids. Blocks hold 1/n of the documents, buckets 1/n of the distinct words.
+    into packed ids. Blocks hold 1/n of the documents, buckets 1/n of the distinct words. distinct may give
+    texts' distinct words in a cheaper way than split.
     """
     whole = packed(docs, block).repartition(n, "block")
     sent = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("words", pa.binary())])
@@ -149,7 +150,7 @@ def encoded(
         seen: dict[int, set[bytes]] = {}
         for b in batches:
             for block, blob in zip(b.column("block").to_pylist(), b.column("docs").to_pylist()):
-                seen.setdefault(block, set()).update(split(texts(blob)).distinct)
+                seen.setdefault(block, set()).update(distinct(texts(blob)) if distinct else split(texts(blob)).distinct)
         while seen:
             block, mine = seen.popitem()
             buckets = bucketed(mine, n)
@@ -169,21 +170,17 @@ def encoded(
     codes = whole.mapInArrow(collect, "bucket int, block int, words binary").groupBy("bucket").applyInArrow(encode, "block int, bucket int, codes binary")
 
     def reassemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        blobs = left.column("docs").to_pylist()
-        parts = [split(texts(blob)) for blob in blobs]
-        buckets = bucketed({w for s in parts for w in s.distinct}, n)
+        docs_ = pa.concat_tables([pa.ipc.open_stream(blob).read_all() for blob in left.column("docs").to_pylist()] or [_DOCS.empty_table()])
+        text = docs_.column("text").combine_chunks()
+        s = split(text)
+        buckets = bucketed({*s.distinct}, n)
         code: dict[bytes, bytes] = {}
         for bucket, cs in zip(right.column("bucket").to_pylist(), right.column("codes").to_pylist()):
             code.update(zip(buckets.pop(bucket), parted(cs)))
-
-        def rows():
-            for k, blob in enumerate(blobs):
-                s, parts[k] = parts[k], None
-                yield from zip(*unpacked(blob), looked_up(s, [code[w] for w in s.distinct]))
-
-        out = finish(left.column("block")[0].as_py() if left.num_rows else -1, rows())
-        code.clear()
-        del blobs, parts
+        ids = looked_up(s, [code[w] for w in s.distinct])
+        del s, code, buckets
+        out = finish(left.column("block")[0].as_py() if left.num_rows else -1, zip(docs_.column("doc_id").to_pylist(), text.to_pylist(), ids))
+        del docs_, text, ids
         common.trim()
         return out
 
