@@ -175,12 +175,12 @@ SELECT i.id, coalesce(s.id, p.by_path) AS record, CASE WHEN s.id IS NOT NULL THE
 
 def upsert_actions(spark, d):
     """Walked orders filed into the catalogue; a fifth is of the other kind than what is stored."""
-    o = table(spark, d, "orders").select("o_orderkey", (F.col("o_orderstatus") == "O").alias("series"), F.year("o_orderdate").alias("year"), F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("title"), F.concat(F.lit("https://h/"), F.col("o_orderkey").cast("string"), F.lit("/")).alias("url"))
+    o = table(spark, d, "orders").select("o_orderkey", (F.col("o_orderstatus") == "O").alias("series"), F.year("o_orderdate").alias("year"), F.concat(F.lit("order n"), F.col("o_orderkey").cast("string")).alias("title"), F.concat(F.lit("https://h/"), F.col("o_orderkey").cast("string"), F.lit("/")).alias("url"))
     with_links = lambda k: o.join(_nested(_lines(spark, d, k)).withColumnRenamed("record", "o_orderkey"), "o_orderkey", "left")
     kind = lambda series: F.when(series, "series").otherwise("movie")
     have = with_links(0).where("o_orderkey % 4 <> 0")
     has = F.col("series") & F.col("seasons").isNotNull()
-    stored = have.select(F.concat(F.lit("order-"), F.col("o_orderkey").cast("string"), F.lit("-"), F.col("year").cast("string")).alias("id"), "title", "year", kind(F.col("series")).alias("kind"), F.col("url").alias("page_url"), F.lit("").alias("poster"), F.when(has, F.col("seasons")).alias("seasons"), F.when(has, records.links(F.col("seasons"))).when(F.col("series"), F.array().cast(records.EMBEDS)).otherwise(F.coalesce("embeds", F.array().cast(records.EMBEDS))).alias("embeds"), F.col("o_orderkey").alias("pos"))
+    stored = have.select(F.concat(F.lit("order-n"), F.col("o_orderkey").cast("string"), F.lit("-"), F.col("year").cast("string")).alias("id"), "title", "year", kind(F.col("series")).alias("kind"), F.col("url").alias("page_url"), F.lit("").alias("poster"), F.when(has, F.col("seasons")).alias("seasons"), F.when(has, records.links(F.col("seasons"))).when(F.col("series"), F.array().cast(records.EMBEDS)).otherwise(F.coalesce("embeds", F.array().cast(records.EMBEDS))).alias("embeds"), F.col("o_orderkey").alias("pos"))
     walked = with_links(1).where("o_orderkey % 3 = 0").withColumn("series", F.col("series") != (F.col("o_orderkey") % 5 == 0))
     items = walked.select(F.col("o_orderkey").alias("pos"), "url", "title", "year", kind(F.col("series")).alias("kind"), F.coalesce("embeds", F.array().cast(records.EMBEDS)).alias("embeds"), F.when(F.col("series"), F.col("seasons")).alias("seasons"), F.lit("").alias("poster"))
     return records.upsert(stored, items).select("url", "id", "action", "note", _urls(F.col("embeds")).alias("links"))
@@ -189,9 +189,9 @@ def upsert_actions(spark, d):
 ACTIONS_SQL = f"""WITH o AS (SELECT o_orderkey AS record, o_orderstatus = 'O' AS s_series, (o_orderstatus = 'O') <> (o_orderkey % 5 = 0) AS series, year(o_orderdate) AS year, o_orderkey % 4 <> 0 AS stored, o_orderkey % 3 = 0 AS walked, o_orderkey % 4 <> 0 AND o_orderkey % 5 = 0 AS forked FROM orders),
 r AS (SELECT l.*, 0 AS src, series AS nested FROM {_LINES.format(0)} l JOIN o USING (record) WHERE stored AND walked AND NOT forked UNION ALL SELECT l.*, 1, series FROM {_LINES.format(1)} l JOIN o USING (record) WHERE walked), {_UNITED.format('r')},
 w AS (SELECT record, string_agg(url, ',' ORDER BY CASE WHEN nested THEN season END, CASE WHEN nested THEN episode END, pos) AS before FROM r WHERE src = 0 GROUP BY record), f AS (SELECT record, min(season) AS first FROM r WHERE src = 1 GROUP BY record)
-SELECT 'https://h/' || record || '/' AS url, CASE WHEN first IS NULL THEN NULL WHEN forked AND series THEN 'order-' || record || '-season-' || greatest(first, 1) || '-' || year WHEN forked THEN 'order-' || record || '-movie-' || year ELSE 'order-' || record || '-' || year END AS id,
+SELECT 'https://h/' || record || '/' AS url, CASE WHEN first IS NULL THEN NULL WHEN forked AND series THEN 'order-n' || record || '-season-' || greatest(first, 1) || '-' || year WHEN forked THEN 'order-n' || record || '-movie-' || year ELSE 'order-n' || record || '-' || year END AS id,
 CASE WHEN first IS NULL THEN 'unchanged' WHEN forked OR NOT stored THEN 'added' WHEN coalesce(before, '') = links THEN 'unchanged' ELSE 'merged' END AS action,
-CASE WHEN first IS NOT NULL AND forked THEN 'kept the stored ' || CASE WHEN series THEN 'movie' ELSE 'series' END || ' · filed as "order ' || record || CASE WHEN series THEN ' Season ' || greatest(first, 1) ELSE ' Movie' END || '"' ELSE '' END AS note, CASE WHEN first IS NOT NULL THEN links END AS links
+CASE WHEN first IS NOT NULL AND forked THEN 'kept the stored ' || CASE WHEN series THEN 'movie' ELSE 'series' END || ' · filed as "order n' || record || CASE WHEN series THEN ' Season ' || greatest(first, 1) ELSE ' Movie' END || '"' ELSE '' END AS note, CASE WHEN first IS NOT NULL THEN links END AS links
 FROM o LEFT JOIN u USING (record) LEFT JOIN w USING (record) LEFT JOIN f USING (record) WHERE walked"""
 
 
