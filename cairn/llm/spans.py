@@ -28,8 +28,8 @@ def classes(white: bytes = b"", border: bytes = b"", word: bytes | None = None)
 
 class Words(NamedTuple):
     """Words in order: each one's row and place in `raw` (bytes, A-Z as small letters), its length, and whether it
-    follows its forerunner without a border, within the same text. `again` marks a word that was in the slab
-    before, where a long text was cut: it stands here only for what follows it."""
+    follows its forerunner without a border, within the same text. `again` marks words that were in the slab
+    before, where a long text was cut: they stand here only for what follows them."""
 
     row: np.ndarray
     start: np.ndarray
@@ -40,9 +40,11 @@ class Words(NamedTuple):
 
     def array(self) -> pa.Array:
         """The words as an Arrow array of bytes."""
-        ends = np.r_[0, np.cumsum(self.size)]
-        at = np.arange(ends[-1]) + np.repeat(self.start - ends[:-1], self.size)
-        return pa.Array.from_buffers(pa.large_binary(), len(self.size), [None, pa.py_buffer(ends.astype(np.int64).tobytes()), pa.py_buffer(self.raw[at].tobytes())])
+        edge = np.zeros(len(self.raw) + 1, np.int8)
+        edge[self.start] += 1
+        edge[self.start + self.size] -= 1
+        offsets, data = np.r_[0, np.cumsum(self.size)].astype(np.int64), self.raw[np.cumsum(edge[:-1], dtype=np.int8).view(bool)]
+        return pa.Array.from_buffers(pa.large_binary(), len(self.size), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
 def _located(raw: np.ndarray, rows: np.ndarray, ends: np.ndarray, table: np.ndarray) -> Words:
@@ -60,9 +62,10 @@ def _located(raw: np.ndarray, rows: np.ndarray, ends: np.ndarray, table: np.ndar
     return Words(rows[of], begin, end - begin, follows, np.zeros(len(begin), bool), raw)
 
 
-def slabs(texts: pa.Array, table: np.ndarray, slab: int = SLAB) -> Iterator[Words]:
-    """The words of all texts (no nulls), about `slab` bytes at a time."""
-    column = texts.cast(pa.large_binary())
+def slabs(texts: pa.Array, table: np.ndarray, slab: int | None = None, overlap: int = 1) -> Iterator[Words]:
+    """The words of all texts (no nulls), about `slab` bytes at a time. Where a long text is cut, the next slab repeats the last
+    `overlap` words, so every run of overlap + 1 words ends at some word that is not marked `again`."""
+    slab, column = slab or SLAB, texts.cast(pa.large_binary())
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
@@ -73,13 +76,13 @@ def slabs(texts: pa.Array, table: np.ndarray, slab: int = SLAB) -> Iterator[Word
         if offsets[j] - offsets[i] <= slab:
             yield _located(data[offsets[i] : offsets[j]], np.arange(i, j), offsets[i + 1 : j + 1] - offsets[i], table)
         else:
-            yield from _long(data[offsets[i] : offsets[j]], i, table, slab)
+            yield from _long(data[offsets[i] : offsets[j]], i, table, slab, overlap)
         i = j
 
 
-def _long(raw: np.ndarray, row: int, table: np.ndarray, slab: int) -> Iterator[Words]:
-    """The words of one long text, each slab beginning with the last word of the one before."""
-    at, repeated, more = 0, False, slab
+def _long(raw: np.ndarray, row: int, table: np.ndarray, slab: int, overlap: int) -> Iterator[Words]:
+    """The words of one long text, each slab beginning with the last words of the one before."""
+    at, repeated, more = 0, 0, slab
     while at < len(raw):
         end = min(len(raw), at + more)
         while end < len(raw) and table[_small(raw[end])] == WORD:
@@ -89,11 +92,13 @@ def _long(raw: np.ndarray, row: int, table: np.ndarray, slab: int) -> Iterator[W
             more *= 2  # nothing but a long gap yet
             continue
         if len(w.start):
-            w.again[0] = repeated
+            w.again[:repeated] = True
             yield w
         if end == len(raw):
             return
-        at, repeated, more = at + int(w.start[-1]), True, slab + int(w.size[-1])
+        repeated = min(overlap, len(w.start))
+        back = int(w.start[-repeated])
+        at, more = at + back, slab + end - at - back
 
 
 def _small(byte: np.uint8) -> int:

@@ -31,7 +31,6 @@ def test_words_are_the_same_however_texts_are_cut(slab, monkeypatch, rows):
     texts = [t or "" for _, t in rows] + ["".join(r.choice("aB9é ._\n\x00") for _ in range(r.randint(0, 90))) for _ in range(200)] + ["a" + " " * 100 + "b", "x" * 300 + " " + "y" * 301 + " z", ""]
     monkeypatch.setattr(spans, "SLAB", slab)
     got = [Counter() for _ in texts]
-    monkeypatch.setattr(spans.slabs, "__defaults__", (slab,))
     for row, bucket, _ in importance.features(pa.array(texts), 1 << 30):
         for i, b in zip(row.tolist(), bucket.tolist()):
             got[i][b] += 1
