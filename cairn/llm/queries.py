@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cairn.llm import bpe, collocations, decontaminate, importance, lm, media, neardup, quality, sharding, substrings, tokenfiles, toxicity
+from cairn.llm import bpe, collocations, decontaminate, importance, lm, media, neardup, permutation, quality, sharding, substrings, tokenfiles, toxicity
 
 QUERIES = {
     "op1_ppm": lm.op1_ppm,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_media": media.op9_media,
     "op10_neardup": neardup.op10_neardup,
     "op11_resample": importance.op11_resample,
+    "op12_neighbours": permutation.op12_neighbours,
     "op13_collocations": collocations.op13_collocations,
 }
 
