@@ -10,9 +10,9 @@ with a probability of J at least, so all but `unshared` of them are (the chance
    (whose distance never exceeds the number of unshared values) most of the rest; full sets decide.
 3. A longer list is not expanded. Its vertices are safe, whatever they are linked with, if more than `unshared`
    values of their sketch are in short lists: one of those is then shared. The others, whose sketch is nearly
-   all crowded, are the core: members of large groups of copies. Long lists link them to families; a family is
-   cut into blocks of BLOCK bytes, and each pair of blocks is compared by parity sketches and full sets in a
-   task of its own, which returns a spanning forest of the links it found, never all pairs.
+   all crowded, are the core: members of large groups of copies. Long lists link them to families; blocks of a family
+   are compared by parity sketches and full sets in a task each, which returns a spanning forest of the links it
+   found, never all pairs. Blocks are dealt anew, and only what is in no large component then meets more than one.
 4. Components of all links, by labels that spread along links in rounds.
 """
 
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.llm import common, words
@@ -37,6 +37,8 @@ WORDS, SIMILARITY = 5, 80
 SKETCH, CHANCE = 48, 1e-10
 #: Vertices of an inverted list that is expanded into pairs, and bytes of sets in a block of a family.
 LIST, BLOCK = 32, 16 << 20
+#: How often the blocks of a family that has several are dealt anew to find links; and sets listed at once.
+DEALS, _SETS = 3, 256
 _U = np.uint64
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
@@ -153,12 +155,13 @@ def linked(x: np.ndarray, y: np.ndarray, similarity: int) -> bool:
     return 100 * shared >= similarity * (len(x) + len(y) - shared)
 
 
-_SET = "doc_id bigint, crc bigint, block int, vertex bigint, n bigint, sketch binary, parity binary"
+_PAIR = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+_SET = "doc_id bigint, crc bigint, block int, vertex binary, n bigint, sketch binary, parity binary"
 
 
 def sets(docs: DataFrame, n_blocks: int, size: int) -> DataFrame:
     """For each document the vertex of its set (null if empty), the set's size, its sketch and parity sketch."""
-    schema = pa.schema([("doc_id", pa.int64()), ("crc", pa.int64()), ("block", pa.int32()), ("vertex", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary()), ("parity", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("crc", pa.int64()), ("block", pa.int32()), ("vertex", pa.binary()), ("n", pa.int64()), ("sketch", pa.binary()), ("parity", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(size)
@@ -166,7 +169,7 @@ def sets(docs: DataFrame, n_blocks: int, size: int) -> DataFrame:
             out = []
             for t in common.texts(b):
                 x = shingles(t)
-                vertex = int.from_bytes(hashlib.blake2b(x.tobytes(), digest_size=8).digest(), "little", signed=True) if len(x) else None
+                vertex = hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None
                 out.append((zlib.crc32(t), vertex, len(x), x[:SKETCH].tobytes(), parity(x).tobytes()))
             crc, vertex, n, sketch, bits = map(list, zip(*out)) if out else [[]] * 5
             yield common.batch_of(schema, b.column("doc_id"), crc, b.column("block"), vertex, n, sketch, bits)
@@ -175,17 +178,19 @@ def sets(docs: DataFrame, n_blocks: int, size: int) -> DataFrame:
     return docs.select("doc_id", "text", words.hashed_block(n_blocks).alias("block")).mapInArrow(run, _SET)
 
 
-def values(vertices: DataFrame) -> DataFrame:
-    """(value, vertex, n): the inverted lists' rows."""
-    schema = pa.schema([("value", pa.int64()), ("vertex", pa.int64()), ("n", pa.int64())])
+def values(vertices: DataFrame, column: str = "sketch") -> DataFrame:
+    """(value, vertex, n): the inverted lists' rows, of sketches or of whole sets."""
+    schema = pa.schema([("value", pa.int64()), ("vertex", pa.binary()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = [np.frombuffer(f, np.int64) for f in b.column("sketch").to_pylist()]
-            k = [len(v) for v in x]
-            yield common.batch_of(schema, pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)), *(pa.array(np.repeat(b.column(c).to_numpy(), k)) for c in ("vertex", "n")))
+            for i in range(0, b.num_rows, _SETS):  # a few sets at a time: whole ones may be long
+                part = b.slice(i, _SETS)
+                x = [np.frombuffer(f, np.int64) for f in part.column(column).to_pylist()]
+                of = pa.array(np.repeat(np.arange(len(x)), [len(v) for v in x]))
+                yield common.batch_of(schema, pa.array(np.concatenate(x)), *(part.column(c).take(of) for c in ("vertex", "n")))
 
-    return vertices.select("vertex", "n", "sketch").mapInArrow(run, "value bigint, vertex bigint, n bigint")
+    return vertices.select("vertex", "n", column).mapInArrow(run, "value bigint, vertex binary, n bigint")
 
 
 def _with_both(pairs: DataFrame, table: DataFrame, *columns: str, how: str = "inner") -> DataFrame:
@@ -221,7 +226,7 @@ def estimate(a: np.ndarray, b: np.ndarray) -> float:
 
 def likely(pairs: DataFrame, sketches: DataFrame, similarity: int) -> DataFrame:
     """The pairs (a, b) whose union sketch and parity sketches allow a link."""
-    schema, least = pa.schema([("a", pa.int64()), ("b", pa.int64())]), min(similarity / 100, (SKETCH - unshared(similarity)) / SKETCH) - 1e-9
+    schema, least = _PAIR, min(similarity / 100, (SKETCH - unshared(similarity)) / SKETCH) - 1e-9
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
@@ -235,12 +240,12 @@ def likely(pairs: DataFrame, sketches: DataFrame, similarity: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([t.column("a").filter(mask), t.column("b").filter(mask)], schema=schema)
         common.trim()
 
-    return _with_both(pairs, sketches, "sketch", "parity").mapInArrow(run, "a bigint, b bigint")
+    return _with_both(pairs, sketches, "sketch", "parity").mapInArrow(run, "a binary, b binary")
 
 
 def full_sets(packed_docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """vertex, n, whole: the sorted values of each wanted vertex, from one of its documents."""
-    schema = pa.schema([("vertex", pa.int64()), ("n", pa.int64()), ("whole", pa.binary())])
+    schema = pa.schema([("vertex", pa.binary()), ("n", pa.int64()), ("whole", pa.binary())])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         want = {(d, c): v for d, c, v in zip(*(right.column(x).to_pylist() for x in ("doc_id", "crc", "vertex")))}
@@ -256,12 +261,12 @@ def full_sets(packed_docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame
         common.trim()
         return table
 
-    return packed_docs.groupby("block").cogroup(wanted.groupby("block")).applyInArrow(run, "vertex bigint, n bigint, whole binary")
+    return packed_docs.groupby("block").cogroup(wanted.groupby("block")).applyInArrow(run, "vertex binary, n bigint, whole binary")
 
 
 def links(pairs: DataFrame, full: DataFrame, similarity: int) -> DataFrame:
     """The pairs (a, b) whose full sets are as similar as asked."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    schema = _PAIR
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
@@ -269,23 +274,24 @@ def links(pairs: DataFrame, full: DataFrame, similarity: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([t.column("a").filter(ok), t.column("b").filter(ok)], schema=schema)
         common.trim()
 
-    return _with_both(pairs.select("a", "b"), full, "whole").select("a", "b", "whole_a", "whole_b").mapInArrow(run, "a bigint, b bigint")
+    return _with_both(pairs.select("a", "b"), full, "whole").select("a", "b", "whole_a", "whole_b").mapInArrow(run, "a binary, b binary")
 
 
 class Forest:
     """Groups that grow: each place's label, and the links that joined two groups."""
 
-    def __init__(self, n: int):
-        self.label, self.made = np.arange(n), []
+    def __init__(self, label: np.ndarray):
+        self.label, self.made = label.copy(), []
 
     def join(self, i: int, j: int) -> None:
         self.label[self.label == self.label[j]] = self.label[i]
         self.made.append((i, j))
 
 
-def compare(sets_: list[np.ndarray], left: np.ndarray, right: np.ndarray, similarity: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between sets of which one is `left` and the other `right`."""
-    n, found = np.array([len(x) for x in sets_]), Forest(len(sets_))
+def compare(sets_: list[np.ndarray], left: np.ndarray, right: np.ndarray, similarity: int, label: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """A forest of links between sets of which one is `left` and the other `right`, which joins all that such links join.
+    Sets of one label (numbers) are joined already."""
+    n, found = np.array([len(x) for x in sets_]), Forest(np.arange(len(sets_)) if label is None else label)
     bits = [parity(x) for x in sets_]
     width = np.array([len(p) for p in bits])
     for w in np.unique(width):
@@ -309,27 +315,87 @@ def compare(sets_: list[np.ndarray], left: np.ndarray, right: np.ndarray, simila
     return found.made
 
 
-def core_links(core_lists: DataFrame, full: DataFrame, similarity: int) -> DataFrame:
-    """Links (a, b) between vertices of the core (value, vertex rows of long lists), which join all those that
-    links join. A family is what long lists connect; each pair of its blocks is compared in one task."""
-    lead = core_lists.groupBy("value").agg(F.min("vertex").alias("leader"))
-    star = core_lists.join(lead, "value").where("vertex <> leader").select(F.col("vertex").alias("a"), F.col("leader").alias("b")).distinct()
-    family = components(star)
-    sized = family.join(full.select("vertex", "n"), "vertex")
-    parts = sized.groupBy("root").agg(F.ceil(F.sum("n") * 8 / F.lit(BLOCK)).cast("int").alias("parts"))
-    placed = sized.join(parts, "root").select("root", "vertex", "parts", F.pmod(F.xxhash64("vertex"), F.col("parts")).cast("int").alias("part"))
-    met = placed.select("root", "vertex", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-    met = met.select("root", "vertex", "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _met(groups: DataFrame, keys: list[str], full: DataFrame, similarity: int) -> DataFrame:
+    """Links (a, b) found in each group (keys, vertex, label, new): between a vertex that is `new` and any other, where
+    their labels differ. The sets of a group are in one task."""
 
     def run(table: pa.Table) -> pa.Table:
-        part, lo, hi, vertex = (table.column(c).to_numpy() for c in ("part", "lo", "hi", "vertex"))
-        made = compare([np.frombuffer(x, _U) for x in table.column("whole").to_pylist()], part == lo[0], part == hi[0], similarity)
-        pairs = vertex[np.array(made, np.int64).reshape(-1, 2)]
+        vertex = table.column("vertex").combine_chunks()
+        label = table.column("label").combine_chunks().dictionary_encode()
+        label = (label.combine_chunks() if isinstance(label, pa.ChunkedArray) else label).indices.to_numpy().astype(np.int64)
+        new, every = table.column("new").to_numpy(), np.ones(table.num_rows, bool)
+        made = np.array(compare([np.frombuffer(x, _U) for x in table.column("whole").to_pylist()], new, every, similarity, label), np.int64).reshape(-1, 2)
         common.trim()
-        return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)
+        return pa.table([vertex.take(pa.array(made[:, 0])), vertex.take(pa.array(made[:, 1]))], schema=_PAIR)
+
+    return groups.join(full.select("vertex", "whole"), "vertex").groupBy(*keys).applyInArrow(run, "a binary, b binary")
+
+
+def labelled(members: DataFrame, edges: DataFrame) -> DataFrame:
+    """members (vertex, ...) with the label of their component by the edges (a, b); without an edge, their own."""
+    known = components(edges).select("vertex", F.col("root").alias("label"))
+    return members.join(known, "vertex", "left").withColumn("label", F.coalesce("label", "vertex"))
+
+
+def by_rare_values(members: DataFrame, asking: DataFrame, full: DataFrame, similarity: int) -> tuple[DataFrame, DataFrame]:
+    """(links, rest): the links of those of `asking` that are found by rare values, and the vertices for which these do not suffice.
 
-    return met.join(full.select("vertex", "whole"), "vertex").groupBy("root", "lo", "hi").applyInArrow(run, "a bigint, b bigint")
+    A value is rare if at most LIST members have it. A set that is linked can lack only so many of another's values; if one
+    more of its values than that are rare, any linked set shares one of these. Rows are in proportion to the sets' sizes.
+    """
+    rows = values(full.join(members.select("vertex"), "vertex", "left_semi"), "whole")
+    rare = rows.groupBy("value").agg(F.count("*").alias("k")).where(F.col("k") <= LIST).select("value")
+    rows = common.stored(rows.join(rare, "value"), "rare-values")
+    lacking = F.floor(F.col("n") * (100 - similarity) / F.lit(similarity) + F.lit(1e-9)).cast("int")
+    place = F.row_number().over(Window.partitionBy("vertex").orderBy("value"))
+    mine = rows.join(asking.select("vertex"), "vertex", "left_semi").withColumn("place", place).where(F.col("place") <= lacking + 1)
+    enough = mine.where(F.col("place") == lacking + 1).select("vertex")
+    asked = mine.join(enough, "vertex", "left_semi").select("value", F.col("vertex").alias("a"), F.col("n").alias("n_a"))
+    met = asked.join(rows.select("value", F.col("vertex").alias("b"), F.col("n").alias("n_b")), "value").where((F.col("a") != F.col("b")) & _sizes_fit(similarity))
+    pairs = common.stored(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "rare-pairs")
+    return links(pairs, full, similarity), asking.join(enough, "vertex", "left_anti")
+
+
+def core_links(core_lists: DataFrame, full: DataFrame, similarity: int) -> DataFrame:
+    """Links (a, b) between vertices of the core (value, vertex rows of long lists), which join all those that
+    links join. A family is what long lists connect.
+
+    A family of BLOCK bytes is compared in one task. A larger one is dealt into blocks, and dealt anew a few times: so most
+    of what belongs together is joined, at the cost of the family's bytes each time. Within the largest component nothing is
+    left to find. What lies outside it meets the family by its rare values; only sets that are made of common values and
+    still belong to no large component meet all blocks, as many of them at once as a block holds.
+    """
+    lead = core_lists.groupBy("value").agg(F.min("vertex").alias("leader"))
+    star = core_lists.join(lead, "value").where("vertex <> leader").select(F.col("vertex").alias("a"), F.col("leader").alias("b")).distinct()
+    sized = components(star).join(full.select("vertex", (F.col("n") * 8).alias("size")), "vertex")
+    parts = sized.groupBy("root").agg(F.ceil(F.sum("size") / F.lit(BLOCK)).cast("int").alias("parts"))
+    family = common.stored(sized.join(parts, "root"), "family")
+    deal = lambda df, salt: df.withColumn("part", F.pmod(F.xxhash64("vertex", F.lit(salt)), F.col("parts")).cast("int")).withColumn("new", F.lit(True))
+    found = common.stored(_met(deal(family.withColumn("label", F.col("vertex")), 0), ["root", "part"], full, similarity), "core-links")
+    large = family.where("parts > 1")
+    if large.isEmpty():
+        return found
+    for salt in range(1, DEALS):
+        more = _met(deal(labelled(large, found), salt), ["root", "part"], full, similarity)
+        found = common.stored(found.unionByName(more), "core-links")
+    known = common.stored(labelled(large, found), "core-labels")
+    by_label = known.groupBy("root", "label").agg(F.sum("size").alias("size"))
+    most = by_label.groupBy("root").agg(F.max_by("label", F.struct("size", "label")).alias("label"))
+    outside = common.stored(known.join(most, ["root", "label"], "left_anti"), "core-outside")
+    rare, rest = by_rare_values(known, outside, full, similarity)
+    found = found.unionByName(common.stored(rare, "core-rare-links"))
+    return found.unionByName(_met(meetings(known, common.stored(rest, "core-rest")), ["root", "part", "crowd"], full, similarity))
+
+
+def meetings(known: DataFrame, rest: DataFrame) -> DataFrame:
+    """(root, part, crowd, vertex, label, new): each crowd of the rest, as many as a block holds, with each block of its family."""
+    crowds = rest.groupBy("root").agg(F.ceil(F.sum("size") / F.lit(BLOCK)).cast("int").alias("crowds"))
+    part = F.pmod(F.xxhash64("vertex", F.lit(0)), F.col("parts")).cast("int")
+    crowd = F.pmod(F.xxhash64("vertex", F.lit(DEALS)), F.col("crowds")).cast("int")
+    all_ = known.join(crowds, "root").select("root", part.alias("part"), F.explode(F.sequence(F.lit(0), F.col("crowds") - 1)).alias("crowd"), "vertex", "label")
+    some = rest.join(crowds, "root").select("root", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), crowd.alias("crowd"), "vertex", "label")
+    both = all_.withColumn("new", F.lit(0)).unionByName(some.withColumn("new", F.lit(1)))
+    return both.groupBy("root", "part", "crowd", "vertex", "label").agg((F.max("new") == 1).alias("new"))
 
 
 def components(edges: DataFrame) -> DataFrame:
