@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.functions.text import let, make_id, path_key, quality_rank, twin_base
+from cairn.functions.text import let, path_key, quality_rank
 from cairn.operators import schedule
 from cairn.operators.merge import category, falsy, filled, merge_attempts
 
@@ -76,6 +76,51 @@ def links(seasons: Column) -> Column:
     return F.flatten(F.transform(F.coalesce(seasons, F.array().cast(SEASONS)), each))
 
 
+def link_rows(df: DataFrame, key: list[str], src: Column) -> DataFrame:
+    """(key, src, movie, season, episode, ord, quality, url): a row a link of each record or item. Seasons without episodes and
+    episodes without links have a row with a null ord, and season and episode are 0 for what is no series."""
+    s = df.where("kind = 'series'").select(*key, src.alias("src"), F.explode("seasons").alias("s")).select(*key, "src", F.col("s.season").alias("season"), F.posexplode_outer("s.episodes").alias("at", "e"))
+    s = s.select(*key, "src", F.lit(False).alias("movie"), "season", F.col("e.episode").alias("episode"), "at", F.posexplode_outer("e.embeds").alias("i", "x"))
+    s = s.select(*key, "src", "movie", "season", "episode", F.when(F.col("i").isNotNull(), F.struct("at", "i")).alias("ord"), F.col("x.quality").alias("quality"), F.col("x.url").alias("url"))
+    m = df.where("kind <> 'series'").select(*key, src.alias("src"), F.posexplode_outer("embeds").alias("i", "x"))
+    m = m.select(*key, "src", F.lit(True).alias("movie"), F.lit(0).alias("season"), F.lit(0).alias("episode"), F.when(F.col("i").isNotNull(), F.struct(F.lit(0).alias("at"), "i")).alias("ord"), F.col("x.quality").alias("quality"), F.col("x.url").alias("url"))
+    return s.unionByName(m)
+
+
+def merged_links(rows: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Sources of links in order of src, as one a key (M1, U1, O1): (key, movie, embeds, seasons), and (key, src, episodes) of each
+    source that added or moved something, with the number of episodes that it brought.
+
+    The first source of an episode stays as it is; a further one adds links whose URL is not there yet, after which better
+    qualities come first and equal ones stay in order. A movie's links are never sorted.
+    """
+    episode = Window.partitionBy(*key, "movie", "season", "episode")
+    url = Window.partitionBy(*key, "movie", "season", "episode", "url")
+    r = rows.withColumn("first", F.min("src").over(episode)).withColumn("once", F.min(F.struct("src", "ord")).over(url))
+    r = r.withColumn("second", F.min(F.when(F.col("src") > F.col("first"), F.col("src"))).over(episode))
+    r = r.withColumn("kept", F.col("ord").isNotNull() & ((F.col("src") == F.col("first")) | (~falsy(F.col("url")) & (F.struct("src", "ord") == F.col("once")))))
+    rank = F.when(F.col("movie"), 0).otherwise(quality_rank(F.col("quality")))
+    link = F.struct(F.when(F.col("second").isNotNull(), rank).otherwise(0).alias("rank"), "src", "ord", "quality", "url")
+    before = F.when(F.col("kept") & (F.col("src") == F.col("first")), F.struct("ord", rank.alias("rank")))
+    adding = F.when(F.col("kept") & (F.col("src") > F.col("first")), F.col("src"))
+    e = r.groupBy(*key, "movie", "season", "episode").agg(
+        F.array_sort(F.collect_list(F.when(F.col("kept"), link))).alias("links"), F.transform(F.array_sort(F.collect_list(before)), lambda x: x["rank"]).alias("ranks"),
+        F.min("first").alias("first"), F.min("second").alias("second"), F.collect_set(adding).alias("adding"),
+    )
+    moved = F.when(F.col("second").isNotNull() & (F.col("ranks") != F.array_sort("ranks")), F.array("second")).otherwise(F.array().cast("array<bigint>"))
+    e = e.select(*key, "movie", "season", "episode", "first", F.array_union("adding", moved).alias("adding"), F.transform("links", lambda x: F.struct(x["quality"].alias("quality"), x["url"].alias("url"))).cast(EMBEDS).alias("embeds"))
+    s = e.groupBy(*key, "movie", "season").agg(
+        F.array_sort(F.collect_list(F.when(F.col("episode").isNotNull(), F.struct("episode", "embeds")))).alias("episodes"), F.min("first").alias("first"),
+        F.collect_list(F.when(F.col("episode").isNotNull(), F.struct("first", "adding"))).alias("news"),
+    )
+    out = s.groupBy(*key, "movie").agg(F.array_sort(F.collect_list(F.struct("season", "episodes"))).cast(SEASONS).alias("seasons"), F.flatten(F.collect_list("news")).alias("news"), F.collect_list(F.when(F.size("episodes") == 0, F.col("first"))).alias("empty"))
+    firsts = F.transform("news", lambda n: F.struct(n["first"].alias("src"), (~F.col("movie")).cast("int").alias("n")))
+    added = F.transform(F.flatten(F.transform("news", lambda n: n["adding"])), lambda x: F.struct(x.alias("src"), F.lit(0).alias("n")))
+    bare = F.transform("empty", lambda x: F.struct(x.alias("src"), F.lit(0).alias("n")))
+    news = out.select(*key, F.explode(F.concat(firsts, added, bare)).alias("x")).groupBy(*key, F.col("x.src").alias("src")).agg(F.sum("x.n").cast("int").alias("episodes"))
+    return out.select(*key, "movie", F.when(F.col("movie"), F.flatten(F.flatten(F.transform("seasons", lambda s_: F.transform(s_["episodes"], lambda e_: e_["embeds"]))))).otherwise(links(F.col("seasons"))).alias("embeds"), F.when(~F.col("movie"), F.col("seasons")).alias("seasons")), news
+
+
 def without(seasons: Column, dead: Column) -> Column:
     """seasons without the links proven dead; episodes and seasons that lose all go too."""
     kept = lambda embeds: F.filter(embeds, lambda x: ~F.coalesce(F.array_contains(dead, x["url"]), F.lit(False)))
@@ -118,8 +163,11 @@ def merge_generations(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     at least as new. Title and year are only filled. Both tables have `pos`, their order.
     """
     fields = ("poster", "rating", "tmdb_id", "imdb_id", "category", "language", "category_source")
+    sides = [df.select("id", F.lit(k).cast("long").alias("src"), F.coalesce("embeds", F.array().cast(EMBEDS)).alias("embeds"), F.coalesce("seasons", F.array().cast(SEASONS)).alias("seasons")) for k, df in enumerate((theirs, ours))]
+    shapes = sides[0].join(sides[1].select("id", F.col("seasons").alias("__s")), "id").select("id", F.when((F.size("seasons") > 0) | (F.size("__s") > 0), "series").otherwise("movie").alias("kind"))
+    united = merged_links(link_rows(sides[0].unionByName(sides[1]).join(shapes, "id"), ["id"], F.col("src")), ["id"])[0].select(F.col("id").alias("m_id"), F.col("embeds").alias("m_embeds"), F.col("seasons").alias("m_seasons"))
     o, t = (df.select([F.col(c).alias(f"{s}_{c}") for c in (*COLUMNS, "pos")]) for s, df in (("o", ours), ("t", theirs)))
-    both = o.join(t, F.col("o_id") == F.col("t_id"), "full_outer")
+    both = o.join(t, F.col("o_id") == F.col("t_id"), "full_outer").join(united, F.coalesce("t_id", "o_id") == F.col("m_id"), "left")
     mine, other = (lambda c: F.col(f"o_{c}")), (lambda c: F.col(f"t_{c}"))
     when_ = lambda of: F.coalesce(F.when(~falsy(of("updated_at")), of("updated_at").cast("string")), of("added_at").cast("string"), F.lit(""))
     newer = when_(mine) >= when_(other)
@@ -128,96 +176,14 @@ def merge_generations(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     value = lambda c: F.when(met, F.when(falsy(other(c)) | (~falsy(mine(c)) & newer), F.when(falsy(mine(c)), other(c)).otherwise(mine(c))).otherwise(other(c))).otherwise(F.coalesce(mine(c), other(c)))
     out = {c: F.coalesce(other(c), mine(c)) for c in COLUMNS} | {c: value(c) for c in fields}
     out |= {c: F.when(met, filled(other(c), mine(c))).otherwise(F.coalesce(other(c), mine(c))) for c in ("title", "year")}
-    out["seasons"] = F.when(met & series, merge_seasons(other("seasons"), mine("seasons"))).otherwise(F.coalesce(other("seasons"), mine("seasons")))
+    out["seasons"] = F.when(met & series, F.coalesce("m_seasons", F.array().cast(SEASONS))).otherwise(F.coalesce(other("seasons"), mine("seasons")))
     out["kind"] = F.when(met & series, "series").otherwise(F.coalesce(other("kind"), mine("kind")))
-    out["embeds"] = F.when(met & series, links(out["seasons"])).when(met, union_embeds(other("embeds"), mine("embeds"))).otherwise(F.coalesce(other("embeds"), mine("embeds")))
+    out["embeds"] = F.when(met, F.coalesce("m_embeds", F.array().cast(EMBEDS))).otherwise(F.coalesce(other("embeds"), mine("embeds")))
     out["updated_at"] = F.when(met & newer & ~falsy(mine("updated_at")), mine("updated_at")).otherwise(F.coalesce(other("updated_at"), F.when(~met, mine("updated_at"))))
     place = F.struct(other("pos").isNull().cast("int").alias("new"), F.coalesce(other("pos"), mine("pos")).alias("pos"))
     return both.select(*(c.alias(name) for name, c in out.items()), place.alias("place"))
 
 
-def upsert(stored: DataFrame, items: DataFrame) -> DataFrame:
-    """Walked items filed into the catalogue (M3, J3): one row an item with its record's `id`, `action` (added,
-    merged, unchanged), `note`, and the merged title, year, kind, embeds, seasons, poster and new_episodes (W8).
-
-    items: pos, url, title, year, kind, embeds, seasons, poster; an item without links changes nothing. A match is
-    by id, then path, then a twin series of the same base title with three episodes in common. A match of the other
-    kind is another work: the item goes to "title Season n" or "title Movie". Items of one record are folded in
-    order, the first making the record if it is new; of one path, the first item counts.
-    """
-    series = F.col("kind") == "series"
-    it = items.withColumn("kind", F.when(series, "series").otherwise("movie")).withColumn("path", path_key(F.col("url"))).withColumn("own_id", make_id(F.col("title"), F.col("year")))
-    it = it.withColumn("embeds", F.when(series, links(F.col("seasons"))).otherwise(F.coalesce("embeds", F.array().cast(EMBEDS))))
-    idle = it.where(F.size("embeds") == 0)
-    it = it.where(F.size("embeds") > 0)
-    it = it.join(it.groupBy("path").agg(F.min("pos").alias("pos")), ["path", "pos"], "left_semi")
-    kinds = stored.select(F.col("id").alias("r"), F.when(F.col("kind") == "series", "series").otherwise("movie").alias("r_kind"), path_key(F.col("page_url")).alias("r_path"), F.col("pos").alias("r_pos"))
-    by_id = kinds.groupBy("r").agg(F.min_by("r_kind", "r_pos").alias("id_kind"))
-    by_path = kinds.groupBy("r_path").agg(F.min_by(F.struct("r", "r_kind"), "r_pos").alias("p"))
-    it = it.join(by_id, F.col("own_id") == F.col("r"), "left").join(by_path, F.col("path") == F.col("r_path"), "left")
-    twin = series_twins(stored, it.where(series & F.col("id_kind").isNull() & F.col("p").isNull())).select(F.col("item_pos").alias("pos"), "twin")
-    it = it.join(twin, "pos", "left")
-    hit = F.when(F.col("id_kind").isNotNull(), F.struct(F.col("own_id").alias("r"), F.col("id_kind").alias("k"))).when(F.col("p").isNotNull(), F.struct(F.col("p.r").alias("r"), F.col("p.r_kind").alias("k"))).when(F.col("twin").isNotNull(), F.struct(F.col("twin").alias("r"), F.lit("series").alias("k")))
-    it = it.withColumn("hit", hit)
-    owner = it.where("hit IS NULL").groupBy("own_id").agg(F.min_by("kind", "pos").alias("first_kind"))
-    it = it.join(owner, "own_id", "left").withColumn("owner_kind", F.coalesce("hit.k", "first_kind"))
-    forked = F.col("owner_kind") != F.col("kind")
-    number = F.coalesce(F.get("seasons", F.lit(0))["season"], F.lit(1))
-    it = it.withColumn("forked", forked).withColumn("title", F.when(forked & series, F.concat("title", F.lit(" Season "), F.when(number == 0, 1).otherwise(number).cast("string"))).when(forked, F.concat("title", F.lit(" Movie"))).otherwise(F.col("title")))
-    it = it.withColumn("id", F.when(forked, make_id(F.col("title"), F.col("year"))).otherwise(F.coalesce("hit.r", "own_id")))
-    step = F.struct("pos", "title", "year", "kind", "poster", "embeds", F.coalesce("seasons", F.array().cast(SEASONS)).alias("seasons"), "url", "forked")
-    folded = it.groupBy("id").agg(F.array_sort(F.collect_list(step)).alias("steps")).join(stored.select("id", F.struct("title", "year", F.coalesce("kind", F.lit("movie")).alias("kind"), "poster", "embeds", F.coalesce("seasons", F.array().cast(SEASONS)).alias("seasons")).alias("old")), "id", "left")
-    return _folded(folded).unionByName(idle.select(F.lit(None).cast("string").alias("id"), "url", F.lit("unchanged").alias("action"), F.lit("").alias("note"), *(F.lit(None).cast(t).alias(c) for c, t in (("title", "string"), ("year", "int"), ("kind", "string"), ("embeds", EMBEDS), ("seasons", SEASONS), ("poster", "string"))), F.lit(0).alias("new_episodes")))
-
-
-def _episodes(seasons: Column) -> Column:
-    return F.aggregate(seasons, F.lit(0), lambda n, s: n + F.size(s["episodes"]))
-
-
-def _folded(df: DataFrame) -> DataFrame:
-    """The fold of each record's steps over what is stored, one row a step."""
-    body = "title string, year int, kind string, poster string, embeds " + EMBEDS + ", seasons " + SEASONS
-    state = f"struct<{body.replace(' string', ':string').replace(' int', ':int').replace('embeds ', 'embeds:').replace('seasons ', 'seasons:')}>"
-    out_type = f"array<struct<record:{state},url:string,action:string,note:string,new_episodes:int>>".replace(", ", ",")
-    start = F.struct(F.col("old").cast(state.replace(", ", ",")).alias("now"), F.array().cast(out_type).alias("out"))
-
-    def one(acc: Column, s: Column) -> Column:
-        now = acc["now"]
-        series = s["kind"] == "series"
-        seasons = F.when(series, merge_seasons(now["seasons"], s["seasons"])).otherwise(now["seasons"])
-        embeds = F.when(series, links(seasons)).otherwise(union_embeds(now["embeds"], s["embeds"]))
-        poster = F.when(falsy(now["poster"]), F.coalesce(s["poster"], F.lit(""))).otherwise(now["poster"])
-        year = F.when(falsy(now["year"]), F.coalesce(s["year"], F.lit(0))).otherwise(now["year"]).cast("int")
-        made = F.struct(s["title"].alias("title"), F.coalesce(s["year"], F.lit(0)).cast("int").alias("year"), s["kind"].alias("kind"), F.coalesce(s["poster"], F.lit("")).alias("poster"), s["embeds"].alias("embeds"), s["seasons"].alias("seasons"))
-        merged = F.struct(now["title"].alias("title"), year.alias("year"), F.when(series, "series").otherwise(now["kind"]).alias("kind"), poster.alias("poster"), embeds.alias("embeds"), seasons.alias("seasons"))
-        kind = state.replace(", ", ",")
-        new = F.when(now.isNull(), made.cast(kind)).otherwise(merged.cast(kind))
-        view = lambda r: F.to_json(F.struct(r["embeds"].alias("e"), r["seasons"].alias("s"), F.coalesce(r["poster"], F.lit("")).alias("p")))
-        action = F.when(now.isNull(), "added").when(view(now) == view(new), "unchanged").otherwise("merged")
-        note = F.when(now.isNull() & s["forked"], F.concat(F.lit("kept the stored "), F.when(series, "movie").otherwise("series"), F.lit(' · filed as "'), s["title"], F.lit('"'))).otherwise("")
-        gained = _episodes(new["seasons"]) - F.coalesce(_episodes(now["seasons"]), F.lit(0))
-        row = F.struct(new.alias("record"), s["url"].alias("url"), action.alias("action"), note.alias("note"), gained.alias("new_episodes"))
-        return F.struct(new.alias("now"), F.concat(acc["out"], F.array(row).cast(out_type)).alias("out"))
-
-    done = df.select("id", F.explode(F.aggregate("steps", start, one)["out"]).alias("x"))
-    return done.select("id", "x.url", "x.action", "x.note", *(F.col(f"x.record.{c}").alias(c) for c in ("title", "year", "kind", "embeds", "seasons", "poster")), "x.new_episodes")
-
-
-def episodes_of(df: DataFrame, *keep: str) -> DataFrame:
-    """(keep, season, episode), one row an episode."""
-    s = df.select(*keep, F.explode("seasons").alias("s"))
-    return s.select(*keep, F.col("s.season").alias("season"), F.explode("s.episodes").alias("e")).select(*keep, "season", F.col("e.episode").alias("episode")).distinct()
-
-
-def series_twins(stored: DataFrame, items: DataFrame, least: int = 3) -> DataFrame:
-    """(item_pos, twin): for each series item the stored series of its base title that shares most episodes, at
-    least three, the earliest at a tie (J4, N12). An equi-join on base, season and episode."""
-    mine = episodes_of(items.where("kind = 'series'").withColumn("base", twin_base(F.col("title"))).where("base <> ''").withColumnRenamed("pos", "item_pos"), "item_pos", "base")
-    theirs = episodes_of(stored.where("kind = 'series'").withColumn("base", twin_base(F.col("title"))), "id", "pos", "base")
-    shared = mine.join(theirs, ["base", "season", "episode"]).groupBy("item_pos", "id", "pos").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    return shared.groupBy("item_pos").agg(F.max_by("id", F.struct("n", -F.col("pos"))).alias("twin"))
-
-
 def meta_of(details: Callable[[str], Column], kind: Column, images: str = "https://images.example/w500") -> Column:
     """The metadata that a catalogue's answer holds (P3): missing numbers as 0, missing texts as empty."""
     text = lambda c: F.coalesce(c, F.lit(""))

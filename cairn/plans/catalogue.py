@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cairn.functions import text
-from cairn.operators import match, merge, records, schedule
+from cairn.operators import match, merge, records, schedule, upsert
 from cairn.sources.tables import AS_OF, table
 
 
@@ -173,17 +173,68 @@ p AS (SELECT path, min(id) AS by_path FROM s GROUP BY path), i AS (SELECT o_orde
 SELECT i.id, coalesce(s.id, p.by_path) AS record, CASE WHEN s.id IS NOT NULL THEN 'id' WHEN p.by_path IS NOT NULL THEN 'path' ELSE 'new' END AS matched_by FROM i LEFT JOIN s ON s.id = i.id LEFT JOIN p ON p.path = i.path"""
 
 
-def upsert_actions(spark, d):
-    """Walked orders filed into the catalogue; a fifth is of the other kind than what is stored."""
+def _walked(spark, d):
+    """(stored, items): orders as a catalogue, and walked orders of which a fifth is of the other kind than what is stored."""
     o = table(spark, d, "orders").select("o_orderkey", (F.col("o_orderstatus") == "O").alias("series"), F.year("o_orderdate").alias("year"), F.concat(F.lit("order n"), F.col("o_orderkey").cast("string")).alias("title"), F.concat(F.lit("https://h/"), F.col("o_orderkey").cast("string"), F.lit("/")).alias("url"))
     with_links = lambda k: o.join(_nested(_lines(spark, d, k)).withColumnRenamed("record", "o_orderkey"), "o_orderkey", "left")
     kind = lambda series: F.when(series, "series").otherwise("movie")
     have = with_links(0).where("o_orderkey % 4 <> 0")
     has = F.col("series") & F.col("seasons").isNotNull()
-    stored = have.select(F.concat(F.lit("order-n"), F.col("o_orderkey").cast("string"), F.lit("-"), F.col("year").cast("string")).alias("id"), "title", "year", kind(F.col("series")).alias("kind"), F.col("url").alias("page_url"), F.lit("").alias("poster"), F.when(has, F.col("seasons")).alias("seasons"), F.when(has, records.links(F.col("seasons"))).when(F.col("series"), F.array().cast(records.EMBEDS)).otherwise(F.coalesce("embeds", F.array().cast(records.EMBEDS))).alias("embeds"), F.col("o_orderkey").alias("pos"))
+    fields = {
+        "id": F.concat(F.lit("order-n"), F.col("o_orderkey").cast("string"), F.lit("-"), F.col("year").cast("string")), "title": F.col("title"), "year": F.col("year"), "kind": kind(F.col("series")), "category": F.lit(""), "language": F.lit(""), "category_source": F.lit(""), "page_url": F.col("url"),
+        "embeds": F.when(has, records.links(F.col("seasons"))).when(F.col("series"), F.array().cast(records.EMBEDS)).otherwise(F.coalesce("embeds", F.array().cast(records.EMBEDS))), "poster": F.lit(""), "rating": F.lit(0.0), "tmdb_id": F.lit(0), "imdb_id": F.lit(""), "added_at": F.lit("2023"), "seasons": F.when(has, F.col("seasons")), "updated_at": F.lit(None).cast("string"), "pos": F.col("o_orderkey"),
+    }
+    stored = have.select(*(c.alias(name) for name, c in fields.items()))
     walked = with_links(1).where("o_orderkey % 3 = 0").withColumn("series", F.col("series") != (F.col("o_orderkey") % 5 == 0))
     items = walked.select(F.col("o_orderkey").alias("pos"), "url", "title", "year", kind(F.col("series")).alias("kind"), F.coalesce("embeds", F.array().cast(records.EMBEDS)).alias("embeds"), F.when(F.col("series"), F.col("seasons")).alias("seasons"), F.lit("").alias("poster"))
-    return records.upsert(stored, items).select("url", "id", "action", "note", _urls(F.col("embeds")).alias("links"))
+    return stored, items
+
+
+def upsert_actions(spark, d):
+    """What becomes of each walked order, and its record's links."""
+    catalogue, log = upsert.upsert(*_walked(spark, d), F.lit("2024"))
+    return log.join(catalogue.select("id", "embeds"), "id", "left").select("url", "id", "action", "note", _urls(F.col("embeds")).alias("links"))
+
+
+def upsert_catalogue(spark, d):
+    """The whole catalogue after walked orders are filed in, with the times of what was added and changed."""
+    catalogue, _ = upsert.upsert(*_walked(spark, d), F.lit("2024"))
+    return catalogue.select("id", "title", F.when(F.col("kind") == "series", "series").otherwise("movie").alias("kind"), "added_at", "updated_at", _urls(F.col("embeds")).alias("links"), F.col("place.new").alias("new"))
+
+
+def upsert_twins(spark, d):
+    """Series listed anew under other titles, years and pages; a third is stored, the others are made in the batch and found
+    again by the episodes they share, which grow as items are merged."""
+    def side(k, title, year):
+        lines = _lines(spark, d, k).withColumn("url", F.concat_ws("/", F.lit(f"t{k}"), "url"))
+        n = _nested(lines).withColumnRenamed("record", "n").select("n", "seasons")
+        return n.select((F.col("n") * 3 + k).alias("pos"), F.concat(F.lit(f"https://h{k}/{k}-"), F.col("n").cast("string")).alias("url"), F.concat(F.lit("order n"), F.col("n").cast("string"), F.lit(title)).alias("title"), F.lit(year).alias("year"), F.lit("series").alias("kind"), F.lit(None).cast(records.EMBEDS).alias("embeds"), "seasons", F.lit("").alias("poster"), "n")
+
+    old = side(0, "", 2001).where("n % 3 = 0")
+    fields = {"id": F.concat(F.lit("order-n"), F.col("n").cast("string"), F.lit("-2001")), "page_url": F.col("url"), "embeds": records.links(F.col("seasons")), "rating": F.lit(0.0), "tmdb_id": F.lit(0)}
+    plain = {"title", "year", "kind", "seasons", "poster"}
+    stored = old.select(*((fields[c] if c in fields else F.col(c) if c in plain else F.lit("")).alias(c) for c in records.COLUMNS), "pos")
+    items = side(1, " Season 1", 2002).unionByName(side(2, " 2003", 2003)).drop("n")
+    return upsert.upsert(stored, items, F.lit("2024"))[1].select("url", "id", "action", "new_episodes")
+
+
+CATALOGUE_SQL = f"""WITH o AS (SELECT o_orderkey AS record, o_orderstatus = 'O' AS s_series, (o_orderstatus = 'O') <> (o_orderkey % 5 = 0) AS series, year(o_orderdate) AS year, o_orderkey % 4 <> 0 AS stored, o_orderkey % 3 = 0 AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_suppkey % 3 <> 1) AS walked, o_orderkey % 4 <> 0 AND o_orderkey % 5 = 0 AS forked FROM orders),
+r AS (SELECT l.* REPLACE (CAST(record AS VARCHAR) AS record), 0 AS src, s_series AS nested FROM {_LINES.format(0)} l JOIN o USING (record) WHERE stored UNION ALL SELECT l.* REPLACE (record || CASE WHEN forked THEN '+' ELSE '' END AS record), 1, series FROM {_LINES.format(1)} l JOIN o USING (record) WHERE walked), {_UNITED.format('r')},
+w AS (SELECT record, string_agg(url, ',' ORDER BY CASE WHEN nested THEN season END, CASE WHEN nested THEN episode END, pos) AS before FROM r WHERE src = 0 GROUP BY record), f AS (SELECT record, min(season) AS first FROM r WHERE src = 1 GROUP BY record)
+SELECT 'order-n' || o.record || '-' || year AS id, 'order n' || o.record AS title, CASE WHEN CASE WHEN stored THEN s_series ELSE series END THEN 'series' ELSE 'movie' END AS kind, CASE WHEN stored THEN '2023' ELSE '2024' END AS added_at,
+  CASE WHEN stored AND walked AND NOT forked AND coalesce(before, '') <> links THEN '2024' END AS updated_at, coalesce(links, '') AS links, CASE WHEN stored THEN 0 ELSE 1 END AS new
+FROM o LEFT JOIN u ON u.record = CAST(o.record AS VARCHAR) LEFT JOIN w ON w.record = CAST(o.record AS VARCHAR) WHERE stored OR (walked AND NOT forked)
+UNION ALL
+SELECT 'order-n' || o.record || CASE WHEN series THEN '-season-' || greatest(first, 1) ELSE '-movie' END || '-' || year, 'order n' || o.record || CASE WHEN series THEN ' Season ' || greatest(first, 1) ELSE ' Movie' END, CASE WHEN series THEN 'series' ELSE 'movie' END, '2024', NULL, links, 1
+FROM o JOIN u ON u.record = o.record || '+' JOIN f ON f.record = o.record || '+' WHERE walked AND forked"""
+
+TWINS_SQL = """WITH e AS (SELECT DISTINCT l_orderkey AS n, k, l_linenumber % 3 AS season, l_partkey % 4 AS episode FROM lineitem, (SELECT unnest([0, 1, 2]) AS k) WHERE l_suppkey % 3 <> k AND (k > 0 OR l_orderkey % 3 = 0)),
+n AS (SELECT n, season, episode, bool_or(k = 0) AS s, bool_or(k = 1) AS a, bool_or(k = 2) AS b FROM e GROUP BY ALL),
+c AS (SELECT n, bool_or(s) AS has_s, bool_or(a) AS has_a, bool_or(b) AS has_b, count(*) FILTER (s AND a) AS sa, count(*) FILTER (s AND b) AS sb, count(*) FILTER (a AND b) AS ab, count(*) FILTER (b AND (s OR a)) AS sab, count(*) FILTER (a) AS na, count(*) FILTER (b) AS nb, count(*) FILTER (a AND NOT s) AS a_s, count(*) FILTER (b AND NOT s) AS b_s, count(*) FILTER (b AND NOT a) AS b_a, count(*) FILTER (b AND NOT a AND NOT s) AS b_sa FROM n GROUP BY n),
+m AS (SELECT *, sa >= 3 AS a_in_s FROM c), w AS (SELECT *, CASE WHEN a_in_s THEN CASE WHEN sab >= 3 THEN 's' ELSE 'new' END WHEN has_a AND ab >= 3 AND ab > sb THEN 'a' WHEN sb >= 3 THEN 's' ELSE 'new' END AS b_in FROM m)
+SELECT 'https://h1/1-' || n AS url, 'order-n' || n || CASE WHEN a_in_s THEN '-2001' ELSE '-season-1-2002' END AS id, CASE WHEN a_in_s THEN 'merged' ELSE 'added' END AS action, CAST(CASE WHEN a_in_s THEN a_s ELSE na END AS INT) AS new_episodes FROM w WHERE has_a
+UNION ALL SELECT 'https://h2/2-' || n, 'order-n' || n || CASE b_in WHEN 's' THEN '-2001' WHEN 'a' THEN '-season-1-2002' ELSE '-2003-2003' END, CASE WHEN b_in = 'new' THEN 'added' ELSE 'merged' END,
+  CAST(CASE b_in WHEN 's' THEN CASE WHEN a_in_s THEN b_sa ELSE b_s END WHEN 'a' THEN b_a ELSE nb END AS INT) FROM w WHERE has_b"""
 
 
 ACTIONS_SQL = f"""WITH o AS (SELECT o_orderkey AS record, o_orderstatus = 'O' AS s_series, (o_orderstatus = 'O') <> (o_orderkey % 5 = 0) AS series, year(o_orderdate) AS year, o_orderkey % 4 <> 0 AS stored, o_orderkey % 3 = 0 AS walked, o_orderkey % 4 <> 0 AND o_orderkey % 5 = 0 AS forked FROM orders),
@@ -425,7 +476,7 @@ def site_evidence_semi(spark, d):
     return table(spark, d, "documents").join(table(spark, d, "labels").where("toxic = 1"), "doc_id", "left_semi").select("doc_id", "lang", "source")
 
 
-QUERIES = {f.__name__: f for f in (merge_generations, ordered_union, merge_seasons, nest_regroup, flatten_nested, nested_counts, remove_dead, upsert_match, upsert_actions, series_twin, apply_metadata, record_needs, meta_projection, record_json, last_by_path, kind_totals, touched_without_metadata, site_category, derive_category, lane_queue, lane_order, metadata_queue, queue_stats, attempt_report, enrich_batch, outcome_counts, enrich_eligible, topn_per_group, auto_number, first_last, prefer_else_all, dedupe_first, incomplete_flag, index_projection, catalog_totals, category_histogram, fresh_items_anti, site_evidence_semi)}
+QUERIES = {f.__name__: f for f in (merge_generations, ordered_union, merge_seasons, nest_regroup, flatten_nested, nested_counts, remove_dead, upsert_match, upsert_actions, upsert_catalogue, upsert_twins, series_twin, apply_metadata, record_needs, meta_projection, record_json, last_by_path, kind_totals, touched_without_metadata, site_category, derive_category, lane_queue, lane_order, metadata_queue, queue_stats, attempt_report, enrich_batch, outcome_counts, enrich_eligible, topn_per_group, auto_number, first_last, prefer_else_all, dedupe_first, incomplete_flag, index_projection, catalog_totals, category_histogram, fresh_items_anti, site_evidence_semi)}
 
 _CATEGORY = "CASE {l} WHEN '' THEN NULL WHEN 'ta' THEN 'tamil-' || {s} ELSE 'tamil-dubbed-' || {s} END"
 _PARTS = "SELECT p_partkey, " + _CATEGORY.format(l="['ta', 'en', '', 'te'][p_size % 4 + 1]", s="CASE WHEN p_type = 'ECONOMY' THEN 'series' ELSE 'movie' END") + " AS category FROM part"
@@ -441,6 +492,8 @@ SQL = {
 SELECT o.id, CAST(count(DISTINCT l.season) FILTER (l.series AND NOT dead) AS INT) AS seasons, coalesce(string_agg(url, ',' ORDER BY CASE WHEN l.series THEN season END, CASE WHEN l.series THEN episode END, pos) FILTER (NOT dead), '') AS links, CAST(count(*) FILTER (dead) AS INT) AS removed FROM o LEFT JOIN l ON l.record = o.id GROUP BY o.id""",
     "upsert_match": UPSERT_SQL,
     "upsert_actions": ACTIONS_SQL,
+    "upsert_catalogue": CATALOGUE_SQL,
+    "upsert_twins": TWINS_SQL,
     "series_twin": TWIN_SQL,
     "apply_metadata": METADATA_SQL,
     "site_category": "SELECT id, CASE WHEN id % 2 = 0 AND c IS NOT NULL THEN c ELSE coalesce(s, c) END AS category FROM (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS c, CASE WHEN o_orderkey % 5 > 0 THEN o_orderstatus END AS s FROM orders)",

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -13,20 +11,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from cairn.operators import merge
 from cairn.operators.schedule import failure_hours
+from cairn.sources.scratch import folder
 from cairn.sources.tables import current, publish
 
 
-def folder(spark, name: str) -> str:
-    """A new path in the shared folder of the cluster; a local session without one gets its own."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        base = tempfile.mkdtemp(prefix="cairn-checkpoints-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/stream-{name}-{uuid.uuid4().hex}"
-
-
 def event_stream(spark, sf_dir: str) -> DataFrame:
     """The event log as a stream; its time becomes a timestamp, which watermarks need."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from cairn.operators import merge, records, schedule
+from cairn.operators import merge, records, schedule, upsert
 
 EMPTY = dict(title="", year=0, kind=None, category=None, language=None, category_source=None, page_url="", embeds=[], poster="", rating=0.0, tmdb_id=0, imdb_id="", added_at="2024-01-01T00:00:00Z", seasons=None, updated_at=None)
 SCHEMA = f"id string, title string, year int, kind string, category string, language string, category_source string, page_url string, embeds {records.EMBEDS}, poster string, rating double, tmdb_id bigint, imdb_id string, added_at string, seasons {records.SEASONS}, updated_at string, pos bigint"
@@ -80,7 +80,7 @@ def test_upsert(spark):
         {"id": "film-2024", "title": "Film", "year": 2024, "page_url": "https://h/film/", "embeds": [embed("f1")]},
         {"id": "quiet", "title": "Quiet", "page_url": "https://h/quiet/", "embeds": [embed("q1")]},
     )
-    got = records.upsert(stored, items(
+    catalogue, log = upsert.upsert(stored, items(
         spark,
         {"url": "https://h/show/", "title": "Show Season 10", "year": 2026, "kind": "series", "seasons": [season(10, episode(32, "e32"))]},
         {"url": "https://h/again/", "title": "Show (2027)", "year": 2027, "kind": "series", "seasons": [season(10, episode(1, "e1"), episode(2, "e2"), episode(3, "e3b"))]},
@@ -89,17 +89,21 @@ def test_upsert(spark):
         {"url": "https://h/new-2/", "title": "New", "year": 2020, "embeds": [embed("n2"), embed("n1")]},
         {"url": "https://h/quiet/", "title": "Quiet", "embeds": [embed("q1")]},
         {"url": "https://h/none/", "title": "None"},
-    ))
-    by = {r["url"]: r for r in got.collect()}
+    ), F.lit("2024-02-01"))
+    by, got = {r["url"]: r for r in log.collect()}, {r["id"]: r for r in catalogue.collect()}
     assert {u: (r["id"], r["action"]) for u, r in by.items()} == {
         "https://h/show/": ("keep-id", "merged"), "https://h/again/": ("keep-id", "merged"), "https://h/film-series/": ("film-season-3-2024", "added"), "https://h/new/": ("new-2020", "added"),
         "https://h/new-2/": ("new-2020", "merged"), "https://h/quiet/": ("quiet", "unchanged"), "https://h/none/": (None, "unchanged"),
     }
-    first = by["https://h/show/"]
-    assert [e["episode"] for e in first["seasons"][0]["episodes"]] == [1, 2, 3, 32] and urls(first["embeds"]) == ["e1", "e2", "e3", "e32"] and first["new_episodes"] == 1
-    assert urls(by["https://h/again/"]["embeds"]) == ["e1", "e2", "e3", "e3b", "e32"] and by["https://h/again/"]["new_episodes"] == 0
-    assert by["https://h/film-series/"]["note"] == 'kept the stored movie · filed as "Film Season 3"'
-    assert urls(by["https://h/new-2/"]["embeds"]) == ["n1", "n2"] and by["https://h/new-2/"]["poster"] == "np"
+    assert list(got) and set(got) == {"keep-id", "film-2024", "quiet", "film-season-3-2024", "new-2020"}
+    show = got["keep-id"]
+    assert [e["episode"] for e in show["seasons"][0]["episodes"]] == [1, 2, 3, 32] and urls(show["embeds"]) == ["e1", "e2", "e3", "e3b", "e32"]
+    assert by["https://h/show/"]["new_episodes"] == 1 and by["https://h/again/"]["new_episodes"] == 0
+    assert by["https://h/film-series/"]["note"] == 'kept the stored movie · filed as "Film Season 3"' and got["film-season-3-2024"]["title"] == "Film Season 3"
+    assert urls(got["new-2020"]["embeds"]) == ["n1", "n2"] and got["new-2020"]["poster"] == "np"
+    assert {i: (r["added_at"], r["updated_at"]) for i, r in got.items()} == {
+        "keep-id": (EMPTY["added_at"], "2024-02-01"), "film-2024": (EMPTY["added_at"], None), "quiet": (EMPTY["added_at"], None), "film-season-3-2024": ("2024-02-01", None), "new-2020": ("2024-02-01", "2024-02-01"),
+    }
 
 
 def meta(**m):
