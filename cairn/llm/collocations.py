@@ -2,9 +2,9 @@
 
 Each shard of texts becomes a generalised suffix automaton over words, bounded in depth: its states are the sets of places where
 runs of words end, with their sizes as counts, and its suffix links lead from a run to the longest run that ends at more places.
-Counting the states' runs over all shards gives every phrase's frequency. A phrase can only be frequent if its words and pairs
-are, so two passes before mark, in bitmaps of fixed size, what may be frequent: an unmarked pair parts a text, a pair marked by
-chance costs only time. Links of one word, at the front and at the end, then find the phrases that a longer one stands for.
+Counting the states' runs over all shards gives every phrase's frequency. A phrase can only be frequent if
+all phrases in it are, so passes go from words to pairs, triples and longer ones, and what a pass finds to be frequent is marked
+in a bitmap of fixed size: unmarked phrases part a text for the next pass, and one that is marked by chance costs only time. Links of one word, at the front and at the end, then find the phrases that a longer one stands for.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ BITS = 27
 #: Bytes of text in a shard's automaton, and parts into which a language's phrases are dealt before the last ranking.
 SHARD, PARTS = 8 << 20, 64
 _CLASSES = spans.classes(white=b" \t", border=b".,;:!?\n\x0b\x0c\r")
+#: Lengths of the phrases that a pass counts; what it finds to be frequent is marked for the next one.
+STEPS = ((2, 2), (3, 3), (4, DEPTH))
 #: The language of texts whose language is null.
 UNKNOWN = "und"
 
@@ -90,48 +92,75 @@ def marked(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def pair_bits(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """The bit of each pair of words, from the words' hashes."""
-    x = (first * np.uint64(0x9E3779B97F4A7C15) + second) * np.uint64(0xBF58476D1CE4E5B9)
-    return (x ^ x >> np.uint64(31)) * np.uint64(0x94D049BB133111EB) >> np.uint64(64 - BITS)
+def phrase_bits(words: list[np.ndarray]) -> np.ndarray:
+    """The bit of each phrase, from the hashes of its words, the first ones first."""
+    if len(words) == 1:
+        return words[0] & np.uint64((1 << BITS) - 1)
+    x = words[0]
+    for w in words[1:]:
+        x = (x * np.uint64(0x9E3779B97F4A7C15) + w) * np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(31)
+    return x * np.uint64(0x94D049BB133111EB) >> np.uint64(64 - BITS)
+
+
+def reach(s: Shard, marks: dict[int, np.ndarray], depth: int) -> np.ndarray:
+    """For each word, how many words (0 to depth) the longest run has that ends there, lies in one piece and all of whose
+    phrases of the marked lengths are marked."""
+    h, out = word_hashes(s)[s.codes], np.zeros(len(s.codes), np.int8)
+    good = np.ones(len(s.codes), bool)
+    for d in range(1, depth + 1):
+        if d > 1:
+            good = s.follows & good & np.r_[False, good[:-1]]
+        if d in marks:
+            at = np.flatnonzero(good)
+            good[at] = marked(marks[d], phrase_bits([h[at - d + 1 + k] for k in range(d)]))
+        out += good
+    return out
+
+
+def _texts(dictionary: pa.Array, codes: np.ndarray, end: np.ndarray, d: int) -> pa.Array:
+    """The phrases of d words that end at some places."""
+    return pc.binary_join_element_wise(*(dictionary.take(pa.array(codes[end - d + 1 + k])) for k in range(d)), " ")
+
+
+_COUNTED = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
 
 
-def frequent_pairs(docs: DataFrame, words: np.ndarray, least: int) -> DataFrame:
-    """(bit) of the pairs of marked words that may occur `least` times: pairs that share a bit are counted together."""
-    schema = pa.schema([("bit", pa.int64()), ("n", pa.int64())])
+def _rows(lang: str, k: int, texts: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+    return common.batch_of(_COUNTED, pa.repeat(pa.scalar(lang), len(n)), pa.array(np.full(len(n), k, np.int32)), texts, pa.array(n))
+
+
+def phrase_marks(found: DataFrame) -> DataFrame:
+    """(bit) of each phrase (lang, phrase) of two words or more."""
+    schema = pa.schema([("bit", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s in shards(batches):
-            h = word_hashes(s)
-            good = marked(words, h & np.uint64((1 << BITS) - 1))[s.codes]
-            at = np.flatnonzero(s.follows[1:] & good[1:] & good[:-1] & ~s.again[1:]) + 1
-            bit, n = np.unique(pair_bits(h[s.codes[at - 1]], h[s.codes[at]]), return_counts=True)
-            yield common.batch_of(schema, pa.array(bit.astype(np.int64)), pa.array(n))
-        common.trim()
+        for b in batches:
+            h = [[zlib.crc32(w, zlib.crc32(g.encode() + b"\0")) for w in p.encode().split(b" ")] for g, p in zip(b.column("lang").to_pylist(), b.column("phrase").to_pylist())]
+            if h:
+                yield common.batch_of(schema, pa.array(phrase_bits(list(np.array(h, np.uint64).T)).astype(np.int64)))
 
-    return docs.mapInArrow(run, "bit bigint, n bigint").groupBy("bit").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("bit")
+    return found.select("lang", "phrase").mapInArrow(run, "bit bigint")
 
 
 class Automaton:
     """A generalised suffix automaton of bounded depth over runs of word codes.
 
     Nodes are the distinct runs of up to `depth` words: `length`, `count` (places where the run ends), `end` (one of them) and
-    `link`, the node of the run without its first word (-1 for single words). Runs of which one is the other's suffix and which
+    `link`, the node of the run without its first word (-1 for single words). reach[i] is the longest run that may end at word i, at
+    least 1 and at most one more than at the word before. Runs of which one is the other's suffix and which
     end at the same places make one state; `state` marks each state's longest run, and a suffix link leads from a state's
-    shortest run to the next state. joins[i] tells whether word i continues the run of word i - 1; places marked `again` are
-    not counted.
+    shortest run to the next state. Places marked `again` are not counted.
     """
 
-    def __init__(self, codes: np.ndarray, joins: np.ndarray, again: np.ndarray, depth: int):
-        place = np.arange(len(codes))
-        since = place - np.maximum.accumulate(np.where(joins, 0, place)) + 1 if len(codes) else place
+    def __init__(self, codes: np.ndarray, reach: np.ndarray, again: np.ndarray, depth: int):
         code = codes.astype(np.int64)
-        at, node = place, code
+        at, node = np.arange(len(codes)), code
         width, first = int(code.max()) + 1 if len(code) else 1, 0
         parts: list[tuple[np.ndarray, ...]] = []
         for d in range(1, depth + 1):
             if d > 1:
-                longer = since[at] >= d
+                longer = reach[at] >= d
                 at, above = at[longer], node[longer]
                 key = above * width + code[at - d + 1]
             else:
@@ -161,23 +190,20 @@ class Automaton:
             node, count = node[once], count[once]
 
 
-def phrases(docs: DataFrame, words: np.ndarray, pairs: np.ndarray) -> DataFrame:
-    """lang, k, phrase, n: how often each phrase of k words, 2 to DEPTH, occurs, of those all of whose pairs are marked."""
-    schema = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
+def phrases(docs: DataFrame, marks: dict[int, np.ndarray], low: int, high: int) -> DataFrame:
+    """lang, k, phrase, n: how often each phrase of low to high words occurs, of those all of whose phrases of the marked lengths
+    are marked. A task sends each phrase of a shard once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in shards(batches):
-            h = word_hashes(s)
-            good = marked(words, h & np.uint64((1 << BITS) - 1))[s.codes]
-            joins = s.follows & good & np.r_[False, good[:-1]]
-            at = np.flatnonzero(joins)
-            joins[at] = marked(pairs, pair_bits(h[s.codes[at - 1]], h[s.codes[at]]))
-            kept = joins | np.r_[joins[1:], False]  # a word in no pair makes no phrase
+            far = reach(s, marks, high)
+            kept = far >= low  # and the words before: those that end no phrase but belong to one
+            for _ in range(low - 1):
+                kept |= np.r_[kept[1:], False]
             codes, dictionary = s.codes[kept], s.words.cast(pa.string())
-            for end, n, d in Automaton(codes, joins[kept], s.again[kept], DEPTH).states():
-                if d > 1 and len(end):
-                    text = pc.binary_join_element_wise(*(dictionary.take(pa.array(codes[end - d + 1 + k])) for k in range(d)), " ")
-                    yield common.batch_of(schema, pa.repeat(pa.scalar(s.lang), len(end)), pa.array(np.full(len(end), d, np.int32)), text, pa.array(n))
+            for end, n, d in Automaton(codes, far[kept], s.again[kept], high).states():
+                if d >= low and len(end):
+                    yield _rows(s.lang, d, _texts(dictionary, codes, end, d), n)
         common.trim()
 
     return docs.mapInArrow(run, "lang string, k int, phrase string, n bigint").groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
@@ -219,9 +245,13 @@ def collocations(docs: DataFrame, least: int = LEAST, percent: int = PERCENT, to
     words = common.stored(word_counts(docs), "words")
     totals = common.stored(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     often = words.where(F.col("n") >= least)
-    word_bits = bitmap(often.select((word_hash(F.col("lang"), F.col("phrase")) % (1 << BITS)).alias("bit")))
-    pair_marks = bitmap(frequent_pairs(docs, word_bits, least))
-    found = common.stored(phrases(docs, word_bits, pair_marks).where(F.col("n") >= least), "phrases")
+    marks = {1: bitmap(often.select((word_hash(F.col("lang"), F.col("phrase")) % (1 << BITS)).alias("bit")))}
+    found = None
+    for low, high in STEPS:
+        more = common.stored(phrases(docs, marks, low, high).where(F.col("n") >= least), "phrases")
+        found = more if found is None else found.unionByName(more)
+        if high < DEPTH:
+            marks[high] = bitmap(phrase_marks(more))
     scored = cut(without_subsumed(found, percent), often.unionByName(found.drop("k")), totals)
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     # a language may hold a third of all phrases: each part's first ones, then the first of these, at most PARTS * top rows

@@ -25,7 +25,8 @@ def test_automaton_states_are_the_classes_of_equal_ends(seed):
     n = r.choice([0, 1, 7, 60, 400])
     codes, joins = np.array([r.randrange(1 + seed % 4) for _ in range(n)], np.int64), np.array([k > 0 and r.random() < 0.9 for k in range(n)], bool)
     again = np.array([r.random() < 0.1 for _ in range(n)], bool)
-    a = collocations.Automaton(codes, joins, again, 5)
+    starts = np.maximum.accumulate(np.where(joins, 0, np.arange(n))) if n else np.zeros(0, int)
+    a = collocations.Automaton(codes, np.arange(n) - starts + 1, again, 5)
     ends, counts = defaultdict(set), Counter()
     for end, run in runs_of(codes.tolist(), joins.tolist(), 5):
         ends[run].add(end)
