@@ -24,11 +24,13 @@ from cairn.llm import common, spans
 #: The contract's parameters: words of a phrase, least frequency, hundredths of a phrase's frequency at which a longer one
 #: stands for it, phrases a language.
 DEPTH, LEAST, PERCENT, TOP = 5, 100, 100, 2000
-#: Bits of a bitmap: 16 MB at most, however large the corpus is.
-BITS = 27
+#: Bits of a bitmap: 4 MB, however large the corpus is.
+BITS = 25
 #: Bytes of text in a shard's automaton, and parts into which a language's phrases are dealt before the last ranking.
-SHARD, PARTS = 8 << 20, 64
+SHARD, PARTS = 4 << 20, 64
 _CLASSES = spans.classes(white=b" \t", border=b".,;:!?\n\x0b\x0c\r")
+#: Phrases whose texts are made at once.
+_BATCH = 1 << 16
 #: Lengths of the phrases that a pass counts; what it finds to be frequent is marked for the next one.
 STEPS = ((2, 2), (3, 3), (4, DEPTH))
 #: The language of texts whose language is null.
@@ -202,9 +204,10 @@ def phrases(docs: DataFrame, marks: dict[int, np.ndarray], low: int, high: int)
                 kept |= np.r_[kept[1:], False]
             codes, dictionary = s.codes[kept], s.words.cast(pa.string())
             for end, n, d in Automaton(codes, far[kept], s.again[kept], high).states():
-                if d >= low and len(end):
-                    yield _rows(s.lang, d, _texts(dictionary, codes, end, d), n)
-        common.trim()
+                for i in range(0, len(end) if d >= low else 0, _BATCH):
+                    yield _rows(s.lang, d, _texts(dictionary, codes, end[i : i + _BATCH], d), n[i : i + _BATCH])
+            del far, kept, codes, dictionary
+            common.trim()
 
     return docs.mapInArrow(run, "lang string, k int, phrase string, n bigint").groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
 
