@@ -90,7 +90,22 @@ def path_key(url: Column) -> Column:
     path = F.when(url.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*://"), capture(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)"))
     path = F.coalesce(path.when(url.startswith("//"), capture(url, "^//[^/?#]*([^?#]*)")).otherwise(capture(url, "^([^?#]*)")), F.lit(""))
     rooted = F.when(path.startswith("/") | (path == ""), path).otherwise(F.concat(F.lit("/"), path))
-    return F.concat(F.regexp_replace(rooted, "/+$", ""), F.lit("/"))
+    return F.concat(F.regexp_replace(_resolved(_encoded(rooted)), "/+$", ""), F.lit("/"))
+
+
+def _resolved(path: Column) -> Column:
+    """A path without "." and ".." parts, which never lead above the root."""
+    dot, up = r"(?i)^(?:\.|%2e)$", r"(?i)^(?:\.|%2e){2}$"
+    step = lambda out, p: F.when(p.rlike(up), F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0)))).when(p.rlike(dot), out).otherwise(F.concat(out, F.array(p)))
+    parts = F.aggregate(F.split(F.substring(path, 2, 1 << 30), "/"), F.array().cast("array<string>"), step)
+    return F.when(path.rlike(r"(?i)/(?:\.|%2e)"), F.concat(F.lit("/"), F.array_join(parts, "/"))).otherwise(path)
+
+
+def _encoded(path: Column) -> Column:
+    """A path with the characters that URLs cannot hold as percent-encoded bytes of UTF-8."""
+    code = lambda ch: F.regexp_replace(F.hex(F.encode(ch, "UTF-8")), "(..)", "%$1")
+    odd = r"[^!#-;=?-Z\[-_a-z|~]"
+    return F.when(path.rlike(odd), F.array_join(F.transform(F.split(path, ""), lambda ch: F.when(ch.rlike(odd), code(ch)).otherwise(ch)), "")).otherwise(path)
 
 
 def canonical_url(url: Column) -> Column:
@@ -283,11 +298,31 @@ def split_credits(c: Column, most: int = 8) -> Column:
     return F.slice(F.array_distinct(F.filter(names, lambda x: (x != "") & ~x.rlike(r"(?i)^(?:n/?a|unknown|none|not available)\z"))), 1, most)
 
 
+# Values of Roman digits, number words, and words that a single Roman digit counts a part after.
+ROMAN = (("i", 1), ("v", 5), ("x", 10), ("l", 50), ("c", 100), ("d", 500), ("m", 1000))
+NUMBER_WORDS = ("two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve", "thirteen", "fourteen", "fifteen", "sixteen", "seventeen", "eighteen", "nineteen", "twenty")
+PART_WORDS = ("part", "chapter", "volume", "vol", "season", "episode", "book", "act")
+
+
+def roman(token: Column) -> Column:
+    """The value of a Roman numeral in lower case, null for what is none."""
+    value = F.create_map(*(F.lit(x) for pair in ROMAN for x in pair))
+    digits = F.transform(F.split(token, ""), lambda ch: F.coalesce(value[ch], F.lit(0)))
+    total = let(digits, lambda d: F.aggregate(F.transform(d, lambda x, i: F.when(x < F.coalesce(F.get(d, i + 1), F.lit(0)), -x).otherwise(x)), F.lit(0), lambda n, x: n + x))
+    return F.when(token.rlike("^(?=.)m{0,3}(?:cm|cd|d?c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})$"), total)
+
+
 def numeral(c: Column) -> Column:
-    """Roman and spelled numerals two to five as digits, so that sequels compare alike."""
-    for digit, forms in ((2, "ii|two"), (3, "iii|three"), (4, "iv|four"), (5, "v|five")):
-        c = F.regexp_replace(c, rf"(^| )({forms})( |$)", f"$1{digit}$3")
-    return c
+    """A title's Roman and spelled numerals as digits, word by word, so that sequels compare alike (T2). After a word like "part" every
+    Roman numeral counts; elsewhere "v" and those of i, v and x with two digits or more, for "mix" and "I" are mostly words."""
+    words = F.create_map(*(F.lit(x) for k, w in enumerate(NUMBER_WORDS, 2) for x in (w, str(k))))
+
+    def word(w: Column, before: Column) -> Column:
+        counted = F.coalesce(before.isin(*PART_WORDS), F.lit(False)) | w.rlike("^(?:v|[ivx]{2,})$")
+        return F.coalesce(words[w], F.when(counted, roman(w).cast("string")), w)
+
+    each = lambda t: F.transform(t, lambda w, i: word(w, F.when(i > 0, F.get(t, i - 1))))
+    return F.array_join(let(F.split(c, " "), each), " ")
 
 
 def title_similarity(a: Column, b: Column, least: int = 8) -> Column:

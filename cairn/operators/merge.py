@@ -25,6 +25,14 @@ def merge_earliest(ours: DataFrame, theirs: DataFrame, key: str, at: str) -> Dat
     return ours.select(key, at).unionByName(theirs.select(key, at)).groupBy(key).agg(F.min(at).alias(at))
 
 
+def merge_letters(ours: DataFrame, theirs: DataFrame, key: str, letters: str) -> DataFrame:
+    """Union of two writers' map columns a key, ours where both have an entry (J6); null maps are empty."""
+    o, t = (df.select(key, F.col(letters).alias(name)) for df, name in ((ours, "__o"), (theirs, "__t")))
+    kind = ours.schema[letters].dataType
+    whole = lambda c: F.coalesce(c, F.create_map().cast(kind))
+    return o.join(t, key, "full_outer").select(key, F.map_zip_with(whole("__o"), whole("__t"), lambda _, mine, other: F.coalesce(mine, other)).alias(letters))
+
+
 def merge_attempts(ours: DataFrame, theirs: DataFrame, key: str, at: str, status: str) -> DataFrame:
     """The later check wins; at a tie ours, but only if it is matched."""
     rank = lambda df, k: df.withColumn("__rank", k)
@@ -55,7 +63,7 @@ def filled(mine: Column, other: Column) -> Column:
 def merge_cursors(ours: DataFrame, theirs: DataFrame, key: str) -> DataFrame:
     """Two writers' cursors a key (U7): the farther by pass, letter and page wins, ours at a tie; the later end of a
     pass stays, and so does a finish that only the other has. Missing parts of a cursor count as its start."""
-    at = F.struct(F.coalesce("pass", F.lit(1)).alias("pass"), F.coalesce("letter", F.lit(0)).alias("letter"), F.coalesce("page", F.lit(1)).alias("page"))
+    at = F.struct(F.coalesce("pass", F.lit(1)).alias("pass"), F.coalesce("letter", F.lit("a")).alias("letter"), F.coalesce("page", F.lit(1)).alias("page"))
     side = lambda df, k: df.select(key, F.struct(at.alias("at"), F.lit(k).alias("ours")).alias("__c"), "last_pass_at", "finished_at")
     both = side(ours, 1).unionByName(side(theirs, 0))
     best = both.groupBy(key).agg(F.max("__c").alias("__c"), F.max("last_pass_at").alias("last_pass_at"), F.max_by("finished_at", "__c").alias("__mine"), F.min_by("finished_at", "__c").alias("__other"))

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from cairn.functions import text
 from cairn.operators import merge, records, resolve, schedule
+from cairn.sources import tables
+from cairn.sources.scratch import folder
 from cairn.sources.tables import AS_OF, table
 
 US = "CAST(epoch_us(ts) AS BIGINT)"
@@ -47,11 +49,27 @@ def merge_attempts(spark, d):
 def merge_cursor(spark, d):
     """The farther cursor (pass, letter, page) of two writers a day, with the later end of a pass, and the
     other's finish if the winner has none."""
-    e = events(spark, d).select("event_id", F.floor(F.col("at") / 86_400_000_000).alias("day"), (F.col("event_id") % 3).alias("pass"), (F.col("user_id") % 26).alias("letter"), F.get_json_object("props", "$.k").cast("bigint").alias("page"), F.when(F.col("event_type") == "signup", F.col("at")).alias("last_pass_at"), F.when(F.col("event_type") == "error", F.col("at")).alias("finished_at"))
+    e = events(spark, d).select("event_id", F.floor(F.col("at") / 86_400_000_000).alias("day"), (F.col("event_id") % 3).alias("pass"), F.char(97 + F.col("user_id") % 26).alias("letter"), F.get_json_object("props", "$.k").cast("bigint").alias("page"), F.when(F.col("event_type") == "signup", F.col("at")).alias("last_pass_at"), F.when(F.col("event_type") == "error", F.col("at")).alias("finished_at"))
     ours, theirs = (merge.latest(e.where(F.col("event_id") % 2 == k), "day", "event_id").drop("event_id") for k in (0, 1))
     return merge.merge_cursors(ours, theirs, "day")
 
 
+def merge_letters(spark, d):
+    """Two writers' letters of a user, ours where both have one."""
+    e = events(spark, d).groupBy("user_id", (F.col("event_id") % 2).alias("w"), "event_type").agg(F.max("event_id").alias("page"))
+    ours, theirs = (e.where(F.col("w") == k).groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("event_type", "page"))).alias("letters")) for k in (0, 1))
+    m = merge.merge_letters(ours, theirs, "user_id", "letters")
+    return m.select("user_id", F.array_join(F.array_sort(F.transform(F.map_entries("letters"), lambda x: F.concat(x["key"], F.lit("="), x["value"].cast("string")))), ",").alias("letters"))
+
+
+def run_counters(spark, d):
+    """What a run's own commit of catalogue, index and state counted while writing them."""
+    known = merge.latest(events(spark, d).select("user_id", "event_id", "event_type", "at"), "user_id", "at", "event_id")
+    counters = {"records": F.count("*"), "failed": F.count_if(F.col("event_type") == "error"), "stored": F.count_if(F.col("event_type") == "purchase"), "newest": F.max("at")}
+    number, seen = tables.save_all(known, known.select("user_id"), known.select("user_id", "at"), folder(spark, "run"), counters)
+    return spark.createDataFrame([(number, *(seen[c] for c in counters))], "commit bigint, records bigint, failed bigint, stored bigint, newest bigint")
+
+
 def per_user(spark, d):
     e = events(spark, d)
     last = F.max("at").alias("last_at")
@@ -189,7 +207,7 @@ def run_health(spark, d):
     return day.select("day", "walked", "stored", "errors", F.when(red, "red").otherwise("green").alias("health"))
 
 
-QUERIES = {f.__name__: f for f in (merge_states, merge_miss_earliest, merge_attempts, merge_cursor, walk_verdict, skip_reasons, failure_backoff, attempt_backoff, due_filter, attempt_reset, walk_states, merge_attempt_states, cached_evidence, worst_verdict, probe_verdict, probe_targets, sweep_summary, cursor_replay, run_health)}
+QUERIES = {f.__name__: f for f in (merge_states, merge_miss_earliest, merge_attempts, merge_cursor, merge_letters, run_counters, walk_verdict, skip_reasons, failure_backoff, attempt_backoff, due_filter, attempt_reset, walk_states, merge_attempt_states, cached_evidence, worst_verdict, probe_verdict, probe_targets, sweep_summary, cursor_replay, run_health)}
 
 SQL = {
     "merge_states": f"SELECT user_id, arg_max(event_id, (epoch_us(ts), event_id)) AS event_id, arg_max(event_type, (epoch_us(ts), event_id)) AS event_type, max({US}) AS at FROM events GROUP BY user_id",
@@ -197,10 +215,12 @@ SQL = {
     "merge_attempts": """WITH e AS (SELECT user_id, event_id, CAST(floor(epoch_us(ts) / 86400000000.0) AS BIGINT) AS day, CASE WHEN event_type = 'purchase' THEN 'matched' ELSE 'unresolved' END AS status, event_id % 2 AS w FROM events),
 l AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY user_id, w ORDER BY day DESC, event_id DESC) = 1)
 SELECT user_id, event_id, day, status FROM l QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY day DESC, CASE WHEN w = 1 THEN 1 WHEN status = 'matched' THEN 2 ELSE 0 END DESC) = 1""",
-    "merge_cursor": """WITH e AS (SELECT event_id, event_id % 2 AS w, CAST(floor(epoch_us(ts) / 86400000000.0) AS BIGINT) AS day, event_id % 3 AS pass, user_id % 26 AS letter, CAST(props->>'$.k' AS BIGINT) AS page, CASE WHEN event_type = 'signup' THEN CAST(epoch_us(ts) AS BIGINT) END AS last_pass_at, CASE WHEN event_type = 'error' THEN CAST(epoch_us(ts) AS BIGINT) END AS finished_at FROM events),
+    "merge_cursor": """WITH e AS (SELECT event_id, event_id % 2 AS w, CAST(floor(epoch_us(ts) / 86400000000.0) AS BIGINT) AS day, event_id % 3 AS pass, chr(CAST(97 + user_id % 26 AS INT)) AS letter, CAST(props->>'$.k' AS BIGINT) AS page, CASE WHEN event_type = 'signup' THEN CAST(epoch_us(ts) AS BIGINT) END AS last_pass_at, CASE WHEN event_type = 'error' THEN CAST(epoch_us(ts) AS BIGINT) END AS finished_at FROM events),
 l AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY day, w ORDER BY event_id DESC) = 1),
 r AS (SELECT *, row_number() OVER (PARTITION BY day ORDER BY pass DESC, letter DESC, page DESC, w) AS n, max(last_pass_at) OVER (PARTITION BY day) AS latest, max(finished_at) OVER (PARTITION BY day ORDER BY pass DESC, letter DESC, page DESC, w ROWS BETWEEN 1 FOLLOWING AND 1 FOLLOWING) AS other FROM l)
 SELECT day, pass, letter, page, latest AS last_pass_at, coalesce(finished_at, other) AS finished_at FROM r WHERE n = 1""",
+    "merge_letters": "WITH e AS (SELECT user_id, event_type, coalesce(max(event_id) FILTER (event_id % 2 = 0), max(event_id)) AS page FROM events GROUP BY ALL) SELECT user_id, string_agg(event_type || '=' || page, ',' ORDER BY event_type) AS letters FROM e GROUP BY user_id",
+    "run_counters": f"WITH l AS (SELECT user_id, arg_max(event_type, (epoch_us(ts), event_id)) AS t, max({US}) AS last FROM events GROUP BY user_id) SELECT 1::BIGINT AS commit, count(*) AS records, count(*) FILTER (t = 'error') AS failed, count(*) FILTER (t = 'purchase') AS stored, max(last) AS newest FROM l",
     "walk_verdict": VERDICT_SQL,
     "skip_reasons": f"SELECT why AS family, count(*) AS n FROM ({VERDICT_SQL}) WHERE NOT walk GROUP BY 1",
     "failure_backoff": "SELECT user_id, CAST(f AS INT) AS failures, CAST(CASE WHEN f > 0 THEN least(24.0, 1.5 * pow(2, least(f, 4))) ELSE 0 END AS DOUBLE) AS hours FROM (SELECT user_id, least(count(*) FILTER (event_type = 'error'), 12) AS f FROM events GROUP BY user_id)",

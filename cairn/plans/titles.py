@@ -281,12 +281,18 @@ SELECT record, CASE WHEN actors >= 2 OR (actors >= 1 AND directors >= 1 AND peop
 
 
 def title_similarity(spark, d):
-    """Similarity of neighbouring parts' titles."""
-    p = table(spark, d, "part").select("p_partkey", F.concat(F.col("p_name"), F.lit(" "), (F.col("p_size") % 3 + 1).cast("string")).alias("title"))
+    """Similarity of neighbouring parts' titles, whose sequels are counted in digits, in Roman numerals or in words."""
+    n = F.col("p_size") % 3 + F.when(F.col("p_partkey") % 10 < 7, 2).otherwise(5)
+    named = lambda forms: F.element_at(F.array(*(F.lit(x) for x in forms)), n.cast("int"))
+    number = F.when(F.col("p_partkey") % 3 == 0, n.cast("string")).when(F.col("p_partkey") % 3 == 1, named(ROMANS)).otherwise(named(SPELLED))
+    p = table(spark, d, "part").select("p_partkey", F.concat(F.element_at(F.split("p_name", " "), 1), F.lit(" saga "), number).alias("title"))
     q = p.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("title").alias("other"))
     return p.join(q, "p_partkey").select("p_partkey", F.round(text.title_similarity(F.col("title"), F.col("other")), 6).alias("similarity"))
 
 
+ROMANS, SPELLED = ("I", "II", "III", "IV", "V", "VI", "VII"), ("One", "Two", "Three", "Four", "Five", "Six", "Seven")
+
+
 def evidence_decision(spark, d):
     """E1 over the credit verdicts."""
     c = credit_evidence(spark, d)
@@ -375,7 +381,7 @@ j AS (SELECT r.*, k.id AS k_id, k.type AS k_type, k.t AS k_t, a.id AS a_id, b.id
 h AS (SELECT *, CASE WHEN k_id IS NOT NULL AND k_type = own AND k_t = t THEN 'id' WHEN k_id IS NOT NULL AND k_type <> own AND k_t = t THEN 'cross' WHEN a_id IS NOT NULL THEN 'search' WHEN b_id IS NOT NULL THEN 'search-tv' WHEN k_id IS NOT NULL AND k_type = own THEN 'kept' ELSE 'none' END AS how FROM j)
 SELECT record AS p_partkey, CASE WHEN how IN ('id', 'cross', 'kept') THEN k_id WHEN how = 'search' THEN a_id WHEN how = 'search-tv' THEN b_id END AS match, CASE WHEN how IN ('id', 'search', 'kept') THEN own WHEN how = 'cross' THEN k_type WHEN how = 'search-tv' THEN 'tv' END AS type, how FROM h""",
     "credit_evidence": CREDIT_SQL,
-    "title_similarity": """WITH t AS (SELECT p_partkey, p_name AS n, p_size % 3 + 1 AS k, p_name || ' ' || (p_size % 3 + 1) AS title FROM part)
+    "title_similarity": """WITH t AS (SELECT p_partkey, p_size % 3 + CASE WHEN p_partkey % 10 < 7 THEN 2 ELSE 5 END AS k, string_split(p_name, ' ')[1] || ' saga ' || (p_size % 3 + CASE WHEN p_partkey % 10 < 7 THEN 2 ELSE 5 END) AS title FROM part)
 SELECT a.p_partkey, round(CASE WHEN a.title = b.title THEN 1.0 WHEN a.k <> b.k OR least(length(a.title), length(b.title)) < 8 THEN 0.0 ELSE 1 - levenshtein(a.title, b.title) / CAST(greatest(length(a.title), length(b.title)) AS DOUBLE) END, 6) AS similarity FROM t a JOIN t b ON b.p_partkey = a.p_partkey + 1""",
     "evidence_decision": f"""WITH v AS ({CREDIT_SQL}), x AS (SELECT *, record % 3 <> 0 AS found, record % 2 = 0 AND verdict = 'contradiction' AS against, record % 13 = 0 AS scoped, record % 2 = 0 AND record % 4 = 0 AND verdict <> 'strong' AS other_year FROM v)
 SELECT record, CASE WHEN record % 29 = 0 OR record % 31 = 0 THEN CASE WHEN found THEN 'accept' ELSE 'unresolved' END WHEN record % 7 = 0 OR record % 11 = 0 THEN 'unavailable' WHEN found AND NOT against AND NOT other_year AND NOT scoped THEN 'accept'

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,33 +37,94 @@ def keyed_state(df: DataFrame, column: str, key: str) -> DataFrame:
     return df.select(F.explode(F.map_entries(column)).alias("e")).select(F.col("e.key").alias(key), "e.value.*")
 
 
-def publish(df: DataFrame, root: str) -> str:
-    """Writes a new version below root and then names it in the pointer file, which is replaced in one step
-    (K1): readers see the old version or the new one, and no path that is being read is written."""
-    spark = df.sparkSession
-    version = uuid.uuid4().hex
-    df.write.parquet(f"{root}/{version}")
+class Conflict(RuntimeError):
+    """Another writer has committed since the version that a commit was based on."""
+
+
+def _files(spark: SparkSession, root: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def last_commit(spark: SparkSession, root: str) -> int:
+    """The number of the newest commit below root, 0 before the first."""
+    log, files = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_log"), _files(spark, root)
+    names = [f.getPath().getName() for f in files.listStatus(log)] if files.exists(log) else []
+    return max((int(n) for n in names if n.isdigit()), default=0)
+
+
+def commit(tables: dict[str, DataFrame], root: str, based_on: int | None = None, counters: dict[str, Column] | None = None) -> tuple[int, dict[str, int]]:
+    """Publishes several tables at once (K1, K2, I4): (commit's number, counters of what was written).
+
+    Each table goes to a folder of its own; then one file of the log, whose name is the commit's number, names them all. It is
+    written aside and renamed, which fails if the number is taken: so readers see all tables of a commit or none, of two writers
+    who start from the same commit one meets Conflict, and one that dies at any time before leaves only folders that nothing
+    names. Tables that a commit does not name stay as they were. counters (name: aggregate) are observed in the writing of the
+    first table itself, without another pass (A6, K6).
+    """
+    spark = next(iter(tables.values())).sparkSession
+    base = last_commit(spark, root) if based_on is None else based_on
+    named, seen = _named(spark, root, base), Observation()
+    for k, (name, df) in enumerate(tables.items()):
+        path = f"{name or 'table'}-{uuid.uuid4().hex}"
+        if counters and k == 0:
+            df = df.observe(seen, *(c.alias(n) for n, c in counters.items()))
+        df.write.parquet(f"{root}/{path}")
+        named[name] = path
     fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = fs_path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    draft, pointer = fs_path(f"{root}/DRAFT-{version}"), fs_path(f"{root}/CURRENT")
-    out = fs.create(draft, True)
-    out.write(bytearray(version.encode()))
+    draft, entry = fs_path(f"{root}/_log/.{uuid.uuid4().hex}"), fs_path(f"{root}/_log/{base + 1:012d}")
+    out = _files(spark, root).create(draft, True)
+    out.write(bytearray(json.dumps(named, sort_keys=True).encode()))
     out.close()
     context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs_path(root).toUri(), spark._jsc.hadoopConfiguration())
-    overwrite = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    options = spark._sc._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    options[0] = overwrite
-    context.rename(draft, pointer, options)
-    return version
+    try:
+        context.rename(draft, entry, spark._sc._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0))
+    except Exception as e:
+        _files(spark, root).delete(draft, False)
+        if last_commit(spark, root) > base:
+            raise Conflict(f"commit {base + 1} of {root} is another writer's") from e
+        raise
+    return base + 1, dict(seen.get) if counters else {}
+
+
+def _named(spark: SparkSession, root: str, number: int) -> dict[str, str]:
+    return json.loads(spark.read.text(f"{root}/_log/{number:012d}", wholetext=True).first()[0]) if number else {}
+
+
+def snapshot(spark: SparkSession, root: str, number: int | None = None) -> dict[str, DataFrame]:
+    """All tables as one commit names them, the newest unless a number is given; empty before the first."""
+    named = _named(spark, root, last_commit(spark, root) if number is None else number)
+    return {name: spark.read.parquet(f"{root}/{path}") for name, path in named.items()}
+
+
+def vacuum(spark: SparkSession, root: str, keep: int = 2) -> int:
+    """Deletes the folders below root that none of the last `keep` commits names, and returns their number. Not while others
+    write: their folders are not named yet."""
+    last = last_commit(spark, root)
+    used = {path for k in range(max(1, last - keep + 1), last + 1) for path in _named(spark, root, k).values()}
+    files, gone = _files(spark, root), 0
+    for f in files.listStatus(spark._jvm.org.apache.hadoop.fs.Path(root)):
+        name = f.getPath().getName()
+        if name != "_log" and name not in used:
+            gone += files.delete(f.getPath(), True)
+    return gone
+
+
+def publish(df: DataFrame, root: str) -> int:
+    """Commits a single table on top of whatever is newest (K1): of two writers the later wins, and both versions stay readable."""
+    while True:
+        try:
+            return commit({"": df}, root)[0]
+        except Conflict:
+            continue
 
 
 def current(spark: SparkSession, root: str) -> DataFrame | None:
-    """The published version, or None before the first one."""
-    version = current_version(spark, root)
-    return None if version is None else spark.read.parquet(f"{root}/{version}")
+    """The published table, or None before the first commit."""
+    return snapshot(spark, root).get("")
 
 
-def publish_if_changed(df: DataFrame, root: str, flag: str = "changed") -> str | None:
+def publish_if_changed(df: DataFrame, root: str, flag: str = "changed") -> int | None:
     """Publishes without the flag column if it is true for some row; otherwise writes nothing (K3)."""
     return publish(df.drop(flag), root) if not df.where(flag).isEmpty() else None
 
@@ -77,7 +139,7 @@ def read_cursor(spark: SparkSession, path: str) -> DataFrame:
     return start if found.isEmpty() else found.select(F.coalesce("letter", F.lit("a")).alias("letter"), F.coalesce("page", F.lit(1)).alias("page"), F.coalesce("pass", F.lit(1)).alias("pass"))
 
 
-def write_cursor(cursor: DataFrame, root: str) -> str:
+def write_cursor(cursor: DataFrame, root: str) -> int:
     """Publishes a one-row cursor (K0)."""
     return publish(cursor.coalesce(1), root)
 
@@ -89,30 +151,19 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return raw.select("pos", F.when(is_object, F.get_json_object("e", "$.path")).otherwise(F.col("e")).alias("path"), F.when(is_object, F.get_json_object("e", "$.label")).alias("label")).where("path IS NOT NULL")
 
 
-def save_all(records: DataFrame, index: DataFrame, state: DataFrame, root: str) -> dict[str, str]:
-    """Publishes the catalogue, its index and the state, each a version of its own (K2)."""
-    return {name: publish(df, f"{root}/{name}") for name, df in (("records", records), ("index", index), ("state", state))}
-
-
-def current_version(spark: SparkSession, root: str) -> str | None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT")
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return None
-    return spark.read.text(f"{root}/CURRENT").first()[0]
+def save_all(records: DataFrame, index: DataFrame, state: DataFrame, root: str, counters: dict[str, Column] | None = None) -> tuple[int, dict[str, int]]:
+    """Publishes the catalogue, its index and the state in one commit (K2), with counters of the records written (K6)."""
+    return commit({"records": records, "index": index, "state": state}, root, counters=counters)
 
 
-def publish_merged(df: DataFrame, root: str, based_on: str | None, merge: Callable[[DataFrame, DataFrame], DataFrame], tries: int = 3) -> str:
-    """Publishes df, made from version `based_on`; if another writer has published since, merges with what it wrote
-    and tries again (K4). Only one writer can claim the succession of a version: the claim is a file whose creation
-    fails if it is there."""
-    spark = df.sparkSession
+def publish_merged(tables: dict[str, DataFrame], root: str, based_on: int, merge: Callable[[dict[str, DataFrame], dict[str, DataFrame]], dict[str, DataFrame]], tries: int = 3) -> int:
+    """Commits tables made from commit `based_on`; if another writer has committed since, merges with what is newest and tries
+    again (K4). A writer that dies blocks nobody, for nothing is claimed before the commit itself."""
+    spark = next(iter(tables.values())).sparkSession
     for _ in range(tries):
-        claim = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/AFTER-{based_on or 'none'}")
-        files = claim.getFileSystem(spark._jsc.hadoopConfiguration())
-        if files.createNewFile(claim):
-            return publish(df, root)
-        newest = current_version(spark, root)
-        if newest == based_on:
-            raise RuntimeError(f"another writer is publishing after {based_on}")
-        df, based_on = merge(df, spark.read.parquet(f"{root}/{newest}")), newest
-    raise RuntimeError(f"{tries} tries met other writers")
+        try:
+            return commit(tables, root, based_on)[0]
+        except Conflict:
+            based_on = last_commit(spark, root)
+            tables = merge(tables, snapshot(spark, root, based_on))
+    raise Conflict(f"{tries} tries met other writers")

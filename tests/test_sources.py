@@ -52,31 +52,68 @@ def rows(df):
 
 def test_versions(spark, tmp_path):
     root, one, two = f"{tmp_path}/t", spark.createDataFrame([("a", 1)], SCHEMA), spark.createDataFrame([("b", 2)], SCHEMA)
-    assert tables.current(spark, root) is None
+    assert tables.current(spark, root) is None and tables.last_commit(spark, root) == 0
     first = tables.publish(one, root)
     old = tables.current(spark, root)
-    assert tables.publish_if_changed(two.withColumn("changed", F.lit(False)), root) is None and tables.current_version(spark, root) == first
+    assert tables.publish_if_changed(two.withColumn("changed", F.lit(False)), root) is None and tables.last_commit(spark, root) == first
     tables.publish_if_changed(two.withColumn("changed", F.lit(True)), root)
     assert rows(tables.current(spark, root)) == [("b", 2)] and rows(old) == [("a", 1)]
-    names = tables.save_all(one, one.select("id"), two, f"{tmp_path}/all")
-    assert set(names) == {"records", "index", "state"} and rows(tables.current(spark, f"{tmp_path}/all/state")) == [("b", 2)]
+    tables.publish(one, root)
+    assert tables.vacuum(spark, root, 1) == 2 and rows(tables.current(spark, root)) == [("a", 1)]
+
+
+def test_joint_commits_are_seen_whole(spark, tmp_path, monkeypatch):
+    """A writer that dies at any write leaves the commit before it; one that gets through shows all its tables."""
+    root, df = f"{tmp_path}/all", lambda n: spark.createDataFrame([(str(n), n)], SCHEMA)
+    number, counts = tables.save_all(df(1), df(1), df(1), root, {"rows": F.count("*"), "years": F.sum("year")})
+    assert (number, counts) == (1, {"rows": 1, "years": 1})
+    writer = type(df(2).write)
+    write = writer.parquet
+    for fatal in range(3):
+        done = []
+
+        def die(self, path, *rest, done=done, fatal=fatal, **more):
+            if len(done) == fatal:
+                raise OSError("killed")
+            done.append(path)
+            return write(self, path, *rest, **more)
+
+        monkeypatch.setattr(writer, "parquet", die)
+        with pytest.raises(OSError, match="killed"):
+            tables.save_all(df(2), df(2), df(2), root)
+        monkeypatch.undo()
+        assert {n: rows(t) for n, t in tables.snapshot(spark, root).items()} == dict.fromkeys(("records", "index", "state"), [("1", 1)])
+    tables.commit({"state": df(3)}, root)  # another writer is not held up, and what it does not name stays
+    assert {n: rows(t)[0][1] for n, t in tables.snapshot(spark, root).items()} == {"records": 1, "index": 1, "state": 3}
+    assert {n: rows(t)[0][1] for n, t in tables.snapshot(spark, root, 1).items()} == {"records": 1, "index": 1, "state": 1}
 
 
 def test_two_writers_lose_nothing(spark, tmp_path):
     root = f"{tmp_path}/t"
-    df = lambda *r: spark.createDataFrame(list(r), SCHEMA)
-    unite = lambda ours, theirs: ours.unionByName(theirs).distinct()
-    base = tables.publish_merged(df(("a", 1)), root, None, unite)
+    df = lambda *r: {"records": spark.createDataFrame(list(r), SCHEMA)}
+    unite = lambda ours, theirs: {n: ours[n].unionByName(theirs[n]).distinct() for n in ours}
+    base = tables.publish_merged(df(("a", 1)), root, 0, unite)
     tables.publish_merged(df(("a", 1), ("mine", 2)), root, base, unite)
     tables.publish_merged(df(("a", 1), ("yours", 3)), root, base, unite)
-    assert rows(tables.current(spark, root)) == [("a", 1), ("mine", 2), ("yours", 3)]
+    assert rows(tables.snapshot(spark, root)["records"]) == [("a", 1), ("mine", 2), ("yours", 3)]
+    with pytest.raises(tables.Conflict):
+        tables.commit(df(("b", 1)), root, base)
 
 
 def test_cursors_of_two_writers(spark):
-    ddl = "k int, pass int, letter int, page int, last_pass_at int, finished_at int"
-    ours, theirs = spark.createDataFrame([(1, 2, 3, 4, 10, None), (2, 1, 1, 1, None, 5)], ddl), spark.createDataFrame([(1, 2, 3, 3, 20, 7), (2, 1, 2, 1, 9, None)], ddl)
-    got = {r["k"]: tuple(r)[1:] for r in merge.merge_cursors(ours, theirs, "k").collect()}
-    assert got == {1: (2, 3, 4, 20, 7), 2: (1, 2, 1, 9, 5)}
+    ddl = f"k int, {tables.CURSOR}, last_pass_at int, finished_at int"
+    ours = spark.createDataFrame([(1, "c", 4, 2, 10, None), (2, "a", 1, 1, None, 5), (3, None, None, None, None, None)], ddl)
+    theirs = spark.createDataFrame([(1, "c", 3, 2, 20, 7), (2, "b", 1, 1, 9, None), (3, "a", 2, 1, None, None)], ddl)
+    got = {r["k"]: (r["pass"], r["letter"], r["page"], r["last_pass_at"], r["finished_at"]) for r in merge.merge_cursors(ours, theirs, "k").collect()}
+    assert got == {1: (2, "c", 4, 20, 7), 2: (1, "b", 1, 9, 5), 3: (1, "a", 2, None, None)}
+
+
+def test_states_of_two_writers(spark):
+    """The newer entry, the earliest miss, and letters of which ours override."""
+    ddl = "writer string, letters map<string,int>"
+    a, b = spark.createDataFrame([("w", {"a": 1, "b": 2}), ("x", None), ("z", {"q": 1})], ddl), spark.createDataFrame([("w", {"b": 9, "c": 3}), ("x", {"d": 4}), ("y", {"e": 5})], ddl)
+    got = {r["writer"]: r["letters"] for r in merge.merge_letters(a, b, "writer", "letters").collect()}
+    assert got == {"w": {"a": 1, "b": 2, "c": 3}, "x": {"d": 4}, "y": {"e": 5}, "z": {"q": 1}}
 
 
 EVENTS = "event_id bigint, user_id bigint, event_type string, ts timestamp"
@@ -99,13 +136,3 @@ def test_streams_go_on_where_they_stopped(spark, tmp_path):
     replay.failure_streaks(stream(), f"{tmp_path}/out", f"{tmp_path}/c2")
     assert {(r["user_id"], r["event_id"], r["event_type"]) for r in second.collect()} == {(1, 4, "error"), (2, 5, "error"), (3, 7, "view")}
     assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [(1, 2, 2), (1, 4, 3), (2, 3, 0), (2, 5, 1), (3, 7, 0)]
-
-
-def test_run_counters_come_from_the_write_itself(spark, tmp_path):
-    """Counters of a run without another pass over its rows."""
-    from pyspark.sql import Observation
-
-    seen = Observation("run")
-    df = spark.createDataFrame([("a", "added"), ("b", "merged"), ("c", "added")], "id string, action string")
-    df.observe(seen, F.count_if(F.col("action") == "added").alias("added"), F.count_if(F.col("action") == "merged").alias("merged")).write.parquet(f"{tmp_path}/out")
-    assert seen.get == {"added": 2, "merged": 1}

@@ -74,6 +74,20 @@ def test_labels(one):
     each(one, text.family, [("series · refresh in 5h", "series"), ("stored", "stored")])
 
 
+def test_numerals_are_read_word_by_word(one):
+    each(one, lambda c: text.numeral(text.normalise_v2(c)), [
+        (("Rocky VI",), "rocky 6"), (("Rocky Chapter VII",), "rocky chapter 7"), (("II II",), "2 2"), (("Part C",), "part 100"), (("Super Bowl XLIV",), "super bowl xliv"), (("Volume XLIV",), "volume 44"), (("Part I",), "part 1"),
+        (("I am Mix",), "i am mix"), (("Chapter MCMXCIX",), "chapter 1999"), (("Ocean's Thirteen",), "oceans 13"), (("Vita Civic",), "vita civic"), (("iiii",), "iiii"), (("Malcolm X",), "malcolm x"), (("",), ""),
+    ])
+    each(one, text.title_similarity, [(("Rocky Chapter VI", "Rocky Chapter VII"), 0.0), (("Rocky Chapter VI", "Rocky Chapter Six"), 1.0), (("Rocky Story II II", "Rocky Story Two II"), 1.0)])
+
+
+def test_paths_are_resolved(one):
+    each(one, text.path_key, [
+        (("/a/../b",), "/b/"), (("/a/./b/.",), "/a/b/"), (("/a/b/..",), "/a/"), (("/../../a",), "/a/"), (("https://h/x/%2E%2e/y/",), "/y/"), (("/a b/ü",), "/a%20b/%C3%BC/"), (("/...",), "/.../"), (("/a//b",), "/a//b/"), (("/a%20b",), "/a%20b/"),
+    ])
+
+
 def test_similarity(one):
     each(one, text.title_similarity, [(("Winners and Sinners", "Winners & Sinners"), 1.0), (("Movie Chapter II", "Movie Chapter Two"), 1.0), (("Movie Chapter II", "Movie Chapter III"), 0.0), (("Dhoom 2", "Dhoom 3"), 0.0), (("Rats", "Cats"), 0.0)])
     assert one(text.title_similarity(F.lit("Aayiram Porkaasukal"), F.lit("Aayiram Porkaasugal")))[0] > 0.84
