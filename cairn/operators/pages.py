@@ -11,6 +11,7 @@ from cairn.functions import text
 BLOCKED = r"(?i)just a moment|verify you are human|checking your browser|access denied|attention required|cf-error|error 10[0-9][0-9]"
 SOCIAL = r"(?i)telegram|t\.me|whatsapp|instagram"
 FOOTER = r"(?i)telegram|whatsapp|facebook|twitter|favicon|style\.min|/contact|/dmca"
+PREFERRED = ("1080p", "720p")
 QUALITY_WORDS = r"(?i)[0-9]+p|hd|predvd|dvd|blu"
 ITEM = r"-(?:tamil-)?movie/$|-(?:tamil-)?web-series/$|-(?:tamil-)?season-[0-9]+/?$|-(?:tamil-)?movie-[0-9]+/$"
 NAVIGATION = r"^/tamil-movies/[a-z]?/?$|^/tamil-[0-9]{4}-movies|^/tamil-atoz|^/tamil-web-series-download|^/tamil-hd-movies|^/tamil-dubbed-movies|^/tamil-movies-collection|^/tamil-latest|^/feed|^/page/"
@@ -172,22 +173,52 @@ def hops(edges: DataFrame, roots: DataFrame, caps: tuple[int, ...], rank: list[C
 
 
 def series_walk(links: DataFrame, roots: DataFrame, depth: int = 3) -> DataFrame:
-    """(root, season, episode, url, quality) of the episodes that links lead to (G2): pages hand their season and
-    quality down, a link's own come first; an episode keeps its best quality's first link.
+    """(root, season, episode, quality, url) of the episodes that links lead to (G2): pages hand their season and quality down,
+    a link's own come first, and better folders are opened first. An episode has one link a quality, the last one found; of a
+    link that is found twice the first counts. Where there are 1080p or 720p, other qualities go.
 
-    links: page, pos, target, label, href. Every hop is a join and their number is fixed.
+    links: page, pos, target, label, href. Every hop is a join and their number is fixed; `path` is the order of the walk.
     """
     season, episode, quality = text.season_of(F.concat_ws(" ", "label", "href")), text.episode_of(F.col("href")), text.quality_of(F.col("label"), F.col("href"), "")
-    e = links.select("page", "pos", "target", season.alias("l_season"), episode.alias("l_episode"), quality.alias("l_quality"))
-    at = roots.select(F.col("node").alias("root"), F.col("node").alias("page"), text.season_of(F.col("node")).alias("season"), F.lit("").alias("quality"))
+    rank = F.when(episode > 0, 0).otherwise(text.quality_rank(quality))
+    e = links.select("page", F.struct(rank.alias("rank"), F.col("pos").cast("long").alias("pos")).alias("at"), "target", season.alias("l_season"), episode.alias("l_episode"), quality.alias("l_quality"))
+    at = roots.select(F.col("node").alias("root"), F.col("node").alias("page"), text.season_of(F.col("node")).alias("season"), F.lit("").alias("quality"), F.array().cast("array<struct<rank:int,pos:bigint>>").alias("path"))
     found = None
     for _ in range(depth):
-        step = at.join(e, "page").select("root", "pos", "target", F.when(F.col("l_season") > 0, F.col("l_season")).otherwise(F.col("season")).alias("season"), "l_episode", F.when(F.col("l_quality") != "", F.col("l_quality")).otherwise(F.col("quality")).alias("quality"))
-        leaf = step.where("l_episode > 0").select("root", F.greatest("season", F.lit(1)).alias("season"), F.col("l_episode").alias("episode"), F.col("target").alias("url"), F.when(F.col("quality") == "", "HD").otherwise(F.col("quality")).alias("quality"), "pos")
+        step = at.join(e, "page").select("root", "target", F.when(F.col("l_season") > 0, F.col("l_season")).otherwise(F.col("season")).alias("season"), "l_episode", F.when(F.col("l_quality") != "", F.col("l_quality")).otherwise(F.col("quality")).alias("quality"), F.concat("path", F.array("at")).alias("path"))
+        leaf = step.where("l_episode > 0").select("root", F.greatest("season", F.lit(1)).alias("season"), F.col("l_episode").alias("episode"), F.col("target").alias("url"), F.when(F.col("quality") == "", "HD").otherwise(F.col("quality")).alias("quality"), "path")
         found = leaf if found is None else found.unionByName(leaf)
-        at = step.where("l_episode = 0").select("root", F.col("target").alias("page"), "season", "quality").distinct()
-    order = F.struct(text.quality_rank(F.col("quality")).alias("q"), F.col("pos"), F.col("url"))
-    return found.groupBy("root", "season", "episode").agg(F.min_by(F.struct("url", "quality"), order).alias("b")).select("root", "season", "episode", "b.url", "b.quality")
+        at = first_each(step.where("l_episode = 0").select("root", F.col("target").alias("page"), "season", "quality", "path"), ["root", "page", "season", "quality"], "path")
+    once = first_each(found, ["root", "season", "episode", "url"], "path")
+    best = once.groupBy("root", "season", "episode", "quality").agg(F.max_by("url", "path").alias("url"))
+    good = F.col("quality").isin(*PREFERRED)
+    any_good = F.max(good).over(Window.partitionBy("root", "season", "episode"))
+    return best.withColumn("__any", any_good).where(good | ~F.col("__any")).select("root", "season", "episode", "quality", "url")
+
+
+def descend(links: DataFrame, roots: DataFrame, depth: int = 3, fan: int = 3) -> DataFrame:
+    """(root, file, quality, episode) of the files behind each root (G3): a page that links files ends its branch; else its
+    children are opened, those with a quality if there are any, better ones first, at most `fan` a page and `depth` hops.
+
+    links: page, pos, target (a child page) or file, quality and episode (empty and 0 where a link names none, and then the
+    page's own count, which it has from what led to it). Of a file that is reached again the first way counts, branches in
+    order. Children are ranked once for all hops; a page with files has none, so nothing below a find is opened.
+    """
+    files = links.where(F.col("file").isNotNull()).select("page", F.col("pos").cast("long").alias("pos"), "file", F.col("quality").alias("own_quality"), F.col("episode").alias("own_episode"))
+    kids = links.where(F.col("file").isNull()).join(files.select("page").distinct(), "page", "left_anti")
+    named = F.col("quality") != ""
+    kids = kids.withColumn("__any", F.max(named).over(Window.partitionBy("page"))).where(named | ~F.col("__any"))
+    n = F.row_number().over(Window.partitionBy("page").orderBy(text.quality_rank(F.col("quality")), "pos"))
+    kids = kids.withColumn("n", n.cast("long")).where(F.col("n") <= fan).select("page", "n", "target", F.col("quality").alias("own_quality"), F.col("episode").alias("own_episode"))
+    taken = [F.when(F.col("own_quality") != "", F.col("own_quality")).otherwise(F.col("quality")).alias("quality"), F.when(F.col("own_episode") > 0, F.col("own_episode")).otherwise(F.col("episode")).alias("episode")]
+    at = roots.select(F.col("node").alias("root"), F.col("node").alias("page"), F.lit("720p").alias("quality"), F.lit(0).alias("episode"), F.array().cast("array<bigint>").alias("path"))
+    found = None
+    for k in range(depth + 1):
+        here = at.join(files, "page").select("root", "file", *taken, F.concat("path", F.array("pos")).alias("path"))
+        found = here if found is None else found.unionByName(here)
+        if k < depth:
+            at = at.join(kids, "page").select("root", F.col("target").alias("page"), *taken, F.concat("path", F.array("n")).alias("path"))
+    return first_each(found, ["root", "file"], "path").drop("path")
 
 
 def newest_episodes(episodes: DataFrame, most: int = 200) -> DataFrame:

@@ -167,11 +167,39 @@ def source_metadata(spark, d):
 
 
 def episode_walk(spark, d):
-    """Episodes of a supplier's parts; suppliers hand their season down."""
-    li = table(spark, d, "lineitem").select("l_suppkey", F.col("l_linenumber").alias("season"), (F.col("l_partkey") % 9).alias("episode")).distinct()
-    top = li.select(F.col("l_suppkey").cast("string").alias("page"), F.col("season").alias("pos"), F.concat_ws("/", F.col("l_suppkey").cast("string"), "season").alias("target"), F.concat(F.lit("Season "), "season").alias("label"), F.lit("").alias("href")).distinct()
-    leaf = li.select(F.concat_ws("/", F.col("l_suppkey").cast("string"), "season").alias("page"), F.col("episode").cast("int").alias("pos"), F.concat_ws("/", F.col("l_suppkey").cast("string"), "season", "episode").alias("target"), F.lit("720p").alias("label"), F.concat(F.lit("epi-"), F.col("episode").cast("string")).alias("href"))
-    return pages.series_walk(top.unionByName(leaf), table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("node")), 2)
+    """Episodes of a supplier's parts in folders of a season and a quality, which they hand down."""
+    li = table(spark, d, "lineitem").select(F.col("l_suppkey").cast("string").alias("s"), F.col("l_linenumber").alias("season"), (F.col("l_partkey") % 9).cast("int").alias("episode"), F.element_at(F.array(*map(F.lit, ("1080p", "720p", "480p"))), (F.col("l_partkey") % 3 + 1).cast("int")).alias("quality"), "l_quantity").distinct()
+    page = lambda *parts: F.concat_ws("/", *parts)
+    row = lambda src, pos, target, label, href: li.select(src.alias("page"), pos.cast("int").alias("pos"), target.alias("target"), label.alias("label"), href.alias("href")).distinct()
+    top = row(F.col("s"), F.col("season"), page("s", "season"), F.concat(F.lit("Season "), "season"), F.lit(""))
+    folder_ = row(page("s", "season"), F.length("quality"), page("s", "season", "quality"), F.col("quality"), F.lit(""))
+    leaf = row(page("s", "season", "quality"), F.col("l_quantity"), page("s", "season", "quality", "episode", F.col("l_quantity").cast("int")), F.lit("Play"), F.concat(F.lit("epi-"), F.col("episode").cast("string")))
+    return pages.series_walk(top.unionByName(folder_).unionByName(leaf), table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("node")), 3)
+
+
+def file_walk(spark, d):
+    """Files behind every order: its lines name files, or suppliers with or without a quality, and these their nation."""
+    li = table(spark, d, "lineitem").select(F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("page"), (F.col("l_linenumber") * 10_000_000 + F.col("l_suppkey")).alias("pos"), "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey").distinct()
+    direct = F.col("l_orderkey") % 4 == 0
+    quality = F.element_at(F.array(*map(F.lit, ("720p", "1080p", ""))), (F.col("l_linenumber") % 3 + 1).cast("int"))
+    lines = li.select("page", "pos", F.when(~direct, F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))).alias("target"), F.when(direct, F.concat(F.lit("f"), F.col("l_partkey").cast("string"))).alias("file"), F.when(direct, "").otherwise(quality).alias("quality"), F.col("l_linenumber").cast("int").alias("episode")).distinct()
+    s, finds = table(spark, d, "supplier"), F.col("s_suppkey") % 3 == 0
+    of = lambda kind, key: F.concat(F.lit(kind), F.col(key).cast("string"))
+    suppliers = s.select(of("s", "s_suppkey").alias("page"), F.lit(0).cast("long").alias("pos"), F.when(~finds, of("n", "s_nationkey")).alias("target"), F.when(finds, of("g", "s_suppkey")).alias("file"), F.when(finds, "480p").otherwise("").alias("quality"), F.lit(0).alias("episode"))
+    ends = s.groupBy("s_nationkey").agg(F.min("s_suppkey").alias("first")).select(of("n", "s_nationkey").alias("page"), F.lit(0).cast("long").alias("pos"), F.when(F.col("s_nationkey") % 5 > 0, of("s", "first")).alias("target"), F.when(F.col("s_nationkey") % 5 == 0, of("h", "s_nationkey")).alias("file"), F.lit("").alias("quality"), F.lit(9).alias("episode"))
+    links = lines.unionByName(suppliers).unionByName(ends)
+    return pages.descend(links, table(spark, d, "orders").select(of("o", "o_orderkey").alias("node")))
+
+
+FILES_SQL = """WITH RECURSIVE l AS (
+  SELECT DISTINCT 'o' || l_orderkey AS page, l_linenumber * 10000000 + l_suppkey AS pos, CASE WHEN l_orderkey % 4 > 0 THEN 's' || l_suppkey END AS target, CASE WHEN l_orderkey % 4 = 0 THEN 'f' || l_partkey END AS file, CASE WHEN l_orderkey % 4 = 0 THEN '' ELSE ['720p', '1080p', ''][1 + l_linenumber % 3] END AS quality, CAST(l_linenumber AS INT) AS episode FROM lineitem
+  UNION ALL SELECT 's' || s_suppkey, 0, CASE WHEN s_suppkey % 3 > 0 THEN 'n' || s_nationkey END, CASE WHEN s_suppkey % 3 = 0 THEN 'g' || s_suppkey END, CASE WHEN s_suppkey % 3 = 0 THEN '480p' ELSE '' END, 0 FROM supplier
+  UNION ALL SELECT 'n' || s_nationkey, 0, CASE WHEN s_nationkey % 5 > 0 THEN 's' || min(s_suppkey) END, CASE WHEN s_nationkey % 5 = 0 THEN 'h' || s_nationkey END, '', 9 FROM supplier GROUP BY s_nationkey),
+k AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY CASE quality WHEN '1080p' THEN 0 WHEN '720p' THEN 1 ELSE 9 END, pos) AS n FROM l a WHERE file IS NULL AND NOT EXISTS (FROM l b WHERE b.page = a.page AND b.file IS NOT NULL) AND (quality <> '' OR NOT EXISTS (FROM l b WHERE b.page = a.page AND b.file IS NULL AND b.quality <> ''))),
+w AS (SELECT 'o' || o_orderkey AS root, 'o' || o_orderkey AS page, '720p' AS quality, 0 AS episode, CAST([] AS BIGINT[]) AS path FROM orders
+  UNION ALL SELECT w.root, k.target, coalesce(nullif(k.quality, ''), w.quality), CASE WHEN k.episode > 0 THEN k.episode ELSE w.episode END, list_append(w.path, k.n) FROM w JOIN k ON k.page = w.page AND k.n <= 3 AND len(w.path) < 3)
+SELECT w.root, l.file, coalesce(nullif(l.quality, ''), w.quality) AS quality, CAST(CASE WHEN l.episode > 0 THEN l.episode ELSE w.episode END AS INT) AS episode FROM w JOIN l ON l.page = w.page AND l.file IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY w.root, l.file ORDER BY list_append(w.path, CAST(l.pos AS BIGINT))) = 1"""
 
 
 def shape_classifier(spark, d):
@@ -210,7 +238,6 @@ def _candidates(spark, d):
     c = table(spark, d, "part").where("p_partkey % 2 = 1")
     kind = F.when(F.col("p_partkey") % 6 == 1, "tv").otherwise("movie")
     date = F.concat((F.lit(1950) + F.col("p_size")).cast("string"), F.lit("-06-01"))
-    none = F.lit(None).cast("string")
     return c.select(F.col("p_partkey").alias("id"), kind.alias("type"), F.when(kind == "movie", F.col("p_name")).alias("title"), F.concat_ws(" ", "p_brand", "p_name").alias("original_title"), F.when(kind == "tv", F.col("p_name")).alias("name"), none.alias("original_name"), F.array(F.concat("p_name", F.lit(" II"))).alias("alternatives"), date.alias("release_date"), date.alias("first_air_date"), F.array(F.struct(F.lit(2).alias("season_number"), F.concat((F.lit(1951) + F.col("p_size")).cast("string"), F.lit("-01-01")).alias("air_date"), F.lit("/s").alias("poster_path"))).alias("seasons"), F.lit("/g").alias("poster_path"))
 
 
@@ -324,7 +351,7 @@ def override_validation(spark, d):
     return p.select("p_partkey", fault.alias("fault"))
 
 
-QUERIES = {f.__name__: f for f in (normalise_v1, normalise_v2, slugify, make_id, title_case, title_from_path, clean_title, title_for, parse_label, twin_base, log_texts, quality_bucket, path_key, identity_fingerprint, split_credits, page_anchors, page_heading, blocked_pages, item_path_filter, listing, discovered, page_posters, source_metadata, episode_walk, shape_classifier, bounded_expansion, http_retry_class, pagination_cut, barren_streak, unique_exact_match, alternative_match, season_year_match, resolution_chain, override_outcome, lookup_notes, search_outcome, credit_evidence, title_similarity, evidence_decision, outcome_status, title_guard, override_validation)}
+QUERIES = {f.__name__: f for f in (normalise_v1, normalise_v2, slugify, make_id, title_case, title_from_path, clean_title, title_for, parse_label, twin_base, log_texts, quality_bucket, path_key, identity_fingerprint, split_credits, page_anchors, page_heading, blocked_pages, item_path_filter, listing, discovered, page_posters, source_metadata, episode_walk, file_walk, shape_classifier, bounded_expansion, http_retry_class, pagination_cut, barren_streak, unique_exact_match, alternative_match, season_year_match, resolution_chain, override_outcome, lookup_notes, search_outcome, credit_evidence, title_similarity, evidence_decision, outcome_status, title_guard, override_validation)}
 
 _CASE = "array_to_string(list_transform(string_split({}, ' '), lambda w: upper(w[1]) || w[2:]), ' ')"
 _PATH = "regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
@@ -397,7 +424,9 @@ SELECT event_id, status, CASE WHEN event_id % 6 = 0 AND status = 'unavailable' T
     "discovered": "SELECT p_name AS path, CAST(s AS INT) AS source, CAST(p_partkey AS INT) AS pos, p_brand FROM (SELECT *, CASE p_brand[-1] WHEN '3' THEN 0 WHEN '1' THEN 1 WHEN '2' THEN 2 END AS s FROM part) WHERE s IS NOT NULL QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY s, p_partkey) = 1",
     "page_posters": "SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'https://p/uploads/posters/' || page_id || '.jpg' WHEN 1 THEN 'https://p/uploads/posters/' || page_id || '.webp' ELSE '' END AS poster FROM pages",
     "source_metadata": "SELECT p_partkey, true AS available, p_name || ' (' || (1950 + p_size) || ')' AS title, CAST(1950 + p_size AS INT) AS year, p_brand AS directors, p_type || '|' || p_brand AS people_cast FROM part",
-    "episode_walk": "SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS root, CAST(l_linenumber AS INT) AS season, CAST(l_partkey % 9 AS INT) AS episode, l_suppkey || '/' || l_linenumber || '/' || (l_partkey % 9) AS url, '720p' AS quality FROM lineitem WHERE l_partkey % 9 > 0",
+    "episode_walk": """WITH e AS (SELECT DISTINCT l_suppkey AS s, l_linenumber AS season, l_partkey % 9 AS episode, ['1080p', '720p', '480p'][1 + l_partkey % 3] AS quality, max(l_quantity) OVER (PARTITION BY l_suppkey, l_linenumber, l_partkey % 9, l_partkey % 3) AS q FROM lineitem WHERE l_partkey % 9 > 0)
+SELECT CAST(s AS VARCHAR) AS root, CAST(season AS INT) AS season, CAST(episode AS INT) AS episode, quality, s || '/' || season || '/' || quality || '/' || episode || '/' || CAST(q AS INT) AS url FROM e QUALIFY quality <> '480p' OR NOT bool_or(quality <> '480p') OVER (PARTITION BY s, season, episode)""",
+    "file_walk": FILES_SQL,
     "alternative_match": f"{_RC} SELECT r.record, min(c.id) AS candidate, 'alternative' AS how FROM r JOIN c ON c.type = 'movie' AND r.year = c.year AND r.t = c.t GROUP BY 1 HAVING count(DISTINCT c.id) = 1 UNION ALL SELECT r.record, min(c.id), 'compact' FROM r JOIN c ON c.type = 'movie' AND r.year = c.year AND replace(r.t, ' ', '') IN (replace(c.t, ' ', ''), regexp_replace(c.o, '[^a-z0-9]+', '', 'g')) GROUP BY 1 HAVING count(DISTINCT c.id) = 1",
     "override_outcome": f"{_RC} SELECT record, CASE WHEN status = 'matched' THEN record + 1 END AS candidate, status, CASE status WHEN 'matched' THEN 'reviewed-override' WHEN 'review' THEN 'override-conflict' ELSE 'no-safe-match' END AS reason FROM (SELECT r.record, CASE WHEN c.id % 5 = 0 THEN 'unresolved' WHEN c.id % 7 = 0 THEN 'review' ELSE 'matched' END AS status FROM r JOIN c ON c.id = r.record + 1)",
     "lookup_notes": """WITH e AS (SELECT user_id AS record, event_id AS seq, CASE WHEN event_type = 'signup' THEN 'media-type-conflict' ELSE event_type END AS reason, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),

@@ -131,11 +131,24 @@ def test_sources_in_order(spark):
     assert {r["path"]: r["pos"] for r in pages.children(index, items).collect()} == {"p": 0, "q": 0}
 
 
+def test_descent_ends_at_finds(spark):
+    ddl = "page string, pos int, target string, file string, quality string, episode int"
+    rows = [
+        ("r", 0, "plain", None, "", 0), ("r", 1, "low", None, "480p", 0), ("r", 2, "high", None, "1080p", 0),  # a named quality shuts the others out
+        ("high", 0, None, "1", "", 0), ("high", 1, None, "2", "720p", 4), ("high", 2, "below", None, "", 0),  # nothing below a find is opened
+        ("below", 0, None, "9", "", 0), ("low", 0, "e1", None, "", 1), ("low", 1, "e2", None, "", 2), ("low", 2, "e3", None, "", 3), ("low", 3, "e4", None, "", 4),  # three children a page
+        ("e1", 0, None, "1", "", 0), ("e2", 0, None, "5", "", 0), ("e3", 0, "d3", None, "", 0), ("d3", 0, None, "6", "", 0), ("e4", 0, None, "7", "", 0), ("plain", 0, None, "8", "", 0),
+        ("loop", 0, "loop", None, "", 0), ("deep", 0, "low", None, "", 0),
+    ]
+    got = {tuple(r) for r in pages.descend(spark.createDataFrame(rows, ddl), spark.createDataFrame([("r",), ("loop",), ("deep",), ("none",)], "node string")).collect()}
+    assert got == {("r", "1", "1080p", 0), ("r", "2", "720p", 4), ("r", "5", "480p", 2), ("r", "6", "480p", 3), ("deep", "1", "720p", 1), ("deep", "5", "720p", 2), ("deep", "6", "720p", 3)}
+
+
 def test_walks(spark):
     links = [("/show-web-series/", 0, "/show-season-2/", "Season 2", "/show-season-2/"), ("/show-season-2/", 0, "/show-season-2-720p/", "720p", "/show-season-2-720p/"), ("/show-season-2/", 1, "/d/epi-3/", "Episode 3", "/d/epi-3/"), ("/show-season-2-720p/", 0, "/d/epi-1/", "E1", "/d/epi-1/"), ("/show-season-2-720p/", 1, "/d/x-1080p-epi-1/", "E1", "/d/x-1080p-epi-1/"), ("/show-season-2/", 2, "/show-web-series/", "back", "/show-web-series/")]
     df = spark.createDataFrame(links, "page string, pos int, target string, label string, href string")
     got = {tuple(r) for r in pages.series_walk(df, spark.createDataFrame([("/show-web-series/",)], "node string")).collect()}
-    assert got == {("/show-web-series/", 2, 1, "/d/x-1080p-epi-1/", "1080p"), ("/show-web-series/", 2, 3, "/d/epi-3/", "HD")}
+    assert got == {("/show-web-series/", 2, 1, "1080p", "/d/x-1080p-epi-1/"), ("/show-web-series/", 2, 1, "720p", "/d/epi-1/"), ("/show-web-series/", 2, 3, "HD", "/d/epi-3/")}
     edges = spark.createDataFrame([("r", "a", 1), ("r", "b", 2), ("r", "c", 3), ("a", "x", 1), ("b", "y", 1), ("x", "z", 1)], "src string, dst string, rank int")
     assert {tuple(r) for r in pages.hops(edges, spark.createDataFrame([("r",)], "node string"), (2, 1), [F.col("rank")]).collect()} == {("r", "x", 2), ("r", "y", 2)}
     assert {tuple(r) for r in pages.hops(edges, spark.createDataFrame([("r",)], "node string"), (2, 1, 1), [F.col("rank")]).collect()} == {("r", "z", 3), ("r", "y", 2)}
