@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from cairn.operators import merge
 from cairn.operators.schedule import failure_hours
 from cairn.sources.scratch import folder
 from cairn.sources.tables import current, publish
+from cairn.streaming import retries
 
 
 def event_stream(spark, sf_dir: str) -> DataFrame:
@@ -37,26 +34,6 @@ def replay(stream: DataFrame, root: str, checkpoint: str) -> DataFrame:
     return current(stream.sparkSession, root)
 
 
-def failure_streaks(stream: DataFrame, out: str, checkpoint: str) -> None:
-    """Each key's failures in a row as a state machine over a stream (R2): an error counts, anything else resets.
-    Writes one row a key and batch: user_id, event_id (the last seen), failures, hours until the next try. The state
-    lives in the checkpoint, so a restart goes on from it; it is one row a key, whatever the length of its log."""
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, failures = state.get if state.exists else (-1, 0)
-        for b in batches:
-            b = b[b["event_id"] > last].sort_values("event_id")
-            if len(b):
-                good = (b["event_type"] != "error").to_numpy().nonzero()[0]
-                failures = len(b) - 1 - int(good[-1]) if len(good) else failures + len(b)
-                last = int(b["event_id"].iloc[-1])
-        state.update((last, failures))
-        yield pd.DataFrame({"user_id": [key[0]], "event_id": [last], "failures": [failures]})
-
-    rows = stream.select("user_id", "event_id", "event_type").groupBy("user_id").applyInPandasWithState(step, "user_id bigint, event_id bigint, failures bigint", "last bigint, failures bigint", "append", GroupStateTimeout.NoTimeout)
-    rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
-
-
 def deduplicated(spark, sf_dir: str) -> DataFrame:
     """Each (key, type) once a run, with state that a watermark bounds."""
     out, check = folder(spark, "seen"), folder(spark, "checkpoint")
@@ -78,15 +55,28 @@ def stream_dedupe(spark, d):
 def stream_failures(spark, d):
     """R2: failures in a row of each key, and the hours until its next try."""
     out = folder(spark, "streaks")
-    failure_streaks(event_stream(spark, d), out, folder(spark, "checkpoint"))
-    last = merge.latest(spark.read.schema("user_id bigint, event_id bigint, failures bigint").parquet(out), "user_id", "event_id")
+    retries.run(event_stream(spark, d), out, folder(spark, "checkpoint"))
+    seen = spark.read.schema(retries.OUT).parquet(out).where("reason = 'seen'")
+    last = merge.latest(seen, "user_id", "at", "event_id")
     return last.select("user_id", "event_id", "failures", failure_hours(F.col("failures")).alias("hours"))
 
 
-QUERIES = {"stream_merge_states": stream_merge_states, "stream_dedupe": stream_dedupe, "stream_failures": stream_failures}
+def stream_due(spark, d):
+    """Keys whose timer has fired: failures are due again after their delay, others when their refresh window ends."""
+    out = folder(spark, "due")
+    retries.run(event_stream(spark, d), out, folder(spark, "checkpoint"))
+    return spark.read.schema(retries.OUT).parquet(out).where("reason <> 'seen'").select("user_id", "reason", "failures", F.unix_millis("at").alias("due"))
+
+
+QUERIES = {"stream_merge_states": stream_merge_states, "stream_dedupe": stream_dedupe, "stream_failures": stream_failures, "stream_due": stream_due}
+
+_STREAKS = """g AS (SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, max((ts, event_id)) FILTER (event_type <> 'error') AS good, max(ts) AS last FROM events GROUP BY user_id),
+f AS (SELECT g.user_id, g.event_id, last, (good)[1] AS good, (SELECT count(*) FROM events e WHERE e.user_id = g.user_id AND e.event_type = 'error' AND (g.good IS NULL OR (e.ts, e.event_id) > g.good)) AS failures FROM g),
+s AS (SELECT *, CASE WHEN failures > 0 THEN least(24.0, 1.5 * pow(2, least(failures, 4))) ELSE 0.0 END AS hours FROM f)"""
 
 SQL = {
     "stream_merge_states": "SELECT user_id, arg_max(event_id, (epoch_us(ts), event_id)) AS event_id, arg_max(event_type, (epoch_us(ts), event_id)) AS event_type, CAST(max(epoch_us(ts)) AS BIGINT) AS at FROM events GROUP BY user_id",
     "stream_dedupe": "SELECT DISTINCT user_id, event_type FROM events",
-    "stream_failures": "WITH g AS (SELECT user_id, max(event_id) AS event_id, coalesce(max(event_id) FILTER (event_type <> 'error'), -1) AS good FROM events GROUP BY user_id), f AS (SELECT g.user_id, g.event_id, (SELECT count(*) FROM events e WHERE e.user_id = g.user_id AND e.event_id > g.good) AS failures FROM g) SELECT *, CASE WHEN failures > 0 THEN least(24.0, 1.5 * pow(2, least(failures, 4))) ELSE 0.0 END AS hours FROM f",
+    "stream_failures": f"WITH {_STREAKS} SELECT user_id, event_id, failures, hours FROM s",
+    "stream_due": f"WITH {_STREAKS}, w AS (SELECT epoch_us(max(ts)) // 1000 - 3600000 AS w FROM events), x AS (SELECT user_id, CASE WHEN failures > 0 THEN 'retry' ELSE 'refresh' END AS reason, failures, epoch_us(CASE WHEN failures > 0 THEN last ELSE good END) // 1000 + CAST(CASE WHEN failures > 0 THEN hours ELSE 24 END * 3600000 AS BIGINT) AS due FROM s) SELECT x.* FROM x, w WHERE due <= w",
 }

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cairn.operators import merge
 from cairn.sources import tables
-from cairn.streaming import replay
+from cairn.streaming import replay, retries
 
 SCHEMA = "id string, year int"
 
@@ -129,10 +129,33 @@ def test_streams_go_on_where_they_stopped(spark, tmp_path):
     stream = lambda: spark.readStream.schema(EVENTS).parquet(source)
     write(event(1, 1, "error"), event(2, 1, "error"), event(3, 2, "view"))
     first = replay.replay(stream(), root, state)
-    replay.failure_streaks(stream(), f"{tmp_path}/out", f"{tmp_path}/c2")
     assert {(r["user_id"], r["event_id"]) for r in first.collect()} == {(1, 2), (2, 3)}
     write(event(4, 1, "error"), event(5, 2, "error"), event(6, 3, "error"), event(7, 3, "view"))
     second = replay.replay(stream(), root, state)
-    replay.failure_streaks(stream(), f"{tmp_path}/out", f"{tmp_path}/c2")
     assert {(r["user_id"], r["event_id"], r["event_type"]) for r in second.collect()} == {(1, 4, "error"), (2, 5, "error"), (3, 7, "view")}
-    assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [(1, 2, 2), (1, 4, 3), (2, 3, 0), (2, 5, 1), (3, 7, 0)]
+
+
+def test_retries_fire_as_timers(spark, tmp_path):
+    """Rows out of order, over several runs of one checkpoint: each counts at its own time, and timers fire once."""
+    source, out, state = (f"{tmp_path}/{x}" for x in ("in", "out", "state"))
+    t = lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
+    seen = set()
+
+    def run(*rows):
+        spark.createDataFrame(list(rows), EVENTS).coalesce(1).write.mode("append").parquet(source)
+        retries.run(spark.readStream.schema(EVENTS).parquet(source), out, state, "30 days")
+        now = {(r["user_id"], r["reason"], r["failures"], r["event_id"]) for r in spark.read.parquet(out).collect()}
+        new = now - seen
+        seen.update(now)
+        return new
+
+    assert run((5, 1, "error", t(5)), (6, 1, "error", t(6)), (1, 2, "view", t(1)), (1, 2, "view", t(1))) == {(1, "seen", 2, 6), (2, "seen", 0, 1)}
+    assert run((4, 1, "view", t(30))) == {(1, "seen", 0, 4)}  # a smaller number, but later
+    assert run((7, 1, "error", t(40)), (9, 2, "error", t(3)), (8, 2, "error", t(2))) == {(1, "seen", 1, 7), (2, "seen", 2, 9)}
+    assert run((3, 1, "view", t(35)), (10, 2, "view", t(2.5))) == {(2, "seen", 1, 9)}  # between what was known: one failure is left each
+    assert run((11, 3, "view", t(24 * 40))) == {(3, "seen", 0, 11), (1, "retry", 1, 7), (2, "retry", 1, 9)}
+    assert run((12, 3, "error", t(24 * 100))) == {(3, "seen", 1, 12)}
+    spark.createDataFrame([], EVENTS).coalesce(1).write.mode("append").parquet(source)
+    before = sorted(map(tuple, spark.read.parquet(out).collect()))
+    retries.run(spark.readStream.schema(EVENTS).parquet(source), out, state, "30 days")
+    assert sorted(map(tuple, spark.read.parquet(out).collect())) == before
