@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.functions.text import make_id, path_key
+from cairn.sources.scratch import saved
 
 # Hours until the next try by status and number of attempts, the last for all later ones.
 RETRY_HOURS = {"matched": (720,), "unavailable": (1, 6, 24), "review": (168, 720), "unresolved": (6, 24, 72, 168)}
@@ -120,11 +121,21 @@ def lanes(df: DataFrame, lane: str, order: list[Column], limit: int = 0, weights
     return ranked(numbered, [F.col("__c"), F.col(lane), F.col("__n")], "place").drop("__n", "__c", "__all", "__first")
 
 
+def prefix_sum(df: DataFrame, order: list[Column], sums: dict[str, str]) -> DataFrame:
+    """df with running sums in a total order (name: column of whole numbers without nulls), without gathering it: range partitions
+    are written once, each is summed apart, and the sums of those before are added, one row a partition."""
+    spark = df.sparkSession
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = saved(df.repartitionByRange(n, *order).withColumn("__part", F.spark_partition_id()), "ranges")
+    sizes = parts.groupBy("__part").agg(*(F.sum(c).alias(f"__{k}") for k, c in sums.items()))
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("__part", *(F.coalesce(F.sum(f"__{k}").over(earlier), F.lit(0)).alias(f"__{k}") for k in sums))
+    inside = Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = parts.join(F.broadcast(before), "__part")
+    return out.select(*df.columns, *((F.sum(c).over(inside) + F.col(f"__{k}")).alias(k) for k, c in sums.items()))
+
+
 def ranked(df: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """df with each row's place from 1 in a total order, without gathering it: range partitions are sorted apart,
-    and a row's place is that in its partition plus the sizes of those before."""
-    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id())
-    place, part = F.col("__id").bitwiseAND((1 << 33) - 1), F.shiftright("__id", 33)
-    sizes = parts.groupBy(part.alias("__part")).agg(F.count("*").alias("__size"))
-    before = sizes.select("__part", (F.sum("__size").over(Window.orderBy("__part")) - F.col("__size")).alias("__before"))
-    return parts.withColumn("__part", part).join(F.broadcast(before), "__part").withColumn(name, place + F.col("__before") + 1).drop("__id", "__part", "__before")
+    """df with each row's place from 1 in a total order, without gathering it."""
+    one = "__one"
+    return prefix_sum(df.withColumn(one, F.lit(1)), order, {name: one}).drop(one)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cairn.functions import text
-from cairn.operators import merge, records, resolve, schedule
+from cairn.operators import merge, records, resolve, schedule, worker
 from cairn.sources import tables
 from cairn.sources.scratch import folder
 from cairn.sources.tables import AS_OF, table
@@ -70,6 +70,15 @@ def run_counters(spark, d):
     return spark.createDataFrame([(number, *(seen[c] for c in counters))], "commit bigint, records bigint, failed bigint, stored bigint, newest bigint")
 
 
+def worker_run(spark, d):
+    """What a run reaches of a queue of all events in order: lookups of four at once, within an hour's budget, until the
+    keys are down, with those that take too long or too many requests."""
+    e = events(spark, d).withColumn("place", F.col("event_id") - F.lit(table(spark, d, "events").agg(F.min("event_id")).first()[0]) + 1)
+    cost = F.floor(F.col("value") * 997).cast("long") % 60_000
+    q = e.select("place", F.col("event_id").cast("string").alias("id"), cost.alias("cost_ms"), (F.col("user_id") % 130).cast("int").alias("requests"), F.lit(False).alias("outage"), F.lit("matched").alias("status"), F.col("event_type").alias("reason"))
+    return worker.planned(q, worker.Limits(budget_ms=3_600_000)).select("id", "batch", "start_ms", "status", "reason", "save")
+
+
 def per_user(spark, d):
     e = events(spark, d)
     last = F.max("at").alias("last_at")
@@ -207,7 +216,7 @@ def run_health(spark, d):
     return day.select("day", "walked", "stored", "errors", F.when(red, "red").otherwise("green").alias("health"))
 
 
-QUERIES = {f.__name__: f for f in (merge_states, merge_miss_earliest, merge_attempts, merge_cursor, merge_letters, run_counters, walk_verdict, skip_reasons, failure_backoff, attempt_backoff, due_filter, attempt_reset, walk_states, merge_attempt_states, cached_evidence, worst_verdict, probe_verdict, probe_targets, sweep_summary, cursor_replay, run_health)}
+QUERIES = {f.__name__: f for f in (merge_states, merge_miss_earliest, merge_attempts, merge_cursor, merge_letters, run_counters, worker_run, walk_verdict, skip_reasons, failure_backoff, attempt_backoff, due_filter, attempt_reset, walk_states, merge_attempt_states, cached_evidence, worst_verdict, probe_verdict, probe_targets, sweep_summary, cursor_replay, run_health)}
 
 SQL = {
     "merge_states": f"SELECT user_id, arg_max(event_id, (epoch_us(ts), event_id)) AS event_id, arg_max(event_type, (epoch_us(ts), event_id)) AS event_type, max({US}) AS at FROM events GROUP BY user_id",
@@ -221,6 +230,10 @@ r AS (SELECT *, row_number() OVER (PARTITION BY day ORDER BY pass DESC, letter D
 SELECT day, pass, letter, page, latest AS last_pass_at, coalesce(finished_at, other) AS finished_at FROM r WHERE n = 1""",
     "merge_letters": "WITH e AS (SELECT user_id, event_type, coalesce(max(event_id) FILTER (event_id % 2 = 0), max(event_id)) AS page FROM events GROUP BY ALL) SELECT user_id, string_agg(event_type || '=' || page, ',' ORDER BY event_type) AS letters FROM e GROUP BY user_id",
     "run_counters": f"WITH l AS (SELECT user_id, arg_max(event_type, (epoch_us(ts), event_id)) AS t, max({US}) AS last FROM events GROUP BY user_id) SELECT 1::BIGINT AS commit, count(*) AS records, count(*) FILTER (t = 'error') AS failed, count(*) FILTER (t = 'purchase') AS stored, max(last) AS newest FROM l",
+    "worker_run": """WITH q AS (SELECT event_id, CAST(floor(value * 997) AS BIGINT) % 60000 AS cost, user_id % 130 AS asked, event_type, (event_id - (SELECT min(event_id) FROM events)) // 4 AS batch FROM events),
+b AS (SELECT batch, max(least(cost, 45000)) AS length FROM q GROUP BY batch), s AS (SELECT batch, CAST(sum(length) OVER (ORDER BY batch) - length AS BIGINT) AS start_ms FROM b)
+SELECT CAST(event_id AS VARCHAR) AS id, batch, start_ms, CASE WHEN cost > least(45000, 3600000 - start_ms) OR asked > 120 THEN 'unavailable' ELSE 'matched' END AS status,
+  CASE WHEN cost > least(45000, 3600000 - start_ms) THEN 'lookup-timeout' WHEN asked > 120 THEN 'request-cap' ELSE event_type END AS reason, start_ms // 15000 AS save FROM q JOIN s USING (batch) WHERE start_ms < 3600000""",
     "walk_verdict": VERDICT_SQL,
     "skip_reasons": f"SELECT why AS family, count(*) AS n FROM ({VERDICT_SQL}) WHERE NOT walk GROUP BY 1",
     "failure_backoff": "SELECT user_id, CAST(f AS INT) AS failures, CAST(CASE WHEN f > 0 THEN least(24.0, 1.5 * pow(2, least(f, 4))) ELSE 0 END AS DOUBLE) AS hours FROM (SELECT user_id, least(count(*) FILTER (event_type = 'error'), 12) AS f FROM events GROUP BY user_id)",

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from cairn.operators import merge
 from cairn.operators.schedule import failure_hours
 from cairn.sources.scratch import folder
-from cairn.sources.tables import current, publish
+from cairn.sources import crawl
+from cairn.sources.tables import current, publish, table
 from cairn.streaming import retries
 
 
@@ -68,13 +69,23 @@ def stream_due(spark, d):
     return spark.read.schema(retries.OUT).parquet(out).where("reason <> 'seen'").select("user_id", "reason", "failures", F.unix_millis("at").alias("due"))
 
 
-QUERIES = {"stream_merge_states": stream_merge_states, "stream_dedupe": stream_dedupe, "stream_failures": stream_failures, "stream_due": stream_due}
+def crawl_pages(spark, d):
+    """Listing pages of parts, read letter by letter until one fails."""
+    part, root = table(spark, d, "part"), folder(spark, "site")
+    key = F.col("p_partkey")
+    rows = part.select(F.char(97 + key % 26).alias("letter"), (F.floor(key / (26 * 40)) + 1).alias("page"), F.lit(1).alias("attempt"), F.when((key % 26 == 16) & (key < 26 * 40), 503).otherwise(200).alias("status"), key.alias("pos"), F.concat(F.lit("/part-"), key.cast("string"), F.lit("/")).alias("path"), F.col("p_name").alias("label"))
+    rows.repartition("letter", "page").write.partitionBy("letter", "page").json(root)
+    return crawl.crawl(spark, root, folder(spark, "crawled"), folder(spark, "checkpoint")).select("pass", "letter", "page", "path", "label")
+
+
+QUERIES = {"crawl_pages": crawl_pages, "stream_merge_states": stream_merge_states, "stream_dedupe": stream_dedupe, "stream_failures": stream_failures, "stream_due": stream_due}
 
 _STREAKS = """g AS (SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, max((ts, event_id)) FILTER (event_type <> 'error') AS good, max(ts) AS last FROM events GROUP BY user_id),
 f AS (SELECT g.user_id, g.event_id, last, (good)[1] AS good, (SELECT count(*) FROM events e WHERE e.user_id = g.user_id AND e.event_type = 'error' AND (g.good IS NULL OR (e.ts, e.event_id) > g.good)) AS failures FROM g),
 s AS (SELECT *, CASE WHEN failures > 0 THEN least(24.0, 1.5 * pow(2, least(failures, 4))) ELSE 0.0 END AS hours FROM f)"""
 
 SQL = {
+    "crawl_pages": "SELECT 1 AS pass, chr(CAST(97 + p_partkey % 26 AS INT)) AS letter, CAST(p_partkey // 1040 + 1 AS INT) AS page, '/part-' || p_partkey || '/' AS path, p_name AS label FROM part WHERE p_partkey % 26 < 16",
     "stream_merge_states": "SELECT user_id, arg_max(event_id, (epoch_us(ts), event_id)) AS event_id, arg_max(event_type, (epoch_us(ts), event_id)) AS event_type, CAST(max(epoch_us(ts)) AS BIGINT) AS at FROM events GROUP BY user_id",
     "stream_dedupe": "SELECT DISTINCT user_id, event_type FROM events",
     "stream_failures": f"WITH {_STREAKS} SELECT user_id, event_id, failures, hours FROM s",

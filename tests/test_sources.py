@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cairn.operators import merge
-from cairn.sources import tables
+from cairn.sources import crawl, tables
 from cairn.streaming import replay, retries
 
 SCHEMA = "id string, year int"
@@ -159,3 +159,33 @@ def test_retries_fire_as_timers(spark, tmp_path):
     before = sorted(map(tuple, spark.read.parquet(out).collect()))
     retries.run(spark.readStream.schema(EVENTS).parquet(source), out, state, "30 days")
     assert sorted(map(tuple, spark.read.parquet(out).collect())) == before
+
+
+def test_crawl_goes_on_where_it_stopped(spark, tmp_path):
+    """The cursor stays on a page that fails three times, moves over one that fails less, and a pass is a run."""
+    root = tmp_path / "site"
+
+    def page(letter, n, *attempts):
+        folder = root / f"letter={letter}" / f"page={n}"
+        folder.mkdir(parents=True, exist_ok=True)
+        lines = [{"attempt": k, "status": a, "pos": 0} if isinstance(a, int) else {"attempt": k, "status": 200, "pos": i, "path": p} for k, a in enumerate(attempts, 1) for i, p in enumerate([a] if isinstance(a, int) else a)]
+        (folder / "part.json").write_text("\n".join(map(json.dumps, lines)))
+
+    def run(**more):
+        got = crawl.crawl(spark, str(root), f"{tmp_path}/out", f"{tmp_path}/check", **more)
+        return [(r["pass"], r["letter"], r["page"], r["path"]) for r in got.orderBy("pass", "letter", "page", "pos").collect()], json.loads((root / "_cursor.json").read_text())
+
+    page("a", 1, ["/a1/", "/a2/"])
+    page("a", 2, 503, 503, ["/a3/"])
+    page("c", 1, 503, 503, 503, ["/c1/"])
+    page("z", 1, ["/z1/"])
+    first = [(1, "a", 1, "/a1/"), (1, "a", 1, "/a2/"), (1, "a", 2, "/a3/")]
+    assert run(pages=1) == (first[:2], {"pass": 1, "letter": "a", "page": 2})
+    assert run() == (first, {"pass": 1, "letter": "c", "page": 1})
+    assert run() == (first, {"pass": 1, "letter": "c", "page": 1})
+    page("c", 1, ["/c1/"])
+    whole = [*first, (1, "c", 1, "/c1/"), (1, "z", 1, "/z1/")]
+    assert run() == (whole, {"pass": 2, "letter": "a", "page": 1})
+    page("b", 1, ["/b1/"])
+    again = [(2, *x[1:]) for x in whole]
+    assert run() == (whole + again[:3] + [(2, "b", 1, "/b1/")] + again[3:], {"pass": 3, "letter": "a", "page": 1})
