@@ -90,12 +90,12 @@ def fit(stats: DataFrame, labels: DataFrame, label: str = "quality", folds: int
     """Rules with their weights, and the intercept, from labelled rows outside the held-out fold.
 
     Without labelled rows the score is 0.5 everywhere; with one class it is that class's smoothed share.
-    Null labels are left out, repeated ids count once.
+    Null labels are left out; of rows of one id the one with the least statistics counts, so that a run gives what the last gave.
     """
     y = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("double").alias("y")).where(F.col("y").isin(0.0, 1.0) & (common.fold(folds) != held))
     y = y.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    train = stats.join(F.broadcast(y), "doc_id").dropDuplicates(["doc_id"])
-    rows = train.select("y", *STATISTICS).collect()
+    train = stats.join(F.broadcast(y), "doc_id").groupBy("doc_id").agg(F.min(F.struct("y", *STATISTICS)).alias("r"))
+    rows = train.select("r.*").collect()
     n, ones = len(rows), sum(r["y"] for r in rows)
     if not 0 < ones < n:
         return [], float(np.log((ones + 0.5) / (n - ones + 0.5)))
@@ -113,7 +113,9 @@ def fit(stats: DataFrame, labels: DataFrame, label: str = "quality", folds: int
 
 
 def op3_quality(spark, sf_dir: str) -> DataFrame:
-    """One row a document, empty texts and repeated rows too."""
+    """doc_id, held_out, score, predicted for every row of the whole table, repeated ones too. A null text counts as empty and is
+    scored like any other; a null id is held out, since its fold is 0, and is never learned from. Without labels the score is 0.5;
+    missing and null labels are left out; other columns are left behind; an empty table gives no rows."""
     stats = common.stored(measured(common.read_documents(spark, sf_dir)), "statistics")
     rules, intercept = fit(stats, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return stats.select("doc_id", (common.fold(5) == 0).alias("held_out"), compiled(rules, intercept).alias("score")).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

@@ -1,9 +1,10 @@
 """Toxicity from a weighted lexicon, matched by an Aho-Corasick automaton on folded text.
 
 Folding maps look-alike letters of other scripts and digits or signs that stand for letters onto plain
-letters, so one entry covers its disguises. Entries are words with the log-odds of a toxic label as
-weight, learned from labelled texts of which copies count once. Phrases around a match that only clean
-texts have are exceptions. The sum of weights is normalised by length and mapped to 0..1.
+letters, so one entry covers its disguises. Entries are words, and stems that several different words of a
+text begin with, with the log-odds of a toxic label as weight, learned from labelled texts of which copies
+count once. Phrases around a match that only clean texts have are exceptions. The sum of weights is
+normalised by length and mapped to 0..1.
 """
 
 from __future__ import annotations
@@ -25,9 +26,12 @@ from cairn.llm import common
 
 #: Labelled rows that are learned from, at most; those with the smallest hash of their id are taken.
 MAX_TRAIN = 20_000
-#: Toxic texts that an entry must be in, and the share of its texts that must be toxic. There is no other bound
+#: Toxic texts that a word must be in, and the share of an entry's texts that must be toxic. There is no other bound
 #: on the entries: MAX_TRAIN bounds the texts that they come from.
 MIN_TEXTS, MIN_PRECISION = 5, 0.9
+#: Characters of a stem; different words that begin with it in a text, the fewer for stems that the more have shown, with the
+#: share of such texts that must be toxic; and toxic texts that must have the more, at least and as a share of all toxic ones.
+STEM, NEED, FEW_PRECISION, STEM_TEXTS, STEM_SHARE = (5, 8), (2, 3), 0.8, 2, 0.01
 #: The score from which a text is toxic, and the most that a text may score in which nothing matches, however
 #: frequent toxic texts are among the labelled ones.
 THRESHOLD, NOTHING = 0.3, 0.2
@@ -69,6 +73,19 @@ def terms(folded: str) -> set[str]:
     return {w for w in _WORD.findall(folded) if len(w) >= 3}
 
 
+def stems(folded: str) -> dict[str, int]:
+    """Beginnings of words, and how many different words begin with each, from the fewer of NEED on."""
+    out: Counter[str] = Counter()
+    for w in set(_WORD.findall(folded)):
+        out.update(w[:k] for k in range(STEM[0], min(len(w), STEM[1]) + 1))
+    return {s: n for s, n in out.items() if n >= NEED[0]}
+
+
+def evidence(folded: str) -> set[str]:
+    """What a text may tell: its terms, and its stems with how many words show them (at most the more of NEED)."""
+    return terms(folded) | {f"{s}*{k}" for s, n in stems(folded).items() for k in NEED if n >= k}
+
+
 def word_before(folded: str, start: int) -> str:
     """The last word that ends before a place, empty without one."""
     end = start
@@ -89,34 +106,49 @@ def signatures(text: str) -> tuple[int, int]:
 
 @dataclass
 class Lexicon:
-    """weights: entry -> weight; exceptions: words, and pairs with the word before, whose matches don't count; slope and offset of the logistic map."""
+    """weights: word -> weight; exceptions: words, and pairs with the word before, whose matches don't count; slope and offset of
+    the logistic map; stems: stem -> weights by how many different words begin with it, at least."""
 
     weights: dict[str, float] = field(default_factory=dict)
     exceptions: set[str] = field(default_factory=set)
     slope: float = 4.0
     offset: float = -4.0
+    stems: dict[str, dict[int, float]] = field(default_factory=dict)
 
     def automaton(self):
         a = ahocorasick.Automaton()
-        for entry, w in self.weights.items():
-            a.add_word(entry, (len(entry), w))
+        for entry in self.weights.keys() | self.stems.keys():
+            a.add_word(entry, entry)
         if len(a):
             a.make_automaton()
         return a
 
-    def matches(self, folded: str, automaton) -> list[tuple[str, str, float]]:
-        """(entry, word before, weight) of each place where an entry stands as a word or words of its own."""
-        out = []
+    def found(self, folded: str, automaton) -> tuple[list[tuple[str, str, float]], dict[str, set[str]]]:
+        """(word, word before, weight) of each place where an entry stands as a word of its own, and the words that begin with
+        each stem."""
+        out, begun = [], {}
         if len(automaton):
-            for end, (n, w) in automaton.iter(folded):
-                start = end - n + 1
-                if (start == 0 or not folded[start - 1].isalnum()) and (end + 1 == len(folded) or not folded[end + 1].isalnum()):
-                    out.append((folded[start : end + 1], word_before(folded, start), w))
-        return out
+            for end, entry in automaton.iter(folded):
+                start, after = end - len(entry) + 1, end + 1
+                if start and folded[start - 1].isalnum():
+                    continue
+                while entry in self.stems and after < len(folded) and folded[after].isalnum():
+                    after += 1
+                if entry in self.stems:
+                    begun.setdefault(entry, set()).add(folded[start:after])
+                if entry in self.weights and (end + 1 == len(folded) or not folded[end + 1].isalnum()):
+                    out.append((entry, word_before(folded, start), self.weights[entry]))
+        return out, begun
+
+    def matches(self, folded: str, automaton) -> list[tuple[str, str, float]]:
+        return self.found(folded, automaton)[0]
 
     def strength(self, folded: str, automaton) -> float:
-        """Weights of the matches that no exception covers, over one plus the logarithm of the word count."""
-        got = [w for word, before, w in self.matches(folded, automaton) if word not in self.exceptions and f"{before} {word}" not in self.exceptions]
+        """Weights of the matches that no exception covers, and of the stems that enough words begin with, over one plus the
+        logarithm of the word count."""
+        words, begun = self.found(folded, automaton)
+        got = [w for word, before, w in words if word not in self.exceptions and f"{before} {word}" not in self.exceptions]
+        got += [max((w for need, w in self.stems[s].items() if len(of) >= need), default=0.0) for s, of in begun.items()]
         return sum(got) / (1 + math.log10(1 + folded.count(" "))) if got else 0.0
 
     def score(self, folded: str, automaton) -> float:
@@ -134,37 +166,46 @@ def training(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: i
 def learn(train: DataFrame) -> Lexicon:
     """Fits a lexicon to rows (text, y); without toxic rows it is empty.
 
-    Copies and near copies count once, else every word of a copied toxic text would look toxic. The words
-    of toxic texts are counted first, and only those in MIN_TEXTS of them are counted in clean texts; the
-    training rows are bounded by MAX_TRAIN, and with them what reaches the driver.
+    Copies and near copies count once, the one of least id, else every word of a copied toxic text would look toxic. What
+    toxic texts tell is counted first, and only what two of them tell is counted in clean texts; the training rows
+    (doc_id, y, text) are bounded by MAX_TRAIN, and with them what reaches the driver.
     """
-    signed = pa.schema([("y", pa.int32()), ("text", pa.string()), ("s1", pa.int64()), ("s2", pa.int64())])
+    signed = pa.schema([("doc_id", pa.int64()), ("y", pa.int32()), ("text", pa.string()), ("s1", pa.int64()), ("s2", pa.int64())])
     counted = pa.schema([("term", pa.string())])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             s = [signatures(t) for t in b.column("text").to_pylist()]
-            yield common.batch_of(signed, b.column("y"), b.column("text"), [x for x, _ in s], [x for _, x in s])
+            yield common.batch_of(signed, b.column("doc_id"), b.column("y"), b.column("text"), [x for x, _ in s], [x for _, x in s])
 
     def words(only: set[str] | None):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                yield common.batch_of(counted, [w for t in b.column("text").to_pylist() for w in (terms(fold(t)) if only is None else terms(fold(t)) & only)])
+                yield common.batch_of(counted, [w for t in b.column("text").to_pylist() for w in (evidence(fold(t)) if only is None else evidence(fold(t)) & only)])
 
         return run
 
-    once = train.select("y", "text").mapInArrow(sign, "y int, text string, s1 bigint, s2 bigint").dropDuplicates(["y", "s1"]).dropDuplicates(["y", "s2"])
+    least = lambda df, key: df.groupBy("y", key).agg(F.min(F.struct("doc_id", "text", *({"s1", "s2"} - {key}))).alias("r")).select("y", "r.*", key)
+    once = least(least(train.select("doc_id", "y", "text").mapInArrow(sign, "doc_id bigint, y int, text string, s1 bigint, s2 bigint"), "s1"), "s2")
     texts = common.stored(once.select("y", "text"), "toxicity-train")
     n = {r["y"]: r["n"] for r in texts.groupBy("y").agg(F.count("*").alias("n")).collect()}
     toxic, clean = n.get(1, 0), n.get(0, 0)
     if not toxic:
         return Lexicon()
-    count = lambda y, only: {r["term"]: r["n"] for r in texts.where(F.col("y") == y).select("text").mapInArrow(words(only), "term string").groupBy("term").agg(F.count("*").alias("n")).where(F.lit(only is not None) | (F.col("n") >= MIN_TEXTS)).collect()}
+    count = lambda y, only: {r["term"]: r["n"] for r in texts.where(F.col("y") == y).select("text").mapInArrow(words(only), "term string").groupBy("term").agg(F.count("*").alias("n")).where(F.lit(only is not None) | (F.col("n") >= 2)).collect()}
     a = count(1, None)
     b = count(0, set(a))
-    good = sorted((w for w in a if a[w] >= MIN_PRECISION * (a[w] + b.get(w, 0))), key=lambda w: (b.get(w, 0) - a[w], w))
-    weights = {w: math.log((a[w] + 0.5) / (toxic + 1)) - math.log((b.get(w, 0) + 0.5) / (clean + 1)) for w in good}
-    return _finish(Lexicon(weights), texts)
+    weight = lambda w: math.log((a[w] + 0.5) / (toxic + 1)) - math.log((b.get(w, 0) + 0.5) / (clean + 1))
+    precise = lambda w, share: a.get(w, 0) >= share * (a.get(w, 0) + b.get(w, 0)) > 0
+    weights = {w: weight(w) for w in sorted(a) if "*" not in w and a[w] >= MIN_TEXTS and precise(w, MIN_PRECISION)}
+    few, many = NEED
+    shown = max(STEM_TEXTS, math.ceil(STEM_SHARE * toxic))
+    proven = {w[:-2] for w in a if w.endswith(f"*{many}") and a[w] >= shown and precise(w, MIN_PRECISION)}
+    # of stems that the same texts show, the longest stands for all
+    same = lambda s, t: all(a.get(f"{s}*{k}") == a.get(f"{t}*{k}") and b.get(f"{s}*{k}") == b.get(f"{t}*{k}") for k in NEED)
+    proven -= {s for s in proven if any(t.startswith(s) and t != s and same(s, t) for t in proven)}
+    begun = {s: {many: weight(f"{s}*{many}")} | ({few: weight(f"{s}*{few}")} if precise(f"{s}*{few}", FEW_PRECISION) else {}) for s in sorted(proven)}
+    return _finish(Lexicon(weights, stems=begun), texts)
 
 
 def _finish(lex: Lexicon, texts: DataFrame) -> Lexicon:

@@ -134,6 +134,9 @@ def test_toxicity_against_a_plain_search(spark, sf_dir, rows):
             if w in lex.weights and w not in lex.exceptions and f"{before} {w}" not in lex.exceptions:
                 x += lex.weights[w]
             before = w
+        distinct = {w for _, w in words}
+        for stem, by in lex.stems.items():
+            x += max([w for need, w in by.items() if sum(v.startswith(stem) for v in distinct) >= need], default=0.0)
         x /= 1 + math.log10(1 + folded.count(" "))
         assert len(folded) >= 20_000 or got[i] == pytest.approx(1 / (1 + math.exp(-(lex.slope * x + lex.offset))), rel=1e-6)
 
@@ -160,10 +163,28 @@ def test_toxicity_folds_disguises(spark, sf_dir, rows):
 def test_lexicon_has_no_bound_on_entries(spark):
     word = lambda k: "w" + "".join(chr(97 + k // 26**i % 26) for i in range(4))
     texts = [(1, " ".join(random.Random(i).sample([word(k) for k in range(3_000)], 3_000))) for i in range(6)] + [(0, f"clean words number{i} here a{i} b{i} c{i} d{i}" * 4) for i in range(40)]
-    lex = toxicity.learn(spark.createDataFrame([(t, y) for y, t in texts], "text string, y int"))
+    lex = toxicity.learn(spark.createDataFrame([(i, t, y) for i, (y, t) in enumerate(texts)], "doc_id bigint, text string, y int"))
     assert len(lex.weights) == 3_000
 
 
+@pytest.mark.parametrize("name", ["sf0.01", "sf0.1"])
+def test_held_out_toxic_texts_are_found(spark, name):
+    """Nine in ten toxic texts of the held-out fold, and next to no clean one."""
+    d = f"/root/testdata/{name}"
+    y = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
+    got = [(y[r["doc_id"]], r["predicted"]) for r in run(spark, "op7_toxicity", d) if r["held_out"] and y.get(r["doc_id"]) is not None]
+    toxic, clean = [p for t, p in got if t], [p for t, p in got if not t]
+    assert sum(toxic) >= 0.9 * len(toxic) > 10 and sum(clean) <= 0.01 * len(clean)
+
+
+def test_stems_count_by_different_words(spark):
+    lex = toxicity.Lexicon({"grubstake": 1.0}, stems={"grubs": {3: 4.0, 2: 1.5}})
+    a = lex.automaton()
+    strength = lambda t: lex.strength(t, a) * (1 + math.log10(1 + t.count(" ")))
+    assert strength("grubsy grubsy") == 0 and strength("grubsy grubsas") == pytest.approx(1.5) and strength("grubs grubsa grubsan") == pytest.approx(4.0)
+    assert strength("xgrubsy ygrubsa") == 0 and strength("grubstake grubsy") == pytest.approx(2.5)
+
+
 def test_repeated_substrings_against_all_windows(spark, sf_dir, rows):
     texts, seen, n = raw_rows(rows), Counter(), substrings.LENGTH[substrings.BYTES]
     for _, t in texts:
