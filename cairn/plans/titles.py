@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cairn.functions import text
-from cairn.operators import match, pages, resolve
-from cairn.sources.tables import table
+from cairn.operators import enrich, fuzzy, match, pages, resolve
+from cairn.sources.tables import AS_OF, table
 
 
 def labels_(spark, d):
@@ -235,6 +235,7 @@ def barren_streak(spark, d):
 
 def _candidates(spark, d):
     """Parts of odd keys as entities of two types, with a second title."""
+    none = F.lit(None).cast("string")
     c = table(spark, d, "part").where("p_partkey % 2 = 1")
     kind = F.when(F.col("p_partkey") % 6 == 1, "tv").otherwise("movie")
     date = F.concat((F.lit(1950) + F.col("p_size")).cast("string"), F.lit("-06-01"))
@@ -271,6 +272,60 @@ def resolution_chain(spark, d):
     return out.select(F.col("record").alias("p_partkey"), F.col("candidate").alias("match"), "type", "how")
 
 
+def composed_enrichment(spark, d):
+    """E1, E2, E7, S13, T3, J11, J12, M4, M8 as one plan: parts that look for their entity, with evidence of their pages."""
+    r = _records(spark, d)
+    n = F.col("record")
+    texts = {c: F.lit("") for c in ("category", "language", "category_source", "poster", "imdb_id", "added_at")}
+    catalogue = r.select(n.alias("id"), "title", "year", "kind", *(c.alias(k) for k, c in texts.items()), F.concat(F.lit("https://h/"), n.cast("string"), F.lit("/")).alias("page_url"), F.lit(0.0).alias("rating"), "tmdb_id", F.lit("i").alias("identity"), (n % 46 == 0).alias("trouble"))
+    name = lambda kind, k: F.concat(F.lit(f"{kind} "), (k % 5).cast("string"))
+    source = r.where("record % 14 <> 4").select(F.concat(F.lit("http://other/"), n.cast("string"), F.lit("?x")).alias("source_url"), (F.lit(AS_OF).cast("timestamp") - F.make_dt_interval(days=(n % 9).cast("int"))).alias("fetched_at"), (n % 22 != 0).alias("available"), F.col("p_name").alias("title"), (F.col("year") - F.when(n % 6 == 0, 1).otherwise(0)).alias("year"), F.array().cast("array<string>").alias("directors"), F.when(n % 26 == 0, F.array().cast("array<string>")).otherwise(F.array(name("anna", n / 2), name("bert", n / 2))).alias("people_cast"))
+    c = _candidates(spark, d).withColumn("language", F.when(F.col("id") % 10 < 5, "ta").otherwise("en")).withColumn("vote_average", F.lit(5.0)).withColumn("imdb_id", F.concat(F.lit("tt"), F.col("id").cast("string"))).withColumn("poster_path", F.lit("/p"))
+    person = lambda kind, k: c.select(F.col("id").alias("candidate"), F.lit(k).alias("person"), name(kind, F.floor(F.col("id") / 2)).alias("name"), F.lit(False).alias("director"))
+    people = person("Anna", 1).unionByName(person("Bert", 2))
+    o = c.where("id % 34 = 1").select((F.col("id") - 1).alias("id"), F.col("id").alias("tmdb_id"), F.col("type").alias("tmdb_type"), F.when(F.col("id") % 4 == 1, "Other").otherwise(F.coalesce("title", "name")).alias("expected_title"))
+    attempts = r.where("record % 8 = 0").select(n.alias("id"), F.lit(2).alias("version"), F.lit("i").alias("identity"), (n % 3).cast("int").alias("attempts"))
+    done, entries = enrich.enriched(catalogue, c, source, people, o, attempts, F.lit(AS_OF).cast("timestamp"))
+    e = entries.select("id", "status", "reason", "attempts", F.timestamp_diff("HOUR", "checked_at", "next_at").alias("hours"))
+    return done.select("id", "tmdb_id", "imdb_id", "poster", "language", "category", "changed").join(e, "id", "left")
+
+
+ENRICHED_SQL = """, s AS (SELECT r.record, c.type, min(c.id) AS id FROM r JOIN c ON r.year = c.year AND r.t IN (c.t, regexp_replace(c.o, '[^a-z0-9]+', ' ', 'g')) GROUP BY 1, 2 HAVING count(DISTINCT c.id) = 1),
+j AS (SELECT r.*, k.id AS k_id, k.type AS k_type, k.t AS k_t, a.id AS a_id, b.id AS b_id FROM r LEFT JOIN c k ON k.id = r.tmdb LEFT JOIN s a ON a.record = r.record AND a.type = r.own LEFT JOIN s b ON b.record = r.record AND b.type = 'tv' AND r.own = 'movie'),
+h AS (SELECT *, CASE WHEN k_id IS NOT NULL AND k_type = own THEN 'id' WHEN k_id IS NOT NULL AND k_t = t THEN 'cross' WHEN a_id IS NOT NULL THEN 'search' WHEN b_id IS NOT NULL THEN 'search-tv' ELSE 'none' END AS how FROM j),
+l AS (SELECT *, CASE WHEN how IN ('id', 'cross') THEN k_id WHEN how = 'search' THEN a_id WHEN how = 'search-tv' THEN b_id END AS cand, CASE WHEN how IN ('id', 'search') THEN own WHEN how = 'cross' THEN k_type WHEN how = 'search-tv' THEN 'tv' END AS type,
+  tmdb > 0 AS trusted, record % 46 = 0 AS trouble, record % 14 <> 4 AND record % 22 <> 0 AND record % 9 < 7 AS known, record % 26 <> 0 AS named, record % 6 = 0 AS other_year FROM h),
+f AS (SELECT l.record, min(c.id) AS told FROM l JOIN c ON known AND c.type = l.own AND l.year - CASE WHEN other_year THEN 1 ELSE 0 END = c.year AND l.t IN (c.t, regexp_replace(c.o, '[^a-z0-9]+', ' ', 'g')) GROUP BY 1 HAVING count(DISTINCT c.id) = 1),
+v AS (SELECT l.*, cand IS NOT NULL AS found, known AND named AND cand IS NOT NULL AND (cand // 2) % 5 = (record // 2) % 5 AS strong, known AND named AND cand IS NOT NULL AND (cand // 2) % 5 <> (record // 2) % 5 AS against, CASE WHEN named AND (told // 2) % 5 = (record // 2) % 5 THEN told END AS told FROM l LEFT JOIN f USING (record)),
+w AS (SELECT *, found AND (trusted OR NOT (known AND named AND (against OR (other_year AND NOT strong)))) AS stands FROM v),
+d AS (SELECT w.*, CASE WHEN trusted THEN CASE WHEN found THEN 'accept' ELSE 'unresolved' END WHEN (trouble AND NOT found) OR NOT known THEN 'unavailable' WHEN stands OR told IS NOT NULL THEN 'accept' WHEN found AND named AND against THEN 'review' ELSE 'unresolved' END AS verdict, o.id AS o_id, o.type AS o_type FROM w LEFT JOIN c o ON o.id = w.record + 1 AND o.id % 34 = 1),
+x AS (SELECT *, CASE WHEN o_id IS NOT NULL THEN CASE WHEN o_id % 4 = 1 THEN 'review' ELSE 'matched' END WHEN verdict = 'accept' THEN 'matched' ELSE verdict END AS status0,
+  CASE WHEN o_id IS NOT NULL THEN CASE WHEN o_id % 4 = 1 THEN 'override-conflict' ELSE 'reviewed-override' END WHEN verdict = 'accept' THEN CASE WHEN NOT stands THEN 'source-evidence' WHEN NOT trusted AND strong THEN 'source-credits' ELSE how END WHEN verdict = 'review' THEN 'source-credits-conflict' WHEN verdict = 'unavailable' THEN CASE WHEN trouble THEN 'lookup-failed' ELSE 'source-unavailable' END ELSE 'no-safe-match' END AS reason,
+  CASE WHEN o_id IS NOT NULL THEN CASE WHEN o_id % 4 <> 1 AND o_type = own THEN o_id END WHEN verdict = 'accept' THEN CASE WHEN stands THEN cand ELSE told END END AS m_id FROM d),
+y AS (SELECT x.*, c.type AS m_type, CASE WHEN m_id % 10 < 5 THEN 'ta' ELSE 'en' END AS m_lang, m_id IS NOT NULL AND (tmdb = 0 OR (o_id IS NOT NULL AND tmdb <> m_id) OR (o_id IS NULL AND how = 'cross' AND tmdb <> m_id)) AS takes FROM x LEFT JOIN c ON c.id = m_id),
+z AS (SELECT *, CASE WHEN takes THEN m_id ELSE tmdb END AS tmdb_id, coalesce(m_lang, '') AS language FROM (SELECT * REPLACE (CASE WHEN m_id IS NOT NULL THEN m_lang END AS m_lang) FROM y))
+SELECT record AS id, tmdb_id, CASE WHEN m_id IS NOT NULL THEN 'tt' || m_id ELSE '' END AS imdb_id, CASE WHEN m_id IS NOT NULL THEN '/p' ELSE '' END AS poster, language, CASE WHEN m_id IS NOT NULL THEN CASE WHEN m_lang = 'ta' THEN 'tamil-' ELSE 'tamil-dubbed-' END || CASE WHEN m_type = 'tv' THEN 'series' ELSE 'movie' END ELSE '' END AS category, m_id IS NOT NULL AS changed,
+  status0 AS status, reason, CAST(CASE WHEN record % 8 = 0 THEN record % 3 + 1 ELSE 1 END AS INT) AS attempts, CAST(CASE status0 WHEN 'matched' THEN 720 WHEN 'unavailable' THEN [1, 6, 24][CASE WHEN record % 8 = 0 THEN record % 3 + 1 ELSE 1 END] WHEN 'review' THEN [168, 720][least(2, CASE WHEN record % 8 = 0 THEN record % 3 + 1 ELSE 1 END)] ELSE [6, 24, 72, 168][CASE WHEN record % 8 = 0 THEN record % 3 + 1 ELSE 1 END] END AS BIGINT) AS hours FROM z"""
+
+
+def similar_titles(spark, d):
+    """Different titles of parts that are nearly the same, against all of them misspelled, by an index."""
+    t = table(spark, d, "part").select(F.concat_ws(" ", "p_name", F.lit("of"), "p_type", F.element_at(F.array(*map(F.lit, ROMANS)), (F.col("p_size") % 4 + 2).cast("int"))).alias("title"), (F.col("p_size") % 4 + 2).alias("k")).distinct()
+    other = t.select(F.concat(F.regexp_replace(F.substring_index("title", " ", 4), "[lo]", "e"), F.lit(" "), F.col("k").cast("string")).alias("title"))
+    out = fuzzy.similar_titles(t.select("title"), other, "title", 0.8)
+    return out.select("a", "b", F.round("similarity", 6).alias("similarity"))
+
+
+def rival_titles(spark, d):
+    """Titles that a candidate's begins with, if its credits are strong and no rival begins alike."""
+    p = table(spark, d, "part").select("p_partkey", (F.col("p_partkey") - F.when(F.col("p_size") % 3 == 0, F.col("p_partkey") % 2).otherwise(0)).alias("k"), "p_type", "p_size")
+    head = F.concat(F.lit("Saga "), F.col("k").cast("string"))
+    c = p.select(F.col("p_partkey").alias("id"), F.concat(head, F.lit(": "), "p_type").alias("title"), F.lit(None).cast("string").alias("name"))
+    r = p.select(F.col("p_partkey").alias("record"), F.concat(F.lit("SAGA "), F.col("p_partkey").cast("string")).alias("title"))
+    strong = p.where("p_size > 10").select(F.col("k").alias("record"), F.col("p_partkey").alias("candidate"))
+    return resolve.subtitle_pick(r, c, strong)
+
+
 def override_outcome(spark, d):
     """Reviewed mappings, some with a wrong title, some to nothing."""
     c = _candidates(spark, d)
@@ -351,7 +406,7 @@ def override_validation(spark, d):
     return p.select("p_partkey", fault.alias("fault"))
 
 
-QUERIES = {f.__name__: f for f in (normalise_v1, normalise_v2, slugify, make_id, title_case, title_from_path, clean_title, title_for, parse_label, twin_base, log_texts, quality_bucket, path_key, identity_fingerprint, split_credits, page_anchors, page_heading, blocked_pages, item_path_filter, listing, discovered, page_posters, source_metadata, episode_walk, file_walk, shape_classifier, bounded_expansion, http_retry_class, pagination_cut, barren_streak, unique_exact_match, alternative_match, season_year_match, resolution_chain, override_outcome, lookup_notes, search_outcome, credit_evidence, title_similarity, evidence_decision, outcome_status, title_guard, override_validation)}
+QUERIES = {f.__name__: f for f in (normalise_v1, normalise_v2, slugify, make_id, title_case, title_from_path, clean_title, title_for, parse_label, twin_base, log_texts, quality_bucket, path_key, identity_fingerprint, split_credits, page_anchors, page_heading, blocked_pages, item_path_filter, listing, discovered, page_posters, source_metadata, episode_walk, file_walk, shape_classifier, bounded_expansion, http_retry_class, pagination_cut, barren_streak, unique_exact_match, alternative_match, season_year_match, resolution_chain, composed_enrichment, similar_titles, rival_titles, override_outcome, lookup_notes, search_outcome, credit_evidence, title_similarity, evidence_decision, outcome_status, title_guard, override_validation)}
 
 _CASE = "array_to_string(list_transform(string_split({}, ' '), lambda w: upper(w[1]) || w[2:]), ' ')"
 _PATH = "regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
@@ -407,6 +462,11 @@ SELECT listing, count(*) AS pages, CAST(sum(fresh) AS BIGINT) AS fresh FROM p JO
 j AS (SELECT r.*, k.id AS k_id, k.type AS k_type, k.t AS k_t, a.id AS a_id, b.id AS b_id FROM r LEFT JOIN c k ON k.id = r.tmdb LEFT JOIN s a ON a.record = r.record AND a.type = r.own LEFT JOIN s b ON b.record = r.record AND b.type = 'tv' AND r.own = 'movie'),
 h AS (SELECT *, CASE WHEN k_id IS NOT NULL AND k_type = own AND k_t = t THEN 'id' WHEN k_id IS NOT NULL AND k_type <> own AND k_t = t THEN 'cross' WHEN a_id IS NOT NULL THEN 'search' WHEN b_id IS NOT NULL THEN 'search-tv' WHEN k_id IS NOT NULL AND k_type = own THEN 'kept' ELSE 'none' END AS how FROM j)
 SELECT record AS p_partkey, CASE WHEN how IN ('id', 'cross', 'kept') THEN k_id WHEN how = 'search' THEN a_id WHEN how = 'search-tv' THEN b_id END AS match, CASE WHEN how IN ('id', 'search', 'kept') THEN own WHEN how = 'cross' THEN k_type WHEN how = 'search-tv' THEN 'tv' END AS type, how FROM h""",
+    "composed_enrichment": _RC + ENRICHED_SQL,
+    "similar_titles": """WITH t AS (SELECT DISTINCT p_name || ' of ' || p_type AS n, p_size % 4 + 2 AS k FROM part), a AS (SELECT n || ' ' || ['II', 'III', 'IV', 'V'][k - 1] AS title, lower(n) || ' ' || k AS t, k FROM t), b AS (SELECT DISTINCT regexp_replace(n, '[lo]', 'e', 'g') || ' ' || k AS title, k FROM t)
+SELECT a.title AS a, b.title AS b, round(1 - levenshtein(a.t, lower(b.title)) / CAST(greatest(length(a.t), length(b.title)) AS DOUBLE), 6) AS similarity FROM a JOIN b USING (k) WHERE 1 - levenshtein(a.t, lower(b.title)) / CAST(greatest(length(a.t), length(b.title)) AS DOUBLE) >= 0.8 - 1e-12""",
+    "rival_titles": """WITH p AS (SELECT p_partkey AS id, p_partkey - CASE WHEN p_size % 3 = 0 THEN p_partkey % 2 ELSE 0 END AS k, p_size FROM part), o AS (SELECT k, min(id) AS id FROM p GROUP BY k HAVING count(*) = 1)
+SELECT r.p_partkey AS record, o.id AS candidate FROM part r JOIN o ON o.k = r.p_partkey JOIN p ON p.id = o.id WHERE p.p_size > 10""",
     "credit_evidence": CREDIT_SQL,
     "title_similarity": """WITH t AS (SELECT p_partkey, p_size % 3 + CASE WHEN p_partkey % 10 < 7 THEN 2 ELSE 5 END AS k, string_split(p_name, ' ')[1] || ' saga ' || (p_size % 3 + CASE WHEN p_partkey % 10 < 7 THEN 2 ELSE 5 END) AS title FROM part)
 SELECT a.p_partkey, round(CASE WHEN a.title = b.title THEN 1.0 WHEN a.k <> b.k OR least(length(a.title), length(b.title)) < 8 THEN 0.0 ELSE 1 - levenshtein(a.title, b.title) / CAST(greatest(length(a.title), length(b.title)) AS DOUBLE) END, 6) AS similarity FROM t a JOIN t b ON b.p_partkey = a.p_partkey + 1""",
