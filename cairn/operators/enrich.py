@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cairn.operators import records, resolve
 from cairn.operators.merge import falsy
+from cairn.sources.scratch import saved
 
 
 def named(looked: DataFrame) -> DataFrame:
@@ -28,9 +29,9 @@ def decided(catalogue: DataFrame, candidates: DataFrame, evidence: DataFrame, pe
     r = catalogue.withColumn("record", F.col("id"))
     trouble = F.coalesce(F.col("trouble"), F.lit(False)) if "trouble" in catalogue.columns else F.lit(False)
     seen = resolve.cached_evidence(r.select("record", "title", "year", "kind", "tmdb_id", "page_url", trouble.alias("trouble")), evidence, as_of)
-    looked = seen.join(resolve.resolve(seen, candidates, verify_ids), "record", "left")
+    looked = saved(seen.join(resolve.resolve(seen, candidates, verify_ids), "record", "left"), "lookups")
     verdicts = resolve.credits(named(looked), people)
-    looked = looked.join(verdicts, ["record", "candidate"], "left")
+    looked = saved(looked.join(verdicts, ["record", "candidate"], "left"), "looked")
     told = seen.where("evidence IS NOT NULL").select("record", F.col("evidence.title").alias("title"), F.col("evidence.year").alias("year"), "kind", "evidence")
     by_kind = [resolve.pick(told.where(F.coalesce(F.col("kind") == "series", F.lit(False)) == series), candidates, kind) for series, kind in ((False, "movie"), (True, "tv"))]
     again = told.join(by_kind[0].unionByName(by_kind[1]), "record")
@@ -58,10 +59,10 @@ def decided(catalogue: DataFrame, candidates: DataFrame, evidence: DataFrame, pe
 
 def enriched(catalogue: DataFrame, candidates: DataFrame, evidence: DataFrame, people: DataFrame, overrides: DataFrame, attempts: DataFrame, as_of: Column, verify_ids: bool = False) -> tuple[DataFrame, DataFrame]:
     """(records with what was decided applied, their attempts) of a catalogue with `identity` (E7, M4, M8); see `decided`."""
-    out = decided(catalogue, candidates, evidence, people, overrides, as_of, verify_ids)
+    out = saved(decided(catalogue, candidates, evidence, people, overrides, as_of, verify_ids), "decided")
     c = candidates.select(F.col("id").alias("candidate"), F.col("type").alias("c_type"), F.struct(F.col("id").alias("tmdb_id"), F.col("type").alias("tmdb_type"), F.coalesce("imdb_id", F.lit("")).alias("imdb_id"), F.coalesce("poster_path", F.lit("")).alias("poster"), F.coalesce(F.col("vote_average").try_cast("double"), F.lit(0.0)).alias("rating"), F.coalesce("language", F.lit("")).alias("language")).alias("m"))
     found = out.join(c, (out["candidate"] == c["candidate"]) & (out["type"] == c["c_type"]), "left")
     cross = F.coalesce(F.col("how") == "cross", F.lit(False)) & ~F.col("reviewed")
     meta = F.when(F.col("m").isNotNull(), F.struct("m.*", cross.alias("cross_type")))
     outcomes = found.select(F.col("record").alias("id"), "status", "reason", (F.lit(verify_ids) | F.col("reviewed")).alias("replace"), meta.alias("meta"))
-    return records.enrich_batch(catalogue.drop("trouble"), outcomes, attempts, as_of)
+    return records.enrich_batch(catalogue.drop("trouble"), saved(outcomes, "outcomes"), attempts, as_of)

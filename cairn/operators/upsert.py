@@ -9,7 +9,7 @@ identities and episode numbers, never links. The links of all groups are merged
 from __future__ import annotations
 
 from collections import Counter, defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -121,10 +121,25 @@ _DECIDED = pa.schema([("pos", pa.int64()), ("target_item", pa.bool_()), ("target
 
 
 def identified(known: DataFrame, save: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """pos of each item, with what `decide` says of it."""
-    run = lambda t: pa.Table.from_pylist(decide(t.to_pylist()), schema=_DECIDED)
+    """pos of each item, with what `decide` says of it. Groups lie whole and one after another in sorted partitions."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, rows, out = None, [], []
+        for b in batches:
+            for r in b.to_pylist():
+                if rows and r["group"] != group:
+                    out += decide(rows)
+                    rows = []
+                group = r["group"]
+                rows.append(r)
+            if len(out) >= 10_000:
+                yield pa.RecordBatch.from_pylist(out, schema=_DECIDED)
+                out = []
+        yield pa.RecordBatch.from_pylist(out + decide(rows), schema=_DECIDED)
+
     ddl = "pos bigint, target_item boolean, target bigint, made boolean, id string, forked boolean, other_kind boolean"
-    return known.join(grouped(known, save), ["item", "pos"]).groupBy("group").applyInArrow(run, ddl)
+    sorted_ = known.join(grouped(known, save), ["item", "pos"]).repartition("group").sortWithinPartitions("group")
+    return sorted_.mapInArrow(run, ddl)
 
 
 def upsert(stored: DataFrame, items: DataFrame, as_of: Column, save: Callable[[DataFrame], DataFrame] = saved) -> tuple[DataFrame, DataFrame]:
