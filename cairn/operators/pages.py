@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from html.parser import HTMLParser
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cairn.functions import text
 
@@ -18,9 +23,6 @@ NAVIGATION = r"^/tamil-movies/[a-z]?/?$|^/tamil-[0-9]{4}-movies|^/tamil-atoz|^/t
 SERIES = r"-web-series/$|-season-[0-9]+/?$"
 OTHER_ITEM, OTHER_SKIP = r"^/movie/(?![0-9]+/?$)[^/]+/$", r"-collections?/$|^/movie/(?:tamil|hollywood|genres|yearly)"
 
-_ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))[^>]*>(.*?)</a>"""
-
-
 def plain(html: Column) -> Column:
     """Text of a piece of HTML: no tags, the usual entities, single blanks."""
     t = F.regexp_replace(html, "<[^>]*>", "")
@@ -29,12 +31,49 @@ def plain(html: Column) -> Column:
     return text.squeeze(t)
 
 
+class _Anchors(HTMLParser):
+    """The anchors of a page in order, as [href, text]; text inside several anchors belongs to each."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.found: list[list[str]] = []
+        self.open: list[int] = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "a":
+            self.open.append(len(self.found))
+            self.found.append([next((v for k, v in attrs if k == "href"), None), ""])
+
+    def handle_endtag(self, tag):
+        if tag == "a" and self.open:
+            self.open.pop()
+
+    def handle_data(self, data):
+        for k in self.open:
+            self.found[k][1] += data
+
+
+def parsed_anchors(html: str) -> list[tuple[str, str]]:
+    """(href, text) of the anchors with a link, in page order."""
+    parser = _Anchors()
+    parser.feed(html)
+    parser.close()
+    return [(href, text_) for href, text_ in parser.found if href is not None]
+
+
 def anchors(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """key, pos (from 0, in page order), href, label of every anchor with a link in any quotes (X1). Anchors of null
-    and empty pages are none."""
-    a = pages.select(key, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(_ANCHOR), F.lit(0))).alias("pos", "__a"))
-    part = lambda k: F.regexp_extract("__a", _ANCHOR, k)
-    return a.select(key, "pos", F.concat(part(1), part(2), part(3)).alias("href"), plain(part(4)).alias("label"))
+    """key, pos (from 0, in page order), href, label of every anchor with a link (X1), as a parser reads the page: attributes may
+    hold ">", entities are resolved, anchors may be nested or unclosed. Anchors of null and empty pages are none."""
+    kind = pages.schema[key].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(i, k, href, label) for i, page in enumerate(b.column(1).to_pylist()) if page for k, (href, label) in enumerate(parsed_anchors(page))]
+            at, pos, href, label = zip(*rows) if rows else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int32())), pa.array(pos, pa.int32()), pa.array(href, pa.string()), pa.array(label, pa.string())], names=[key, "pos", "href", "label"])
+
+    out = pages.select(F.col(key).alias("key"), F.col(html).alias("html")).mapInArrow(run, T.StructType([T.StructField(key, kind), T.StructField("pos", T.IntegerType()), T.StructField("href", T.StringType()), T.StructField("label", T.StringType())]))
+    return out.withColumn("label", text.squeeze(F.col("label")))
 
 
 def useful(href: Column) -> Column:

@@ -146,6 +146,27 @@ def listing(spark, d):
     return pages.first_each(a.select("page_id", "path", "pos", "label"), ["page_id", "path"], "pos")
 
 
+def item_listing(spark, d):
+    """Items of listing pages of parts, some links twice, to navigation, to social sites or to nowhere."""
+    p = table(spark, d, "part").select("p_partkey", "p_name", F.floor(F.col("p_partkey") / 20).alias("page_id"), F.regexp_replace("p_name", " ", "-").alias("slug"))
+    k = F.col("p_partkey")
+    end = F.element_at(F.array(*map(F.lit, ("-tamil-movie/", "-web-series/", "-movie", "-tamil-season-2/", "/about/"))), (k % 5 + 1).cast("int"))
+    href = F.when(k % 13 == 0, "/tamil-movies/a/").when(k % 17 == 0, "#top").otherwise(F.concat(F.when(k % 3 == 0, "https://h/").otherwise("/"), "slug", F.lit("-"), F.floor(k / 2).cast("string"), end))
+    link = F.concat(F.lit('<li><a title="a>b" href="'), href, F.lit('">'), F.initcap("p_name"), F.when(k % 4 == 0, " Season 3").otherwise(" &amp; more"), F.lit("</a></li>"))
+    html = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(k.alias("k"), link.alias("a")))), lambda x: x["a"]), "\n")
+    made = p.groupBy("page_id").agg(html.alias("html")).withColumn("url", F.concat(F.lit("https://h/list/"), F.col("page_id").cast("string")))
+    return pages.listing(made)
+
+
+def walk_plan(spark, d):
+    """Which walk each page needs by its path and links, and what a walk of the other kind of site finds there."""
+    a = pages.anchors(table(spark, d, "pages")).groupBy("page_id").agg(F.count_if(F.col("href").rlike("^/[A-M]")).alias("episodes"), F.count_if(F.col("href").rlike("^/[N-Z]")).alias("seasons"), F.count("*").alias("files"))
+    p = table(spark, d, "pages").select("page_id", F.when(F.col("page_id") % 7 == 0, "/x-web-series/").when(F.col("page_id") % 7 == 1, "/x-season-2").otherwise("/x-movie/").alias("path"))
+    j = p.join(a, "page_id", "left").na.fill(0)
+    few = lambda c: F.col(c) > 3
+    return j.select("page_id", pages.plan_walk(F.col("path"), few("episodes"), few("seasons")).alias("plan"), pages.walked_shape(F.when(few("episodes"), F.col("episodes")).otherwise(0), F.when(few("seasons"), F.col("seasons")).otherwise(0), F.col("files")).alias("shape"))
+
+
 def discovered(spark, d):
     """Three sources in order, each path where it came first."""
     p = table(spark, d, "part").select(F.col("p_name").alias("path"), F.col("p_partkey").cast("int").alias("pos"), "p_brand")
@@ -406,10 +427,13 @@ def override_validation(spark, d):
     return p.select("p_partkey", fault.alias("fault"))
 
 
-QUERIES = {f.__name__: f for f in (normalise_v1, normalise_v2, slugify, make_id, title_case, title_from_path, clean_title, title_for, parse_label, twin_base, log_texts, quality_bucket, path_key, identity_fingerprint, split_credits, page_anchors, page_heading, blocked_pages, item_path_filter, listing, discovered, page_posters, source_metadata, episode_walk, file_walk, shape_classifier, bounded_expansion, http_retry_class, pagination_cut, barren_streak, unique_exact_match, alternative_match, season_year_match, resolution_chain, composed_enrichment, similar_titles, rival_titles, override_outcome, lookup_notes, search_outcome, credit_evidence, title_similarity, evidence_decision, outcome_status, title_guard, override_validation)}
+QUERIES = {f.__name__: f for f in (normalise_v1, normalise_v2, slugify, make_id, title_case, title_from_path, clean_title, title_for, parse_label, twin_base, log_texts, quality_bucket, path_key, identity_fingerprint, split_credits, page_anchors, page_heading, blocked_pages, item_path_filter, listing, item_listing, walk_plan, discovered, page_posters, source_metadata, episode_walk, file_walk, shape_classifier, bounded_expansion, http_retry_class, pagination_cut, barren_streak, unique_exact_match, alternative_match, season_year_match, resolution_chain, composed_enrichment, similar_titles, rival_titles, override_outcome, lookup_notes, search_outcome, credit_evidence, title_similarity, evidence_decision, outcome_status, title_guard, override_validation)}
 
 _CASE = "array_to_string(list_transform(string_split({}, ' '), lambda w: upper(w[1]) || w[2:]), ' ')"
 _PATH = "regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
+_ENCODED = "url_encode({})"
+for _ch in "/,!'():;=@&+$*":
+    _ENCODED = "replace(" + _ENCODED + f", '%{ord(_ch):02X}', '" + _ch.replace("'", "''") + "')"
 _KEY = f"regexp_replace({_PATH}, '/+$', '') || '/'"
 _SLUG = "regexp_replace(regexp_replace(regexp_replace(lower({}), '\\([^)]*\\)', ' ', 'g'), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
 _V1 = "trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))"
@@ -480,7 +504,11 @@ SELECT event_id, status, CASE WHEN event_id % 6 = 0 AND status = 'unavailable' T
     "title_for": f"SELECT p_partkey, CASE WHEN w = 4 THEN cased WHEN w <= 1 OR w = 5 OR v IN (1, 3) THEN {_OWN} ELSE cased END AS title, CAST(CASE WHEN w <= 1 THEN y ELSE {_PATH_YEAR} END AS INT) AS year FROM {_LISTED}",
     "twin_base": "SELECT p_partkey, lower(p_name) AS base FROM part",
     "log_texts": "SELECT event_id, event_type || CASE WHEN user_id % 3 > 0 THEN ' (' || (user_id % 3) || ')' ELSE '' END AS name, CASE WHEN h < 1 THEN '<1h' WHEN h < 48 THEN h || 'h' ELSE CAST(floor(h / 24.0 + 0.5) AS INT) || 'd' END AS until, CASE WHEN ms < 1000 THEN ms || 'ms' WHEN ms < 60000 THEN (ms // 1000) || '.' || (ms % 1000 // 100) || 's' ELSE CAST(floor(ms / 60000.0 + 0.5) AS BIGINT) || 'm' END AS clock, event_type AS family FROM (SELECT *, event_id % 90 AS h, event_id * 500 AS ms FROM events)",
-    "listing": "WITH a AS (SELECT page_id, pos, " + _HREF + " AS href, " + _PLAIN.format(f"regexp_extract(a, '{_A}', 4)") + " AS label FROM " + _ANCHORS + "), u AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(href, '^[a-zA-Z][a-zA-Z0-9+.-]*:', ''), '^//[^/?#]*', ''), '[?#].*$', '') AS p FROM a WHERE href <> '' AND href NOT LIKE '#%' AND href NOT LIKE 'mailto:%') SELECT page_id, regexp_replace(p, '/+$', '') || '/' AS path, CAST(min(pos) AS INT) AS pos, arg_min(label, pos) AS label FROM u GROUP BY 1, 2",
+    "listing": "WITH a AS (SELECT page_id, pos, " + _HREF + " AS href, " + _PLAIN.format(f"regexp_extract(a, '{_A}', 4)") + " AS label FROM " + _ANCHORS + "), u AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(href, '^[a-zA-Z][a-zA-Z0-9+.-]*:', ''), '^//[^/?#]*', ''), '[?#].*$', '') AS p FROM a WHERE href <> '' AND href NOT LIKE '#%' AND href NOT LIKE 'mailto:%') SELECT page_id, " + _ENCODED.format("regexp_replace(p, '/+$', '')") + " || '/' AS path, CAST(min(pos) AS INT) AS pos, arg_min(label, pos) AS label FROM u GROUP BY 1, 2",
+    "item_listing": """WITH a AS (SELECT p_partkey // 20 AS page_id, p_partkey AS k, row_number() OVER (PARTITION BY p_partkey // 20 ORDER BY p_partkey) - 1 AS pos, replace(p_name, ' ', '-') || '-' || (p_partkey // 2) AS s, array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || w[2:]), ' ') || CASE WHEN p_partkey % 4 = 0 THEN ' Season 3' ELSE ' & more' END AS label FROM part WHERE true),
+i AS (SELECT page_id, pos, '/' || s || ['-tamil-movie/', '-web-series/', '-movie/', '-tamil-season-2/'][1 + k % 5] AS path, label FROM a WHERE k % 13 > 0 AND k % 17 > 0 AND k % 5 < 4)
+SELECT page_id, path, CAST(pos AS INT) AS pos, label, CASE WHEN path LIKE '%-web-series/' OR path LIKE '%-season-2/' OR label LIKE '%Season 3' THEN 'series' ELSE 'movie' END AS kind FROM i QUALIFY row_number() OVER (PARTITION BY page_id, path ORDER BY pos) = 1""",
+    "walk_plan": "WITH a AS (SELECT page_id, count(*) FILTER (regexp_matches(href, '^/[A-M]')) AS e, count(*) FILTER (regexp_matches(href, '^/[N-Z]')) AS s, count(*) AS n FROM (SELECT page_id, " + _HREF + " AS href FROM " + _ANCHORS + ") GROUP BY page_id) SELECT page_id, CASE WHEN page_id % 7 < 2 OR coalesce(e, 0) > 3 OR coalesce(s, 0) > 3 THEN 'series' ELSE 'movie' END AS plan, CASE WHEN e > 3 THEN 'episodes' WHEN s > 3 THEN 'seasons' WHEN n > 0 THEN 'movie' ELSE 'empty' END AS shape FROM pages LEFT JOIN a USING (page_id)",
     "discovered": "SELECT p_name AS path, CAST(s AS INT) AS source, CAST(p_partkey AS INT) AS pos, p_brand FROM (SELECT *, CASE p_brand[-1] WHEN '3' THEN 0 WHEN '1' THEN 1 WHEN '2' THEN 2 END AS s FROM part) WHERE s IS NOT NULL QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY s, p_partkey) = 1",
     "page_posters": "SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'https://p/uploads/posters/' || page_id || '.jpg' WHEN 1 THEN 'https://p/uploads/posters/' || page_id || '.webp' ELSE '' END AS poster FROM pages",
     "source_metadata": "SELECT p_partkey, true AS available, p_name || ' (' || (1950 + p_size) || ')' AS title, CAST(1950 + p_size AS INT) AS year, p_brand AS directors, p_type || '|' || p_brand AS people_cast FROM part",

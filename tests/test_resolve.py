@@ -131,6 +131,14 @@ def test_sources_in_order(spark):
     assert {r["path"]: r["pos"] for r in pages.children(index, items).collect()} == {"p": 0, "q": 0}
 
 
+def test_anchors_are_read_by_a_parser(spark):
+    html = """<p><a data-x="a>b" href="/x">one &eacute;&#8217;s <b>bold</b></a> <A HREF='/y?a=1&amp;b=2'>two
+    &nbsp; lines</A><a name="n">none</a><a href=/z>out <a href="/in">in</a> side</a><!-- <a href="/no">no</a> --><a href="">empty</a><a href="/open">never closed"""
+    df = spark.createDataFrame([(1, html), (2, None), (3, ""), (4, "<a href>bare</a>")], "page_id int, html string")
+    got = [tuple(r) for r in pages.anchors(df).orderBy("page_id", "pos").collect()]
+    assert got == [(1, 0, "/x", "one é’s bold"), (1, 1, "/y?a=1&b=2", "two lines"), (1, 2, "/z", "out in side"), (1, 3, "/in", "in"), (1, 4, "", "empty"), (1, 5, "/open", "never closed")]
+
+
 def test_descent_ends_at_finds(spark):
     ddl = "page string, pos int, target string, file string, quality string, episode int"
     rows = [
