@@ -50,13 +50,14 @@ def sf_dir(spark, docs, tmp_path_factory):
     labels = [(k, k % 2, 1 if 400 <= k < 440 else 0) for k in [*range(60), *range(400, 440)]] + [(59, None, None), (None, 1, 1)]
     spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
     spark.createDataFrame([*enumerate(ITEMS), (7, None), (8, "")], "item_id bigint, text string").write.parquet(f"{d}/benchmark.parquet")
+    spark.createDataFrame([(k, [float(k % 7), 1.0, float(k)]) for k in range(50)], "vec_id bigint, embedding array<float>").write.parquet(f"{d}/embeddings.parquet")
     return d
 
 
 @pytest.fixture(scope="session")
 def empty_dir(spark, sf_dir, tmp_path_factory):
     d = str(tmp_path_factory.mktemp("empty"))
-    for t in ("documents", "labels", "benchmark"):
+    for t in ("documents", "labels", "benchmark", "embeddings"):
         spark.read.parquet(f"{sf_dir}/{t}.parquet").limit(0).write.parquet(f"{d}/{t}.parquet")
     return d
 
