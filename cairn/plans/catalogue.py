@@ -55,7 +55,7 @@ def generation(spark, d, k):
 
 def merge_generations(spark, d):
     """The flagship: two generations as one, field by field and link by link."""
-    m = records.merge_generations(generation(spark, d, 0), generation(spark, d, 1))
+    m = records.merge_generations(saved(generation(spark, d, 0), "ours"), saved(generation(spark, d, 1), "theirs"))
     return m.select("id", "title", "year", "kind", "category", "language", "poster", "rating", "tmdb_id", "updated_at", _urls(F.col("embeds")).alias("links"), F.col("place.new").alias("only_ours"))
 
 
