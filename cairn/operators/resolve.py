@@ -39,9 +39,17 @@ def pick(records: DataFrame, candidates: DataFrame, kind: str, alternatives: boo
     known (J7): two are ambiguous and match nothing. records: record, title, year."""
     normal = text.normalise_v2 if v2 else text.normalise_v1
     key = normal(F.col("title"))
-    r = records.select("record", F.coalesce("year", F.lit(0)).alias("want"), (F.regexp_replace(key, " ", "") if compact else key).alias("key"))
-    hits = r.join(titles_of(candidates.where(F.col("type") == kind), alternatives, compact, v2), "key").where((F.col("want") == 0) | (F.col("want") == F.col("year")))
-    return _only(hits)
+    r = records.select("record", F.coalesce("year", F.lit(0)).alias("year"), (F.regexp_replace(key, " ", "") if compact else key).alias("key"))
+    names = titles_of(candidates.where(F.col("type") == kind), alternatives, compact, v2)
+    # a record meets one row a title and year, however many candidates share them; year 0 stands for any
+    dated = names.groupBy("key", "year").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    undated = dated.groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high")).select("key", F.lit(0).alias("year"), "low", "high")
+    return _single(r.join(dated.where("year <> 0").unionByName(undated), ["key", "year"]))
+
+
+def _single(hits: DataFrame, *more: Column) -> DataFrame:
+    """(record, candidate) of the records whose hits, from low to high, are one candidate."""
+    return hits.groupBy("record").agg(F.min("low").alias("candidate"), F.max("high").alias("__high"), *more).where("candidate = __high").drop("__high")
 
 
 def _only(hits: DataFrame) -> DataFrame:
@@ -57,8 +65,9 @@ def season_pick(records: DataFrame, candidates: DataFrame) -> DataFrame:
     aired = candidates.where("type = 'tv'").select("id", F.col("poster_path").alias("generic"), F.explode("seasons").alias("s"))
     aired = aired.select("id", F.col("s.season_number").alias("want_season"), year_of(F.col("s.air_date")).alias("want"), F.coalesce(F.nullif("s.poster_path", F.lit("")), "generic").alias("poster"))
     keys = titles_of(candidates.where("type = 'tv'")).select("id", "key").distinct()
-    hits = r.where("want_season > 0").join(keys, "key").join(aired, ["id", "want_season", "want"])
-    return hits.groupBy("record").agg(F.min("id").alias("candidate"), F.min("poster").alias("poster"), F.countDistinct("id").alias("n")).where("n = 1").drop("n")
+    shows = keys.join(aired, "id").groupBy("key", "want_season", "want").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.min("poster").alias("poster"))
+    hits = r.where("want_season > 0").join(shows, ["key", "want_season", "want"])
+    return _single(hits, F.min("poster").alias("poster"))
 
 
 def regional_ambiguous(generic: Column, language: Column, candidate_language: Column, host_known: Column) -> Column:

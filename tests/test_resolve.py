@@ -166,3 +166,26 @@ def test_walks(spark):
     assert (plan("/x-web-series/", False, False), plan("/x-movie/", True, False), plan("/x-movie/", False, True), plan("/x-movie/", False, False)) == ("series", "series", "series", "movie")
     shape = lambda *a: spark.range(1).select(pages.walked_shape(*(F.lit(x) for x in a))).first()[0]
     assert (shape(3, 2, 1), shape(0, 2, 1), shape(0, 0, 1), shape(0, 0, 0)) == ("episodes", "seasons", "movie", "empty")
+
+
+def _most_rows(df):
+    """The most rows that a join of df's plan has made, after df was collected."""
+    def walk(p):
+        name, metrics = p.nodeName(), p.metrics()
+        own = [metrics.apply("numOutputRows").value()] if "Join" in name and metrics.contains("numOutputRows") else []
+        inner = [p.finalPhysicalPlan()] if name.startswith("AdaptiveSparkPlan") else [p.plan()] if "QueryStage" in name else [p.children().apply(i) for i in range(p.children().size())]
+        return own + [n for x in inner for n in walk(x)]
+
+    return max(walk(df._jdf.queryExecution().executedPlan()))
+
+
+def test_records_and_candidates_of_one_title_do_not_meet_in_pairs(spark):
+    candidates = spark.range(400).selectExpr("id", "'tv' AS type", "CAST(NULL AS STRING) AS title", "CAST(NULL AS STRING) AS original_title", "'Saga' AS name", "CAST(NULL AS STRING) AS original_name", "CAST(NULL AS ARRAY<STRING>) AS alternatives", "'' AS release_date", "IF(id = 7, '1990-01-01', '2001-01-01') AS first_air_date", "'/g' AS poster_path", "array(named_struct('season_number', 2, 'air_date', IF(id = 7, '1991-01-01', '2002-01-01'), 'poster_path', IF(id = 7, '/s', ''))) AS seasons")
+    records = spark.range(300).selectExpr("id AS record", "'SAGA' AS title", "CASE id % 3 WHEN 0 THEN 1990 WHEN 1 THEN 2001 ELSE 0 END AS year")
+    df = resolve.pick(records, candidates, "tv")
+    assert {tuple(r) for r in df.collect()} == {(n, 7) for n in range(0, 300, 3)} and _most_rows(df) <= 300
+    seasons = records.selectExpr("record", "'Saga season 2' AS title", "IF(year = 0, 0, year + 1) AS year", "0 AS season")
+    df = resolve.season_pick(seasons, candidates)
+    assert {tuple(r) for r in df.select("record", "candidate", "poster").collect()} == {(n, 7, "/s") for n in range(0, 300, 3)} and _most_rows(df) <= 400
+    undated = records.where("record < 2").selectExpr("record", "title", "CAST(NULL AS INT) AS year")
+    assert [tuple(r) for r in resolve.pick(undated, candidates.where("id = 7"), "tv").orderBy("record").collect()] == [(0, 7), (1, 7)]
