@@ -79,24 +79,25 @@ def links(seasons: Column) -> Column:
 def link_rows(df: DataFrame, key: list[str], src: Column) -> DataFrame:
     """(key, src, movie, season, episode, ord, quality, url): a row a link of each record or item. Seasons without episodes and
     episodes without links have a row with a null ord, and season and episode are 0 for what is no series."""
-    s = df.where("kind = 'series'").select(*key, src.alias("src"), F.explode("seasons").alias("s")).select(*key, "src", F.col("s.season").alias("season"), F.posexplode_outer("s.episodes").alias("at", "e"))
-    s = s.select(*key, "src", F.lit(False).alias("movie"), "season", F.col("e.episode").alias("episode"), "at", F.posexplode_outer("e.embeds").alias("i", "x"))
-    s = s.select(*key, "src", "movie", "season", "episode", F.when(F.col("i").isNotNull(), F.struct("at", "i")).alias("ord"), F.col("x.quality").alias("quality"), F.col("x.url").alias("url"))
-    m = df.where("kind <> 'series'").select(*key, src.alias("src"), F.posexplode_outer("embeds").alias("i", "x"))
-    m = m.select(*key, "src", F.lit(True).alias("movie"), F.lit(0).alias("season"), F.lit(0).alias("episode"), F.when(F.col("i").isNotNull(), F.struct(F.lit(0).alias("at"), "i")).alias("ord"), F.col("x.quality").alias("quality"), F.col("x.url").alias("url"))
-    return s.unionByName(m)
+    movie = F.col("kind") != "series"
+    whole = F.array(F.struct(F.lit(0).alias("season"), F.array(F.struct(F.lit(0).alias("episode"), F.col("embeds").cast(EMBEDS).alias("embeds"))).alias("episodes"))).cast(SEASONS)
+    # records move once, nested and by their key, which serves all windows and groups of `merged_links`
+    r = df.where("kind IS NOT NULL").select(*key, src.alias("src"), movie.alias("movie"), F.when(movie, whole).otherwise(F.col("seasons").cast(SEASONS)).alias("seasons")).repartition(*key)
+    r = r.select(*key, "src", "movie", F.explode("seasons").alias("s")).select(*key, "src", "movie", F.col("s.season").alias("season"), F.posexplode_outer("s.episodes").alias("at", "e"))
+    r = r.select(*key, "src", "movie", "season", F.col("e.episode").alias("episode"), "at", F.posexplode_outer("e.embeds").alias("i", "x"))
+    return r.select(*key, "src", "movie", "season", "episode", F.when(F.col("i").isNotNull(), F.struct("at", "i")).alias("ord"), F.col("x.quality").alias("quality"), F.col("x.url").alias("url"))
 
 
-def merged_links(rows: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
+def merged_links(rows: DataFrame, key: list[str], save: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame]:
     """Sources of links in order of src, as one a key (M1, U1, O1): (key, movie, embeds, seasons), and (key, src, episodes) of each
     source that added or moved something, with the number of episodes that it brought.
 
     The first source of an episode stays as it is; a further one adds links whose URL is not there yet, after which better
-    qualities come first and equal ones stay in order. A movie's links are never sorted.
+    qualities come first and equal ones stay in order. A movie's links are never sorted. save keeps what both results are read from.
     """
     episode = Window.partitionBy(*key, "movie", "season", "episode")
     url = Window.partitionBy(*key, "movie", "season", "episode", "url")
-    r = rows.withColumn("first", F.min("src").over(episode)).withColumn("once", F.min(F.struct("src", "ord")).over(url))
+    r = rows.withColumn("once", F.min(F.struct("src", "ord")).over(url)).withColumn("first", F.min("src").over(episode))
     r = r.withColumn("second", F.min(F.when(F.col("src") > F.col("first"), F.col("src"))).over(episode))
     r = r.withColumn("kept", F.col("ord").isNotNull() & ((F.col("src") == F.col("first")) | (~falsy(F.col("url")) & (F.struct("src", "ord") == F.col("once")))))
     rank = F.when(F.col("movie"), 0).otherwise(quality_rank(F.col("quality")))
@@ -113,7 +114,7 @@ def merged_links(rows: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]
         F.array_sort(F.collect_list(F.when(F.col("episode").isNotNull(), F.struct("episode", "embeds")))).alias("episodes"), F.min("first").alias("first"),
         F.collect_list(F.when(F.col("episode").isNotNull(), F.struct("first", "adding"))).alias("news"),
     )
-    out = s.groupBy(*key, "movie").agg(F.array_sort(F.collect_list(F.struct("season", "episodes"))).cast(SEASONS).alias("seasons"), F.flatten(F.collect_list("news")).alias("news"), F.collect_list(F.when(F.size("episodes") == 0, F.col("first"))).alias("empty"))
+    out = save(s.groupBy(*key, "movie").agg(F.array_sort(F.collect_list(F.struct("season", "episodes"))).cast(SEASONS).alias("seasons"), F.flatten(F.collect_list("news")).alias("news"), F.collect_list(F.when(F.size("episodes") == 0, F.col("first"))).alias("empty")))
     firsts = F.transform("news", lambda n: F.struct(n["first"].alias("src"), (~F.col("movie")).cast("int").alias("n")))
     added = F.transform(F.flatten(F.transform("news", lambda n: n["adding"])), lambda x: F.struct(x.alias("src"), F.lit(0).alias("n")))
     bare = F.transform("empty", lambda x: F.struct(x.alias("src"), F.lit(0).alias("n")))

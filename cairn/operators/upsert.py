@@ -50,12 +50,16 @@ def entities(stored: DataFrame, items: DataFrame) -> DataFrame:
 def grouped(known: DataFrame, save: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Entities that items can meet, with their group: the least key of those that sharing keys leads to. Labels spread from
     keys to entities and back until none changes; save writes each round, so that rounds are not computed again."""
-    keys = F.array_compact(F.array(F.concat(F.lit("i"), F.col("id")), F.concat(F.lit("p"), F.col("path")), F.concat(F.lit("i"), F.col("fork_id")), *(F.when(F.col(c) != "", F.concat(F.lit("b"), F.col(c))) for c in ("base", "fork_base"))))
-    edges = save(known.select("item", "pos", F.explode(F.array_distinct(keys)).alias("key")))
-    met = edges.where("item").select("key").distinct()
-    touched = edges.where("NOT item").join(met, "key", "left_semi").select("item", "pos").distinct()
-    edges = save(edges.join(touched.unionByName(edges.where("item").select("item", "pos").distinct()), ["item", "pos"], "left_semi"))
-    label = save(edges.groupBy("key").agg(F.min("key").alias("label")))
+    # 61 bits of a key below its kind, bases first: keys that agree by chance put two groups into one, which decides the same
+    key = lambda kind, c: F.when(c.isNotNull(), F.shiftrightunsigned(F.xxhash64(c), 3) + F.lit(kind << 61))
+    keys = F.array_compact(F.array(*(key(0, F.nullif(F.col(c), F.lit(""))) for c in ("base", "fork_base")), key(1, F.col("id")), key(1, F.col("fork_id")), key(2, F.col("path"))))
+    # only keys that an item has and something else shares lead anywhere: no item looks for others
+    known = known.select("item", "pos", F.array_distinct(keys).alias("keys"))
+    edges = known.select("item", "pos", F.explode("keys").alias("key"))
+    shared = edges.groupBy("key").agg(F.count("*").alias("n"), F.max("item").alias("met")).where("met AND n > 1").select("key")
+    edges = save(edges.join(shared, "key", "left_semi"))
+    least = edges.groupBy("item", "pos").agg(F.min("key").alias("label"))
+    label = save(edges.join(least, ["item", "pos"]).groupBy("key").agg(F.min("label").alias("label")))
     while True:
         of = edges.join(label, "key").groupBy("item", "pos").agg(F.min("label").alias("label"))
         heard = edges.join(of, ["item", "pos"]).groupBy("key").agg(F.min("label").alias("new"))
@@ -64,11 +68,13 @@ def grouped(known: DataFrame, save: Callable[[DataFrame], DataFrame]) -> DataFra
         done = new.where("new <> label").isEmpty()
         label = new.select("key", F.col("new").alias("label"))
         if done:
-            return edges.join(label, "key").groupBy("item", "pos").agg(F.min("label").alias("group"))
+            linked = edges.join(label, "key").groupBy("item", "pos").agg(F.min("label").alias("group"))
+            alone = known.where("item").join(linked, ["item", "pos"], "left_anti").select("item", "pos", F.array_min("keys").alias("group"))
+            return linked.unionByName(alone)
 
 
 def decide(rows: list[dict]) -> list[dict]:
-    """For each item of one group, in order: the entity it belongs to (target_item, target), whether it made it, the id and
+    """For each item of one group (numbers: pairs of season and episode), in order: the entity it belongs to (target_item, target), whether it made it, the id and
     title, whether it was filed beside a record of the other kind, and whether it joins a record of another kind.
 
     A record is met by its id, then by its path, the one that stands first; then a series by its twin: the same base title
@@ -93,7 +99,7 @@ def decide(rows: list[dict]) -> list[dict]:
     orders: list[dict] = []
     out = []
     for r in sorted(rows, key=lambda r: (r["item"], r["pos"])):
-        numbers = {(n["season"], n["episode"]) for n in r["numbers"] or ()}
+        numbers = set(r["numbers"])
         if not r["item"]:
             add({**r, "numbers": set()}, numbers)
             continue
@@ -120,13 +126,22 @@ def decide(rows: list[dict]) -> list[dict]:
 _DECIDED = pa.schema([("pos", pa.int64()), ("target_item", pa.bool_()), ("target", pa.int64()), ("made", pa.bool_()), ("id", pa.string()), ("forked", pa.bool_()), ("other_kind", pa.bool_())])
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The batch's rows as dicts, numbers as lists of pairs: arrays are read flat, not a dict an episode."""
+    lists = batch.column("numbers")
+    pairs, ends = list(zip(*(c.to_pylist() for c in lists.values.flatten()))), lists.offsets.to_pylist()
+    names = [c for c in batch.schema.names if c != "numbers"]
+    for i, r in enumerate(zip(*(batch.column(c).to_pylist() for c in names))):
+        yield {**dict(zip(names, r)), "numbers": pairs[ends[i] : ends[i + 1]]}
+
+
 def identified(known: DataFrame, save: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """pos of each item, with what `decide` says of it. Groups lie whole and one after another in sorted partitions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, rows, out = None, [], []
         for b in batches:
-            for r in b.to_pylist():
+            for r in _rows(b):
                 if rows and r["group"] != group:
                     out += decide(rows)
                     rows = []
@@ -138,7 +153,7 @@ def identified(known: DataFrame, save: Callable[[DataFrame], DataFrame]) -> Data
         yield pa.RecordBatch.from_pylist(out + decide(rows), schema=_DECIDED)
 
     ddl = "pos bigint, target_item boolean, target bigint, made boolean, id string, forked boolean, other_kind boolean"
-    sorted_ = known.join(grouped(known, save), ["item", "pos"]).repartition("group").sortWithinPartitions("group")
+    sorted_ = known.drop("fork_title").join(grouped(known, save), ["item", "pos"]).repartition("group").sortWithinPartitions("group")
     return sorted_.mapInArrow(run, ddl)
 
 
@@ -168,7 +183,7 @@ def upsert(stored: DataFrame, items: DataFrame, as_of: Column, save: Callable[[D
     steps = live.join(who.select("pos", *key, "forked", "made", "id"), "pos").withColumn("src", F.col("pos"))
     source = save(base.unionByName(steps.select(*base.columns)).join(mixed.withColumn("__m", F.lit(True)), key, "left").withColumn("mixed", F.coalesce("__m", F.lit(False))).drop("__m"))
     plain = source.where("NOT mixed")
-    content, news = merged_links(link_rows(plain, key, F.col("src")), key)
+    content, news = merged_links(link_rows(plain, key, F.col("src")), key, save)
     # a series' flat links are derived anew by the first item that reaches it
     stale = plain.where((F.col("src") == -1) & (F.col("kind") == "series") & (F.to_json("embeds") != F.to_json(links(F.col("seasons"))))).select(*key)
     first = plain.where("src >= 0").groupBy(*key).agg(F.min("src").alias("src")).join(stale, key, "left_semi").withColumn("episodes", F.lit(0))

@@ -148,3 +148,23 @@ def test_empty_sides(spark, stored, items):
     got, log = run(spark, stored, items)
     vault, want = fold(stored, items, "2")
     assert len(got) == len(vault) and [x["action"] for x in log] == [x[2] for x in want]
+
+
+def test_links_are_shuffled_once(spark):
+    rows = spark.range(20).selectExpr("id", "0L AS src", "IF(id % 2 = 0, 'series', 'movie') AS kind", f"CAST(array(named_struct('quality', 'HD', 'url', 'u')) AS {records.EMBEDS}) AS embeds", f"CAST(array(named_struct('season', 1, 'episodes', array(named_struct('episode', 1, 'embeds', array(named_struct('quality', 'HD', 'url', 'u')))))) AS {records.SEASONS}) AS seasons")
+    content, _ = records.merged_links(records.link_rows(rows, ["id"], F.col("src")), ["id"])
+    assert content.count() == 20 and content._jdf.queryExecution().sparkPlan().toString().count("Window") >= 2
+    assert content._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("Exchange hashpartitioning") == 1
+
+
+def test_only_shared_keys_spread_groups(spark):
+    items = spark.range(50).selectExpr("true AS item", "id AS pos", "concat('i', id) AS id", "concat('/', id, '/') AS path", "concat('f', id) AS fork_id", "IF(id < 2, 'same', concat('b', id)) AS base", "concat('fb', id) AS fork_base")
+    sizes = []
+
+    def save(df):
+        sizes.append(df.count())
+        return df
+
+    groups = {r["pos"]: r["group"] for r in upsert.grouped(items, save).collect()}
+    assert len(groups) == 50 and len(set(groups.values())) == 49 and groups[0] == groups[1]
+    assert max(sizes) <= 2
