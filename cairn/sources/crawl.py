@@ -2,34 +2,37 @@
 
 The cursor moves on only over pages that could be read. A letter ends at its first missing page; after "z" the pass is over, and
 so is the run: the next one begins the next pass. A page that fails is asked for again, and the third failure in a row ends the
-run with the cursor on that page, so that no unread page is skipped. What a page holds is read on the executors, one task a page.
+run with the cursor on that page, so that no unread page is skipped. What pages hold is read on the executors, PAGES of them a task.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 #: Failures in a row that end a run.
 FAILURES = 3
+#: Pages that one task reads, and pages that are looked at together when the cursor moves on.
+PAGES, AHEAD = 100, 32
 ROWS = "pass int, letter string, page int, pos int, path string, label string"
 START = {"pass": 1, "letter": "a", "page": 1}
 _END = chr(ord("z") + 1)
 
 
 class Page(InputPartition):
-    def __init__(self, pass_: int, letter: str, page: int):
-        self.pass_, self.letter, self.page = pass_, letter, page
+    def __init__(self, pass_: int, places: list[tuple[str, int]]):
+        self.pass_, self.places = pass_, places
 
 
 class Crawler(DataSourceStreamReader):
     """Reads pages below root, each a folder letter=a/page=1 of JSON lines (attempt, status, pos, path, label)."""
 
     def __init__(self, options: dict):
-        self.root, self.most = options["root"], int(options.get("pages", 0))
+        self.root, self.most, self.there = options["root"], int(options.get("pages", 0)), set()
 
     def _store(self):
         from pyarrow import fs
@@ -68,10 +71,16 @@ class Crawler(DataSourceStreamReader):
 
     def latestOffset(self) -> dict:
         at, failures, pages = self.cursor(), 0, 0
+        self.there, first = set(), {}
         while not self.most or pages < self.most:
             if at["letter"] >= _END:
                 return {"pass": at["pass"] + 1, "letter": "a", "page": 1}
-            rows = self.rows(at["letter"], at["page"], failures + 1)
+            place = (at["letter"], at["page"])
+            if not failures and place not in first:
+                first = self._looked(*place, min(AHEAD, self.most - pages) if self.most else AHEAD)
+            rows = self.rows(*place, failures + 1) if failures else first[place]
+            if rows is not None:
+                self.there.add(place)
             if rows is None:
                 at = {**at, "letter": chr(ord(at["letter"]) + 1), "page": 1}
             elif any(x.get("status", 200) != 200 for x in rows):
@@ -82,22 +91,33 @@ class Crawler(DataSourceStreamReader):
                 at, failures, pages = {**at, "page": at["page"] + 1}, 0, pages + 1
         return at
 
+    def _looked(self, letter: str, page: int, n: int) -> dict:
+        """What the first attempts at n pages of a letter gave, from this page on."""
+        places = [(letter, page + i) for i in range(n)]
+        with ThreadPoolExecutor(8) as pool:
+            return dict(zip(places, pool.map(lambda place: self.rows(*place, 1), places)))
+
     def partitions(self, start: dict, end: dict) -> list[Page]:
-        at, out = dict(start), []
+        at, places = dict(start), []
         while at != end and at["letter"] < _END:
-            if self.rows(at["letter"], at["page"], None) is None:
+            place = (at["letter"], at["page"])
+            if place not in self.there and self.rows(*place, None) is None:
                 at = {**at, "letter": chr(ord(at["letter"]) + 1), "page": 1}
             else:
-                out.append(Page(at["pass"], at["letter"], at["page"]))
+                places.append(place)
                 at = {**at, "page": at["page"] + 1}
-        return out
+        return [Page(start["pass"], places[i : i + PAGES]) for i in range(0, len(places), PAGES)]
 
     def read(self, partition: Page) -> Iterator[tuple]:
+        for letter, page in partition.places:
+            yield from ((partition.pass_, letter, page, x["pos"], x["path"], x.get("label")) for x in self._whole(letter, page) if x.get("path") is not None)
+
+    def _whole(self, letter: str, page: int) -> list[dict]:
         for attempt in range(1, FAILURES + 1):
-            rows = self.rows(partition.letter, partition.page, attempt) or []
+            rows = self.rows(letter, page, attempt) or []
             if all(x.get("status", 200) == 200 for x in rows):
-                return iter([(partition.pass_, partition.letter, partition.page, x["pos"], x["path"], x.get("label")) for x in rows if x.get("path") is not None])
-        raise OSError(f"page {partition.letter}/{partition.page} cannot be read any more")
+                return rows
+        raise OSError(f"page {letter}/{page} cannot be read any more")
 
     def commit(self, end: dict) -> None:
         """Keeps the cursor beside the pages, written aside and moved into place."""

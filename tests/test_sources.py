@@ -189,3 +189,23 @@ def test_crawl_goes_on_where_it_stopped(spark, tmp_path):
     page("b", 1, ["/b1/"])
     again = [(2, *x[1:]) for x in whole]
     assert run() == (whole + again[:3] + [(2, "b", 1, "/b1/")] + again[3:], {"pass": 3, "letter": "a", "page": 1})
+
+
+def test_a_task_reads_many_pages_and_pages_are_looked_at_once(tmp_path):
+    from cairn.sources.crawl import PAGES, Crawler
+
+    for n in range(1, 2 * PAGES + 2):
+        (tmp_path / "letter=a" / f"page={n}").mkdir(parents=True)
+        bad = '{"attempt": 1, "status": 503}\n{"attempt": 2, "pos": 1, "path": "/x/"}\n'
+        (tmp_path / "letter=a" / f"page={n}" / "x.json").write_text(bad if n == 40 else '{"pos": 1, "path": "/p/"}\n')
+    reader, seen = Crawler({"root": str(tmp_path)}), []
+    rows = reader.rows
+    reader.rows = lambda letter, page, attempt: seen.append((letter, page, attempt)) or rows(letter, page, attempt)
+    start = reader.initialOffset()
+    end = reader.latestOffset()
+    parts = reader.partitions(start, end)
+    assert end == {"pass": 2, "letter": "a", "page": 1} and [len(p.places) for p in parts] == [PAGES, PAGES, 1]
+    assert sum(1 for s in seen if s[:2] == ("a", 7)) == 1
+    read = [r for p in parts for r in reader.read(p)]
+    assert [r[2] for r in read] == list(range(1, 2 * PAGES + 2)) and read[39][4] == "/x/"
+    assert [r[2] for p in Crawler({"root": str(tmp_path)}).partitions({"pass": 1, "letter": "a", "page": 150}, {"pass": 1, "letter": "a", "page": 160}) for r in reader.read(p)] == list(range(150, 160))
