@@ -12,8 +12,9 @@ anchor are consecutive; the text that they cover is the anchor's run.
    tell how far occurrences agree to the left before they differ. An interval's depth and a left extension
    that reach the length together are a maximal repeat; all its occurrences are covered, not just neighbours.
 3. An anchor with more than GROUP distinct runs is not gathered in a task: its runs are cut into parts of
-   STEP windows, whose common bytes are longer anchors, and parts of those that are still crowded into
-   single windows, which are counted. All ways give the same bytes.
+   STEPS windows, whose common bytes are longer anchors, and parts of those that are still crowded into a
+   quarter, down to single windows, which are counted. So a run is cut finely only where its neighbourhood
+   stays crowded. All ways give the same bytes.
 
 Each row is a document of its own: two equal rows are copies, and lose what equal texts under two ids lose.
 """
@@ -38,8 +39,8 @@ from cairn.llm.neardup import word_hashes, word_starts
 BYTES, WORDS = 1, 8
 #: Least length of a repeat in units, and units that an anchor hashes.
 LENGTH, SEED = {BYTES: 400, WORDS: 50}, {BYTES: 64, WORDS: 8}
-#: Distinct runs that one task compares, and windows in a part of the runs of a crowded anchor.
-GROUP, STEP = 256, 16
+#: Distinct runs that one task compares, and windows in a part of the runs of a crowded anchor at first.
+GROUP, STEPS = 256, {BYTES: 64, WORDS: 16}
 #: Parts into which the runs of one anchor are dealt where they are joined with what is known of the anchor.
 SALTS = 16
 #: Units that are hashed together, to stay in a processor's cache; longer texts are cut with overlap.
@@ -145,6 +146,12 @@ def covers(lefts: list[bytes], rights: list[bytes], length: int, unit: int = BYT
     only neighbours in that order can agree further to the left than before.
     """
     n = len(rights)
+    if n == 2:
+        depth = prefix(rights[0], rights[1]) // unit
+        if depth + min(map(len, lefts)) // unit < length:
+            return [None, None]
+        common_left = prefix(lefts[0][::-1], lefts[1][::-1]) // unit
+        return [(common_left, depth) if common_left + depth >= length else None] * 2
     back = [x[::-1] for x in lefts]
     by_left = sorted(range(n), key=back.__getitem__)
     rank = [0] * n
@@ -230,16 +237,48 @@ def contexts(packed_docs: DataFrame, wanted: DataFrame, unit: int, length: int)
 
 
 def compared(cold: DataFrame, unit: int, length: int) -> DataFrame:
-    """Spans of the unique runs that share a repeat with another run of their anchor."""
+    """Spans of the unique runs that share a repeat with another run of their anchor. A task reads its anchors in
+    order, many in a batch, and holds the runs of one."""
     schema = _schema(_SPAN)
+    fields = ("anchor", "n", "doc_id", "crc", "block", "start", "offset", "bytes")
 
-    def compare(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        found = covers([r["bytes"][: r["offset"] * unit] for r in rows], [r["bytes"][r["offset"] * unit :] for r in rows], length, unit)
-        out = [(r["doc_id"], r["crc"], r["block"], r["start"] + r["offset"] - c[0], r["start"] + r["offset"] + c[1]) for r, c in zip(rows, found) if c and r["n"] == 1]
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 5, schema)], schema=schema)
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in batches:
+            rows = pa.Table.from_batches([b])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            anchor = held.column("anchor").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(anchor)) + 1).tolist()]
+            yield of_anchors(held, cuts)
+            held = held.slice(cuts[-1])
+        if held is not None:
+            yield of_anchors(held, [0, held.num_rows])
+        common.trim()
+
+    def of_anchors(table: pa.Table, cuts: list[int]) -> pa.RecordBatch:
+        """The spans of rows cuts[0] to cuts[-1], where each cut begins an anchor."""
+        n, start, offset = (table.column(c).to_numpy() for c in ("n", "start", "offset"))
+        raw, at = table.column("bytes").slice(0, cuts[-1]).to_pylist(), offset.tolist()
+        of, left, right = [], [], []
+        for a, b in zip(cuts, cuts[1:]):
+            found = covers([raw[k][: at[k] * unit] for k in range(a, b)], [raw[k][at[k] * unit :] for k in range(a, b)], length, unit)
+            for k, c in enumerate(found, a):
+                if c:
+                    of.append(k)
+                    left.append(c[0])
+                    right.append(c[1])
+        k = np.array(of, np.int64)
+        single = n[k] == 1
+        k, left, right = k[single], np.array(left, np.int64)[single], np.array(right, np.int64)[single]
+        place = start[k] + offset[k]
+        whole = table.select(["doc_id", "crc", "block"]).take(pa.array(k)).combine_chunks()
+        return common.batch_of(schema, *(_flat(c) for c in whole.columns), pa.array(place - left), pa.array(place + right))
+
+    return cold.select(*fields).repartition("anchor").sortWithinPartitions("anchor").mapInArrow(compare, _SPAN)
 
-    return cold.groupBy("anchor").applyInArrow(compare, _SPAN)
+
+def _flat(column: pa.ChunkedArray) -> pa.Array:
+    return column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
 
 
 def of_shared(rows: DataFrame, shared: DataFrame) -> DataFrame:
@@ -251,7 +290,8 @@ def of_shared(rows: DataFrame, shared: DataFrame) -> DataFrame:
 def refined(hot: DataFrame, step: int, unit: int, length: int) -> DataFrame:
     """Spans of the unique runs of crowded anchors. Each run is cut into parts of at most `step` windows at
     equal distances from the anchor; the units that all windows of a part have in common become its anchor,
-    and parts are treated like runs. With a step of one a part is a window, and counting decides."""
+    and parts are treated like runs, with a quarter of the step. With a step of one a part is a window, and
+    counting decides."""
     ddl = _CONTEXT.replace("k bigint", "run bigint")
     schema = _schema(ddl)
 
@@ -278,7 +318,13 @@ def refined(hot: DataFrame, step: int, unit: int, length: int) -> DataFrame:
     fields = [c.split()[0] for c in _CONTEXT.split(", ")[3:]]
     distinct = rows.groupBy("anchor", "run").agg(F.sum("n").alias("n"), *(F.first(c).alias(c) for c in fields))
     near = common.stored(of_shared(distinct, shared).select("anchor", "k", "n", *fields), "part-contexts")
-    return found.unionByName(compared(near.where(F.col("k") <= GROUP), unit, length)).unionByName(refined(near.where(F.col("k") > GROUP), 1, unit, length))
+    return found.unionByName(compared_or_refined(near, step // 4, unit, length))
+
+
+def compared_or_refined(near: DataFrame, step: int, unit: int, length: int) -> DataFrame:
+    """Spans of unique runs (anchor, k, ...): those of crowded anchors, if there are any, are cut first."""
+    found, hot = compared(near.where(F.col("k") <= GROUP), unit, length), near.where(F.col("k") > GROUP)
+    return found if hot.isEmpty() else found.unionByName(refined(hot, step, unit, length))
 
 
 def _pair(a: int, b: int) -> int:
@@ -297,7 +343,7 @@ def spans(docs: DataFrame, n: int, unit: int, length: int) -> DataFrame:
     wanted = of_shared(distinct, shared).select("anchor", "k", "n", "doc_id", "crc", "block", "start", "windows", "offset")
     near = common.stored(contexts(words.packed(docs, words.hashed_block(n)), wanted, unit, length), "contexts")
     whole = found.join(distinct.where("n >= 2").select("anchor", "run"), ["anchor", "run"]).select("doc_id", "crc", "block", "start", (F.col("start") + F.col("windows") + length - 1).alias("stop"))
-    out = common.stored(whole.unionByName(compared(near.where(F.col("k") <= GROUP), unit, length)).unionByName(refined(near.where(F.col("k") > GROUP), STEP, unit, length)), "spans")
+    out = common.stored(whole.unionByName(compared_or_refined(near, STEPS[unit], unit, length)), "spans")
     common.forget(found, distinct, near)
     return out
 
