@@ -166,6 +166,8 @@ def distinct_words(texts: pa.Array) -> set[bytes]:
 
 
 _LOADED: dict[int, object] = {}
+#: The characters that a byte-level tokenizer shows for bytes without a printable one: those from 256 on, in order.
+_SHOWN = {b: 256 + k for k, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
 
 
 def encoder(model: str):
@@ -178,7 +180,7 @@ def encoder(model: str):
     from tokenizers import Tokenizer
 
     t = _LOADED.get(hash(model)) or _LOADED.setdefault(hash(model), Tokenizer.from_str(model))
-    tokenize, visible = t.model.tokenize, t.pre_tokenizer.pre_tokenize_str
+    tokenize = t.model.tokenize
     pack = lambda ids: array("H", ids).tobytes()
     known: dict[str, bytes] = {}
 
@@ -187,7 +189,7 @@ def encoder(model: str):
 
     def one(w: str) -> bytes:
         if w not in known:
-            known[w] = pack([x.id for x in tokenize(w if w.isascii() else visible(w)[0][0])])
+            known[w] = pack([x.id for x in tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(_SHOWN))])
         return known[w]
 
     def run(distinct: list[bytes]) -> list[bytes]:

@@ -24,6 +24,9 @@ from cairn.llm import common
 ID = np.dtype("<u2")
 #: Bytes of text in a block: what one task holds at once.
 BLOCK = 32 << 20
+#: Bytes of text that are split together, and words whose ids are looked up together: a block's own arrays are small
+#: beside what splitting and looking up need for a moment.
+SLAB, LOOKED_UP = 4 << 20, 1 << 18
 _DOCS = pa.schema([("doc_id", pa.int64()), ("text", pa.binary())])
 
 
@@ -100,15 +103,36 @@ def coded(texts: pa.ListArray) -> Split:
     return Split(words.dictionary.cast(pa.binary()).to_pylist(), words.indices.to_numpy(), np.bincount(of, minlength=len(texts)))
 
 
+def by_slab(split: Splitter, texts: pa.Array) -> Split:
+    """What split gives for all texts, SLAB bytes at a time; distinct words do not repeat."""
+    known: dict[bytes, int] = {}
+    ends = np.cumsum(np.r_[0, pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)])
+    places, sizes, i = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], 0
+    while i < len(texts):
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] + SLAB, "right")) - 1)
+        s = split(texts.slice(i, j - i))
+        at = np.fromiter((known.setdefault(w, len(known)) for w in s.distinct), np.int32, len(s.distinct))
+        places.append(at[s.places])
+        sizes.append(s.sizes)
+        i = j
+    return Split(list(known), np.concatenate(places), np.concatenate(sizes))
+
+
 def looked_up(s: Split, codes: list[bytes]) -> list[bytes]:
-    """The packed ids of each text, given those of the distinct words."""
-    size = np.array([len(c) for c in codes], np.int64) // ID.itemsize
-    flat, first = np.frombuffer(b"".join(codes), ID), np.cumsum(size) - size
-    wide = size[s.places]
-    ends = np.r_[0, np.cumsum(wide)]
-    ids = flat[np.repeat(first[s.places] - ends[:-1], wide) + np.arange(ends[-1])]
-    cuts = ends[np.r_[0, np.cumsum(s.sizes)]].tolist()
-    return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+    """The packed ids of each text, given those of the distinct words; about LOOKED_UP words at a time."""
+    size = np.array([len(c) for c in codes], np.int32) // ID.itemsize
+    flat, first = np.frombuffer(b"".join(codes), ID), np.cumsum(size, dtype=np.int64) - size
+    stop, out, i = np.r_[0, np.cumsum(s.sizes)], [], 0
+    while i < len(s.sizes):
+        j = max(i + 1, int(np.searchsorted(stop, stop[i] + LOOKED_UP, "right")) - 1)
+        places = s.places[stop[i] : stop[j]]
+        wide = size[places]
+        ends = np.r_[0, np.cumsum(wide, dtype=np.int64)]
+        ids = flat[np.repeat(first[places] - ends[:-1], wide) + np.arange(ends[-1])]
+        cuts = ends[stop[i : j + 1] - stop[i]].tolist()
+        out += [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+        i = j
+    return out
 
 
 def joined(items: list[bytes]) -> bytes:
@@ -123,7 +147,7 @@ def parted(blob: bytes) -> list[bytes]:
     return [raw[a:b] for a, b in zip([4 + 4 * n, *ends], ends)]
 
 
-def bucketed(distinct: set[bytes], n: int) -> dict[int, list[bytes]]:
+def bucketed(distinct: Iterable[bytes], n: int) -> dict[int, list[bytes]]:
     """The words of each bucket, in order: a block and its buckets agree on it without saying so. A word meets
     its forms with a stop or comma, which an encoder may build from it."""
     out: dict[int, list[bytes]] = {}
@@ -172,8 +196,8 @@ def encoded(
     def reassemble(left: pa.Table, right: pa.Table) -> pa.Table:
         docs_ = pa.concat_tables([pa.ipc.open_stream(blob).read_all() for blob in left.column("docs").to_pylist()] or [_DOCS.empty_table()])
         text = docs_.column("text").combine_chunks()
-        s = split(text)
-        buckets = bucketed({*s.distinct}, n)
+        s = by_slab(split, text)
+        buckets = bucketed(s.distinct, n)
         code: dict[bytes, bytes] = {}
         for bucket, cs in zip(right.column("bucket").to_pylist(), right.column("codes").to_pylist()):
             code.update(zip(buckets.pop(bucket), parted(cs)))
