@@ -23,10 +23,13 @@ def upsert_match(items: DataFrame, stored: DataFrame, id_: str, path: str, pos:
 
 def twins(episodes: DataFrame, record: str, base: str, season: str, episode: str, least: int = 3) -> DataFrame:
     """Records of one base title that share at least `least` episodes (J4): each with its best twin, the
-    earliest at a tie, and how many they share. An equi-join on the episode, not a search of pairs."""
-    e = episodes.select(record, base, season, episode).distinct()
+    earliest at a tie, and how many they share. An equi-join on the episode, not a search of pairs. Episodes are
+    dealt by the join's keys before they are made distinct: a task that reads a large file holds none of them."""
+    e = episodes.select(record, base, season, episode).repartition(base, season, episode).distinct()
     a, b = (e.select(base, season, episode, F.col(record).alias(f"{record}_{s}")) for s in "ab")
-    shared = a.join(b, [base, season, episode]).where(F.col(f"{record}_a") != F.col(f"{record}_b")).groupBy(f"{record}_a", f"{record}_b").agg(F.count("*").alias("shared")).where(F.col("shared") >= least)
+    shared = a.join(b, [base, season, episode]).where(F.col(f"{record}_a") < F.col(f"{record}_b")).groupBy(f"{record}_a", f"{record}_b").agg(F.count("*").alias("shared")).where(F.col("shared") >= least)
+    sides = F.explode(F.array(*(F.struct(F.col(f"{record}_{x}").alias(f"{record}_a"), F.col(f"{record}_{y}").alias(f"{record}_b")) for x, y in ("ab", "ba"))))
+    shared = shared.select(sides.alias("side"), "shared").select("side.*", "shared")
     best = shared.groupBy(f"{record}_a").agg(F.max_by(F.struct(f"{record}_b", "shared"), F.struct("shared", -F.col(f"{record}_b"))).alias("t"))
     return best.select(F.col(f"{record}_a").alias(record), F.col(f"t.{record}_b").alias("twin"), F.col("t.shared").alias("shared"))
 
