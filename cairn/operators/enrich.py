@@ -28,15 +28,16 @@ def decided(catalogue: DataFrame, candidates: DataFrame, evidence: DataFrame, pe
     """
     r = catalogue.withColumn("record", F.col("id"))
     trouble = F.coalesce(F.col("trouble"), F.lit(False)) if "trouble" in catalogue.columns else F.lit(False)
-    seen = resolve.cached_evidence(r.select("record", "title", "year", "kind", "tmdb_id", "page_url", trouble.alias("trouble")), evidence, as_of)
-    looked = saved(seen.join(resolve.resolve(seen, candidates, verify_ids), "record", "left"), "lookups")
-    verdicts = resolve.credits(named(looked), people)
-    looked = saved(looked.join(verdicts, ["record", "candidate"], "left"), "looked")
-    told = seen.where("evidence IS NOT NULL").select("record", F.col("evidence.title").alias("title"), F.col("evidence.year").alias("year"), "kind", "evidence")
-    by_kind = [resolve.pick(told.where(F.coalesce(F.col("kind") == "series", F.lit(False)) == series), candidates, kind) for series, kind in ((False, "movie"), (True, "tv"))]
-    again = told.join(by_kind[0].unionByName(by_kind[1]), "record")
-    strong = resolve.credits(named(again), people).where("strong").select("record", F.col("candidate").alias("told"))
-    looked = looked.join(strong, "record", "left")
+    seen = saved(resolve.cached_evidence(r.select("record", "title", "year", "kind", "tmdb_id", "page_url", trouble.alias("trouble")), evidence, as_of), "seen")
+    index = saved(resolve.title_index(candidates), "titles")
+    looked = seen.join(resolve.resolve(seen, candidates, verify_ids, index), "record", "left")
+    told = seen.where("evidence IS NOT NULL").select("record", F.col("evidence.title").alias("title"), F.col("evidence.year").alias("year"), F.when(F.col("kind") == "series", "tv").otherwise("movie").alias("type"))
+    looked = saved(looked.join(resolve.picked(told, index).select("record", F.col("candidate").alias("again")), "record", "left"), "lookups")
+    # the names of a record are held once against all candidates that it may be, found by either way
+    either = looked.select("record", "evidence", F.explode(F.array_distinct(F.array("candidate", "again"))).alias("candidate"))
+    verdicts = saved(resolve.credits(named(either), people), "verdicts")
+    strong = verdicts.where("strong").select("record", F.col("candidate").alias("again"), F.col("candidate").alias("told"))
+    looked = looked.join(verdicts, ["record", "candidate"], "left").join(strong, ["record", "again"], "left")
     mapped = resolve.override_outcome(seen, overrides, candidates).select("record", F.col("candidate").alias("o_candidate"), F.col("status").alias("o_status"), F.col("reason").alias("o_reason"))
     looked = looked.join(mapped, "record", "left")
     e = F.col("evidence")
@@ -61,7 +62,10 @@ def enriched(catalogue: DataFrame, candidates: DataFrame, evidence: DataFrame, p
     """(records with what was decided applied, their attempts) of a catalogue with `identity` (E7, M4, M8); see `decided`."""
     out = saved(decided(catalogue, candidates, evidence, people, overrides, as_of, verify_ids), "decided")
     c = candidates.select(F.col("id").alias("candidate"), F.col("type").alias("c_type"), F.struct(F.col("id").alias("tmdb_id"), F.col("type").alias("tmdb_type"), F.coalesce("imdb_id", F.lit("")).alias("imdb_id"), F.coalesce("poster_path", F.lit("")).alias("poster"), F.coalesce(F.col("vote_average").try_cast("double"), F.lit(0.0)).alias("rating"), F.coalesce("language", F.lit("")).alias("language")).alias("m"))
-    found = out.join(c, (out["candidate"] == c["candidate"]) & (out["type"] == c["c_type"]), "left")
+    none = F.col("candidate").isNull() | F.col("type").isNull()  # these would all meet in one task
+    some = out.where(~none)
+    found = some.join(c, (some["candidate"] == c["candidate"]) & (some["type"] == c["c_type"]), "left").select(some["*"], "m")
+    found = found.unionByName(out.where(none), allowMissingColumns=True)
     cross = F.coalesce(F.col("how") == "cross", F.lit(False)) & ~F.col("reviewed")
     meta = F.when(F.col("m").isNotNull(), F.struct("m.*", cross.alias("cross_type")))
     outcomes = found.select(F.col("record").alias("id"), "status", "reason", (F.lit(verify_ids) | F.col("reviewed")).alias("replace"), meta.alias("meta"))

@@ -23,28 +23,52 @@ def year_of(date: Column) -> Column:
     return F.coalesce(F.substring(F.coalesce(date, F.lit("")), 1, 4).try_cast("int"), F.lit(0))
 
 
-def titles_of(candidates: DataFrame, alternatives: bool = False, compact: bool = False, v2: bool = False) -> DataFrame:
-    """id, type, year, key: every title a candidate goes by, normalised, each once (J7), with official
-    alternatives (T4) and without blanks (T5) if asked."""
+def _titles(candidates: DataFrame, alternatives: bool = False, compact: bool = False, v2: bool = False) -> DataFrame:
+    """titles_of, where a title may stand more than once."""
     normal = text.normalise_v2 if v2 else text.normalise_v1
     names = F.array("title", "original_title", "name", "original_name")
     names = F.concat(names, F.coalesce("alternatives", F.array().cast("array<string>"))) if alternatives else names
     year = F.when(F.col("type") == "tv", year_of(F.col("first_air_date"))).otherwise(year_of(F.col("release_date")))
     out = candidates.select("id", "type", year.alias("year"), F.explode(names).alias("t")).select("id", "type", "year", normal(F.col("t")).alias("key")).where("key <> ''")
-    return out.select("id", "type", "year", F.regexp_replace("key", " ", "").alias("key") if compact else F.col("key")).distinct()
+    return out.select("id", "type", "year", F.regexp_replace("key", " ", "").alias("key") if compact else F.col("key"))
+
+
+def titles_of(candidates: DataFrame, alternatives: bool = False, compact: bool = False, v2: bool = False) -> DataFrame:
+    """id, type, year, key: every title a candidate goes by, normalised, each once (J7), with official
+    alternatives (T4) and without blanks (T5) if asked."""
+    return _titles(candidates, alternatives, compact, v2).distinct()
+
+
+def title_index(candidates: DataFrame, alternatives: bool = False, compact: bool = False, v2: bool = False) -> DataFrame:
+    """type, key, year, low, high: the least and the greatest id of the candidates of a type that share a title and a
+    year: one row, however many they are; year 0 stands for any. It may be written once for several lookups."""
+    return _lowest(_titles(candidates, alternatives, compact, v2), "type")
+
+
+def _lowest(titles: DataFrame, *by: str) -> DataFrame:
+    dated = titles.groupBy(*by, "key", "year").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    undated = dated.groupBy(*by, "key").agg(F.min("low").alias("low"), F.max("high").alias("high")).select(*by, "key", F.lit(0).alias("year"), "low", "high")
+    return dated.where("year <> 0").unionByName(undated)
 
 
 def pick(records: DataFrame, candidates: DataFrame, kind: str, alternatives: bool = False, compact: bool = False, v2: bool = False) -> DataFrame:
     """(record, candidate) where just one candidate of the kind has the record's title, and its year if that is
     known (J7): two are ambiguous and match nothing. records: record, title, year."""
+    names = titles_of(candidates.where(F.col("type") == kind), alternatives, compact, v2)
+    return _picked(records, _lowest(names), compact, v2)
+
+
+def picked(records: DataFrame, index: DataFrame, compact: bool = False, v2: bool = False) -> DataFrame:
+    """(record, type, candidate): `pick` by an index made the same way. records: record, type, title, year."""
+    return _picked(records, index, compact, v2, "type")
+
+
+def _picked(records: DataFrame, index: DataFrame, compact: bool, v2: bool, *by: str) -> DataFrame:
     normal = text.normalise_v2 if v2 else text.normalise_v1
     key = normal(F.col("title"))
-    r = records.select("record", F.coalesce("year", F.lit(0)).alias("year"), (F.regexp_replace(key, " ", "") if compact else key).alias("key"))
-    names = titles_of(candidates.where(F.col("type") == kind), alternatives, compact, v2)
-    # a record meets one row a title and year, however many candidates share them; year 0 stands for any
-    dated = names.groupBy("key", "year").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    undated = dated.groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high")).select("key", F.lit(0).alias("year"), "low", "high")
-    return _single(r.join(dated.where("year <> 0").unionByName(undated), ["key", "year"]))
+    r = records.select("record", *by, F.coalesce("year", F.lit(0)).alias("year"), (F.regexp_replace(key, " ", "") if compact else key).alias("key"))
+    hits = r.join(index, [*by, "key", "year"]).groupBy("record", *by).agg(F.min("low").alias("candidate"), F.max("high").alias("high"))
+    return hits.where("candidate = high").drop("high")
 
 
 def _single(hits: DataFrame, *more: Column) -> DataFrame:
@@ -118,13 +142,13 @@ def override_outcome(records: DataFrame, overrides: DataFrame, candidates: DataF
     return j.select("record", F.when(same, F.col("candidate")).alias("candidate"), status.alias("status"), reason.alias("reason"))
 
 
-def resolve(records: DataFrame, candidates: DataFrame, verify_ids: bool = False) -> DataFrame:
+def resolve(records: DataFrame, candidates: DataFrame, verify_ids: bool = False, index: DataFrame | None = None) -> DataFrame:
     """(record, candidate, type, how) by the chain of lookups.
 
     The stored id in its own type; with verify_ids, only if the title agrees. Else the id in the other type, if the
     title agrees (cross). Else the one exact match of the own type, then, for a movie, of a show (search-tv; a
     series is never matched to a film). Else what the record had, if it is suspect (kept), or none.
-    records: record, title, year, kind, tmdb_id.
+    records: record, title, year, kind, tmdb_id; index: the candidates' title_index, if it is there already.
     """
     first = F.when(F.col("kind") == "series", "tv").otherwise("movie")
     r = records.select("record", "title", "year", "kind", "tmdb_id", first.alias("own"), F.when(F.col("kind") == "series", "movie").otherwise("tv").alias("alt"))
@@ -132,14 +156,16 @@ def resolve(records: DataFrame, candidates: DataFrame, verify_ids: bool = False)
     known = r.where(~falsy(F.col("tmdb_id")))
     own = known.join(c, (F.col("tmdb_id") == F.col("id")) & (F.col("own") == F.col("type"))).select("record", F.col("found").alias("own_title"))
     alt = known.join(c, (F.col("tmdb_id") == F.col("id")) & (F.col("alt") == F.col("type"))).select("record", F.col("found").alias("alt_title"))
-    movies, shows = r.where("own = 'movie'"), r.where("own = 'tv'")
-    search = pick(movies, candidates, "movie").unionByName(pick(shows, candidates, "tv")).withColumnRenamed("candidate", "own_hit")
-    tv = pick(movies, candidates, "tv").withColumnRenamed("candidate", "tv_hit")
-    j = r.join(own, "record", "left").join(alt, "record", "left").join(search, "record", "left").join(tv, "record", "left")
+    # a movie is looked for among movies and, failing that, among shows; a series among shows only
+    wanted = r.select("record", "title", "year", F.explode(F.when(F.col("own") == "tv", F.array("own")).otherwise(F.array("own", "alt"))).alias("type"))
+    hits = picked(wanted, title_index(candidates) if index is None else index).groupBy("record")
+    hits = hits.agg(*(F.max(F.when(F.col("type") == t, F.col("candidate"))).alias(f"{t}_hit") for t in ("movie", "tv")))
+    j = r.join(own, "record", "left").join(alt, "record", "left").join(hits, "record", "left")
+    j = j.withColumn("own_hit", F.when(F.col("own") == "movie", F.col("movie_hit")).otherwise(F.col("tv_hit")))
     same = lambda t: F.coalesce(text.normalise_v1(F.col(t)) == text.normalise_v1(F.col("title")), F.lit(False))
     trusted = F.col("own_title").isNotNull() & (same("own_title") | F.lit(not verify_ids))
     cross = F.col("own_title").isNull() & same("alt_title")
-    how = F.when(trusted, "id").when(cross, "cross").when(F.col("own_hit").isNotNull(), "search").when(F.col("tv_hit").isNotNull(), "search-tv").when(F.col("own_title").isNotNull(), "kept").otherwise("none")
+    how = F.when(trusted, "id").when(cross, "cross").when(F.col("own_hit").isNotNull(), "search").when((F.col("own") == "movie") & F.col("tv_hit").isNotNull(), "search-tv").when(F.col("own_title").isNotNull(), "kept").otherwise("none")
     candidate = F.when(how.isin("id", "cross", "kept"), F.col("tmdb_id")).otherwise(F.coalesce("own_hit", "tv_hit"))
     kind = F.when(how.isin("id", "search", "kept"), F.col("own")).when(how == "cross", F.col("alt")).when(how == "search-tv", "tv")
     return j.select("record", candidate.alias("candidate"), kind.alias("type"), how.alias("how"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cairn.functions import text
 from cairn.operators import enrich, fuzzy, match, pages, resolve
+from cairn.sources.scratch import saved
 from cairn.sources.tables import AS_OF, table
 
 
@@ -294,14 +295,15 @@ def resolution_chain(spark, d):
 
 
 def composed_enrichment(spark, d):
-    """E1, E2, E7, S13, T3, J11, J12, M4, M8 as one plan: parts that look for their entity, with evidence of their pages."""
-    r = _records(spark, d)
+    """E1, E2, E7, S13, T3, J11, J12, M4, M8 as one plan: parts that look for their entity, with evidence of their pages.
+    Both sides are dealt out first: parts lie dense in one file, which few tasks would read for every step."""
+    r = saved(_records(spark, d).repartition("record"), "records")
     n = F.col("record")
     texts = {c: F.lit("") for c in ("category", "language", "category_source", "poster", "imdb_id", "added_at")}
     catalogue = r.select(n.alias("id"), "title", "year", "kind", *(c.alias(k) for k, c in texts.items()), F.concat(F.lit("https://h/"), n.cast("string"), F.lit("/")).alias("page_url"), F.lit(0.0).alias("rating"), "tmdb_id", F.lit("i").alias("identity"), (n % 46 == 0).alias("trouble"))
     name = lambda kind, k: F.concat(F.lit(f"{kind} "), (k % 5).cast("string"))
     source = r.where("record % 14 <> 4").select(F.concat(F.lit("http://other/"), n.cast("string"), F.lit("?x")).alias("source_url"), (F.lit(AS_OF).cast("timestamp") - F.make_dt_interval(days=(n % 9).cast("int"))).alias("fetched_at"), (n % 22 != 0).alias("available"), F.col("p_name").alias("title"), (F.col("year") - F.when(n % 6 == 0, 1).otherwise(0)).alias("year"), F.array().cast("array<string>").alias("directors"), F.when(n % 26 == 0, F.array().cast("array<string>")).otherwise(F.array(name("anna", F.floor(n / 2)), name("bert", F.floor(n / 2)))).alias("people_cast"))
-    c = _candidates(spark, d).withColumn("language", F.when(F.col("id") % 10 < 5, "ta").otherwise("en")).withColumn("vote_average", F.lit(5.0)).withColumn("imdb_id", F.concat(F.lit("tt"), F.col("id").cast("string"))).withColumn("poster_path", F.lit("/p"))
+    c = saved(_candidates(spark, d).repartition("id"), "candidates").withColumn("language", F.when(F.col("id") % 10 < 5, "ta").otherwise("en")).withColumn("vote_average", F.lit(5.0)).withColumn("imdb_id", F.concat(F.lit("tt"), F.col("id").cast("string"))).withColumn("poster_path", F.lit("/p"))
     person = lambda kind, k: c.select(F.col("id").alias("candidate"), F.lit(k).alias("person"), name(kind, F.floor(F.col("id") / 2)).alias("name"), F.lit(False).alias("director"))
     people = person("Anna", 1).unionByName(person("Bert", 2))
     o = c.where("id % 34 = 1").select((F.col("id") - 1).alias("id"), F.col("id").alias("tmdb_id"), F.col("type").alias("tmdb_type"), F.when(F.col("id") % 4 == 1, "Other").otherwise(F.coalesce("title", "name")).alias("expected_title"))
