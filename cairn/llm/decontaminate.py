@@ -18,6 +18,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,8 +32,8 @@ STRIDE, EXTRA, COSINE = 32, 32, 0.35
 COVERED, COVERED_WITH_ANSWER, ANSWER = 0.7, 0.6, 0.9
 #: Words in more than this share of all blocks have no weight, but for each item's rarest ones.
 TOO_COMMON, RAREST = 0.01, 3
-#: Items that are searched at once.
-ITEMS = 256
+#: Items that are searched at once, and bytes of text that a task has as words and vectors at once.
+ITEMS, CHUNK = 256, 1 << 19
 _PLAIN = bytes.maketrans(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", b" " * 32)
 
 
@@ -100,20 +101,25 @@ def live(t: Texts, weight: np.ndarray) -> Texts:
 
 def block_sums(t: Texts, matrix: np.ndarray) -> np.ndarray:
     """dimensions by blocks: sums of the matrix (dimensions by words) over the known words of each block."""
-    return np.stack([np.bincount(t.block, row[t.place], t.n) for row in matrix]).astype(np.float32)
+    out = np.empty((len(matrix), t.n), np.float32)
+    for k, row in enumerate(matrix):
+        out[k] = np.bincount(t.block, row[t.place], t.n)
+    return out
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], size: int = 2_000_000):
-    """(batch row numbers, texts) of batches, some megabytes of text at a time."""
+def _chunks(batches: Iterator[pa.RecordBatch]):
+    """(batch row numbers, texts) of batches, at most CHUNK bytes of text or one text at a time. A worker outlives the
+    task and gives back what it took."""
     for b in batches:
-        raw, i = common.texts(b), 0
-        while i < len(raw):
-            j, n = i, 0
-            while j < len(raw) and n < size:
-                n += len(raw[j])
-                j += 1
-            yield b, range(i, j), raw[i:j]
+        text = b.column("text").cast(pa.binary())
+        ends = np.cumsum(np.r_[0, pc.binary_length(text).to_numpy(zero_copy_only=False).astype(np.int64)])
+        i = 0
+        while i < len(text):
+            j = max(i + 1, int(np.searchsorted(ends, ends[i] + CHUNK, "right")) - 1)
+            yield b, range(i, j), text.slice(i, j - i).to_pylist()
             i = j
+        del text
+    common.trim()
 
 
 def document_frequencies(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple[np.ndarray, int]:
@@ -154,12 +160,13 @@ def latent_space(docs: DataFrame, vocabulary: dict[bytes, int], weight: np.ndarr
     across = np.ascontiguousarray(weighted.T)
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        y = np.zeros((size, rank))
+        y = np.zeros((rank, size))
         for _, _, texts in _chunks(batches):
             t = live(located(texts, vocabulary), weight)
-            y += np.stack([np.bincount(t.place, row[t.block], size) for row in block_sums(t, across)], 1)
-        at = np.flatnonzero(np.abs(y).max(1) > 0)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *(pa.array(c.astype(np.float32)) for c in y[at].T)], names=["place", *(f"c{k}" for k in range(rank))])
+            for k, row in enumerate(block_sums(t, across)):
+                y[k] += np.bincount(t.place, row[t.block], size)
+        at = np.flatnonzero(y.any(0))
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *(pa.array(c[at].astype(np.float32)) for c in y)], names=["place", *(f"c{k}" for k in range(rank))])
 
     columns = [f"c{k}" for k in range(rank)]
     rows = docs.select("text").mapInArrow(multiply, "place int, " + ", ".join(f"{c} float" for c in columns)).groupBy("place").agg(*(F.sum(c).alias(c) for c in columns)).toArrow()

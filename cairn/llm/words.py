@@ -103,18 +103,25 @@ def coded(texts: pa.ListArray) -> Split:
     return Split(words.dictionary.cast(pa.binary()).to_pylist(), words.indices.to_numpy(), np.bincount(of, minlength=len(texts)))
 
 
-def by_slab(split: Splitter, texts: pa.Array) -> Split:
-    """What split gives for all texts, SLAB bytes at a time; distinct words do not repeat."""
-    known: dict[bytes, int] = {}
+def slabs(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts in parts of SLAB bytes, or of one text."""
     ends = np.cumsum(np.r_[0, pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)])
-    places, sizes, i = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], 0
+    i = 0
     while i < len(texts):
         j = max(i + 1, int(np.searchsorted(ends, ends[i] + SLAB, "right")) - 1)
-        s = split(texts.slice(i, j - i))
+        yield texts.slice(i, j - i)
+        i = j
+
+
+def by_slab(split: Splitter, texts: pa.Array) -> Split:
+    """What split gives for all texts, SLAB bytes at a time; distinct words do not repeat."""
+    known: dict[bytes, int] = {}
+    places, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for slab in slabs(texts):
+        s = split(slab)
         at = np.fromiter((known.setdefault(w, len(known)) for w in s.distinct), np.int32, len(s.distinct))
         places.append(at[s.places])
         sizes.append(s.sizes)
-        i = j
     return Split(list(known), np.concatenate(places), np.concatenate(sizes))
 
 
@@ -174,7 +181,9 @@ def encoded(
         seen: dict[int, set[bytes]] = {}
         for b in batches:
             for block, blob in zip(b.column("block").to_pylist(), b.column("docs").to_pylist()):
-                seen.setdefault(block, set()).update(distinct(texts(blob)) if distinct else split(texts(blob)).distinct)
+                mine = seen.setdefault(block, set())
+                for slab in slabs(texts(blob)):
+                    mine.update(distinct(slab) if distinct else split(slab).distinct)
         while seen:
             block, mine = seen.popitem()
             buckets = bucketed(mine, n)
@@ -203,7 +212,7 @@ def encoded(
             code.update(zip(buckets.pop(bucket), parted(cs)))
         ids = looked_up(s, [code[w] for w in s.distinct])
         del s, code, buckets
-        out = finish(left.column("block")[0].as_py() if left.num_rows else -1, zip(docs_.column("doc_id").to_pylist(), text.to_pylist(), ids))
+        out = finish(left.column("block")[0].as_py() if left.num_rows else -1, zip(docs_.column("doc_id").to_pylist(), (t.as_py() for t in text), ids))
         del docs_, text, ids
         common.trim()
         return out
