@@ -10,8 +10,8 @@ range of a document's ids, is decoded without the rest.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
-from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -147,67 +147,130 @@ def from_row(starts: bytes, symbols: bytes, rules: bytes, lengths: bytes) -> Gra
     return Grammar(whole(symbols, "<u4"), whole(rules, "<u4").reshape(-1, 2), whole(lengths, "<u4"), whole(starts, "<u4"))
 
 
-def split(texts: pa.Array) -> words.Split:
-    """Texts' words. The tokenizer lowers them anyway, but for its special tokens, which hold "<|"."""
+def lowered(texts: pa.Array) -> pa.ListArray:
+    """Texts as lists of words. The tokenizer lowers them anyway, but for its special tokens, which hold "<|"."""
     raw = texts.cast(pa.string())
     if pc.any(pc.match_substring(raw, "<|")).as_py():
         raw = pc.if_else(pc.match_substring(raw, "<|"), raw, pc.ascii_lower(raw))
     else:
         raw = pc.ascii_lower(raw)
-    return words.coded(pc.ascii_split_whitespace(raw))
+    return pc.ascii_split_whitespace(raw)
+
 
+def split(texts: pa.Array) -> words.Split:
+    """Texts' words."""
+    return words.coded(lowered(texts))
 
-def distinct_words(texts: pa.Array) -> set[bytes]:
-    """The distinct words of texts, as `split` gives them."""
-    out: set[bytes] = set()
-    for t in texts.to_pylist():
-        out.update(t.split() if b"<|" in t else t.lower().split())
-    return out
+
+def placed(texts: pa.Array) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
+    """What `split` gives for all texts, SLAB bytes at a time, with the distinct words left in Arrow: none repeats."""
+    parts, sizes = [pa.array([], pa.string()).dictionary_encode()], [np.zeros(0, np.int64)]
+    for slab in words.slabs(texts):
+        part, n = words.listed(lowered(slab))
+        parts.append(part)
+        sizes.append(n)
+    whole = pa.chunked_array(parts).unify_dictionaries()
+    return whole.chunk(0).dictionary, np.concatenate([c.indices.to_numpy() for c in whole.chunks]), np.concatenate(sizes)
 
 
-_LOADED: dict[int, object] = {}
 #: The characters that a byte-level tokenizer shows for bytes without a printable one: those from 256 on, in order.
 _SHOWN = {b: 256 + k for k, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
+#: Words of these characters, if they have no capitals, are what normalisation leaves alone; an apostrophe may part
+#: a word otherwise than by kinds of characters, and "<|" may begin a special token.
+_EASY, _HARD, _KNOWN = r"^[!-~\x{a1}-\x{24f}]+$", r"'|<\|", 0x250
+_KIND = np.array([{"L": 1, "N": 2}.get(unicodedata.category(chr(c))[0], 3) for c in range(_KNOWN)], np.uint8)
+#: Pieces in one string for the library, and strings or words in one call: what it says of each token besides its
+#: id is far larger than the id.
+_JOINED, _CALL = 256, 32
+
+
+def pieces(easy: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+    """Easy words cut as the tokenizer cuts them, into runs of letters, single digits and runs of others; and
+    where each word's pieces begin, their number last."""
+    cuts, raw = np.frombuffer(easy.buffers()[1], np.int32, len(easy) + 1), np.frombuffer(easy.buffers()[2], np.uint8)
+    raw = raw[: cuts[-1]]
+    at = np.flatnonzero((raw & 0xC0) != 0x80)
+    char = raw[at].astype(np.int32)
+    wide = np.flatnonzero(char >= 0xC0)  # of two bytes, as no easy character has more
+    char[wide] = (char[wide] & 0x1F) << 6 | (raw[at[wide] + 1] & 0x3F)
+    kind, begins = _KIND[char], np.zeros(len(raw) + 1, bool)
+    begins[cuts] = True
+    new = np.r_[True, (kind[1:] != kind[:-1]) | (kind[1:] == 2)] | begins[at]
+    starts = np.r_[at[new], len(raw)].astype(np.int32)
+    return pa.StringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts), easy.buffers()[2]), np.searchsorted(starts, cuts)
+
+
+def shown(texts: pa.StringArray) -> pa.StringArray:
+    """Each byte of the texts as the character that stands for it."""
+    cuts, raw = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1), np.frombuffer(texts.buffers()[2], np.uint8)
+    high = (raw := raw[: cuts[-1]]) >= 0x80
+    ends = np.cumsum(np.r_[0, 1 + high], dtype=np.int32)
+    char = np.array([_SHOWN.get(b, b) for b in range(256)], np.int32)[raw]
+    out = np.zeros(ends[-1], np.uint8)
+    out[ends[:-1]] = np.where(high, 0xC0 | char >> 6, char)
+    out[ends[1:][high] - 1] = 0x80 | (char[high] & 0x3F)
+    return pa.StringArray.from_buffers(len(texts), pa.py_buffer(np.ascontiguousarray(ends[cuts])), pa.py_buffer(out))
+
+
+class Library(NamedTuple):
+    """The tokenizer; its model alone, for pieces that are already cut and shown; which ids end a piece."""
+
+    whole: object
+    model: object
+    ends: np.ndarray
+
+
+_LOADED: dict[int, Library] = {}
+
+
+def library(model: str) -> Library:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer, pre_tokenizers
 
+    if hash(model) not in _LOADED:
+        whole = Tokenizer.from_str(model)
+        bare, ends = Tokenizer(whole.model), np.zeros(1 << 16, bool)
+        bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        ends[[i for token, i in bare.get_vocab().items() if token.endswith(whole.model.end_of_word_suffix)]] = True
+        _LOADED[hash(model)] = Library(whole, bare, ends)
+    return _LOADED[hash(model)]
 
-def encoder(model: str):
-    """Distinct words to packed ids by the tokenizers library, which keeps no state between words.
 
-    A word of lower-case letters, with or without a final stop or comma, is one piece that normalisation
-    leaves alone, so the library's model gets it directly; other words go through the whole library.
+def called(tokenizer, texts: pa.StringArray, many: int) -> tuple[np.ndarray, list[int]]:
+    """The ids of texts, one after another, and how many each has; `many` texts at a time."""
+    flat, sizes = [np.zeros(0, words.ID)], []
+    for i in range(0, len(texts), many):
+        for e in tokenizer.encode_batch_fast(texts.slice(i, many).to_pylist(), add_special_tokens=False):
+            flat.append(np.array(e.ids, words.ID))
+            sizes.append(len(flat[-1]))
+    return np.concatenate(flat), sizes
+
+
+def encode(distinct: pa.StringArray, lib: Library) -> words.Codes:
+    """Distinct words to ids by the tokenizers library, which keeps no state between words.
+
+    Easy words are cut into pieces here, all at once, and the library's model gets each distinct piece, many in a
+    call; the last id of a piece tells its end. Other words go through the whole library.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    t = _LOADED.get(hash(model)) or _LOADED.setdefault(hash(model), Tokenizer.from_str(model))
-    tokenize = t.model.tokenize
-    pack = lambda ids: array("H", ids).tobytes()
-    known: dict[str, bytes] = {}
-
-    def letters(w: str) -> bool:
-        return w.isalpha() and (w.isascii() and w.islower() or max(w) < "\u0250" and w == w.lower())
-
-    def one(w: str) -> bytes:
-        if w not in known:
-            known[w] = pack([x.id for x in tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(_SHOWN))])
-        return known[w]
-
-    def run(distinct: list[bytes]) -> list[bytes]:
-        tail = {c: pack(t.encode(c, add_special_tokens=False).ids) for c in ".,"}
-        out, rest = [], []
-        for k, w in enumerate(map(bytes.decode, distinct)):
-            if letters(w):
-                out.append(one(w))
-            elif w[-1] in tail and letters(w[:-1]):
-                out.append(one(w[:-1]) + tail[w[-1]])
-            else:
-                out.append(b"")
-                rest.append(k)
-        for k, e in zip(rest, t.encode_batch_fast([distinct[k].decode() for k in rest], add_special_tokens=False)):
-            out[k] = pack(e.ids)
-        return out
-
-    return run
+    easy = pc.and_(pc.match_substring_regex(distinct, _EASY), pc.invert(pc.match_substring_regex(distinct, _HARD)))
+    easy = pc.and_(easy, pc.equal(distinct, pc.utf8_lower(distinct)))
+    is_easy = easy.to_numpy(zero_copy_only=False)
+    first, sizes = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int32)
+    flat, sizes[~is_easy] = called(lib.whole, distinct.filter(pc.invert(easy)), _CALL * _JOINED)
+    first[~is_easy] = np.cumsum(sizes[~is_easy], dtype=np.int64) - sizes[~is_easy]
+    if is_easy.any():
+        cut, begin = pieces(distinct.filter(easy))
+        cut = cut.dictionary_encode()
+        lists = np.r_[np.arange(0, len(cut.dictionary), _JOINED), len(cut.dictionary)].astype(np.int32)
+        ids, _ = called(lib.model, pc.binary_join(pa.ListArray.from_arrays(pa.array(lists), shown(cut.dictionary)), " "), _CALL)
+        ends = np.flatnonzero(lib.ends[ids]) + 1
+        if len(ends) != len(cut.dictionary) or ends[-1] != len(ids):
+            raise ValueError("ids must tell where a piece ends")
+        size = np.diff(np.r_[0, ends]).astype(np.int32)
+        more, at = words.Codes(ids, ends - size, size).of(cut.indices.to_numpy())
+        first[is_easy], sizes[is_easy] = len(flat) + at[begin[:-1]], np.diff(at[begin])
+        flat = np.concatenate([flat, more])
+    return words.Codes(flat, first, sizes)
 
 
 def ordered_blocks(docs: DataFrame, n: int) -> list[int]:
@@ -220,7 +283,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, shard_i
     """Writes the shards of all documents below path and returns them as read from there.
 
     Blocks are ranges of doc_id, a null id first; in a block, documents are ordered by id, then by text.
-    The tokenizer cuts at white space and never looks across it, so words are encoded by themselves.
+    The tokenizer cuts at white space and never looks across it, so a block's distinct words are encoded once
+    and its documents put together by their places.
     """
     with open(tokenizer, encoding="utf-8") as f:
         model = docs.sparkSession.sparkContext.broadcast(f.read())
@@ -230,25 +294,33 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, shard_i
     fields = pa.schema([("block", pa.int32()), ("shard", pa.int32()), ("doc_ids", pa.list_(pa.int64())), *((c, pa.binary()) for c in ("starts", "symbols", "rules", "lengths"))])
     end = np.array([END], words.ID).tobytes()
 
-    def finish(block: int, rows) -> pa.Table:
+    def shard(table: pa.Table) -> pa.Table:
+        block, whole = table.column("block")[0].as_py(), pa.concat_tables([pa.ipc.open_stream(blob).read_all() for blob in table.column("docs").to_pylist()])
+        ids, order = whole.column("doc_id").to_pylist(), pc.sort_indices(whole, [("doc_id", "ascending"), ("text", "ascending")], null_placement="at_start").to_pylist()
+        distinct, places, sizes = placed(whole.column("text").combine_chunks())
+        del whole
+        coded = words.by_places(places, sizes, encode(distinct, library(model.value)))
+        del distinct, places
         out, doc_ids, parts, size = [], [], [], 0
 
         def close():
             starts = np.r_[0, np.cumsum([len(x) // 2 for x in parts])].astype(np.int64)
             out.append(to_row(block, len(out), doc_ids, repair(np.frombuffer(b"".join(parts), words.ID), starts)))
 
-        for doc_id, _, ids in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
-            doc_ids.append(doc_id)
-            parts.append(ids + end)
+        for k in order:
+            doc_ids.append(ids[k])
+            parts.append(coded[k] + end)
             size += len(parts[-1]) // 2
             if size >= shard_ids:
                 close()
                 doc_ids, parts, size = [], [], 0
         if doc_ids:
             close()
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * len(fields), fields)], schema=fields)
+        del coded, parts
+        common.trim()
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out), fields)], schema=fields)
 
-    shards = words.encoded(docs, block.cast("int"), n, split, lambda: encoder(model.value), finish, SHARD, distinct_words)
+    shards = words.packed(docs, block.cast("int")).repartition(n, "block").groupBy("block").applyInArrow(shard, SHARD)
     shards.write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(shards.schema).parquet(path)
 

@@ -93,14 +93,19 @@ def by_text(split: Callable[[bytes], list[bytes]]) -> Splitter:
     return run
 
 
-def coded(texts: pa.ListArray) -> Split:
-    """A splitter's result from lists of words, empty ones left out."""
+def listed(texts: pa.ListArray) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of lists, empty ones left out, one after another by a dictionary, and words a list."""
     flat, of = texts.flatten(), np.repeat(np.arange(len(texts)), pc.list_value_length(texts).to_numpy())
     there = pc.greater(pc.binary_length(flat), 0)
     if not pc.all(there).as_py():
         flat, of = flat.filter(there), of[there.to_numpy(zero_copy_only=False)]
-    words = flat.dictionary_encode()
-    return Split(words.dictionary.cast(pa.binary()).to_pylist(), words.indices.to_numpy(), np.bincount(of, minlength=len(texts)))
+    return flat.dictionary_encode(), np.bincount(of, minlength=len(texts))
+
+
+def coded(texts: pa.ListArray) -> Split:
+    """A splitter's result from lists of words, empty ones left out."""
+    words, sizes = listed(texts)
+    return Split(words.dictionary.cast(pa.binary()).to_pylist(), words.indices.to_numpy(), sizes)
 
 
 def slabs(texts: pa.Array) -> Iterator[pa.Array]:
@@ -125,23 +130,38 @@ def by_slab(split: Splitter, texts: pa.Array) -> Split:
     return Split(list(known), np.concatenate(places), np.concatenate(sizes))
 
 
-def looked_up(s: Split, codes: list[bytes]) -> list[bytes]:
-    """The packed ids of each text, given those of the distinct words; about LOOKED_UP words at a time."""
-    size = np.array([len(c) for c in codes], np.int32) // ID.itemsize
-    flat, first = np.frombuffer(b"".join(codes), ID), np.cumsum(size, dtype=np.int64) - size
-    stop, out, i = np.r_[0, np.cumsum(s.sizes)], [], 0
-    while i < len(s.sizes):
-        j = max(i + 1, int(np.searchsorted(stop, stop[i] + LOOKED_UP, "right")) - 1)
-        places = s.places[stop[i] : stop[j]]
-        wide = size[places]
+class Codes(NamedTuple):
+    """Packed ids of distinct words: those of word k are flat[first[k]:][:size[k]]."""
+
+    flat: np.ndarray
+    first: np.ndarray
+    size: np.ndarray
+
+    def of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words at these places, one after another, and where each word's begin, their number last."""
+        wide = self.size[places]
         ends = np.r_[0, np.cumsum(wide, dtype=np.int64)]
-        ids = flat[np.repeat(first[places] - ends[:-1], wide) + np.arange(ends[-1])]
+        return self.flat[np.repeat(self.first[places] - ends[:-1], wide) + np.arange(ends[-1])], ends
+
+
+def by_places(places: np.ndarray, sizes: np.ndarray, codes: Codes) -> list[bytes]:
+    """The packed ids of each text, given its words' places and their number; about LOOKED_UP words at a time."""
+    stop, out, i = np.r_[0, np.cumsum(sizes)], [], 0
+    while i < len(sizes):
+        j = max(i + 1, int(np.searchsorted(stop, stop[i] + LOOKED_UP, "right")) - 1)
+        ids, ends = codes.of(places[stop[i] : stop[j]])
         cuts = ends[stop[i : j + 1] - stop[i]].tolist()
         out += [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
         i = j
     return out
 
 
+def looked_up(s: Split, codes: list[bytes]) -> list[bytes]:
+    """The packed ids of each text, given those of the distinct words."""
+    size = np.array([len(c) for c in codes], np.int32) // ID.itemsize
+    return by_places(s.places, s.sizes, Codes(np.frombuffer(b"".join(codes), ID), np.cumsum(size, dtype=np.int64) - size, size))
+
+
 def joined(items: list[bytes]) -> bytes:
     """Lengths, then the items' bytes, compressed: how lists of words and of codes travel."""
     return zlib.compress(len(items).to_bytes(4, "little") + np.array([len(x) for x in items], "<u4").tobytes() + b"".join(items), 1)
@@ -165,13 +185,12 @@ def bucketed(distinct: Iterable[bytes], n: int) -> dict[int, list[bytes]]:
 
 def encoded(
     docs: DataFrame, block: Column, n: int, split: Splitter, encoder: Callable[[], Callable[[list[bytes]], list[bytes]]],
-    finish: Callable[[int, Iterator[tuple[int | None, bytes, bytes]]], pa.Table], result: str, distinct: Callable[[pa.Array], Iterable[bytes]] | None = None,
+    finish: Callable[[int, Iterator[tuple[int | None, bytes, bytes]]], pa.Table], result: str,
 ) -> DataFrame:
     """finish(block, documents) for each block, where a document is (doc_id, text, packed ids).
 
     split gives texts' words in order; encoder() makes, once a task, the function that turns distinct words
-    into packed ids. Blocks hold 1/n of the documents, buckets 1/n of the distinct words. distinct may give
-    texts' distinct words in a cheaper way than split.
+    into packed ids. Blocks hold 1/n of the documents, buckets 1/n of the distinct words.
     """
     whole = packed(docs, block).repartition(n, "block")
     sent = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("words", pa.binary())])
@@ -183,7 +202,7 @@ def encoded(
             for block, blob in zip(b.column("block").to_pylist(), b.column("docs").to_pylist()):
                 mine = seen.setdefault(block, set())
                 for slab in slabs(texts(blob)):
-                    mine.update(distinct(slab) if distinct else split(slab).distinct)
+                    mine.update(split(slab).distinct)
         while seen:
             block, mine = seen.popitem()
             buckets = bucketed(mine, n)
