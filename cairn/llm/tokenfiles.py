@@ -28,6 +28,8 @@ TOKENIZER, END, BASE = public_tokenizers.path("word_bpe_49k.json"), 2, 49_408
 #: Ids in a shard before it is closed, and least count of a pair: a rule is two symbols and a length, so with
 #: fewer uses it would cost more than it saves.
 SHARD_IDS, LEAST = 1 << 19, 4
+#: Ids of a rule that readers keep expanded.
+READY = 64
 SHARD = "block int, shard int, doc_ids array<bigint>, starts binary, symbols binary, rules binary, lengths binary"
 
 
@@ -102,9 +104,11 @@ def repair(ids: np.ndarray, starts: np.ndarray, base: int = BASE, least: int = L
     return Grammar(seq, table, lengths, starts)
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, base: int = BASE) -> np.ndarray:
-    """The ids that symbols stand for: all rules are applied once a round until none is left."""
+def expand(symbols: np.ndarray, rules: np.ndarray, base: int = BASE, left: np.ndarray | None = None) -> np.ndarray:
+    """The ids that symbols stand for: all rules are applied once a round until none is left, but those that `left` marks."""
     while len(at := np.flatnonzero(symbols >= base)):
+        if left is not None and not len(at := at[~left[symbols[at] - base]]):
+            break
         wide = np.ones(len(symbols), np.int64)
         wide[at] = 2
         end = np.cumsum(wide)
@@ -130,12 +134,16 @@ def document(g: Grammar, i: int, begin: int = 0, end: int | None = None, base: i
 
 
 def documents(g: Grammar, base: int = BASE) -> list[np.ndarray]:
-    """The ids of all documents of a shard, expanded at once and parted by the expansion lengths."""
-    rules = g.symbols >= base
-    long = np.ones(len(g.symbols), np.int64)
-    long[rules] = g.lengths[g.symbols[rules] - base]
-    ends = np.r_[0, np.cumsum(long)][g.starts]
-    return np.split(expand(g.symbols, g.rules, base), ends[1:-1])
+    """The ids of all documents of a shard, expanded at once and parted by the expansion lengths. Rules of at most
+    READY ids are expanded once and then copied."""
+    ready = g.lengths <= READY
+    short = np.flatnonzero(ready)
+    size = np.r_[np.ones(base, np.int64), g.lengths]
+    first = np.arange(base + len(g.lengths))
+    first[base + short] = base + np.cumsum(g.lengths[short]) - g.lengths[short]
+    ends = np.r_[0, np.cumsum(size[g.symbols])][g.starts]
+    codes = words.Codes(np.r_[np.arange(base), expand(base + short, g.rules, base)], first, size)
+    return np.split(codes.of(expand(g.symbols, g.rules, base, ready))[0], ends[1:-1])
 
 
 def to_row(block: int, shard: int, doc_ids: list, g: Grammar) -> tuple:

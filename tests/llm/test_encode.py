@@ -67,3 +67,14 @@ def test_the_library_is_called_for_many_words_at_once():
     l = lib()
     tokenfiles.encode(pa.array(list(dict.fromkeys(distinct))), tokenfiles.Library(Counting("whole", l.whole), Counting("model", l.model), l.ends))
     assert not sum(seen["whole"]) and len(seen["model"]) <= 4 and max(seen["model"]) <= tokenfiles._CALL
+
+
+def test_documents_are_read_by_rules_long_and_short(monkeypatch):
+    draw = np.random.default_rng(4)
+    ids = np.concatenate([np.tile(draw.integers(0, 9, 70), 40), draw.integers(0, 3, 2_000), np.full(600, 5)])
+    starts = np.array([0, 0, 11, 2_800, 2_801, 4_000, len(ids), len(ids)])
+    g = tokenfiles.repair(ids, starts)
+    assert g.lengths.max() > 64
+    for ready in (0, 2, 64, 1 << 20):
+        monkeypatch.setattr(tokenfiles, "READY", ready)
+        assert [d.tolist() for d in tokenfiles.documents(g)] == [ids[a:b].tolist() for a, b in zip(starts, starts[1:])]
