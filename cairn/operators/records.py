@@ -107,6 +107,31 @@ def link_rows(df: DataFrame, key: list[str], src: Column) -> DataFrame:
     return r.select(*key, "src", "movie", "x.season", "x.episode", F.when(F.col("x.i").isNotNull(), F.struct("x.at", "x.i")).alias("ord"), "x.quality", "x.url")
 
 
+def _judged(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Rows of links with the first and the second source of their episode, whether they are kept, and the rank they are sorted by."""
+    episode = Window.partitionBy(*key, "movie", "season", "episode")
+    url = Window.partitionBy(*key, "movie", "season", "episode", "url")
+    r = rows.withColumn("once", F.min(F.struct("src", "ord")).over(url)).withColumn("first", F.min("src").over(episode))
+    r = r.withColumn("second", F.min(F.when(F.col("src") > F.col("first"), F.col("src"))).over(episode))
+    r = r.withColumn("kept", F.col("ord").isNotNull() & ((F.col("src") == F.col("first")) | (~falsy(F.col("url")) & (F.struct("src", "ord") == F.col("once")))))
+    return r.withColumn("rank", F.when(F.col("movie"), 0).otherwise(quality_rank(F.col("quality"))))
+
+
+def link_news(rows: DataFrame, key: list[str]) -> DataFrame:
+    """The news of `merged_links` alone: rows are compared in order, and no links are gathered."""
+    r = _judged(rows, key).select(*key, "src", "movie", "season", "episode", "ord", "first", "second", "kept", "rank")
+    episode, season = Window.partitionBy(*key, "movie", "season", "episode").orderBy("src", "ord"), Window.partitionBy(*key, "movie", "season")
+    r = r.withColumn("at", F.row_number().over(episode)).withColumn("before", F.lag(F.when(F.col("ord").isNotNull(), F.col("rank"))).over(episode))
+    r = r.withColumn("named", F.count("episode").over(season)).withColumn("least", F.min("src").over(season))
+    new = lambda when, src, n: F.when(when, F.struct(src.alias("src"), F.lit(n).cast("int").alias("n") if isinstance(n, int) else n.cast("int").alias("n")))
+    is_first = F.col("src") == F.col("first")
+    each = F.array(
+        new((F.col("at") == 1) & F.col("episode").isNotNull(), F.col("first"), ~F.col("movie")), new(F.col("kept") & ~is_first, F.col("src"), 0),
+        new(is_first & F.col("second").isNotNull() & (F.col("before") > F.col("rank")) & F.col("ord").isNotNull(), F.col("second"), 0), new((F.col("named") == 0) & (F.col("at") == 1), F.col("least"), 0),
+    )
+    return r.select(*key, F.explode(F.array_compact(each)).alias("x")).groupBy(*key, F.col("x.src").alias("src")).agg(F.sum("x.n").cast("int").alias("episodes"))
+
+
 def merged_links(rows: DataFrame, key: list[str], save: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame]:
     """Sources of links in order of src, as one a key (M1, U1, O1): (key, movie, embeds, seasons), and (key, src, episodes) of each
     source that added or moved something, with the number of episodes that it brought.
@@ -114,12 +139,7 @@ def merged_links(rows: DataFrame, key: list[str], save: Callable[[DataFrame], Da
     The first source of an episode stays as it is; a further one adds links whose URL is not there yet, after which better
     qualities come first and equal ones stay in order. A movie's links are never sorted. save keeps what both results are read from.
     """
-    episode = Window.partitionBy(*key, "movie", "season", "episode")
-    url = Window.partitionBy(*key, "movie", "season", "episode", "url")
-    r = rows.withColumn("once", F.min(F.struct("src", "ord")).over(url)).withColumn("first", F.min("src").over(episode))
-    r = r.withColumn("second", F.min(F.when(F.col("src") > F.col("first"), F.col("src"))).over(episode))
-    r = r.withColumn("kept", F.col("ord").isNotNull() & ((F.col("src") == F.col("first")) | (~falsy(F.col("url")) & (F.struct("src", "ord") == F.col("once")))))
-    rank = F.when(F.col("movie"), 0).otherwise(quality_rank(F.col("quality")))
+    r, rank = _judged(rows, key), F.col("rank")
     link = F.struct(F.when(F.col("second").isNotNull(), rank).otherwise(0).alias("rank"), "src", "ord", "quality", "url")
     before = F.when(F.col("kept") & (F.col("src") == F.col("first")), F.struct("ord", rank.alias("rank")))
     adding = F.when(F.col("kept") & (F.col("src") > F.col("first")), F.col("src"))

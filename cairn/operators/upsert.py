@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cairn.functions.text import make_id, path_key, twin_base
 from cairn.operators.merge import falsy
-from cairn.operators.records import COLUMNS, EMBEDS, SEASONS, flat_links, link_rows, links, merge_seasons, merged_links, unfolded, union_embeds
+from cairn.operators.records import COLUMNS, EMBEDS, SEASONS, flat_links, link_news, link_rows, links, merge_seasons, merged_links, unfolded, union_embeds
 from cairn.sources.scratch import forget, saved
 
 #: Episodes that twins have in common, at least.
@@ -225,7 +225,7 @@ def _whole_log(log: DataFrame, items: DataFrame) -> DataFrame:
 def upsert_log(stored: DataFrame, items: DataFrame, save: Callable[[DataFrame], DataFrame] = saved) -> DataFrame:
     """The log of `upsert` alone: links are compared, but no record is put together from them."""
     items, source, folded = _sources(stored.withColumn("pos", F.col("pos").cast("long")), items, save)
-    log = _logged(source, folded, merged_links(link_rows(source.where("NOT mixed"), KEY, F.col("src")), KEY)[1], save)
+    log = _logged(source, folded, link_news(link_rows(source.where("NOT mixed"), KEY, F.col("src")), KEY), save)
     forget(source, folded)
     return _whole_log(log, items)
 

@@ -95,3 +95,20 @@ def test_groups_against_connected_entities(spark):
             if root(a) == root(b):
                 assert group[a] == group[b]
     assert len(group) == len(rows) and len({group[(True, 100 + k)] for k in range(15)}) == 1 and len(set(group.values())) > 3
+
+
+def test_news_alone_equal_the_news_beside_merged_links(spark):
+    """On sources with episodes without links, seasons without episodes, empty and equal URLs; and nothing is gathered."""
+    r = random.Random(9)
+    link = lambda: {"quality": r.choice(["1080p", "720p", "HD", None]), "url": r.choice(["", None, *"abcde"])}
+    seasons = lambda: [{"season": s, "episodes": r.choice([[], [{"episode": e, "embeds": [link() for _ in range(r.randrange(4))]} for e in r.sample(range(4), r.randrange(4))]])} for s in r.sample(range(3), r.randrange(3))]
+    rows = []
+    for k in range(300):
+        kind = r.choice(["series", "series", "movie"])
+        rows += [(k, src, kind, [link() for _ in range(r.randrange(4))], seasons()) for src in sorted(r.sample(range(-1, 9), r.randrange(1, 5)))]
+    df = spark.createDataFrame(rows, f"id bigint, src bigint, kind string, embeds {records.EMBEDS}, seasons {records.SEASONS}")
+    flat = records.link_rows(df, ["id"], F.col("src"))
+    want = records.merged_links(flat, ["id"])[1].collect()
+    news = records.link_news(flat, ["id"])
+    assert sorted(want) == sorted(news.collect()) and len(want) > 400
+    assert "collect_list" not in news._jdf.queryExecution().executedPlan().toString()
